@@ -17,11 +17,10 @@ def between(column, start, end) -> Column:
     return F.col(column).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
 
 
-def calendar(days, column="d"):
-    """Calendar lookup: month name, year and month end of each day."""
-    d = F.col(column)
-    return days.select(d.alias("full_date"), F.monthname(d).alias("month_name"), F.year(d).alias("calendar_year"),
-                       F.last_day(d).alias("month_end_date"))
+def with_month(rows):
+    """Month name, year and month end of the GL date, computed in place of a calendar lookup join."""
+    d = F.col("tran_gl_date")
+    return rows.withColumns({"month_name": F.monthname(d), "calendar_year": F.year(d), "month_end_date": F.last_day(d)})
 
 
 # --------------------------------------------------------------------------- revenue
@@ -100,7 +99,7 @@ RECEIVABLE_ACCOUNT = "12010 Unbilled Accounts Receivable"
 BILLED = ("UNFI Bill", "AP Credit", "AR Invoice")
 
 
-def vendor_funding_journal(ledger, fc_xref, items, brands, marketing, calendar_days, start, end):
+def vendor_funding_journal(ledger, fc_xref, items, brands, marketing, start, end):
     """Month-end accrual: one credit and one debit leg per account and posting name, reversed the next day.
 
     Both legs are read off the same rows, spread into a pair, so debit equals credit.
@@ -111,8 +110,8 @@ def vendor_funding_journal(ledger, fc_xref, items, brands, marketing, calendar_d
     rows = (rows.join(brands.select(F.col("brand_records_id").alias("brand_id"), "billing_method_id"), "brand_id", "left")
                 .join(marketing.select(F.col("bm_id").alias("brand_marketing_id"), "billing_method", "vendor_funding_item"),
                       "brand_marketing_id", "left")
-                .filter(F.col("billing_method_id").isin(1, 2, 3) | F.col("billing_method").isin(*BILLED))
-                .join(calendar_days.withColumnRenamed("full_date", "tran_gl_date"), "tran_gl_date", "left"))
+                .filter(F.col("billing_method_id").isin(1, 2, 3) | F.col("billing_method").isin(*BILLED)))
+    rows = with_month(rows)
     sub = F.col("tran_sub_type_id")
     earned = F.when((sub == 112) & F.col("vendor_funding_item").isin(*REVIEW_ITEMS), REVIEW_ACCOUNT)
     for code, name in CREDIT_ACCOUNTS.items():
@@ -198,7 +197,7 @@ BILL_ITEMS = {("AR Invoice", 111): "31091", ("AR Invoice", 112): "7735", ("AP Cr
 INVOICE_PREFIX = "TMVF-"
 
 
-def _funding(ledger, fc_xref, items, agreements, marketing, methods, calendar_days, start, end, *payer_columns):
+def _funding(ledger, fc_xref, items, agreements, marketing, methods, start, end, *payer_columns):
     rows = ledger.filter(F.col("tran_sub_type_id").isin(111, 112) & between("tran_gl_date", start, end))
     rows = with_warehouse_item(rows, fc_xref, items, "brand_name", "description", F.col("brand_id").alias("item_brand_id"))
     payer = _payers(agreements, "billing_customer_id", "vendor_id", "billing_method_id", *payer_columns) \
@@ -208,9 +207,8 @@ def _funding(ledger, fc_xref, items, agreements, marketing, methods, calendar_da
                           "asset_description", F.col("brand_id").alias("_bm_brand"), "brand_records_name",
                           F.col("brandemail").alias("_bm_email"))
     method = methods.select(F.col("list_id").alias("billing_method_id"), "list_item_name")
-    rows = (rows.join(payer, "brand_name", "left").join(bm, "brand_marketing_id", "left")
-                .join(method, "billing_method_id", "left")
-                .join(calendar_days.withColumnRenamed("full_date", "tran_gl_date"), "tran_gl_date", "left"))
+    rows = with_month(rows.join(payer, "brand_name", "left").join(bm, "brand_marketing_id", "left")
+                          .join(method, "billing_method_id", "left"))
     how = F.coalesce("list_item_name", "_bm_method")
     month = F.concat_ws(" ", "month_name", "calendar_year")
     sub = F.col("tran_sub_type_id")
@@ -230,10 +228,10 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.round(F.try_divide(a.cast("double"), F.nullif(b, F.lit(0)).cast("double")), 8)
 
 
-def invoice_upload(ledger, fc_xref, items, agreements, marketing, methods, calendar_days, start, end):
+def invoice_upload(ledger, fc_xref, items, agreements, marketing, methods, start, end):
     """Upload lines of invoices and credits.  Distributor bills are left out; the test is on the
     marketing order's method, so rows without one drop out."""
-    rows = _funding(ledger, fc_xref, items, agreements, marketing, methods, calendar_days, start, end)
+    rows = _funding(ledger, fc_xref, items, agreements, marketing, methods, start, end)
     sub = F.col("tran_sub_type_id")
     rows = rows.filter(F.col("_bm_method") != "UNFI Bill").withColumns({
         "invoice_number": F.concat("_invoice", F.col("cust_vend_id").cast("string")),
@@ -251,9 +249,9 @@ def invoice_upload(ledger, fc_xref, items, agreements, marketing, methods, calen
         F.coalesce("_qty", F.lit(1)).alias("tran_qty"))
 
 
-def distributor_report(ledger, fc_xref, items, agreements, marketing, methods, calendar_days, start, end, contact=None):
+def distributor_report(ledger, fc_xref, items, agreements, marketing, methods, start, end, contact=None):
     """The distributor's bills: program, brand-numbered invoice, percentage.  ``contact`` is the address printed."""
-    rows = _funding(ledger, fc_xref, items, agreements, marketing, methods, calendar_days, start, end, "brandemail")
+    rows = _funding(ledger, fc_xref, items, agreements, marketing, methods, start, end, "brandemail")
     rebate = F.col("tran_sub_type_id") == 111
     rows = rows.filter(F.col("method") == "UNFI Bill").withColumns({
         "brand": F.coalesce("brand_name", "brand_records_name"),

@@ -876,7 +876,6 @@ shape("manual_lines", "orders_z", {
     "credit_amount": cents("CASE WHEN d = 2 THEN k % 3000 END", 12, 2),
 }, where="k % 15 = 1", lines=("d", "CAST(2 AS BIGINT)"))
 shape("erp_accounts", "region", {"account_id": "r_regionkey + 6", "accountnumber": "CASE WHEN r_regionkey = 1 THEN '41107' ELSE '40000' END"})
-shape("month_days", "orders_x", {"d": days("1995-01-01", "k")}, where="k < 3650")
 shape("adj_headers", "orders_x", {
     "transaction_id": "k",
     "trandate": "CAST(created_at AS DATE)",
