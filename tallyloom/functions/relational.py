@@ -23,6 +23,15 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal a scan with fewer partitions than cores over all cores, ahead of work that is heavy per row.
+
+    A large input has more partitions than that and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def first_ids(df: DataFrame, keys: list[str], order: list[str], row_id: str) -> DataFrame:
     """Id of the first row of every key; NULL keys form a group of their own."""
     first = F.min(F.struct(*order, row_id)).alias("_first")
@@ -92,13 +101,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], columns: list[
     return joined.select(*[value(c) for c in target.columns])
 
 
-def left_join_split(df: DataFrame, other: DataFrame, key: str, apply) -> DataFrame:
-    """Left join only the rows that carry a key; the rest pass by with ``apply`` on NULLs."""
-    keyed = df.filter(F.col(key).isNotNull()).join(other, key, "left")
-    bare = df.filter(F.col(key).isNull())
-    return union_all(apply(keyed), bare).select(*apply(keyed).columns)
-
-
 def penny_rank(rows: DataFrame, group: list[str], tie: str, amount: str, target: str) -> DataFrame:
     """Rows of each group that must move by one cent so that ``amount`` adds up to ``target``.
 

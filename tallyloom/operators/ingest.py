@@ -1,8 +1,8 @@
 """Message queue: parse, de-duplicate, route.
 
-Every message is parsed once into one struct of strings, which the header and array
-operators then cast and explode; a value that does not cast becomes NULL.  Whole numbers
-round, as in the ledger's warehouse.
+An operator parses the part of the message it needs into a struct of strings and casts or
+explodes that; a value that does not cast becomes NULL.  Whole numbers round, as in the
+ledger's warehouse.
 """
 
 from __future__ import annotations
@@ -88,23 +88,46 @@ def _struct(part: str, *nested: str) -> str:
 
 _PAY = _struct("payments")
 _GIFT = _struct("gift_cards")
-SCHEMAS = {
-    "oc": _struct("oc", "items: ARRAY<" + _struct("oc_items", "discount_detail: ARRAY<" + _struct("oc_discounts") + ">") + ">",
-                  f"payments: STRUCT<payment_detail: ARRAY<{_PAY}>, gift_card_details: ARRAY<{_GIFT}>, {CASH_APPLIED}: STRING>"),
-    "mc": _struct("mc", f"payments: STRUCT<payment_detail: ARRAY<{_PAY}>, gift_card_details: ARRAY<{_GIFT}>>"),
-    "ma": _struct("ma"),
-    "ocn": _struct("ocn"),
-    "oa": _struct("oa", "items: ARRAY<STRUCT<item_id: STRING, qty_ordered: STRING, "
-                        "fc_assignments: ARRAY<STRUCT<fc: STRING, units: STRING>>>>"),
-    "of": _struct("of", "items: ARRAY<" + _struct("of_items", "fc_detail: STRUCT<units_shorted: STRING, "
-                        "units_shipped: STRING, shipment_id: STRING, fc: STRING, tracking_id: STRING>") + ">"),
-    "cm": _struct("cm", "items: ARRAY<" + _struct("cm_items") + ">",
-                  f"refunds: STRUCT<payment_detail: {_PAY}, gift_card_details: ARRAY<{_GIFT}>, "
-                  f"{CASH_APPLIED}: STRUCT<cash_give: STRING>>"),
-    "gca": _struct("gca", "cards: " + _struct("gca_cards")),
-    "gcf": _struct("gcf", "cards: " + _struct("gcf_cards")),
+# nested parts of the documents, by message type and path; a path's last name is a field of its parent
+NESTED = {
+    "oc": {"items": "ARRAY<" + _struct("oc_items") + ">",
+           "items.discount_detail": "ARRAY<STRUCT<item_id: STRING, discount_detail: ARRAY<" + _struct("oc_discounts") + ">>>",
+           "payments.payment_detail": f"STRUCT<payment_detail: ARRAY<{_PAY}>>",
+           "payments.gift_card_details": f"STRUCT<gift_card_details: ARRAY<{_GIFT}>>",
+           f"payments.{CASH_APPLIED}": f"STRUCT<{CASH_APPLIED}: STRING>"},
+    "mc": {"payments.payment_detail": f"STRUCT<payment_detail: ARRAY<{_PAY}>>",
+           "payments.gift_card_details": f"STRUCT<gift_card_details: ARRAY<{_GIFT}>>"},
+    "oa": {"items": "ARRAY<STRUCT<item_id: STRING, qty_ordered: STRING, fc_assignments: ARRAY<STRUCT<fc: STRING, units: STRING>>>>"},
+    "of": {"items": "ARRAY<" + _struct("of_items", "fc_detail: STRUCT<units_shorted: STRING, units_shipped: STRING, "
+                    "shipment_id: STRING, fc: STRING, tracking_id: STRING>") + ">",
+           "items.fc_detail.fc": "ARRAY<STRUCT<fc_detail: STRUCT<fc: STRING>>>"},
+    "cm": {"items": "ARRAY<" + _struct("cm_items") + ">",
+           "refunds.payment_detail": f"STRUCT<payment_detail: {_PAY}>",
+           "refunds.gift_card_details": f"STRUCT<gift_card_details: ARRAY<{_GIFT}>>",
+           f"refunds.{CASH_APPLIED}": f"STRUCT<{CASH_APPLIED}: STRUCT<cash_give: STRING>>"},
+    "gca": {"cards": _struct("gca_cards"),
+            "cards.key": "STRUCT<card_id: STRING, updated_at: STRING, card_delta: STRING>"},
+    "gcf": {"cards": _struct("gcf_cards")},
 }
 
+
+# the nested parts whole, where a type has several paths into one field
+WHOLE = {
+    "oc": {"items": "ARRAY<" + _struct("oc_items", "discount_detail: ARRAY<" + _struct("oc_discounts") + ">") + ">",
+           "payments": f"STRUCT<payment_detail: ARRAY<{_PAY}>, gift_card_details: ARRAY<{_GIFT}>, {CASH_APPLIED}: STRING>"},
+    "mc": {"payments": f"STRUCT<payment_detail: ARRAY<{_PAY}>, gift_card_details: ARRAY<{_GIFT}>>"},
+    "cm": {"items": NESTED["cm"]["items"],
+           "refunds": f"STRUCT<payment_detail: {_PAY}, gift_card_details: ARRAY<{_GIFT}>, {CASH_APPLIED}: STRUCT<cash_give: STRING>>"},
+    **{m: {root: NESTED[m][root]} for m, root in (("oa", "items"), ("of", "items"), ("gca", "cards"), ("gcf", "cards"))},
+}
+
+
+def document(message_type: str, *fields: str) -> str:
+    """Schema of the wanted part of a message; the reader skips the rest of the text."""
+    nested = NESTED.get(message_type, {})
+    return "STRUCT<" + ", ".join(f"`{f.split('.')[0]}`: {nested.get(f, 'STRING')}" for f in fields) + ">"
+
+
 _DECIMALS = {"n": "decimal(10,4)", "m": "decimal(12,4)", "c": "decimal(12,2)"}
 
 
@@ -120,21 +143,47 @@ def typed(value, kind: str) -> Column:
         return c.try_cast("boolean")
     if kind == "f":
         return c.try_cast("double")
-    # through a wider decimal, so that a float's noise digits round instead of failing
-    return c.try_cast("decimal(38,12)").try_cast(_DECIMALS[kind])
+    return c.try_cast(_DECIMALS[kind])
 
 
 def _fields(part: str, source: str, amount: str = "", skip=()) -> list[Column]:
     return [typed(f"{source}.{n}", k).alias(n) for n, k in _kinds(part, amount) if n not in skip]
 
 
-def messages(queue: DataFrame, message_type: str) -> DataFrame:
-    """Messages of one type with their parsed document."""
+def messages(queue: DataFrame, message_type: str, *fields: str) -> DataFrame:
+    """Messages of one type with the wanted part of their document.
+
+    A frame from :func:`parse_once` holds documents already; the scan then reads the wanted part only.
+    """
+    if "doc" in queue.columns:
+        return queue.select("id", "s3_updated_at", "doc")
     return queue.filter(F.col("message_type") == message_type).select(
-        "id", "s3_updated_at", F.from_json("json_data", SCHEMAS[message_type]).alias("doc"))
+        "id", "s3_updated_at", F.from_json("json_data", document(message_type, *fields)).alias("doc"))
+
 
+def parse_once(queue: DataFrame, message_type: str, path: str) -> DataFrame:
+    """Parse one type's messages whole into a Parquet table at ``path`` and return that table.
 
-def _with_order(msgs: DataFrame, array: str, alias: str) -> DataFrame:
+    For runs that take a message apart several ways: the text is parsed a single time, each
+    operator reads its own nested columns, and a lost executor rereads the table instead of
+    parsing again.
+    """
+    whole = WHOLE.get(message_type, {})
+    fields = [f"`{n}`: STRING" for n, _ in _kinds(message_type)] + [f"`{n}`: {t}" for n, t in whole.items()]
+    parsed = queue.filter(F.col("message_type") == message_type).select(
+        "id", "s3_updated_at", F.from_json("json_data", f"STRUCT<{', '.join(fields)}>").alias("doc"))
+    parsed.write.mode("overwrite").parquet(path)
+    return queue.sparkSession.read.schema(parsed.schema).parquet(path)
+
+
+_ORDER = ("order_id", "message_uuid")
+
+
+def _header(queue: DataFrame, message_type: str, *more: str) -> DataFrame:
+    return messages(queue, message_type, *[n for n, _ in _kinds(message_type)], *more)
+
+
+def _with_order(msgs: DataFrame, array, alias: str) -> DataFrame:
     return msgs.select("id", typed("doc.order_id", "i").alias("order_id"),
                        F.col("doc.message_uuid").alias("message_uuid"), F.posexplode(array).alias("pos", alias))
 
@@ -159,7 +208,7 @@ def _card_key(card, moment, delta) -> list[Column]:
 
 def dedupe_gift_card_adjustments(queue, staged, processed, stored):
     """(duplicates, remaining); key is card, time and amount to the cent."""
-    keyed = messages(queue, "gca").select(
+    keyed = messages(queue, "gca", "cards.key").select(
         "id", "s3_updated_at", typed("doc.cards.card_id", "i").alias("card"),
         typed("doc.cards.updated_at", "t").alias("moment"), typed("doc.cards.card_delta", "f").alias("amount"),
     ).select("id", "s3_updated_at", *_card_key("card", "moment", "amount"))
@@ -170,7 +219,7 @@ def dedupe_gift_card_adjustments(queue, staged, processed, stored):
 
 def dedupe_order_cancel(queue, staged, processed, headers):
     """(duplicates, remaining); an order whose header says cancel is done already."""
-    keyed = messages(queue, "ocn").select("id", "s3_updated_at", typed("doc.order_id", "i").alias("order_id"))
+    keyed = messages(queue, "ocn", "order_id").select("id", "s3_updated_at", typed("doc.order_id", "i").alias("order_id"))
     done = headers.filter(F.col("status") == "cancel")
     known = R.union_all(*[t.select("order_id") for t in (staged, processed, done)])
     return _split_duplicates(queue, "ocn", keyed, ["order_id"], known)
@@ -185,7 +234,7 @@ def new_message_worklist(queue, message_type, staged, processed):
     """Key and id of messages found neither in staging nor in the archive."""
     key = WORK_KEYS[message_type]
     value = f"doc.{key}"
-    keyed = messages(queue, message_type).select(
+    keyed = messages(queue, message_type, key).select(
         typed(value, "s" if key == "message_uuid" else "i").alias(key), "id")
     return keyed.join(staged.select(key), key, "left_anti").join(processed.select(key), key, "left_anti")
 
@@ -203,15 +252,15 @@ def take(queue, work):
 # --------------------------------------------------------------------------- headers
 
 def parse_header(queue, message_type, skip=()):
-    return messages(queue, message_type).select(*_fields(message_type, "doc", skip=skip))
+    return _header(queue, message_type).select(*_fields(message_type, "doc", skip=skip))
 
 
 def parse_gift_card_adjustment(queue):
-    return messages(queue, "gca").select(*_fields("gca", "doc"), *_fields("gca_cards", "doc.cards"))
+    return _header(queue, "gca", "cards").select(*_fields("gca", "doc"), *_fields("gca_cards", "doc.cards"))
 
 
 def parse_gift_card_fulfillment(queue):
-    return messages(queue, "gcf").select(*_fields("gcf", "doc"), *_fields("gcf_cards", "doc.cards"))
+    return _header(queue, "gcf", "cards").select(*_fields("gcf", "doc"), *_fields("gcf_cards", "doc.cards"))
 
 
 def parse_order_cancel(queue):
@@ -246,13 +295,13 @@ def parse_fulfillment(queue):
 
 def explode_cancel_cash_earned(queue):
     rows = ", ".join(f"`{n}`: STRING" for n, _ in _kinds("ocn_cash"))
-    msgs = messages(queue, "ocn").withColumn(
+    msgs = messages(queue, "ocn", *_ORDER, CASH_EARNED).withColumn(
         "earned", F.from_json(f"doc.{CASH_EARNED}", f"ARRAY<STRUCT<{rows}>>"))
     return _with_order(msgs, "earned", "e").select("order_id", *_fields("ocn_cash", "e"), "message_uuid")
 
 
 def explode_order_items(queue):
-    return _with_order(messages(queue, "oc"), "doc.items", "e").select("order_id", *_fields("oc_items", "e"), "message_uuid")
+    return _with_order(messages(queue, "oc", *_ORDER, "items"), "doc.items", "e").select("order_id", *_fields("oc_items", "e"), "message_uuid")
 
 
 def explode_item_discounts(queue):
@@ -262,18 +311,18 @@ def explode_item_discounts(queue):
     flat = F.flatten(F.transform(
         F.filter(by_item, lambda item: item["details"].isNotNull()),
         lambda item: F.transform(item["details"], lambda d: F.struct(item["item_id"].alias("item_id"), d.alias("d")))))
-    return _with_order(messages(queue, "oc"), flat, "e").select(
+    return _with_order(messages(queue, "oc", *_ORDER, "items.discount_detail"), flat, "e").select(
         "order_id", F.col("e.item_id").alias("item_id"), (F.col("pos") + 1).alias("discount_id"),
         *_fields("oc_discounts", "e.d"), "message_uuid")
 
 
 def _payments(queue, message_type, amount):
-    return _with_order(messages(queue, message_type), "doc.payments.payment_detail", "e").select(
+    return _with_order(messages(queue, message_type, *_ORDER, "payments.payment_detail"), "doc.payments.payment_detail", "e").select(
         "order_id", F.col("e.id").alias("payment_id"), *_fields("payments", "e", amount, skip=("id",)), "message_uuid")
 
 
 def _gift_cards(queue, message_type, amount):
-    return _with_order(messages(queue, message_type), "doc.payments.gift_card_details", "e").select(
+    return _with_order(messages(queue, message_type, *_ORDER, "payments.gift_card_details"), "doc.payments.gift_card_details", "e").select(
         "order_id", *_fields("gift_cards", "e", amount), "message_uuid")
 
 
@@ -302,14 +351,14 @@ def explode_order_cash(queue):
     text = F.col(f"doc.payments.{CASH_APPLIED}")
     entries = F.when(F.ltrim(text).startswith("["), F.from_json(text, "ARRAY<STRING>")) \
         .otherwise(F.map_values(F.from_json(text, "MAP<STRING, STRING>")))
-    return _with_order(messages(queue, "oc"), entries, "e").select(
+    return _with_order(messages(queue, "oc", *_ORDER, f"payments.{CASH_APPLIED}"), entries, "e").select(
         "order_id", (F.col("pos") + 1).alias("tc_id"),
         typed(F.get_json_object("e", "$.applied_amt"), "c").alias("tc_amt"), "message_uuid")
 
 
 def explode_assignments(queue):
     """Items times their warehouse assignments."""
-    lines = messages(queue, "oa").select("doc", F.explode("doc.items").alias("item"))
+    lines = _header(queue, "oa", "items").select("doc", F.explode("doc.items").alias("item"))
     lines = lines.select("doc", "item", F.explode("item.fc_assignments").alias("a"))
     ordered, units = typed("item.qty_ordered", "i"), typed("a.units", "i")
     return lines.select(*_fields("oa", "doc"), typed("item.item_id", "i").alias("item_id"),
@@ -319,7 +368,7 @@ def explode_assignments(queue):
 
 def hold_partial_shipments(queue, fc_xref):
     """(held, remaining): shipments touching an ``is_hj`` warehouse wait for their last part."""
-    parts = messages(queue, "of").filter(~typed("doc.is_last_hj_shipment", "b")).select(
+    parts = messages(queue, "of", "is_last_hj_shipment", "items.fc_detail.fc").filter(~typed("doc.is_last_hj_shipment", "b")).select(
         "id", F.explode("doc.items").alias("item")).select(
         "id", F.explode(F.from_json("item.fc_detail.fc", "ARRAY<STRING>")).alias("fc"))
     hj = fc_xref.filter("is_hj").select(F.col("fc_id").cast("string").alias("fc"))
@@ -330,7 +379,7 @@ def hold_partial_shipments(queue, fc_xref):
 
 def explode_fulfillment_items(queue, staged_detail):
     """First row of every item, unless the item is staged already."""
-    rows = messages(queue, "of").select("id", "doc", F.posexplode("doc.items").alias("pos", "item"))
+    rows = messages(queue, "of", *_ORDER, "increment_id", "customer_id", "items").select("id", "doc", F.posexplode("doc.items").alias("pos", "item"))
     rows = rows.select(
         "id", "pos", typed("doc.order_id", "i").alias("order_id"), typed("doc.increment_id", "i").alias("increment_id"),
         typed("doc.customer_id", "i").alias("customer_id"), *_fields("of_items", "item"),
@@ -342,8 +391,11 @@ def explode_fulfillment_items(queue, staged_detail):
     return first.join(staged_detail.select("item_id"), "item_id", "left_anti").drop("id", "pos")
 
 
+_CREDIT = ("credit_id", *_ORDER)
+
+
 def _with_credit(queue, array, alias="e"):
-    return messages(queue, "cm").select(
+    return messages(queue, "cm", *_CREDIT, array.removeprefix("doc.")).select(
         typed("doc.credit_id", "i").alias("credit_id"), typed("doc.order_id", "i").alias("order_id"),
         F.col("doc.message_uuid").alias("message_uuid"), F.explode(array).alias(alias))
 
@@ -355,7 +407,7 @@ def explode_credit_items(queue):
 def credit_refunds(queue):
     """The one card refund of a credit memo; none without a payment id."""
     pay = "doc.refunds.payment_detail"
-    return messages(queue, "cm").filter(F.col(f"{pay}.id").isNotNull()).select(
+    return messages(queue, "cm", *_CREDIT, "refunds.payment_detail").filter(F.col(f"{pay}.id").isNotNull()).select(
         typed("doc.order_id", "i").alias("order_id"), F.col(f"{pay}.id").alias("payment_id"),
         *_fields("payments", pay, "n", skip=("id",)), typed("doc.credit_id", "i").alias("credit_id"),
         F.col("doc.message_uuid").alias("message_uuid"))
@@ -368,6 +420,6 @@ def credit_gift_cards(queue):
 
 def credit_cash(queue):
     amount = typed(f"doc.refunds.{CASH_APPLIED}.cash_give", "n")
-    return messages(queue, "cm").filter(F.coalesce(amount, F.lit(0)) != 0).select(
+    return messages(queue, "cm", *_CREDIT, f"refunds.{CASH_APPLIED}").filter(F.coalesce(amount, F.lit(0)) != 0).select(
         typed("doc.credit_id", "i").alias("credit_id"), typed("doc.order_id", "i").alias("order_id"),
         F.lit(1).alias("tc_id"), amount.alias("tc_amt"), F.col("doc.message_uuid").alias("message_uuid"))

@@ -9,8 +9,9 @@ from tallyloom.operators import fulfillment, ingest, postings
 from tallyloom.schema import to_ledger
 
 
-def order_capture(queue: DataFrame, cards: DataFrame, legacy_cards: DataFrame, as_of="1999-01-01") -> dict[str, DataFrame]:
-    """Capture messages to ledger rows and store tables: parse, correct, post, load."""
+def order_capture(queue: DataFrame, cards: DataFrame, legacy_cards: DataFrame, as_of: str, staging: str) -> dict[str, DataFrame]:
+    """Capture messages to ledger rows and store tables: parse into ``staging``, correct, post, load."""
+    queue = ingest.parse_once(queue, "oc", f"{staging}/capture")
     header = ingest.parse_order_capture(queue)
     items = ingest.explode_order_items(queue)
     payments = ingest.explode_order_payments(queue)

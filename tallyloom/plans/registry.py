@@ -7,6 +7,7 @@ for comparison; the operators themselves keep exact decimals and native dates.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,7 +86,7 @@ def _(t):
 
 @query("erp_snapshot_load", "customer_id:n name:s email:s companyname:s")
 def _(t):
-    return maintenance.erp_snapshot_load(t("erp_customers"), f"{shared_dir(t.spark)}/staging/customers")
+    return maintenance.erp_snapshot_load(t("erp_customers"), f"{shared_dir(t.spark)}/customers/{uuid.uuid4().hex}")
 
 
 @query("append_insert", "order_id:n tran_type:n tran_sub_type_id:n tran_amt:m")
@@ -867,7 +868,8 @@ def _(t):
 
 @query("order_capture_pipeline", "tran_type:n tran_sub_type_id:n tran_sub_type:s order_id:n tran_amt:m tran_gl_date:d cc_type:s gc_sub_type:s")
 def _(t):
-    return pipelines.order_capture(t.queue("oc"), *t.many("gift_cards", "gift_cards_legacy"))["ledger"]
+    staging = f"{shared_dir(t.spark)}/order_capture/{uuid.uuid4().hex}"
+    return pipelines.order_capture(t.queue("oc"), *t.many("gift_cards", "gift_cards_legacy"), AS_OF, staging)["ledger"]
 
 
 @query("fulfillment_pipeline", "tran_sub_type_id:n order_id:n order_line_id:n tran_amt:m tran_gl_date:d")
