@@ -1,6 +1,7 @@
 """Whole runs: the stream equals the batch, nothing posts twice, plans stay scalable."""
 
 import io
+import os
 from contextlib import redirect_stdout
 
 import pytest
@@ -55,8 +56,16 @@ def plan(df):
     return out.getvalue()
 
 
-@pytest.mark.parametrize("name", [n for n in registry.SPECS if n not in ("queue_stream", "erp_snapshot_load", "order_capture_pipeline")])
-def test_no_cross_join_or_single_partition_window(spark, sf_dir, name):
+# these write tables while they are built
+EAGER = ("queue_stream", "erp_snapshot_load", "order_capture_pipeline")
+PLANS = ["hold_partial_shipments", "new_refund_gift_cards", "credit_worklists", "gift_card_adjustment_enrich", "fulfillment_pipeline",
+         "post_vendor_rebate", "post_tpr_funding", "vendor_rebate_report", "crm_discounts", "post_cost_adjustment_rebate"]
+if os.environ.get("TALLYLOOM_ALL"):
+    PLANS = [n for n in registry.SPECS if n not in EAGER]
+
+
+@pytest.mark.parametrize("name", PLANS)
+def test_no_cross_join_or_python_rows(spark, sf_dir, name):
     text = plan(registry.queries()[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and "BatchEvalPython" not in text
 
