@@ -108,25 +108,28 @@ def penny_rank(rows: DataFrame, group: list[str], tie: str, amount: str, target:
     Equal amounts rank by (``tie`` mod 64, ``tie``), which makes the order a concatenation
     of buckets (amount, salt): a bucket's offset comes from a histogram, and only the rows
     of one bucket are numbered together.  A group of any size is thus spread over its
-    distinct amounts times 64 tasks.  The histogram and the numbering read one exchange.
+    distinct amounts times 64 tasks.  Groups in balance drop out before the ranking, and
+    the histogram and the numbering read one exchange.
 
     Returns group, tie, cent (+0.01 or -0.01).
     """
     bucket = [*group, amount, "_salt"]
-    spread = (rows.select(*group, tie, amount, target)
-                  .withColumn("_salt", F.pmod(F.col(tie), F.lit(SALTS)))
+    sums = rows.groupBy(*group).agg(
+        F.round((F.coalesce(F.max(target), F.lit(0)) - F.sum(F.coalesce(F.col(amount), F.lit(0)))) * 100, 0).cast("bigint").alias("_off")
+    ).filter("_off <> 0")
+    # the join below would push these tests under the exchange on one side only, and so lose its reuse
+    salt = F.pmod(F.col(tie), F.lit(SALTS))
+    usable = (F.col(amount) > 0) & F.col(tie).isNotNull() & salt.isNotNull()
+    for key in group:
+        usable = usable & F.col(key).isNotNull()
+    spread = (rows.select(*group, tie, amount).filter(usable)
+                  .withColumn("_salt", salt)
                   .repartition(*[F.col(c) for c in bucket]))
-    hist = spread.groupBy(*bucket).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(target).alias("_target"), F.min(tie).alias("_any"))
-    whole_group = Window.partitionBy(*group)
-    above = whole_group.orderBy(F.col(amount).desc(), F.col("_salt")).rowsBetween(Window.unboundedPreceding, -1)
-    positive = F.when(F.col(amount) > 0, F.col("_n")).otherwise(0)
-    off = F.coalesce(F.max("_target").over(whole_group), F.lit(0)) - \
-        F.sum(F.coalesce(F.col(amount), F.lit(0)) * F.col("_n")).over(whole_group)
-    offsets = (hist.withColumn("_off", F.round(off * 100, 0).cast("bigint"))
-                   .withColumn("_before", F.coalesce(F.sum(positive).over(above), F.lit(0)))
-                   .filter((F.col(amount) > 0) & (F.col("_before") < F.abs("_off")))
-                   .select(*bucket, "_off", "_before"))
+    hist = spread.groupBy(*bucket).agg(F.count(tie).alias("_n"))
+    above = Window.partitionBy(*group).orderBy(F.col(amount).desc(), F.col("_salt")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (hist.join(sums, group)
+                   .withColumn("_before", F.coalesce(F.sum("_n").over(above), F.lit(0)))
+                   .filter(F.col("_before") < F.abs("_off")).select(*bucket, "_off", "_before"))
     inside = Window.partitionBy(*bucket).orderBy(tie)
     return (spread.join(offsets, bucket)
                   .withColumn("_rn", F.row_number().over(inside))
@@ -135,6 +138,13 @@ def penny_rank(rows: DataFrame, group: list[str], tie: str, amount: str, target:
                           .cast("decimal(3,2)").alias("cent")))
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a result that several later steps read, and hand back the table.  It also cuts the lineage:
+    a lost executor rereads the table."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def surrogate_ids(df: DataFrame, bucket: Column, order: list[str], name: str, start=0) -> DataFrame:
     """Dense ids after ``start``: number inside a bucket, plus the rows of the buckets before it.
 

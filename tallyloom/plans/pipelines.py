@@ -34,10 +34,15 @@ def order_capture(queue: DataFrame, cards: DataFrame, legacy_cards: DataFrame, a
 
 
 def fulfillment_postings(stage: DataFrame, discounts: DataFrame, fc_xref: DataFrame, items: DataFrame,
-                         order_header: DataFrame) -> DataFrame:
-    """Staged lines to ledger rows: allocate bundles, balance to the cent, post revenue and discounts."""
-    lines = fulfillment.apply_allocation(stage, fulfillment.balanced_bundle(stage))
-    parts = fulfillment.bundle_discount_result(stage, discounts)
+                         order_header: DataFrame, staging: str) -> DataFrame:
+    """Staged lines to ledger rows: allocate bundles, balance to the cent, post revenue and discounts.
+
+    The two allocations are read several times each, so they are written to ``staging`` once.
+    """
+    amounts = R.stored(fulfillment.allocate_bundle(stage), f"{staging}/bundle_amounts")
+    rules = R.stored(fulfillment.allocate_bundle_discounts(stage, discounts), f"{staging}/bundle_discounts")
+    lines = fulfillment.apply_allocation(stage, fulfillment.balance(amounts))
+    parts = fulfillment.penny_fix_rule_discount(rules)
     return R.union_all(*[to_ledger(rows) for rows in (
         fulfillment.post_product_revenue(lines, fc_xref, items),
         fulfillment.post_line_discounts(stage, discounts, fc_xref, items),

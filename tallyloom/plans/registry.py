@@ -874,4 +874,5 @@ def _(t):
 
 @query("fulfillment_pipeline", "tran_sub_type_id:n order_id:n order_line_id:n tran_amt:m tran_gl_date:d")
 def _(t):
-    return pipelines.fulfillment_postings(t("stage"), *t.many("detail_discounts", "fc_xref", "curr_items", "order_header"))
+    staging = f"{shared_dir(t.spark)}/fulfillment/{uuid.uuid4().hex}"
+    return pipelines.fulfillment_postings(t("stage"), *t.many("detail_discounts", "fc_xref", "curr_items", "order_header"), staging)

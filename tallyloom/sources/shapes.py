@@ -656,7 +656,7 @@ shape("credits", "orders_z", {
     "base_total_gift_cards": cents("CASE WHEN k % 3 = 1 THEN 500 ELSE 0 END", 10),
     "base_total_credit": cents("prod_c + tax_c", 10),
     "base_total_refund": cents("prod_c", 10),
-    "total_thrive_cash": cents("CASE WHEN k % 7 = 3 THEN 300 ELSE 0 END", 10),
+    f"total_{CASH}": cents("CASE WHEN k % 7 = 3 THEN 300 ELSE 0 END", 10),
     "ppe_fee": cents("coalesce(ppe_c, 0)", 10),
     "ppe_fee_tax": cents("ppet_c", 10),
     "billing_state": "state",

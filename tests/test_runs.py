@@ -57,8 +57,8 @@ def plan(df):
 
 
 # these write tables while they are built
-EAGER = ("queue_stream", "erp_snapshot_load", "order_capture_pipeline")
-PLANS = ["hold_partial_shipments", "new_refund_gift_cards", "credit_worklists", "gift_card_adjustment_enrich", "fulfillment_pipeline",
+EAGER = ("queue_stream", "erp_snapshot_load", "order_capture_pipeline", "fulfillment_pipeline")
+PLANS = ["hold_partial_shipments", "new_refund_gift_cards", "credit_worklists", "gift_card_adjustment_enrich", "post_product_revenue",
          "post_vendor_rebate", "post_tpr_funding", "vendor_rebate_report", "crm_discounts", "post_cost_adjustment_rebate"]
 if os.environ.get("TALLYLOOM_ALL"):
     PLANS = [n for n in registry.SPECS if n not in EAGER]
