@@ -23,15 +23,6 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Deal a scan with fewer partitions than cores over all cores, ahead of work that is heavy per row.
-
-    A large input has more partitions than that and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def first_ids(df: DataFrame, keys: list[str], order: list[str], row_id: str) -> DataFrame:
     """Id of the first row of every key; NULL keys form a group of their own."""
     first = F.min(F.struct(*order, row_id)).alias("_first")
@@ -70,6 +61,9 @@ def update_from(target: DataFrame, updates: DataFrame, keys: list[str], columns:
     Several source rows per key would fan out, so the source is first reduced to the
     smallest row by ``order`` (default: the columns themselves).
     """
+    unknown = [c for c in [*keys, *columns] if c not in target.columns]
+    if unknown:
+        raise ValueError(f"update_from: the target has no {unknown}")
     source = one_per_key(updates.select(*keys, *columns), keys, order or columns)
     source = source.select(*keys, F.struct(*columns).alias("_new"))
     joined = target.join(source, keys, "left")

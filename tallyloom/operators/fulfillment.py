@@ -58,7 +58,10 @@ def stage_fulfillment(headers, work, details, order_header, order_detail, discou
         F.col("base_tax_amt").alias("credit_tax_amt"), F.col("base_discount_amt").alias("credit_discount_amt"),
         (F.col("base_row_total_incl_tax") - F.col("base_discount_amt")).alias("credit_total_amt"))
     fc = fc_xref.select(F.col("fc_id").alias("store_fc"), F.col("ns_fc_id").alias("fc"))
-    rows = (details.join(shipment, ["order_id", "message_uuid"]).join(order, "order_id").join(line, "item_id")
+    # the lines of a message repeat its order keys; the order's own are the ones to stage
+    shipped = details.select("order_id", "message_uuid", "item_id", "parent_item_id", "product_type", "sku", "fc", "units_shipped",
+                             "units_shorted", *_known(details, "shipment_id", "tracking_id"))
+    rows = (shipped.join(shipment, ["order_id", "message_uuid"]).join(order, "order_id").join(line, "item_id")
                    .join(tpa, "item_id", "left").join(credit, ["credit_id", "item_id"], "left")
                    .withColumn("store_fc", first_of_list("fc")).drop("fc").join(fc, "store_fc", "left"))
     return rows.select(
@@ -66,7 +69,12 @@ def stage_fulfillment(headers, work, details, order_header, order_detail, discou
         "product_type", "fc", "store_fc", "sku", "units_shipped", "qty_ordered", "units_shorted", "base_price",
         "base_discount_amt", "base_tax_amt", "base_row_total", "is_last_shipment",
         F.when(F.col("qty_refunded") > 0, F.col("_cm")).alias("cm_id"), "qty_refunded", "credit_price",
-        "credit_tax_amt", "credit_discount_amt", "credit_total_amt", "tpa_unit_amt", "tran_date", "sale_date")
+        "credit_tax_amt", "credit_discount_amt", "credit_total_amt", "tpa_unit_amt", "tran_date", "sale_date", "shipment_id", "tracking_id")
+
+
+def _known(rows, *columns):
+    """The columns, NULL where the rows come without them."""
+    return [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns]
 
 
 def retail_price_fallback(stage, fc_xref, items):
@@ -339,8 +347,8 @@ def post_cash_discount(stage, payments):
 
 def update_detail_fulfillment(order_detail, stage):
     news = stage.select("item_id", F.col("units_shipped").alias("fulfillment_qty"),
-                        F.col("units_shorted").alias("short_qty"))
-    return R.update_from(order_detail, news, ["item_id"], ["fulfillment_qty", "short_qty"])
+                        F.col("units_shorted").alias("short_qty"), F.col("fulfilled_at").alias("fulfillment_date"))
+    return R.update_from(order_detail, news, ["item_id"], ["fulfillment_qty", "short_qty", "fulfillment_date"])
 
 
 def update_header_shipped(order_header, stage):
@@ -350,6 +358,7 @@ def update_header_shipped(order_header, stage):
     hit = F.col("_at").isNotNull() & F.col("gaap_sale_date").isNull()
     return rows.withColumns({
         "status": F.when(hit, F.lit("shipped")).otherwise(F.col("status")),
+        "status_date": F.when(hit, F.col("_at")).otherwise(F.col("status_date")),
         "gaap_sale_date": F.when(hit, local_date("_at")).otherwise(F.col("gaap_sale_date"))}).select(*order_header.columns)
 
 

@@ -62,10 +62,11 @@ def brand_extract(erp):
                        F.coalesce("_contact", "_customer", "_vendor", "_customer2", "_vendor2").alias("brand_email"))
 
 
-def brand_marketing_extract(marketing, erp):
-    """Marketing orders with asset type, contact person, brand billing and address."""
-    base = marketing.select("bm_id", "brand_id", "start_date", "end_date", "total_cost", "asset_type_id",
-                            "asset_description", "merch_marketing_contact_id", "vendor_funding_item")
+def brand_marketing_extract(marketing, erp, as_of):
+    """Marketing orders whole, with the load time, asset type, contact person, brand billing and address."""
+    looked_up = ["asset_type", "mm_email", "mm_name", "jobtitle", "brand_records_name", "billing_customer_id", "billing_vendor_id", "companyname",
+                 "customer_email", "billing_method", "billing_method_id", "brandemail", "ods_processed_date"]
+    base = marketing.drop(*looked_up)
     brands = erp["brand_records"].select(F.col("brand_records_id").alias("brand_id"), "brand_records_name",
                                          "billing_method_id", "billing_customer_id")
     people = erp["employees"].select(F.col("employee_id").alias("merch_marketing_contact_id"), F.col("email").alias("mm_email"),
@@ -79,33 +80,45 @@ def brand_marketing_extract(marketing, erp):
     return rows.select(
         *base.columns, "asset_type", "mm_email", "mm_name", "jobtitle", "brand_records_name", "billing_customer_id",
         F.col("vendor_id").alias("billing_vendor_id"), "companyname", "customer_email", "billing_method",
-        F.coalesce("_contact", "_customer", "_vendor").alias("brandemail"))
+        F.coalesce("_contact", "_customer", "_vendor").alias("brandemail"), F.lit(as_of).cast("timestamp_ntz").alias("ods_processed_date"))
 
 
 # --------------------------------------------------------------------------- waterfall
 
-def _spread(key, by) -> Column:
-    """Missing keys get values no table holds, spread out, so they do not meet in one join task."""
-    return F.coalesce(F.col(key), -1 - F.pmod(F.xxhash64(by), F.lit(4096)))
+def rebate_terms(pairs, agreements, live: Column, item: str, brand: str, inactive=INACTIVE):
+    """``pairs`` (a small table with the columns item and brand) with the rebate terms of each.
 
-
-def rebate_waterfall(rows, agreements, live: Column, item: str, brand: str, spread_by: str, inactive=INACTIVE):
-    """Rebate terms of each row.  Every attribute on its own comes from the first level that has it:
-    item agreement active, item inactive, brand agreement active, brand inactive.
-
-    Several live agreements of one level each give a row.
+    Every attribute on its own comes from the first level that has it: item agreement active, item inactive,
+    brand agreement active, brand inactive.  Several live agreements of one level each give a row; active agreements
+    with equal terms stay apart (each is billed), inactive ones with equal terms count once.
     """
-    live_terms = agreements.filter(live).select("item_id", "brand_id", "active_status_id", *TERMS).distinct()
     levels = [("_i1", "item_id", ACTIVE), ("_i2", "item_id", inactive), ("_b1", "brand_id", ACTIVE), ("_b2", "brand_id", inactive)]
-    out = rows.withColumns({"_item": _spread(item, spread_by), "_brand": _spread(brand, spread_by)})
+    out = pairs
     for name, key, status in levels:
         scope = F.col("item_id").isNotNull() if key == "item_id" else F.col("item_id").isNull()
-        mine = "_item" if key == "item_id" else "_brand"
-        level = live_terms.filter(scope & (F.col("active_status_id") == status)).select(
-            F.col(key).alias(mine), F.struct(*TERMS).alias(name))
+        mine = item if key == "item_id" else brand
+        apart = ["rebate_agreement_id"] if status == ACTIVE else []
+        level = (agreements.filter(live & scope & (F.col("active_status_id") == status)).select(F.col(key).alias(mine), *TERMS, *apart).distinct()
+                 .select(mine, F.struct(*TERMS).alias(name)))
         out = out.join(level, mine, "left")
     terms = {f"rebate_{t}": F.coalesce(*[F.col(f"{name}.{t}") for name, _, _ in levels]) for t in TERMS}
-    return out.withColumns(terms).drop("_item", "_brand", *[n for n, _, _ in levels])
+    return out.withColumns(terms).drop(*[n for n, _, _ in levels])
+
+
+def rebate_waterfall(rows, agreements, live: Column, item: str, brand: str, inactive=INACTIVE, pairs=None):
+    """Rebate terms of each row.
+
+    Terms depend on item and brand only, so they are worked out on ``pairs`` (default: the distinct pairs of the rows;
+    a caller with a dimension table passes that) and joined to the rows once.  Rows without item and brand skip the join.
+    """
+    keyed = F.col(item).isNotNull() | F.col(brand).isNotNull()
+    pairs = (rows.filter(keyed) if pairs is None else pairs.filter(keyed)).select(item, brand).distinct()
+    terms = rebate_terms(pairs, agreements, live, item, brand, inactive)
+    names = [f"rebate_{t}" for t in TERMS]
+    terms = terms.select(F.col(item).alias("_item"), F.col(brand).alias("_brand"), *names)
+    hit = rows.filter(keyed).join(terms, F.col(item).eqNullSafe(F.col("_item")) & F.col(brand).eqNullSafe(F.col("_brand")), "left").drop("_item", "_brand")
+    bare = rows.filter(~keyed).select("*", *[F.lit(None).cast(terms.schema[n].dataType).alias(n) for n in names])
+    return hit.unionByName(bare)
 
 
 def live_at(as_of, first_day=False) -> Column:
@@ -142,11 +155,16 @@ def _terms() -> list[Column]:
 
 def post_vendor_rebate(stage, fc_xref, items, agreements, as_of, inactive=INACTIVE_AT_SHIPMENT):
     """300/111 for shipped lines under an agreement live at the run."""
-    rows = with_item(_shipped(stage), fc_xref, items).filter(F.col("item").isNotNull())
-    rows = rows.withColumns({"_erp": F.col("item.item_id"), "_maker": F.col("item.brand_id")})
-    rows = rebate_waterfall(rows, agreements, live_at(as_of), "_erp", "_maker", "item_id", inactive)
+    names = [f"rebate_{t}" for t in TERMS]
+    terms = rebate_terms(items.select("item_id", "brand_id").distinct(), agreements, live_at(as_of), "item_id", "brand_id", inactive)
+    # the item master brings its terms along, so the shipped lines are joined once
+    priced = items.join(terms.filter(F.col("rebate_start_date").isNotNull())
+                        .select(F.col("item_id").alias("_item"), F.col("brand_id").alias("_brand"), *names),
+                        F.col("item_id").eqNullSafe(F.col("_item")) & F.col("brand_id").eqNullSafe(F.col("_brand"))).drop("_item", "_brand")
+    rows = with_item(_shipped(stage), fc_xref, priced, *names).filter(F.col("item").isNotNull())
+    rows = rows.withColumns({n: F.col(f"item.{n}") for n in names})
     cost = F.col("units_shipped") * F.col("item.net_unit_cost")
-    rows = rows.filter(F.col("rebate_start_date").isNotNull()).withColumn(
+    rows = rows.withColumn(
         "rebate_total", _rebate(local_time("tran_date"), cost, F.col("units_shipped")))
     return rows.filter(F.col("rebate_total").isNotNull()).select(
         *_line("vendor_rebate"), F.col("rebate_total").alias("tran_amt"), cost.alias("tran_cost_amt"), *_terms(), "rebate_total")
@@ -154,6 +172,12 @@ def post_vendor_rebate(stage, fc_xref, items, agreements, as_of, inactive=INACTI
 
 # --------------------------------------------------------------------------- rebates from posted rows
 
+def _known_pairs(items, agreements):
+    """Every (item, brand) that can have terms: the item master's, and agreement items that it lacks at a row's warehouse."""
+    return items.select("item_id", F.col("brand_id").alias("_maker")).unionByName(
+        agreements.select("item_id", F.lit(None).cast(items.schema["brand_id"].dataType).alias("_maker")))
+
+
 def _posted_products(ledger, fc_xref, items, agreements, start, end):
     day = F.col("tran_gl_date")
     rows = ledger.filter((F.col("tran_sub_type_id") == 16) & (F.col("tran_type") == 300)
@@ -161,7 +185,7 @@ def _posted_products(ledger, fc_xref, items, agreements, start, end):
     fc = fc_xref.filter(F.col("fc_type") != "drinks").select(F.col("ns_fc_id").alias("location_id"), F.col("ods_fc_id").alias("_fc"))
     brand = items.select("item_id", F.col("fc_id").alias("_fc"), F.col("brand_id").alias("_maker"))
     rows = rows.join(fc, "location_id").join(brand, ["item_id", "_fc"], "left")
-    rows = rebate_waterfall(rows, agreements, live_between(start, end), "item_id", "_maker", "tran_id")
+    rows = rebate_waterfall(rows, agreements, live_between(start, end), "item_id", "_maker", pairs=_known_pairs(items, agreements))
     return rows.filter(F.col("rebate_start_date").isNotNull())
 
 
@@ -226,7 +250,7 @@ def post_cost_adjustment_rebate(lines, headers, ledger, fc_xref, items, agreemen
     rows = (lines.filter(F.col("account_id") == account).join(head, "transaction_id")
                  .join(posted, "transaction_id", "left_anti").join(fc, "location_id", "left")
                  .join(master, ["item_id", "_fc"], "left"))
-    rows = rebate_waterfall(rows, agreements, live_at(as_of, first_day=True), "item_id", "_maker", "transaction_line_id")
+    rows = rebate_waterfall(rows, agreements, live_at(as_of, first_day=True), "item_id", "_maker", pairs=_known_pairs(items, agreements))
     rows = rows.filter(F.col("rebate_percentage").isNotNull())
     value = _rebate(F.col("trandate").cast("timestamp_ntz"), F.col("amount"), F.lit(0))
     return rows.select(
@@ -247,13 +271,13 @@ def _post_funding(ledger, discounts, fc_xref, items, brands, code, campaign: Col
     done = ledger.filter((F.col("tran_sub_type_id") == sub) & F.col("order_line_id").isNotNull()).select("order_id", "order_line_id")
     deal = discounts.filter(F.col("sponsored_by").isin("Brand", "Both") & (F.col("discount_type") == "tpa") & campaign).select(
         F.col("item_id").alias(key), "rule_id", F.col("sponsored_percentage").cast("decimal(9,4)").alias("_share"))
-    fc = fc_xref.select(F.col("fc_id").alias("store_location_id"), "ods_fc_id")
+    fc = fc_xref.select(F.col("fc_id").alias("magento_location_id"), "ods_fc_id")
     goods = items.filter(F.col("vendor_type") != "Private Label").select(
         F.col("item_name").alias("sku"), F.col("fc_id").alias("_fc"), F.col("brand_id").alias("_maker"))
     payer = brands.filter(F.col("billing_method_id").isin(*BILLABLE)).select(
         F.col("brand_records_id").alias("_maker"), "billing_method_id")
     tpa = ledger.filter((F.col("tran_sub_type_id") == 48) & F.col(key).isNotNull())
-    rows = (tpa.join(deal, [key, "rule_id"]).join(fc, "store_location_id", "left")
+    rows = (tpa.join(deal, [key, "rule_id"]).join(fc, "magento_location_id", "left")
                .withColumn("_fc", F.coalesce("ods_fc_id", F.lit(2)).cast("bigint")).join(goods, ["sku", "_fc"])
                .join(payer, "_maker").join(done, ["order_id", "order_line_id"], "left_anti"))
     funded = (F.col("tran_amt") * (F.col("_share") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(11,6)")).cast("decimal(18,8)")

@@ -123,13 +123,15 @@ def post_donation(header):
 def load_order_header(header, as_of):
     now = F.lit(as_of).cast("timestamp_ntz")
     return header.withColumns({"ods_processed_at": now, "sale_date": local_date("created_at"),
-                               "status": F.lit("open"), "status_date": now})
+                               "status": F.lit("open"), "status_date": now, "gaap_sale_date": F.lit(None).cast("date")})
 
 
 def load_order_detail(items, header):
-    """Lines of the batch's messages with the order's sale date."""
+    """Lines of the batch's messages with the order's sale date; nothing shipped, short or returned yet."""
     sale = header.select("order_id", "message_uuid", local_date("created_at").alias("sale_date"))
-    return items.join(sale, ["order_id", "message_uuid"])
+    lines = items.join(sale, ["order_id", "message_uuid"])
+    none = {c: F.lit(None).cast(t) for c, t in (("fulfillment_qty", "bigint"), ("short_qty", "bigint"), ("return_qty", "bigint"), ("fulfillment_date", "timestamp_ntz"))}
+    return lines.withColumns({c: v for c, v in none.items() if c not in lines.columns})
 
 
 def load_order_discounts(discounts, header):
@@ -196,7 +198,8 @@ def post_membership_tax(members):
 
 def load_membership_header(members, as_of):
     return members.withColumns({"ods_processed_at": F.lit(as_of).cast("timestamp_ntz"),
-                                "sale_date": local_date("updated_at")})
+                                "sale_date": local_date("updated_at"), "status": F.lit(None).cast("string"),
+                                "status_date": F.lit(None).cast("timestamp_ntz")})
 
 
 def load_membership_payments(members, payments, gift_cards):
@@ -253,8 +256,7 @@ def reverse_membership_postings(ledger, work, sub_types, refunds):
 
 def _set_status(headers, work, status: Column):
     news = work.select("order_id", status.alias("status"), F.col("updated_at").alias("status_date"))
-    columns = [c for c in ("status", "status_date") if c in headers.columns]
-    return R.update_from(headers, news.select("order_id", *columns), ["order_id"], columns)
+    return R.update_from(headers, news, ["order_id"], ["status", "status_date"])
 
 
 def cancel_order_status(headers, work):

@@ -7,7 +7,6 @@ for comparison; the operators themselves keep exact decimals and native dates.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +42,7 @@ class Tables:
         return [self(n) for n in names]
 
     def queue(self, *types: str) -> DataFrame:
-        return message_queue(self.spark, self.sf_dir, *types)
+        return message_queue(self.spark, self.sf_dir, *types, tasks=int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
     def erp(self) -> dict[str, DataFrame]:
         names = {"customers": "erp_customers", "vendors": "erp_vendors"}
@@ -86,7 +85,7 @@ def _(t):
 
 @query("erp_snapshot_load", "customer_id:n name:s email:s companyname:s")
 def _(t):
-    return maintenance.erp_snapshot_load(t("erp_customers"), f"{shared_dir(t.spark)}/customers/{uuid.uuid4().hex}")
+    return maintenance.erp_snapshot_load(t("erp_customers"), shared_dir(t.spark, "customers"))
 
 
 @query("append_insert", "order_id:n tran_type:n tran_sub_type_id:n tran_amt:m")
@@ -358,7 +357,7 @@ def _(t):
 @query("queue_stream", "id:n fate:s")
 def _(t):
     from tallyloom.streaming.router import run_once
-    return run_once(t.queue("gca"), f"{shared_dir(t.spark)}/stream")
+    return run_once(t.queue("gca"), shared_dir(t.spark, "stream"))
 
 
 # =========================================================================== P: order and membership postings
@@ -396,12 +395,12 @@ for _name in ("product_tax", "shipping_tax", "fee_tax", "donation"):
         lambda t, _code=_name: postings.post_order_charges(t("capture"), _code))
 
 
-@query("load_order_header", HEADER_SPEC + " ods_processed_at:t sale_date:d status:s")
+@query("load_order_header", HEADER_SPEC + " ods_processed_at:t sale_date:d status:s status_date:t gaap_sale_date:d")
 def _(t):
     return postings.load_order_header(t("capture"), AS_OF)
 
 
-@query("load_order_detail", "order_id:n item_id:n sku:s qty_ordered:n base_price:m sale_date:d")
+@query("load_order_detail", "order_id:n item_id:n sku:s qty_ordered:n base_price:m sale_date:d fulfillment_qty:n short_qty:n return_qty:n fulfillment_date:t")
 def _(t):
     return postings.load_order_detail(t("capture_items"), t("capture"))
 
@@ -442,7 +441,7 @@ def _(t):
     return postings.post_membership_tax(t("membership"))
 
 
-@query("load_membership_header", "order_id:n increment_id:n start_status:s total_order:m sale_date:d ods_processed_at:t")
+@query("load_membership_header", "order_id:n increment_id:n start_status:s total_order:m sale_date:d ods_processed_at:t status:s status_date:t")
 def _(t):
     return postings.load_membership_header(t("membership"), AS_OF)
 
@@ -482,15 +481,14 @@ def _(t):
     return postings.reverse_membership_postings(t("membership_ledger"), member_cancels(t), t("sub_types"), t("member_refunds"))
 
 
-@query("cancel_order_status", "order_id:n status:s")
+@query("cancel_order_status", "order_id:n status:s status_date:t")
 def _(t):
     return postings.cancel_order_status(t("order_header"), order_cancels(t))
 
 
-@query("cancel_membership_status", "order_id:n status:s")
+@query("cancel_membership_status", "order_id:n status:s status_date:t")
 def _(t):
-    headers = stored_members(t).withColumn("status", F.lit("open"))
-    return postings.cancel_membership_status(headers, member_cancels(t))
+    return postings.cancel_membership_status(stored_members(t), member_cancels(t))
 
 
 # =========================================================================== F: fulfillment
@@ -507,7 +505,7 @@ def _(t):
 
 @query("stage_fulfillment", "order_id:n increment_id:s item_id:n parent_item_id:n fc:n store_fc:n sku:s units_shipped:n qty_ordered:n"
        " units_shorted:n base_price:m base_discount_amt:m base_tax_amt:m base_row_total:m is_last_shipment:b cm_id:n qty_refunded:n"
-       " credit_price:m credit_total_amt:m tpa_unit_amt:m tran_date:t sale_date:d fulfilled_at:t")
+       " credit_price:m credit_total_amt:m tpa_unit_amt:m tran_date:t sale_date:d fulfilled_at:t shipment_id:s tracking_id:s")
 def _(t):
     return fulfillment.stage_fulfillment(
         t("ship_header"), fulfil_work(t),
@@ -608,12 +606,12 @@ def _(t):
     return fulfillment.post_cash_discount(t("stage"), t("order_payments"))
 
 
-@query("update_detail_fulfillment", "item_id:n fulfillment_qty:n short_qty:n")
+@query("update_detail_fulfillment", "item_id:n fulfillment_qty:n short_qty:n fulfillment_date:t")
 def _(t):
     return fulfillment.update_detail_fulfillment(t("order_detail"), t("stage"))
 
 
-@query("update_header_shipped", "order_id:n status:s gaap_sale_date:d")
+@query("update_header_shipped", "order_id:n status:s status_date:t gaap_sale_date:d")
 def _(t):
     return fulfillment.update_header_shipped(t("order_header"), t("stage"))
 
@@ -701,9 +699,9 @@ def _(t):
 
 
 @query("brand_marketing_extract", "bm_id:n asset_type:s mm_email:s mm_name:s jobtitle:s brand_records_name:s billing_customer_id:n billing_vendor_id:n"
-       " companyname:s customer_email:s billing_method:s brandemail:s total_cost:m")
+       " companyname:s customer_email:s billing_method:s brandemail:s total_cost:m billing_month_id:s start_date:d vendor_funding_item:s ods_processed_date:t")
 def _(t):
-    return funding.brand_marketing_extract(t("brand_marketing"), t.erp())
+    return funding.brand_marketing_extract(t("brand_marketing"), t.erp(), AS_OF)
 
 
 TERM_SPEC = " rebate_start_date:d rebate_end_date:d rebate_percentage:m rebate_dollar_amount:m rebate_billing_period:s rebate_type:s rebate_calc_type:s rebate_billing_method:n"
@@ -714,7 +712,7 @@ TERM_SPEC = " rebate_start_date:d rebate_end_date:d rebate_percentage:m rebate_d
 def _(t):
     rows = fulfillment.with_item(t("stage").withColumnRenamed("item_id", "order_line_id"), t("fc_xref"), t("curr_items")).withColumns(
         {"_erp": F.col("item.item_id"), "_maker": F.col("item.brand_id")})
-    return funding.rebate_waterfall(rows, t("agreements"), funding.live_at(AS_OF), "_erp", "_maker", "order_line_id", 8)
+    return funding.rebate_waterfall(rows, t("agreements"), funding.live_at(AS_OF), "_erp", "_maker", 8)
 
 
 @query("post_vendor_rebate", LINE + " tran_cost_amt:m rebate_total:m" + TERM_SPEC)
@@ -868,11 +866,11 @@ def _(t):
 
 @query("order_capture_pipeline", "tran_type:n tran_sub_type_id:n tran_sub_type:s order_id:n tran_amt:m tran_gl_date:d cc_type:s gc_sub_type:s")
 def _(t):
-    staging = f"{shared_dir(t.spark)}/order_capture/{uuid.uuid4().hex}"
+    staging = shared_dir(t.spark, "order_capture")
     return pipelines.order_capture(t.queue("oc"), *t.many("gift_cards", "gift_cards_legacy"), AS_OF, staging)["ledger"]
 
 
 @query("fulfillment_pipeline", "tran_sub_type_id:n order_id:n order_line_id:n tran_amt:m tran_gl_date:d")
 def _(t):
-    staging = f"{shared_dir(t.spark)}/fulfillment/{uuid.uuid4().hex}"
+    staging = shared_dir(t.spark, "fulfillment")
     return pipelines.fulfillment_postings(t("stage"), *t.many("detail_discounts", "fc_xref", "curr_items", "order_header"), staging)

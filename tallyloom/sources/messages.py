@@ -11,7 +11,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.relational import spread_small, union_all
+from tallyloom.functions.relational import union_all
 from tallyloom.sources.shapes import SHAPES, table
 from tallyloom.wire import CASH, CASH_APPLIED, CASH_EARNED
 
@@ -61,10 +61,11 @@ def _send(base: DataFrame, message_type: str, doc: str, uuid: str, **keys) -> Da
         F.expr(uuid).alias("message_uuid"), *[F.expr(e).alias(c) for c, e in key.items()])
 
 
-def message_queue(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
-    """Waiting messages of the given types (default: all)."""
-    # building JSON is heavy per row, so a small scan is dealt over the cores first
-    z = spread_small(table(spark, sf_dir, "orders_z"))
+def message_queue(spark: SparkSession, sf_dir: str, *types: str, tasks: int | None = None) -> DataFrame:
+    """Waiting messages of the given types (default: all), written by ``tasks`` tasks (default: one per split of the scan)."""
+    def dealt(df):
+        return df.repartition(tasks) if tasks else df
+    z = dealt(table(spark, sf_dir, "orders_z"))
     made = {}
 
     def cols(name, *drop):
@@ -148,12 +149,12 @@ def message_queue(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
     gca = {"message_uuid": "message_uuid", "message_type": "'gca'", "customer_id": "customer_id",
            **{c: f"coalesce({_iso(c)}, '')" for c in ("subscription_start_date", "subscription_end_date", "expire_at")},
            "cards": _struct({**{c: c for c in card_cols}, "updated_at": _iso("updated_at")})}
-    made["gca"] = lambda: _send(spread_small(table(spark, sf_dir, "card_moves")).withColumn("k", F.col("event_id")), "gca", _struct(gca),
+    made["gca"] = lambda: _send(dealt(table(spark, sf_dir, "card_moves")).withColumn("k", F.col("event_id")), "gca", _struct(gca),
                                 "message_uuid", card_id="card_id")
 
     sale = {"message_uuid": "message_uuid", "order_id": "order_id", "increment_id": "increment_id", "updated_at": _iso("updated_at"),
             "cards": _struct({c: c for c in ("item_id", "card_id", "card_type", "card_amt", "sku", "group_code")})}
-    made["gcf"] = lambda: _send(spread_small(table(spark, sf_dir, "gift_sales")).withColumn("k", F.col("order_id")), "gcf", _struct(sale),
+    made["gcf"] = lambda: _send(dealt(table(spark, sf_dir, "gift_sales")).withColumn("k", F.col("order_id")), "gcf", _struct(sale),
                                 "message_uuid", order_id="order_id", card_id="card_id")
     return union_all(*[made[t]() for t in types or TYPE_NUMBERS])
 

@@ -271,6 +271,7 @@ shape("order_header", "orders_z", {
     "sale_date": "CAST(created_at AS DATE)",
     "status": "CASE k % 25 WHEN 5 THEN 'cancel' WHEN 6 THEN 'shipped' ELSE 'open' END",
     "gaap_sale_date": "CASE WHEN k % 25 = 6 THEN CAST(created_at AS DATE) END",
+    "status_date": hours("created_at", "k % 25"),
     "grocery_base_shipment": cents("gro_c", 10),
     "frozen_base_shipment": cents("fro_c", 10),
     "wine_base_shipment": cents("wine_c", 10),
@@ -469,6 +470,7 @@ shape("line_details", "line_x", {
     "sale_date": days("1995-06-01", "k % 2000"),
     "fulfillment_qty": "CASE WHEN pk % 47 = 0 THEN 1 WHEN pk % 2 = 0 THEN 0 END",
     "short_qty": "CASE WHEN pk % 53 = 0 THEN 1 ELSE 0 END",
+    "fulfillment_date": "CASE WHEN pk % 47 = 0 THEN ship_at END",
     "assignment_fc": "CASE WHEN pk % 5 = 0 THEN NULL ELSE 100 + pk % 6 END",
 })
 shape("parent_details", "orders_x", {
@@ -487,6 +489,7 @@ shape("parent_details", "orders_x", {
     "sale_date": days("1995-06-01", "k % 2000"),
     "fulfillment_qty": "CAST(NULL AS INT)",
     "short_qty": "0",
+    "fulfillment_date": "created_at",
     "assignment_fc": "100 + k % 6",
 }, where="k % 5 = 0")
 union("order_detail", "line_details", "parent_details")
@@ -542,6 +545,8 @@ shape("ship_detail", "line_x", {
     "units_shorted": "short",
     "fc": "'[' || CAST(pk % 6 + 1 AS STRING) || ']'",
     "sku": text("pk"),
+    "shipment_id": "CAST(k AS STRING)",
+    "tracking_id": "'trk' || CAST(pk % 1000 AS STRING)",
 }, where="shipped")
 shape("ship_credits", "orders_x", {"credit_id": "900000000 + k"}, where="k % 4 = 1")
 shape("ship_credit_items", "line_x", {
@@ -767,7 +772,7 @@ shape("ledger_lines", "ledger_line", {
     "order_line_id": "line_id",
     "parent_item_id": "parent_id",
     "location_id": "CASE WHEN pk % 6 = 5 THEN NULL ELSE 100 + pk % 6 END",
-    "store_location_id": "pk % 6 + 1",
+    "magento_location_id": "pk % 6 + 1",
     "customer_id": "k % 1499 + 1",
     "increment_id": "inc",
     "sku": text("pk"),
@@ -798,7 +803,7 @@ shape("ledger_lines", "ledger_line", {
 }, lines=("c", "CASE WHEN pk % 101 = 0 THEN 2 ELSE 1 END"))
 MEMBER_MAPS = "CASE k % 9 WHEN 0 THEN 63 WHEN 1 THEN 145 WHEN 2 THEN 124 WHEN 3 THEN 10 WHEN 4 THEN 8 WHEN 5 THEN 64 WHEN 6 THEN 62 WHEN 7 THEN 79 ELSE 123 END"
 ledger_null = {name: "CAST(NULL AS " + kind + ")" for name, kind in {
-    "order_line_id": "BIGINT", "parent_item_id": "BIGINT", "location_id": "BIGINT", "store_location_id": "BIGINT",
+    "order_line_id": "BIGINT", "parent_item_id": "BIGINT", "location_id": "BIGINT", "magento_location_id": "BIGINT",
     "sku": "STRING", "item_id": "BIGINT", "group_id": "BIGINT", "tran_qty": "BIGINT", "tran_cost_amt": "DECIMAL(14,2)",
     "tran_cogs_amt": "DECIMAL(14,4)", "rebate_total": "DECIMAL(14,4)", "rebate_start_date": "DATE",
     "rebate_end_date": "DATE", "rebate_percentage": "DECIMAL(12,4)", "rebate_dollar_amount": "DECIMAL(12,4)",
@@ -812,7 +817,7 @@ shape("ledger_members", "orders_z", {
     "tran_sub_type": "'Payment Capture'",
     "tran_date": TRAN_DATE,
     "order_id": "5000000000 + k",
-    **{c: ledger_null[c] for c in ("order_line_id", "parent_item_id", "location_id", "store_location_id")},
+    **{c: ledger_null[c] for c in ("order_line_id", "parent_item_id", "location_id", "magento_location_id")},
     "customer_id": "custkey",
     "increment_id": "CAST(700000000 + k AS STRING)",
     **{c: ledger_null[c] for c in ("sku", "item_id", "group_id", "tran_qty")},
@@ -834,7 +839,7 @@ shape("ledger_marketing", "part_x", {
     "tran_sub_type": "'Brand Marketing Fees'",
     "tran_date": f"CAST({days('1996-01-10', 'p_partkey % 1500')} AS TIMESTAMP)",
     "order_id": "CAST(NULL AS BIGINT)",
-    **{c: ledger_null[c] for c in ("order_line_id", "parent_item_id", "location_id", "store_location_id")},
+    **{c: ledger_null[c] for c in ("order_line_id", "parent_item_id", "location_id", "magento_location_id")},
     "customer_id": "CAST(NULL AS BIGINT)",
     "increment_id": "CAST(NULL AS STRING)",
     **{c: ledger_null[c] for c in ("sku", "item_id", "group_id", "tran_qty")},

@@ -183,8 +183,8 @@ SQL["post_order_gift_card"] = _post(
  LEFT JOIN gift_cards_legacy l ON CAST(l.giftcard_id AS VARCHAR) = g.gift_card_id""")
 for _n, _t, _s in (("product_tax", 105, 13), ("shipping_tax", 105, 28), ("fee_tax", 105, 95), ("donation", 400, 5)):
     SQL[f"post_{_n}"] = f"SELECT * FROM charges WHERE tran_sub_type_id = {_s}"
-SQL["load_order_header"] = f"SELECT *, {AS_OF} AS ods_processed_at, {pac('created_at')} AS sale_date, 'open' AS status FROM capture"
-SQL["load_order_detail"] = f"SELECT i.*, {pac('c.created_at')} AS sale_date FROM capture_items i JOIN capture c ON c.order_id = i.order_id"
+SQL["load_order_header"] = f"SELECT *, {AS_OF} AS ods_processed_at, {pac('created_at')} AS sale_date, 'open' AS status, {AS_OF} AS status_date, NULL AS gaap_sale_date FROM capture"
+SQL["load_order_detail"] = f"SELECT i.*, {pac('c.created_at')} AS sale_date, NULL AS fulfillment_qty, NULL AS short_qty, NULL AS return_qty, NULL AS fulfillment_date FROM capture_items i JOIN capture c ON c.order_id = i.order_id"
 SQL["load_order_discounts"] = "SELECT d.* FROM capture_discounts d JOIN capture c ON c.order_id = d.order_id"
 SQL["load_order_payments"] = f"""SELECT p.*, {pac('c.created_at')} AS sale_date FROM (
  SELECT order_id, 'cc' AS payment_type, payment_id, payment_gateway, NULL AS gift_card_id, pay_amt, message_uuid FROM capture_payments
@@ -204,7 +204,7 @@ SQL["post_membership_gift_card"] = _post("membership", "updated_at", 150, 21, "G
 SQL["post_membership_tax"] = _post("membership", "updated_at", 155, 68, "Tax Capture", "h.base_total_tax", _kind, ", h.message_uuid",
                                    "WHERE h.base_total_tax > 0")
 LOCAL["members"] = f"SELECT *, {pac('updated_at')} AS sale_date FROM membership"
-SQL["load_membership_header"] = f"SELECT *, {AS_OF} AS ods_processed_at FROM members"
+SQL["load_membership_header"] = f"SELECT *, {AS_OF} AS ods_processed_at, NULL AS status, NULL AS status_date FROM members"
 SQL["load_membership_payments"] = """SELECT p.*, m.sale_date FROM (SELECT order_id, 'cc' AS payment_type, payment_id, NULL AS gift_card_id, pay_amt FROM membership_payments
  UNION ALL SELECT order_id, 'gc', NULL, gift_card_id, gift_card_amt FROM membership_gift_cards) p JOIN members m ON m.order_id = p.order_id"""
 
@@ -230,10 +230,11 @@ def _reversal(ledger, work, types, auth="l.cc_auth", tail=""):
 SQL["reverse_order_postings"] = _reversal("order_ledger", "order_cancel_work", "100, 105, 400")
 SQL["reverse_membership_postings"] = _reversal("membership_ledger", "member_cancel_work", "150, 155", "coalesce(r.gateway_tran_id, l.cc_auth)",
                                                "LEFT JOIN member_refunds r ON r.order_id = l.order_id AND r.base_pay_amt = l.tran_amt")
-SQL["cancel_order_status"] = """SELECT h.order_id, CASE WHEN w.order_id IS NULL THEN h.status WHEN w.is_voided THEN 'void' ELSE 'cancel' END AS status
+SQL["cancel_order_status"] = """SELECT h.order_id, CASE WHEN w.order_id IS NULL THEN h.status WHEN w.is_voided THEN 'void' ELSE 'cancel' END AS status,
+ coalesce(w.updated_at, h.status_date) AS status_date
  FROM order_header h LEFT JOIN order_cancel_work w ON w.order_id = h.order_id"""
-SQL["cancel_membership_status"] = """SELECT m.order_id, CASE WHEN m.order_id IN (SELECT order_id FROM member_cancel_work WHERE is_voided) THEN 'cancel' ELSE 'open' END AS status
- FROM members m"""
+SQL["cancel_membership_status"] = """SELECT m.order_id, CASE WHEN w.at IS NOT NULL THEN 'cancel' END AS status, w.at AS status_date FROM members m
+ LEFT JOIN (SELECT order_id, min(updated_at) AS at FROM member_cancel_work WHERE is_voided GROUP BY 1) w ON w.order_id = m.order_id"""
 
 # --------------------------------------------------------------------------- F
 LOCAL["fulfil_work"] = f"""SELECT h.order_id, max(c.credit_id) AS credit_id, max(h.updated_at) AS tran_date, max(o.sale_date) AS sale_date
@@ -247,7 +248,7 @@ SQL["stage_fulfillment"] = """SELECT h.order_id, o.increment_id, d.item_id, d.pa
  d.units_shipped, i.qty_ordered, d.units_shorted, i.base_price, CASE WHEN coalesce(i.is_gwp, false) THEN 0 ELSE i.base_discount_amt END AS base_discount_amt,
  i.base_tax_amt, i.base_row_total, h.is_last_shipment, CASE WHEN c.qty_refunded > 0 THEN CAST(trim(h.credit_memo_id, '[]') AS BIGINT) END AS cm_id,
  c.qty_refunded, c.base_price AS credit_price, c.base_row_total_incl_tax - c.base_discount_amt AS credit_total_amt, t.tpa AS tpa_unit_amt, w.tran_date,
- o.sale_date, h.updated_at AS fulfilled_at
+ o.sale_date, h.updated_at AS fulfilled_at, d.shipment_id, d.tracking_id
  FROM ship_header h JOIN fulfil_work w ON w.order_id = h.order_id JOIN ship_detail d ON d.order_id = h.order_id AND d.message_uuid = h.message_uuid
  JOIN order_header o ON o.order_id = h.order_id JOIN order_detail i ON i.item_id = d.item_id
  LEFT JOIN (SELECT item_id, sum(discount_amt) AS tpa FROM detail_discounts WHERE discount_type = 'tpa' AND discount_amt > 0 GROUP BY 1) t ON t.item_id = d.item_id
@@ -357,11 +358,12 @@ SQL["post_shipment_revenue"] = "SELECT * FROM ship_rows"
 SQL["post_cash_discount"] = f"""SELECT 300 AS tran_type, 62 AS tran_sub_type_id, '{CASH_DISCOUNT}' AS tran_sub_type, l.tran_date, l.order_id, l.increment_id, l.customer_id,
  p.pay_amt AS tran_amt, l.sale_date, {pac('l.tran_date')} AS tran_gl_date FROM last_out l JOIN order_payments p ON p.order_id = l.order_id AND p.payment_type = 'tc' AND p.pay_amt > 0"""
 SQL["update_detail_fulfillment"] = """SELECT i.item_id, CASE WHEN s.item_id IS NULL THEN i.fulfillment_qty ELSE s.units_shipped END AS fulfillment_qty,
- CASE WHEN s.item_id IS NULL THEN i.short_qty ELSE s.units_shorted END AS short_qty FROM order_detail i
- LEFT JOIN (SELECT item_id, units_shipped, units_shorted FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY units_shipped, units_shorted) AS rn FROM stage)
+ CASE WHEN s.item_id IS NULL THEN i.short_qty ELSE s.units_shorted END AS short_qty,
+ CASE WHEN s.item_id IS NULL THEN i.fulfillment_date ELSE s.fulfilled_at END AS fulfillment_date FROM order_detail i
+ LEFT JOIN (SELECT item_id, units_shipped, units_shorted, fulfilled_at FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY units_shipped, units_shorted, fulfilled_at) AS rn FROM stage)
   WHERE rn = 1) s ON s.item_id = i.item_id"""
 SQL["update_header_shipped"] = f"""SELECT o.order_id, CASE WHEN d.at IS NOT NULL AND o.gaap_sale_date IS NULL THEN 'shipped' ELSE o.status END AS status,
- CASE WHEN o.gaap_sale_date IS NULL THEN {pac('d.at')} ELSE o.gaap_sale_date END AS gaap_sale_date
+ CASE WHEN d.at IS NOT NULL AND o.gaap_sale_date IS NULL THEN d.at ELSE o.status_date END AS status_date, CASE WHEN o.gaap_sale_date IS NULL THEN {pac('d.at')} ELSE o.gaap_sale_date END AS gaap_sale_date
  FROM order_header o LEFT JOIN (SELECT order_id, max(fulfilled_at) AS at FROM stage WHERE is_last_shipment GROUP BY 1) d ON d.order_id = o.order_id"""
 SQL["post_gift_card_sale"] = f"""SELECT CASE WHEN g.card_type = 1 THEN 310 ELSE 320 END AS tran_type, CASE WHEN g.card_type = 1 THEN 30 ELSE 32 END AS tran_sub_type_id,
  g.updated_at AS tran_date, i.base_price AS tran_amt, i.base_original_price AS tran_full_price, i.base_discount_amt AS tran_discount_amt, g.card_id AS gift_card_id,
@@ -479,7 +481,7 @@ SQL["brand_extract"] = f"""SELECT b.brand_records_id, b.brand_records_name, bm.l
  FROM brand_records b LEFT JOIN billing_method bm ON bm.list_id = b.billing_method_id {_mail('b.brand_records_id')} {_named}"""
 SQL["brand_marketing_extract"] = f"""SELECT m.bm_id, ty.list_item_name AS asset_type, em.email AS mm_email, em.full_name AS mm_name, em.jobtitle, b.brand_records_name,
  b.billing_customer_id, vm.vendor_id AS billing_vendor_id, cu.companyname, cu.email AS customer_email, bl.list_item_name AS billing_method,
- coalesce(ct.email, cu.email, ve.email) AS brandemail, m.total_cost
+ coalesce(ct.email, cu.email, ve.email) AS brandemail, m.total_cost, m.billing_month_id, m.start_date, m.vendor_funding_item, {AS_OF} AS ods_processed_date
  FROM brand_marketing m LEFT JOIN employees em ON em.employee_id = m.merch_marketing_contact_id LEFT JOIN brand_records b ON b.brand_records_id = m.brand_id
  LEFT JOIN billing_method bl ON bl.list_id = b.billing_method_id LEFT JOIN asset_types ty ON ty.list_id = m.asset_type_id {_mail('m.brand_id')}"""
 _terms = ("start_date", "end_date", "percentage", "dollar_amount", "billing_period", "brand_sku", "billing_method_id")
@@ -490,7 +492,8 @@ def _fall(live, item, brand, inactive):
     terms = ", ".join(("item_id", "brand_id", *_terms))
     levels = (("v1", "item_id IS NOT NULL", 1, f"v1.item_id = {item}"), ("v2", "item_id IS NOT NULL", inactive, f"v2.item_id = {item}"),
               ("v3", "item_id IS NULL", 1, f"v3.brand_id = {brand}"), ("v4", "item_id IS NULL", inactive, f"v4.brand_id = {brand}"))
-    joins = " ".join(f"LEFT JOIN (SELECT DISTINCT {terms} FROM agreements WHERE {scope} AND active_status_id = {status} AND {live}) {v} ON {on}"
+    # an active level keeps agreements with equal terms apart
+    joins = " ".join(f"LEFT JOIN (SELECT DISTINCT {terms}{', rebate_agreement_id' if status == 1 else ''} FROM agreements WHERE {scope} AND active_status_id = {status} AND {live}) {v} ON {on}"
                      for v, scope, status, on in levels)
     cols = {c: f"coalesce(v1.{c}, v2.{c}, v3.{c}, v4.{c})" for c in _terms}
     return joins, cols
@@ -544,7 +547,7 @@ def _funding(code, name, like, key):
  l.rule_id, l.item_id, l.tran_id AS fulfillment_tran_id, d.sponsored_percentage AS rebate_percentage, b.billing_method_id AS rebate_billing_method,
  l.tran_amt * CAST(CAST(d.sponsored_percentage AS DECIMAL(9,4)) * 0.01 AS DECIMAL(11,6)) AS rebate_total,
  l.tran_amt * CAST(CAST(d.sponsored_percentage AS DECIMAL(9,4)) * 0.01 AS DECIMAL(11,6)) AS tran_amt, l.tran_gl_date
- FROM ledger l JOIN detail_discounts d ON d.item_id = l.{key} AND d.rule_id = l.rule_id LEFT JOIN fc_xref f ON f.fc_id = l.store_location_id
+ FROM ledger l JOIN detail_discounts d ON d.item_id = l.{key} AND d.rule_id = l.rule_id LEFT JOIN fc_xref f ON f.fc_id = l.magento_location_id
  LEFT JOIN curr_items i ON i.item_name = l.sku AND i.fc_id = coalesce(f.ods_fc_id, 2) LEFT JOIN brand_records b ON b.brand_records_id = i.brand_id
  WHERE l.tran_sub_type_id = 48 AND d.sponsored_by IN ('Brand', 'Both') AND d.discount_type = 'tpa' AND d.rule_name {like} 'A&S%' AND b.billing_method_id IN (1, 2, 3)
  AND i.vendor_type <> 'Private Label' AND NOT EXISTS (SELECT 1 FROM ledger x WHERE x.tran_sub_type_id = {code} AND x.order_id = l.order_id AND x.order_line_id = l.order_line_id)"""

@@ -139,20 +139,20 @@ def test_bundle_adds_up_and_zero_base(spark):
 # --------------------------------------------------------------------------- messages
 
 def test_order_message_shapes(spark):
-    base = {"order_id": 5, "message_uuid": "m", "schedule_id": 9, "base_total_order": 224.54, "created_at": "2023-11-09T19:16:33+00:00",
+    base = {"order_id": 5, "message_uuid": "m", "schedule_id": 9, "base_total_order": 31.75, "created_at": "2022-03-04T05:06:07+00:00",
             "updated_at": ""}
-    item = {"item_id": 6182, "parent_item_id": 0, "is_gwp": 0, "base_row_total": 7.100000000000001, "discount_detail": []}
-    other = {"item_id": "6181", "base_price": 3.38, "discount_detail": [{"rule_id": 95, "sponsored_percentage": .57}]}
+    item = {"item_id": 42, "parent_item_id": 0, "is_gwp": 0, "base_row_total": 2.3000000000000003, "discount_detail": []}
+    other = {"item_id": "41", "base_price": 8.25, "discount_detail": [{"rule_id": 12, "sponsored_percentage": .25}]}
     docs = [{**base, "items": [item, other], "payments": {CASH_APPLIED: {"applied_amt": 5, "other": "x"}}},
             {**base, "order_id": 6, "items": [], "payments": {CASH_APPLIED: [{"applied_amt": 1.255}, {"applied_amt": 2}]}},
             {**base, "order_id": 7}]
     q = queue_of(spark, "oc", *docs)
     head = ingest.parse_order_capture(q).filter("order_id = 5").first()
-    assert head.created_at == dt.datetime(2023, 11, 9, 19, 16, 33) and head.updated_at is None and head.sechedule_id is None
-    assert head.base_total_order == D("224.5400")
+    assert head.created_at == dt.datetime(2022, 3, 4, 5, 6, 7) and head.updated_at is None and head.sechedule_id is None
+    assert head.base_total_order == D("31.7500")
     assert values(ingest.explode_order_items(q), "item_id", "parent_item_id", "base_row_total", "is_gwp") == [
-        (6181, None, None, None), (6182, "0", D("7.10"), "0")]
-    assert values(ingest.explode_item_discounts(q), "item_id", "discount_id", "rule_id", "sponsored_percentage") == [(6181, 1, 95, .57)]
+        (41, None, None, None), (42, "0", D("2.30"), "0")]
+    assert values(ingest.explode_item_discounts(q), "item_id", "discount_id", "rule_id", "sponsored_percentage") == [(41, 1, 12, .25)]
     assert values(ingest.explode_order_cash(q), "order_id", "tc_id", "tc_amt") == [
         (5, 1, None), (5, 2, None), (6, 1, D("1.26")), (6, 2, D("2.00"))]
 
@@ -208,11 +208,11 @@ def test_rebate_first_and_last_day_and_no_end(spark):
     day = dt.date
     terms = [(1, 5, 1, day(2023, 1, 1), day(2024, 1, 1), D("10"), None), (2, 5, 1, day(2023, 1, 1), None, D("10"), None)]
     agreements = spark.createDataFrame(
-        [(i, b, st, s, e, p, d, "Monthly", "By SKU", 1) for i, b, st, s, e, p, d in terms],
+        [(i, b, st, s, e, p, d, "Monthly", "By SKU", 1, 7) for i, b, st, s, e, p, d in terms],
         "item_id bigint, brand_id bigint, active_status_id int, start_date date, end_date date, percentage decimal(12,4),"
-        " dollar_amount decimal(12,4), billing_period string, brand_sku string, billing_method_id bigint")
+        " dollar_amount decimal(12,4), billing_period string, brand_sku string, billing_method_id bigint, rebate_agreement_id bigint")
     rows = spark.createDataFrame([(1, 1, 5), (2, 2, 5), (3, None, None)], "line bigint, item bigint, brand bigint")
-    got = funding.rebate_waterfall(rows, agreements, funding.live_at("2023-06-01"), "item", "brand", "line")
+    got = funding.rebate_waterfall(rows, agreements, funding.live_at("2023-06-01"), "item", "brand")
     assert values(got, "line", "rebate_percentage") == [(1, D("10.0000")), (2, None), (3, None)]
 
 
