@@ -23,10 +23,17 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def first_ids(df: DataFrame, keys: list[str], order: list[str], row_id: str) -> DataFrame:
-    """Id of the first row of every key; NULL keys form a group of their own."""
-    first = F.min(F.struct(*order, row_id)).alias("_first")
-    return df.groupBy(*keys).agg(first).select(*keys, F.col(f"_first.{row_id}").alias(row_id))
+def first_ids(df: DataFrame, keys: list[str], moment: str, row_id: str) -> DataFrame:
+    """Id of the first row of every key by (``moment``, ``row_id``), a missing moment first; NULL keys form a group of their own.
+
+    Moment (microseconds) and id are packed into one decimal, a fixed-width minimum that Spark hash-aggregates on the map side; a
+    minimum over a struct would sort all rows first.
+    """
+    low, wide = F.lit(str(2**63)).cast("decimal(20,0)"), F.lit(str(10**20)).cast("decimal(21,0)")
+    at = F.coalesce(F.unix_micros(F.col(moment).cast("timestamp")), F.lit(-(10**17)))
+    packed = ((at + F.lit(10**17)).cast("decimal(18,0)") * wide + (F.col(row_id).cast("decimal(20,0)") + low)).cast("decimal(38,0)")
+    first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
+    return first.select(*keys, (F.col("_first") % wide - low).cast("bigint").alias(row_id))
 
 
 def split(df: DataFrame, other: DataFrame, keys) -> tuple[DataFrame, DataFrame]:

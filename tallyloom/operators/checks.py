@@ -26,12 +26,19 @@ def check_order_payment(header, items, payments, gift_cards, cash):
         *[nz(c).alias(c) for c in (*tenders, "total_order", *parts)], F.lit("order").alias("order_type"))
 
 
+# the columns an order error has and a membership can't fill
+ORDER_ONLY = ["gift_card_amt", "tc_amt", "grocery_base_shipment", "frozen_base_shipment", "wine_base_shipment", "grocery_base_shipment_tax",
+              "frozen_base_shipment_tax", "wine_base_shipment_tax", "base_donations", "ppe_fee", "ppe_fee_tax"]
+
+
 def check_membership_payment(members, payments):
+    """Memberships whose total misses the payment, in the columns of the order errors."""
     rows = members.join(payments.select("order_id", "pay_amt"), "order_id", "left")
     due, paid = nz("total_order"), nz("pay_amt")
     return rows.filter(due != paid).select(
         "order_id", "increment_id", local_date("updated_at").alias("sale_date"), due.alias("expected_payment"),
-        paid.alias("total_paid"), (due - nz("total_tax")).alias("total_product"), nz("total_tax").alias("product_tax"),
+        paid.alias("total_paid"), paid.alias("pay_amt"), due.alias("total_order"), (due - nz("total_tax")).alias("total_product"),
+        nz("total_tax").alias("product_tax"), *[F.lit(0).alias(c) for c in ORDER_ONLY],
         F.lit("membership").alias("order_type"))
 
 
@@ -90,6 +97,8 @@ def check_credit_memo(credits, refunds, gift_cards):
     rows = rows.withColumns({"calc_refund": total(*parts), "calc_credit": total("gc_amt", "pay_amt", f"total_{CASH}")})
     return rows.filter(F.col("calc_credit") != F.col("calc_refund")).select(
         "credit_id", "credit_increment_id", "order_id", "increment_id", local_date("updated_at").alias("credit_date"),
+        *[nz(c).alias(c) for c in ("base_total_credit", "base_total_refund", "base_total_gift_cards", *parts, "base_shipment_tax",
+                                   "base_frozen_shipment_tax", "base_wine_shipment_tax", "ppe_fee_tax")],
         nz("gc_amt").alias("gc_amt"), nz("pay_amt").alias("pay_amt"), "calc_refund", "calc_credit")
 
 

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import relational as R
 from tallyloom.functions.exprs import legacy_number, local_date, nz, whole
-from tallyloom.operators.fulfillment import HIERARCHY
-from tallyloom.schema import coded
+from tallyloom.schema import HIERARCHY, coded
 from tallyloom.wire import CASH
 
 LEGACY_PRE, LEGACY_POST, PRE, POST, MEMBER = "legacy_preship", "legacy_postship", "preship", "postship", "membership"
@@ -62,7 +61,7 @@ def post_preship_items(routed, items, order_detail, fc_xref, master):
     detail = order_detail.select(F.col("item_id").alias("order_line_id"), F.col("sku"), "assignment_fc")
     fc = fc_xref.select(F.col("ns_fc_id").alias("assignment_fc"), "ods_fc_id")
     goods = master.select(F.col("item_name").alias("_sku"), F.col("fc_id").alias("_fc"),
-                          F.struct("item_id", *[t for _, t in HIERARCHY]).alias("item"))
+                          F.struct("item_id", *HIERARCHY.values()).alias("item"))
     rows = (rows.join(line, "credit_id", "left").join(detail, "order_line_id", "left").join(fc, "assignment_fc", "left")
                 .withColumn("_fc", F.coalesce("ods_fc_id", F.lit(2)).cast("bigint")).join(goods, ["_sku", "_fc"], "left"))
     gross = F.col("qty_refunded") * F.col("base_price")
@@ -74,7 +73,7 @@ def post_preship_items(routed, items, order_detail, fc_xref, master):
         F.when(legacy, gross).otherwise(gross - nz("discount_amt")).alias("tran_full_price"),
         nz("tax_amt").alias("tran_tax_amt"), F.when(legacy, nz("discount_amt")).alias("tran_discount_amt"),
         F.lit(0).alias("reason_id"), F.lit("Short Shipment").alias("refund_reason"),
-        *[F.col(f"item.{t}").alias(n) for n, t in HIERARCHY], "sku", F.col("item.item_id").alias("item_id"))
+        *[F.col(f"item.{t}").alias(n) for n, t in HIERARCHY.items()], "sku", F.col("item.item_id").alias("item_id"))
 
 
 def _codes(order_pre, order_post, member) -> tuple[Column, Column]:

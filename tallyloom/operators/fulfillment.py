@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import relational as R
 from tallyloom.functions.exprs import local_date, nz
-from tallyloom.schema import coded
+from tallyloom.schema import HIERARCHY, coded
 from tallyloom.wire import CASH_DISCOUNT
 
 
@@ -214,17 +214,11 @@ def bundle_discount_result(stage, discounts):
 
 # --------------------------------------------------------------------------- postings
 
-HIERARCHY = [("group_id", "group_id"), ("group_name", "group_name"), ("category_id", "item_category_id"),
-             ("category_name", "item_category_name"), ("sub_category_id", "subcategory_id"),
-             ("sub_category_name", "subcategory_name"), ("class_id", "class_id"), ("class_name", "class_name"),
-             ("subclass_id", "subclass_id"), ("subclass_name", "subclass_name")]
-
-
 def with_item(rows, fc_xref, items, *extra):
     """Item master of the line's sku at its warehouse (an unmapped warehouse counts as fc 2)."""
     fc = fc_xref.select(F.col("ns_fc_id").alias("fc"), "ods_fc_id")
     master = items.select(F.col("item_name").alias("sku"), F.col("fc_id").alias("_fc"), F.struct(
-        "item_id", "net_unit_cost", "brand_id", *[t for _, t in HIERARCHY], *extra).alias("item"))
+        "item_id", "net_unit_cost", "brand_id", *HIERARCHY.values(), *extra).alias("item"))
     return (rows.join(fc, "fc", "left").withColumn("_fc", F.coalesce("ods_fc_id", F.lit(2)).cast("bigint"))
                 .join(master, ["sku", "_fc"], "left").drop("_fc", "ods_fc_id"))
 
@@ -234,7 +228,7 @@ def _line(code=None) -> list[Column]:
     return [*head, "tran_date", F.lit("order").alias("order_type"), "order_id", "increment_id",
             F.col("item_id").alias("order_line_id"), "customer_id", F.lit(1).alias("company_id"),
             F.col("fc").alias("location_id"), F.col("store_fc").alias("magento_location_id"), "sku", "parent_item_id",
-            *[F.col(f"item.{t}").alias(n) for n, t in HIERARCHY], F.col("units_shipped").alias("tran_qty"),
+            *[F.col(f"item.{t}").alias(n) for n, t in HIERARCHY.items()], F.col("units_shipped").alias("tran_qty"),
             "sale_date", F.col("item.item_id").alias("item_id"), local_date("tran_date").alias("tran_gl_date"),
             local_date("fulfilled_at").alias("ship_date")]
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.exprs import local_time
 from tallyloom.operators.fulfillment import _line, _shipped, with_item
-from tallyloom.schema import CODES, coded
+from tallyloom.schema import CODES, HIERARCHY, coded
 
 ACTIVE, INACTIVE, INACTIVE_AT_SHIPMENT = 1, 2, 8
 TERMS = ["start_date", "end_date", "percentage", "dollar_amount", "billing_period", "brand_sku", "billing_method_id"]
@@ -189,8 +189,9 @@ def _posted_products(ledger, fc_xref, items, agreements, start, end):
     return rows.filter(F.col("rebate_start_date").isNotNull())
 
 
-_CARRIED = ["tran_date", "order_id", "order_line_id", "location_id", "customer_id", "sku", "group_id", "tran_qty",
-            "increment_id", "sale_date", "item_id", "tran_gl_date", "tran_cost_amt"]
+_CARRIED = ["tran_date", "order_type", "order_id", "order_line_id", "company_id", "location_id", "magento_location_id", "customer_id", "sku",
+            "parent_item_id", *HIERARCHY, "tran_qty", "increment_id", "sale_date", "ship_date", "item_id",
+            "tran_gl_date", "tran_cost_amt"]
 _OWN_TERMS = ["rebate_start_date", "rebate_end_date", "rebate_percentage", "rebate_dollar_amount", "rebate_billing_period"]
 
 
@@ -265,9 +266,15 @@ def post_cost_adjustment_rebate(lines, headers, ledger, fc_xref, items, agreemen
 BILLABLE = (1, 2, 3)
 
 
-def _post_funding(ledger, discounts, fc_xref, items, brands, code, campaign: Column, key):
-    """Brand-sponsored part of posted TPA discounts (48), unless that line was funded before."""
+def _post_funding(ledger, discounts, fc_xref, items, brands, code, campaign: Column, key, since, as_of):
+    """Brand-sponsored part of posted TPA discounts (48), unless that line was funded before.
+
+    ``since`` bounds the GL dates of the discounts, so a run reads the open partitions only; a line's funding has its
+    discount's GL date, so the guard is bounded alike.
+    """
     _, sub, _ = CODES[code]
+    if since is not None:
+        ledger = ledger.filter(F.col("tran_gl_date") >= F.lit(since).cast("date"))
     done = ledger.filter((F.col("tran_sub_type_id") == sub) & F.col("order_line_id").isNotNull()).select("order_id", "order_line_id")
     deal = discounts.filter(F.col("sponsored_by").isin("Brand", "Both") & (F.col("discount_type") == "tpa") & campaign).select(
         F.col("item_id").alias(key), "rule_id", F.col("sponsored_percentage").cast("decimal(9,4)").alias("_share"))
@@ -282,9 +289,10 @@ def _post_funding(ledger, discounts, fc_xref, items, brands, code, campaign: Col
                .join(payer, "_maker").join(done, ["order_id", "order_line_id"], "left_anti"))
     funded = (F.col("tran_amt") * (F.col("_share") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(11,6)")).cast("decimal(18,8)")
     return rows.select(
-        *coded(code), "tran_date", "order_id", "order_line_id", "parent_item_id", "location_id", "customer_id", "sku",
-        "group_id", "tran_qty", F.col("tran_amt").alias("tran_discount_amt"), "increment_id", "rule_id", "rule_name",
-        "sale_date", "item_id", "tran_gl_date", F.col("tran_id").alias("fulfillment_tran_id"),
+        *coded(code), "tran_date", "order_type", "order_id", "order_line_id", "parent_item_id", "company_id", "location_id", "magento_location_id",
+        "customer_id", "sku", *HIERARCHY, "tran_qty", F.col("tran_amt").alias("tran_discount_amt"), "increment_id", "rule_id", "rule_name",
+        "sale_date", "ship_date", "item_id", "tran_gl_date", F.lit(as_of).cast("timestamp_ntz").alias("created_at"),
+        F.col("tran_id").alias("fulfillment_tran_id"),
         F.col("_share").alias("rebate_percentage"), F.col("billing_method_id").alias("rebate_billing_method"),
         funded.alias("rebate_total"), funded.alias("tran_amt"))
 
@@ -293,21 +301,21 @@ def _autoship() -> Column:
     return F.col("rule_name").like("A&S%")
 
 
-def post_tpr_funding(ledger, discounts, fc_xref, items, brands):
-    return _post_funding(ledger, discounts, fc_xref, items, brands, "tpr_funding", ~_autoship(), "order_line_id")
+def post_tpr_funding(ledger, discounts, fc_xref, items, brands, since=None, as_of=None):
+    return _post_funding(ledger, discounts, fc_xref, items, brands, "tpr_funding", ~_autoship(), "order_line_id", since, as_of)
 
 
-def post_tpr_funding_bundle(ledger, discounts, fc_xref, items, brands):
-    return _post_funding(ledger, discounts, fc_xref, items, brands, "tpr_funding", ~_autoship(), "parent_item_id")
+def post_tpr_funding_bundle(ledger, discounts, fc_xref, items, brands, since=None, as_of=None):
+    return _post_funding(ledger, discounts, fc_xref, items, brands, "tpr_funding", ~_autoship(), "parent_item_id", since, as_of)
 
 
-def post_as_funding(ledger, discounts, fc_xref, items, brands):
-    return _post_funding(ledger, discounts, fc_xref, items, brands, "as_funding", _autoship(), "order_line_id")
+def post_as_funding(ledger, discounts, fc_xref, items, brands, since=None, as_of=None):
+    return _post_funding(ledger, discounts, fc_xref, items, brands, "as_funding", _autoship(), "order_line_id", since, as_of)
 
 
-def post_as_funding_bundle(ledger, discounts, fc_xref, items, brands):
+def post_as_funding_bundle(ledger, discounts, fc_xref, items, brands, since=None, as_of=None):
     """Guards on its own sub type, so a rerun posts nothing again."""
-    return _post_funding(ledger, discounts, fc_xref, items, brands, "as_funding", _autoship(), "parent_item_id")
+    return _post_funding(ledger, discounts, fc_xref, items, brands, "as_funding", _autoship(), "parent_item_id", since, as_of)
 
 
 def post_brand_marketing_fee(marketing, ledger):

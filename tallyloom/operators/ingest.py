@@ -196,7 +196,7 @@ def _split_duplicates(queue, message_type, keyed, keys, known):
     Both tests run on one row per key; the queue itself is only joined on its unique id.
     """
     waiting = queue.filter(F.col("message_type") == message_type)
-    survivors = R.first_ids(keyed, keys, ["s3_updated_at"], "id").join(known, keys, "left_anti").select("id")
+    survivors = R.first_ids(keyed, keys, "s3_updated_at", "id").join(known, keys, "left_anti").select("id")
     fresh, doubled = R.split(waiting, survivors, "id")
     return doubled.withColumn("error_message", F.lit("Duplicate")), fresh
 

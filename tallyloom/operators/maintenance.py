@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import relational as R
+from tallyloom.schema import HIERARCHY
 
 
 def queue_source(queue: DataFrame, message_type: str) -> DataFrame:
@@ -66,15 +67,6 @@ def quarantine_already_done(detail: DataFrame, order_detail: DataFrame, as_of) -
     return errors.withColumn("error_date", F.lit(as_of).cast("timestamp_ntz")), kept
 
 
-# Ledger column and item-master column of the product hierarchy.
-HIERARCHY = {
-    "group_id": "group_id", "group_name": "group_name", "category_id": "item_category_id",
-    "category_name": "item_category_name", "sub_category_id": "subcategory_id",
-    "sub_category_name": "subcategory_name", "class_id": "class_id", "class_name": "class_name",
-    "subclass_id": "subclass_id", "subclass_name": "subclass_name",
-}
-
-
 def null_fill_from_dimension(ledger: DataFrame, items: DataFrame, fc: int = 2) -> DataFrame:
     """Give type-300 rows without item group the item's hierarchy, id and cost (amount times unit cost).
 

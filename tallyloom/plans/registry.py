@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import relational as R
-from tallyloom.operators import checks, credits, fulfillment, funding, ingest, maintenance, postings, reports
+from tallyloom.operators import checks, credits, fulfillment, funding, ingest, ledger, maintenance, postings, reports
 from tallyloom.plans import pipelines
+from tallyloom.schema import LEDGER
 from tallyloom.session import shared_dir, tuned
 from tallyloom.sources.messages import message_queue
 from tallyloom.sources.shapes import table
@@ -36,7 +37,9 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __call__(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        rows = table(self.spark, self.sf_dir, name)
+        # the ledger has all its columns, also those that the fixture leaves empty
+        return maintenance.add_columns(rows, LEDGER) if name == "ledger" else rows
 
     def many(self, *names: str) -> list[DataFrame]:
         return [self(n) for n in names]
@@ -138,7 +141,8 @@ def _(t):
     return fates(*maintenance.quarantine_already_done(t("ship_detail"), t("order_detail"), AS_OF), ("error", "staging"))
 
 
-@query("null_fill_from_dimension", "tran_id:n tran_sub_type_id:n group_id:n item_id:n tran_cost_amt:m")
+@query("null_fill_from_dimension", "tran_id:n tran_sub_type_id:n group_id:n group_name:s category_id:n category_name:s sub_category_id:n sub_category_name:s"
+       " class_id:n class_name:s subclass_id:n subclass_name:s item_id:n tran_cost_amt:m")
 def _(t):
     return maintenance.null_fill_from_dimension(t("ledger"), t("curr_items"))
 
@@ -720,7 +724,7 @@ def _(t):
     return funding.post_vendor_rebate(*t.many("stage", "fc_xref", "curr_items", "agreements"), AS_OF)
 
 
-@query("backfill_rebates", "tran_sub_type_id:n tran_date:t order_line_id:n sku:s tran_qty:n tran_cogs_amt:m tran_amt:m fulfillment_tran_id:n" + TERM_SPEC)
+@query("backfill_rebates", "tran_sub_type_id:n tran_date:t order_line_id:n sku:s tran_qty:n tran_cogs_amt:m tran_amt:m fulfillment_tran_id:n order_id:n customer_id:n tran_gl_date:d magento_location_id:n group_id:n" + TERM_SPEC)
 def _(t):
     return funding.backfill_rebates(*t.many("ledger", "fc_xref", "curr_items", "agreements"), START, END)
 
@@ -746,9 +750,9 @@ def _(t):
 
 
 FUND = ("tran_sub_type_id:n tran_sub_type:s order_id:n order_line_id:n parent_item_id:n sku:s tran_qty:n tran_discount_amt:m rule_id:n item_id:n"
-        " fulfillment_tran_id:n rebate_percentage:m rebate_billing_method:n rebate_total:m tran_amt:m tran_gl_date:d")
+        " fulfillment_tran_id:n rebate_percentage:m rebate_billing_method:n rebate_total:m tran_amt:m tran_gl_date:d created_at:t magento_location_id:n group_name:s ship_date:d")
 for _name in ("post_tpr_funding", "post_tpr_funding_bundle", "post_as_funding", "post_as_funding_bundle"):
-    query(_name, FUND)(lambda t, _f=getattr(funding, _name): _f(*t.many("ledger", "detail_discounts", "fc_xref", "curr_items", "brand_records")))
+    query(_name, FUND)(lambda t, _f=getattr(funding, _name): _f(*t.many("ledger", "detail_discounts", "fc_xref", "curr_items", "brand_records"), CUTOFF, AS_OF))
 
 
 @query("post_brand_marketing_fee", "tran_type:n tran_sub_type_id:n tran_sub_type:s tran_date:t created_at:t tran_gl_date:d tran_amt:m brand_marketing_id:n")
@@ -764,7 +768,8 @@ def _(t):
     return checks.check_order_payment(*t.many("capture", "capture_items", "capture_payments", "capture_gift_cards", "capture_cash"))
 
 
-@query("check_membership_payment", "order_id:n increment_id:n sale_date:d expected_payment:m total_paid:m total_product:m product_tax:m order_type:s")
+@query("check_membership_payment", "order_id:n increment_id:n sale_date:d expected_payment:m total_paid:m pay_amt:m total_order:m total_product:m product_tax:m"
+       " gift_card_amt:m tc_amt:m grocery_base_shipment:m wine_base_shipment_tax:m base_donations:m ppe_fee:m order_type:s")
 def _(t):
     return checks.check_membership_payment(t("membership"), t("membership_payments"))
 
@@ -775,7 +780,10 @@ for _name in ("check_discount_detail_over", "check_discount_item_over", "check_n
     query(_name, DISC)(lambda t, _f=getattr(checks, _name): _f(*t.many("capture", "capture_items", "capture_payments", "capture_discounts")))
 
 
-@query("check_credit_memo", "credit_id:n credit_increment_id:n order_id:n increment_id:s credit_date:d gc_amt:m pay_amt:m calc_refund:m calc_credit:m")
+@query("check_credit_memo", "credit_id:n credit_increment_id:n order_id:n increment_id:s credit_date:d gc_amt:m pay_amt:m calc_refund:m calc_credit:m"
+       " base_total_credit:m base_total_refund:m base_total_gift_cards:m base_total_product:m base_total_discount:m base_adjustment:m base_total_tax:m"
+       " base_donations:m base_shipment:m base_shipment_tax:m base_frozen_shipment:m base_frozen_shipment_tax:m base_wine_shipment:m"
+       " base_wine_shipment_tax:m ppe_fee:m ppe_fee_tax:m")
 def _(t):
     return checks.check_credit_memo(*t.many("credits", "credit_refunds", "credit_gift_cards"))
 
@@ -874,3 +882,14 @@ def _(t):
 def _(t):
     staging = shared_dir(t.spark, "fulfillment")
     return pipelines.fulfillment_postings(t("stage"), *t.many("detail_discounts", "fc_xref", "curr_items", "order_header"), staging)
+
+
+@query("ledger_append", "tran_type:n tran_sub_type_id:n order_id:n tran_amt:m tran_gl_date:d created_at:t")
+def _(t):
+    """Order charges posted to an empty ledger, then again with nothing new to post; the ledger's rows."""
+    folder = shared_dir(t.spark, "ledger_append")
+    rows = postings.post_order_charges(t("capture"))
+    keys = ["tran_gl_date", "order_id", "tran_sub_type_id", "message_uuid"]
+    for run in ("first", "again"):
+        ledger.append(rows, f"{folder}/ledger", AS_OF, keys, f"{folder}/{run}")
+    return ledger.read(t.spark, f"{folder}/ledger")

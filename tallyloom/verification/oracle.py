@@ -69,7 +69,8 @@ SQL["quarantine_already_done"] = """SELECT item_id, order_id,
  CASE WHEN item_id IN (SELECT item_id FROM done_items) THEN 'error' ELSE 'staging' END AS fate FROM ship_detail"""
 SQL["null_fill_from_dimension"] = """SELECT l.tran_id, l.tran_sub_type_id,
  CASE WHEN i.item_id IS NOT NULL THEN i.group_id ELSE l.group_id END AS group_id,
- CASE WHEN i.item_id IS NOT NULL THEN i.item_id ELSE l.item_id END AS item_id,
+ i.group_name, i.item_category_id AS category_id, i.item_category_name AS category_name, i.subcategory_id AS sub_category_id, i.subcategory_name AS sub_category_name,
+ i.class_id, i.class_name, i.subclass_id, i.subclass_name, CASE WHEN i.item_id IS NOT NULL THEN i.item_id ELSE l.item_id END AS item_id,
  CASE WHEN i.item_id IS NOT NULL THEN round(CAST(l.tran_amt * i.net_unit_cost AS DECIMAL(30,6)), 2) ELSE l.tran_cost_amt END AS tran_cost_amt
  FROM ledger l LEFT JOIN curr_items i ON i.fc_id = 2 AND i.item_name = l.sku AND l.tran_type = 300 AND l.group_id IS NULL"""
 SQL["link_rebate_to_fulfillment"] = """SELECT l.tran_id, l.tran_sub_type_id, l.order_line_id,
@@ -524,7 +525,7 @@ _j6, _c6 = _fall(_live_range, "l.item_id", "i.brand_id", 2)
 _posted = f"""FROM ledger l LEFT JOIN fc_xref f ON f.ns_fc_id = l.location_id LEFT JOIN curr_items i ON i.item_id = l.item_id AND i.fc_id = f.ods_fc_id {_j6}
  WHERE l.tran_gl_date BETWEEN {START} AND {END} AND l.tran_sub_type_id = 16 AND l.tran_type = 300 AND f.fc_type <> 'drinks' AND {_c6['start_date']} IS NOT NULL"""
 SQL["backfill_rebates"] = f"""SELECT 111 AS tran_sub_type_id, l.tran_date, l.order_line_id, l.sku, l.tran_qty, round(l.tran_cogs_amt, 2) AS tran_cogs_amt,
- {_rebate(_c6, 'l.tran_date', 'round(l.tran_cogs_amt, 2)', 'l.tran_qty')} AS tran_amt, l.tran_id AS fulfillment_tran_id, {_term_columns(_c6)} {_posted}"""
+ {_rebate(_c6, 'l.tran_date', 'round(l.tran_cogs_amt, 2)', 'l.tran_qty')} AS tran_amt, l.tran_id AS fulfillment_tran_id, l.order_id, l.customer_id, l.tran_gl_date, l.magento_location_id, l.group_id, {_term_columns(_c6)} {_posted}"""
 SQL["rebate_cost_comparison"] = f"""SELECT sku, sum(tran_qty) AS quantity, sum(tran_cogs_amt) AS cogs, sum(tran_cost_amt) AS pb_cogs, sum(actual) AS fifo_rebate, sum(book) AS pb_rebate,
  rebate_start_date, rebate_end_date, rebate_percentage, rebate_dollar_amount, rebate_billing_period, rebate_type, rebate_calc_type, rebate_billing_method
  FROM (SELECT l.sku, l.tran_qty, l.tran_cogs_amt, l.tran_cost_amt, {_rebate(_c6, 'l.tran_date', 'l.tran_cogs_amt', 'l.tran_qty')} AS actual,
@@ -545,12 +546,13 @@ SQL["post_cost_adjustment_rebate"] = f"""SELECT i.item_name AS sku, 111 AS tran_
 def _funding(code, name, like, key):
     return f"""SELECT {code} AS tran_sub_type_id, '{name}' AS tran_sub_type, l.order_id, l.order_line_id, l.parent_item_id, l.sku, l.tran_qty, l.tran_amt AS tran_discount_amt,
  l.rule_id, l.item_id, l.tran_id AS fulfillment_tran_id, d.sponsored_percentage AS rebate_percentage, b.billing_method_id AS rebate_billing_method,
- l.tran_amt * CAST(CAST(d.sponsored_percentage AS DECIMAL(9,4)) * 0.01 AS DECIMAL(11,6)) AS rebate_total,
+ {AS_OF} AS created_at, l.magento_location_id, NULL AS group_name, NULL AS ship_date, l.tran_amt * CAST(CAST(d.sponsored_percentage AS DECIMAL(9,4)) * 0.01 AS DECIMAL(11,6)) AS rebate_total,
  l.tran_amt * CAST(CAST(d.sponsored_percentage AS DECIMAL(9,4)) * 0.01 AS DECIMAL(11,6)) AS tran_amt, l.tran_gl_date
  FROM ledger l JOIN detail_discounts d ON d.item_id = l.{key} AND d.rule_id = l.rule_id LEFT JOIN fc_xref f ON f.fc_id = l.magento_location_id
  LEFT JOIN curr_items i ON i.item_name = l.sku AND i.fc_id = coalesce(f.ods_fc_id, 2) LEFT JOIN brand_records b ON b.brand_records_id = i.brand_id
- WHERE l.tran_sub_type_id = 48 AND d.sponsored_by IN ('Brand', 'Both') AND d.discount_type = 'tpa' AND d.rule_name {like} 'A&S%' AND b.billing_method_id IN (1, 2, 3)
- AND i.vendor_type <> 'Private Label' AND NOT EXISTS (SELECT 1 FROM ledger x WHERE x.tran_sub_type_id = {code} AND x.order_id = l.order_id AND x.order_line_id = l.order_line_id)"""
+ WHERE l.tran_sub_type_id = 48 AND l.tran_gl_date >= DATE '1996-01-01' AND d.sponsored_by IN ('Brand', 'Both') AND d.discount_type = 'tpa' AND d.rule_name {like} 'A&S%' AND b.billing_method_id IN (1, 2, 3)
+ AND i.vendor_type <> 'Private Label' AND NOT EXISTS (SELECT 1 FROM ledger x WHERE x.tran_sub_type_id = {code} AND x.order_id = l.order_id AND x.order_line_id = l.order_line_id
+ AND x.tran_gl_date >= DATE '1996-01-01')"""
 
 
 SQL["post_tpr_funding"] = _funding(113, "TPR Vendor Funding", "NOT LIKE", "order_line_id")
@@ -572,7 +574,8 @@ SQL["check_order_payment"] = f"""SELECT order_id, increment_id, {pac('created_at
  LEFT JOIN capture_payments p ON p.order_id = h.order_id LEFT JOIN (SELECT order_id, sum(gift_card_amt) AS gift_card_amt FROM capture_gift_cards GROUP BY 1) g ON g.order_id = h.order_id
  LEFT JOIN (SELECT order_id, sum(tc_amt) AS tc_amt FROM capture_cash WHERE tc_amt > 0 GROUP BY 1) c ON c.order_id = h.order_id) WHERE expected_payment <> total_paid"""
 SQL["check_membership_payment"] = f"""SELECT h.order_id, h.increment_id, {pac('h.updated_at')} AS sale_date, coalesce(h.total_order, 0) AS expected_payment, coalesce(p.pay_amt, 0) AS total_paid,
- coalesce(h.total_order, 0) - coalesce(h.total_tax, 0) AS total_product, coalesce(h.total_tax, 0) AS product_tax, 'membership' AS order_type
+ coalesce(p.pay_amt, 0) AS pay_amt, coalesce(h.total_order, 0) AS total_order, 0 AS gift_card_amt, 0 AS tc_amt, 0 AS grocery_base_shipment, 0 AS wine_base_shipment_tax,
+ 0 AS base_donations, 0 AS ppe_fee, coalesce(h.total_order, 0) - coalesce(h.total_tax, 0) AS total_product, coalesce(h.total_tax, 0) AS product_tax, 'membership' AS order_type
  FROM membership h LEFT JOIN membership_payments p ON p.order_id = h.order_id WHERE coalesce(h.total_order, 0) <> coalesce(p.pay_amt, 0)"""
 LOCAL["disc"] = f"""SELECT i.order_id, h.increment_id, i.item_id, {pac('h.created_at')} AS sale_date, i.base_price, round(CAST(i.base_discount_amt * i.qty_ordered AS DECIMAL(24,6)), 2) AS base_discount_amt,
  coalesce(d.tpa, 0) AS disc_tpa_amt, coalesce(d.coupon, 0) AS disc_coupon_amt, coalesce(d.tiered, 0) AS disc_tiered_pricing_amt, coalesce(d.total, 0) AS disc_total_amt,
@@ -586,8 +589,11 @@ SQL["check_discount_detail_over"] = "SELECT *, 1 AS error_code FROM disc WHERE r
 SQL["check_discount_item_over"] = "SELECT *, 2 AS error_code FROM disc WHERE round(-var, 0) > 0 AND base_discount_amt >= 0 AND base_price <> 0"
 SQL["check_negative_discount"] = "SELECT *, 3 AS error_code FROM disc WHERE base_discount_amt < 0"
 _parts6 = "base_total_product base_total_discount base_adjustment base_total_tax base_donations base_shipment base_frozen_shipment base_wine_shipment ppe_fee".split()
+_shown6 = ("base_total_credit base_total_refund base_total_gift_cards base_total_product base_total_discount base_adjustment base_total_tax base_donations base_shipment"
+           " base_shipment_tax base_frozen_shipment base_frozen_shipment_tax base_wine_shipment base_wine_shipment_tax ppe_fee ppe_fee_tax").split()
 SQL["check_credit_memo"] = f"""SELECT * FROM (SELECT c.credit_id, c.credit_increment_id, c.order_id, c.increment_id, {pac('c.updated_at')} AS credit_date, coalesce(g.gc_amt, 0) AS gc_amt,
- coalesce(p.pay_amt, 0) AS pay_amt, {' + '.join(nz('c.' + x) for x in _parts6)} AS calc_refund, coalesce(g.gc_amt, 0) + coalesce(p.pay_amt, 0) + coalesce(c.total_{CASH}, 0) AS calc_credit
+ coalesce(p.pay_amt, 0) AS pay_amt, {' + '.join(nz('c.' + x) for x in _parts6)} AS calc_refund, coalesce(g.gc_amt, 0) + coalesce(p.pay_amt, 0) + coalesce(c.total_{CASH}, 0) AS calc_credit,
+ {', '.join(nz('c.' + x) + ' AS ' + x for x in _shown6)}
  FROM credits c LEFT JOIN credit_refunds p ON p.credit_id = c.credit_id LEFT JOIN (SELECT credit_id, sum(gift_card_amt) AS gc_amt FROM credit_gift_cards GROUP BY 1) g
  ON g.credit_id = c.credit_id) WHERE calc_credit <> calc_refund"""
 _business = ", ".join(c for c in shapes.SHAPES["ledger_lines"].cols if c != "tran_id")
@@ -727,4 +733,4 @@ def oracle_sql() -> dict[str, str]:
         cols = ", ".join(f"CAST({c} AS {ORACLE_TYPES[k]}) AS {c}" for c, k in G.parse_spec(G.SPECS[name]))
         out[name] = (f"WITH {text} " if text else "") + f"SELECT {cols} FROM ({body}) result"
     return out
-
+SQL["ledger_append"] = f"""SELECT tran_type, tran_sub_type_id, order_id, CAST(round(tran_amt, 2) AS DECIMAL(12,2)) AS tran_amt, tran_gl_date, {AS_OF} AS created_at FROM charges"""

@@ -75,3 +75,39 @@ def test_scan_is_pruned_and_filtered(spark, sf_dir):
     scan = text[text.index("Scan parquet"):]
     assert "l_tax" not in text.split("ReadSchema")[1].split("\n")[0]
     assert "EqualTo(l_linestatus,F)" in scan
+
+
+# --------------------------------------------------------------------------- the ledger as a table
+
+def test_ledger_ids_and_repeats(spark, tmp_path):
+    from tallyloom.operators import ledger
+    rows = spark.range(500).select(F.lit(100).alias("tran_type"), F.lit(6).alias("tran_sub_type_id"), (F.col("id") % 400).alias("order_id"),
+                                   F.col("id").cast("string").alias("message_uuid"), F.expr("date_add(DATE'2024-01-01', cast(id % 5 as int))").alias("tran_gl_date"))
+    keys, path = ["tran_gl_date", "order_id", "message_uuid"], str(tmp_path / "ledger")
+    first = ledger.append(rows.filter("id < 300"), path, "2024-02-01", keys, str(tmp_path / "1"))
+    again = ledger.append(rows, path, "2024-02-02", keys, str(tmp_path / "2"))
+    assert first.count() == 300 and again.count() == 200
+    assert ledger.append(rows, path, "2024-02-03", keys, str(tmp_path / "3")).count() == 0
+    stored = ledger.read(spark, path)
+    assert sorted(r.tran_id for r in stored.select("tran_id").collect()) == list(range(1, 501))
+    assert stored.filter("created_at is null").count() == 0
+    changed = stored.filter("tran_gl_date = '2024-01-02' and order_id < 50").withColumn("note_unused", F.lit(1)).withColumn("sku", F.lit("new"))
+    n = changed.count()
+    ledger.rewrite(changed, path, str(tmp_path / "4"))
+    stored = ledger.read(spark, path)
+    assert stored.count() == 500 and stored.filter("sku = 'new'").count() == n
+
+
+def test_cluster_needs_a_shared_folder():
+    from tallyloom.session import shared_dir
+
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+        class sparkContext:
+            master, applicationId = "yarn", "app"
+    with pytest.raises(ValueError):
+        shared_dir(Session, "x")
