@@ -32,3 +32,95 @@ WITH RECURSIVE words AS (
 )
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM placed
 """
+
+SQL["op9_url_filter"] = """
+WITH rules(host, path, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+cut AS (SELECT page_id, row_number() OVER () AS r, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hosts AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS h FROM cut),
+parts AS (SELECT page_id, r, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') AS path FROM hosts),
+best AS (
+  SELECT p.r, max_by(u.host || u.path, length(u.host || u.path)) AS rule, max_by(u.verdict, length(u.host || u.path)) AS verdict
+  FROM parts p JOIN rules u ON (p.host = u.host OR ends_with(p.host, '.' || u.host)) AND starts_with(p.path, u.path) GROUP BY p.r
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (r)
+"""
+
+
+def _matches(kinds: dict[str, str]) -> str:
+    """CTEs: texts, and m (r, kind, start, fin, hit, context) of every leftmost match, positions from the gaps between matches."""
+    each = " UNION ALL ".join(f"SELECT r, '{kind}' AS kind, regexp_extract_all(text, '{p}') AS hits, regexp_split_to_array(text, '{p}') AS gaps FROM texts"
+                              for kind, p in ((k, p.replace("'", "''")) for k, p in kinds.items()))
+    return f"""texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+lists AS ({each}),
+numbered AS (SELECT r, kind, hits, gaps, unnest(range(1, len(hits) + 1)) AS i FROM lists WHERE len(hits) > 0),
+m AS (
+  SELECT r, kind, hits[i] AS hit, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start,
+         start + length(hits[i]) AS fin, lower(right(gaps[i], 40) || ' ' || left(gaps[i + 1], 20)) AS context
+  FROM numbered
+)"""
+
+
+_ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+SQL["op5_secret_scan"] = f"""
+WITH {_matches({"assign": _ASSIGN, "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]{24,}",
+                "weak_id": "(?i:client_?id|username|login|account_?id)[\\x22']?\\x20*[:=]\\x20*[\\x22']?[A-Za-z0-9._@-]+",
+                "weak_key": "[A-Za-z0-9+/_=-]{20,}", "endpoint": "https?://[A-Za-z0-9.-]+(?::[0-9]+)?"})},
+good AS (
+  SELECT r, kind, start, fin, kind IN ('assign', 'access', 'hex') AS base, list_position(['assign', 'access', 'hex', 'weak_id', 'weak_key', 'endpoint'], kind) AS o,
+         CASE WHEN kind IN ('assign', 'hex', 'weak_key') THEN 'secret' WHEN kind IN ('access', 'weak_id') THEN 'identifier' ELSE 'endpoint' END AS role
+  FROM m WHERE CASE kind WHEN 'assign' THEN length(regexp_extract(hit, '{_ASSIGN.replace("'", "''")}', 1)) >= 6 WHEN 'access' THEN length(hit) >= 20 WHEN 'hex' THEN length(hit) >= 24
+    WHEN 'weak_key' THEN regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]') ELSE true END
+), near AS (
+  SELECT *, {", ".join(f"coalesce(start - max(fin) FILTER (role = '{x}') OVER past <= 200, false) OR coalesce(min(start) FILTER (role = '{x}') OVER ahead - fin <= 200, false) AS {x}_near"
+                       for x in ("identifier", "secret", "endpoint"))},
+         coalesce(max(fin) FILTER (base) OVER past > start, false) OR coalesce(min(start) FILTER (base) OVER ahead < fin, false) AS covered
+  FROM good WINDOW past AS (PARTITION BY r ORDER BY start, o, fin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    ahead AS (PARTITION BY r ORDER BY start, o, fin ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+), said AS (
+  SELECT r, kind, start, o, fin, base, kind || ':' || start || ':' || fin AS s, base OR (NOT covered AND CASE role WHEN 'identifier' THEN secret_near
+    WHEN 'secret' THEN identifier_near OR endpoint_near ELSE identifier_near AND secret_near END) AS reported FROM near
+), sums AS (
+  SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(s, ',' ORDER BY start, o, fin) FILTER (base) AS b, string_agg(s, ',' ORDER BY start, o, fin) FILTER (reported) AS spans,
+         count(*) FILTER (reported AND NOT base) AS n_linked FROM said GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_linked, 0) AS n_linked FROM texts LEFT JOIN sums USING (r)
+"""
+
+_LUHN = """list_sum(list_transform(range(0, length(d)), lambda i: CASE WHEN i % 2 = 0 THEN CAST(substr(d, length(d) - i, 1) AS INT)
+  WHEN CAST(substr(d, length(d) - i, 1) AS INT) > 4 THEN 2 * CAST(substr(d, length(d) - i, 1) AS INT) - 9 ELSE 2 * CAST(substr(d, length(d) - i, 1) AS INT) END)) % 10 = 0"""
+_MOD97 = """list_reduce(list_transform(range(1, length(turned) + 1), lambda i: CASE WHEN ascii(substr(turned, i, 1)) < 58 THEN ascii(substr(turned, i, 1)) - 48
+  ELSE ascii(substr(turned, i, 1)) - 55 END), lambda a, x: (a * (CASE WHEN x > 9 THEN 100 ELSE 10 END) + x) % 97) = 1"""
+
+
+def _near(words: str) -> str:
+    return f"CASE WHEN regexp_matches(context, '(^|[^a-z])({words})($|[^a-z])') THEN 0.3 ELSE 0 END"
+
+
+SQL["op10_pii"] = f"""
+WITH {_matches({"email": "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+", "ip": "[0-9]+(?:[.][0-9]+)(?:[.][0-9]+)(?:[.][0-9]+)", "card": "[0-9](?:[\\x20-]?[0-9])+",
+                "phone": "[+][0-9][\\x20().0-9-]+[0-9]", "iban": "[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]){11,30}", "national_id": "[0-9]{3}-[0-9]{2}-[0-9]{4}",
+                "local_phone": "[(]?[0-9]{3}[)]?[\\x20.-][0-9]{3}[\\x20.-][0-9]{4}"})},
+d AS (SELECT *, regexp_replace(hit, '[^0-9]', '', 'g') AS d, regexp_replace(hit, '[^A-Z0-9]', '', 'g') AS plain, substr(plain, 5) || substr(plain, 1, 4) AS turned FROM m),
+tested AS (
+  SELECT r, start, fin, context, hit, length(d) AS n, CASE WHEN kind = 'card' AND length(d) BETWEEN 13 AND 15 THEN 'short_card' ELSE kind END AS kind,
+         CASE WHEN kind = 'card' AND length(d) BETWEEN 13 AND 19 THEN {_LUHN} WHEN kind = 'iban' THEN {_MOD97} ELSE false END AS passes FROM d
+), scored AS (
+  SELECT *, kind IN ('email', 'ip', 'card', 'phone') AS basic, CASE kind
+    WHEN 'email' THEN true WHEN 'ip' THEN len(list_filter(string_split(hit, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(try_cast(right(ltrim(x, '0'), 3) AS INT), 0) > 255)) = 0
+    WHEN 'card' THEN n BETWEEN 16 AND 19 AND passes WHEN 'phone' THEN n BETWEEN 8 AND 15
+    WHEN 'iban' THEN passes WHEN 'short_card' THEN passes
+    WHEN 'national_id' THEN 0.3 + {_near("ssn|social security|national id|passport|tax id")} >= 0.5
+    ELSE 0.3 + {_near("phone|tel|call|mobile|fax")} >= 0.5 END AS reported FROM tested
+), said AS (
+  SELECT r, kind, start, fin, basic AND reported AS base, reported, kind || ':' || start || ':' || fin AS s,
+         list_position(['email', 'ip', 'card', 'phone', 'iban', 'short_card', 'national_id', 'local_phone'], kind) AS o FROM scored
+), sums AS (
+  SELECT r, {", ".join(f"count(*) FILTER (base AND kind = '{k}') AS n_{k}" for k in ("email", "ip", "card", "phone"))},
+         string_agg(s, ',' ORDER BY o, start, fin) FILTER (base) AS b, string_agg(s, ',' ORDER BY o, start, fin) FILTER (reported) AS spans,
+         count(*) FILTER (reported AND NOT base) AS n_scored FROM said GROUP BY r
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in ("email", "ip", "card", "phone"))}, sha256(coalesce(b, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_scored, 0) AS n_scored FROM texts LEFT JOIN sums USING (r)
+"""

@@ -356,3 +356,32 @@ def test_url_rules(spark):
         fits = [(len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
         best = max(fits, default=(0, None, "allow"))
         assert (r.host, r.path, r.rule, r.verdict) == (host, path, best[1], best[2])
+
+
+# ---------------------------------------------------------------- whole tables against SQL
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    import duckdb
+    con = duckdb.connect()
+    for name in ("documents", "pages", "labels", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op2_minhash_near_dedup", "op5_secret_scan", "op9_url_filter", "op10_pii"])
+def test_query_equals_sql(spark, con, sf_dir, name):
+    from tallyloom.llm import oracle
+    df = queries.queries()[name](spark, sf_dir)
+    columns = ", ".join(df.columns)
+    theirs = con.execute(f"SELECT {columns} FROM ({oracle.SQL[name]}) q").fetchall()
+    assert Counter(map(tuple, df.collect())) == Counter(theirs)
+
+
+def test_toxicity_on_held_out_rows(spark, sf_dir):
+    docs, labels = queries.documents(spark, sf_dir), queries.table(spark, sf_dir, "labels")
+    rows = toxicity.toxicity(docs, labels).filter("held_out").join(labels, "doc_id").select("score", "toxic").collect()
+    good = [r.score for r in rows if r.toxic == 0]
+    bad = [r.score for r in rows if r.toxic == 1]
+    auc = sum((b > g) + 0.5 * (b == g) for b in bad for g in good) / (len(bad) * len(good))
+    assert auc > 0.7, auc
