@@ -49,7 +49,7 @@ def stage_fulfillment(headers, work, details, order_header, order_detail, discou
     order = order_header.select("order_id", "increment_id", "customer_id", "sale_date")
     line = order_detail.select(
         "item_id", "qty_ordered", "base_price", "base_tax_amt", "base_row_total",
-        F.when(~F.coalesce("is_gwp", F.lit(False)), F.col("base_discount_amt")).otherwise(0).cast("decimal(12,4)")
+        F.when(~F.coalesce(F.col("is_gwp").try_cast("boolean"), F.lit(False)), F.col("base_discount_amt")).otherwise(0).cast("decimal(12,4)")
         .alias("base_discount_amt"))
     tpa = (discounts.filter((F.col("discount_type") == "tpa") & (F.col("discount_amt") > 0))
                     .groupBy("item_id").agg(F.sum("discount_amt").alias("tpa_unit_amt")))

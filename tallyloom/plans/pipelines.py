@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tallyloom.functions import relational as R
-from tallyloom.operators import fulfillment, ingest, postings
+from tallyloom.operators import fulfillment, funding, ingest, ledger, maintenance, postings
 from tallyloom.schema import to_ledger
 
 
@@ -20,12 +20,12 @@ def order_capture(queue: DataFrame, cards: DataFrame, legacy_cards: DataFrame, a
     discounts = ingest.explode_item_discounts(queue)
     items = postings.fix_gift_card_negative_discount(postings.fix_zero_charge_discounts(items, payments))
     header = postings.reclassify_reshipment(header, payments)
-    ledger = R.union_all(*[to_ledger(rows) for rows in (
+    posted = R.union_all(*[to_ledger(rows) for rows in (
         postings.post_order_payment(header, payments),
         postings.post_order_gift_card(header, gifts, cards, legacy_cards),
         postings.post_order_charges(header))])
     return {
-        "ledger": ledger,
+        "ledger": posted,
         "order_header": postings.load_order_header(header, as_of),
         "order_detail": postings.load_order_detail(items, header),
         "order_detail_discounts": postings.load_order_discounts(discounts, header),
@@ -48,3 +48,49 @@ def fulfillment_postings(stage: DataFrame, discounts: DataFrame, fc_xref: DataFr
         fulfillment.post_line_discounts(stage, discounts, fc_xref, items),
         fulfillment.post_bundle_discounts(stage, parts, fc_xref, items),
         fulfillment.post_shipment_revenue(order_header, stage))])
+
+
+def fulfillment_run(queue: DataFrame, store: dict[str, DataFrame], dims: dict[str, DataFrame], as_of: str, staging: str,
+                    start_id: int = 0) -> dict[str, DataFrame]:
+    """Shipment messages to ledger rows, statuses and archive, in the order a night's run has.
+
+    ``store``: order_header, order_detail, order_detail_discounts, order_payments, credits, credit_items, card_history, cards,
+    ledger (posted so far).  ``dims``: fc_xref, items, agreements, brands.  Every step reads the tables that the steps before it
+    wrote under ``staging``.
+    """
+    fc, items = dims["fc_xref"], dims["items"]
+    header, detail, discounts = store["order_header"], store["order_detail"], store["order_detail_discounts"]
+    held, queue = ingest.hold_partial_shipments(queue, fc)
+    messages = ingest.parse_once(queue, "of", f"{staging}/messages")
+    none = detail.select("item_id").limit(0)
+    shipments = R.stored(ingest.parse_fulfillment(messages), f"{staging}/shipments")
+    lines = ingest.explode_fulfillment_items(messages, none)
+    errors, lines = maintenance.quarantine_already_done(lines, detail, as_of)
+    lines = R.stored(lines, f"{staging}/lines")
+    work = R.stored(fulfillment.fulfillment_worklist(shipments, lines, header, detail, store["credits"], as_of), f"{staging}/work")
+    # only the history of the orders at work is read on
+    due = work.select("order_id")
+    detail_due = detail.join(due, "order_id", "left_semi")
+    stage = fulfillment.stage_fulfillment(shipments, work, lines, header.join(due, "order_id", "left_semi"), detail_due,
+                                          discounts.join(due, "order_id", "left_semi"), store["credit_items"], fc)
+    stage = R.stored(fulfillment.retail_price_fallback(stage, fc, items), f"{staging}/stage")
+    posted = R.union_all(
+        fulfillment_postings(stage, discounts, fc, items, header, f"{staging}/allocation"),
+        *[to_ledger(rows) for rows in (
+            fulfillment.post_make_good(store["order_payments"], stage, store["card_history"], store["cards"]),
+            fulfillment.post_cash_discount(stage, store["order_payments"]),
+            funding.post_vendor_rebate(stage, fc, items, dims["agreements"], as_of))])
+    # a rerun over the same messages posts nothing again
+    keys = ["tran_gl_date", "order_id", "order_line_id", "tran_sub_type_id", "rule_id"]
+    posted = R.stored(ledger.prepared(ledger.not_posted(posted, store["ledger"], keys), store["ledger"], as_of, keys), f"{staging}/posted")
+    posted = R.stored(maintenance.link_rebate_to_fulfillment(posted), f"{staging}/linked")
+    kinds = (funding.post_tpr_funding, funding.post_tpr_funding_bundle, funding.post_as_funding, funding.post_as_funding_bundle)
+    funded = R.union_all(*[to_ledger(f(posted, discounts, fc, items, dims["brands"], as_of=as_of)) for f in kinds])
+    funded = ledger.prepared(ledger.not_posted(funded, store["ledger"], keys), posted, as_of, keys)
+    archived, waiting = maintenance.archive_move(shipments, work, ["order_id"])
+    return {
+        "ledger": posted.unionByName(R.stored(funded, f"{staging}/funded")),
+        "order_detail": fulfillment.update_detail_fulfillment(detail, stage),
+        "order_header": fulfillment.update_header_shipped(header, stage),
+        "errors": errors, "archive": archived, "waiting": waiting, "held": held, "stage": stage,
+    }

@@ -111,3 +111,33 @@ def test_cluster_needs_a_shared_folder():
             master, applicationId = "yarn", "app"
     with pytest.raises(ValueError):
         shared_dir(Session, "x")
+
+
+def test_capture_feeds_fulfillment(spark, sf_dir, tmp_path):
+    """Messages to ledger through two runs, every operator on its upstream operator's output."""
+    from tallyloom.functions import relational as R
+    from tallyloom.plans import pipelines
+    t = registry.Tables(spark, sf_dir)
+    stored = lambda df, name: R.stored(df, str(tmp_path / name))
+    made = pipelines.order_capture(stored(t.queue("oc"), "oc"), *t.many("gift_cards", "gift_cards_legacy"), "2024-01-01", str(tmp_path / "capture"))
+    store = {name: stored(df, name) for name, df in made.items()}
+    none = spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in LEDGER.items()))
+    store |= {"ledger": none, "credits": t("ship_credits"), "credit_items": t("ship_credit_items"), "card_history": t("card_history"), "cards": t("gift_cards")}
+    store["order_header"] = stored(store["order_header"].withColumn("sale_date", F.lit("2022-01-01").cast("date")), "h2")
+    store["order_detail"] = stored(store["order_detail"].withColumn("sale_date", F.lit("2022-01-01").cast("date")), "d2")
+    dims = {"fc_xref": t("fc_xref"), "items": t("curr_items"), "agreements": t("agreements"), "brands": t("brand_records")}
+    shipped = stored(t.queue("of"), "of")
+    out = pipelines.fulfillment_run(shipped, store, dims, "2024-03-01", str(tmp_path / "run"))
+    posted = out["ledger"].collect()
+    kinds = {r.tran_sub_type_id for r in posted}
+    assert {16, 48} <= kinds and all(r.created_at is not None for r in posted)
+    ids = sorted(r.tran_id for r in posted)
+    assert ids == list(range(1, len(ids) + 1))
+    staged = {r.item_id for r in out["stage"].select("item_id").collect()}
+    done = {r.item_id for r in out["order_detail"].filter("fulfillment_date is not null").select("item_id").collect()}
+    assert staged and done == staged
+    last = {r.order_id for r in out["stage"].filter("is_last_shipment").select("order_id").collect()}
+    assert {r.order_id for r in out["order_header"].filter("status = 'shipped'").select("order_id").collect()} == last
+    # the same messages again: every posting is known
+    again = pipelines.fulfillment_run(shipped, store | {"ledger": out["ledger"]}, dims, "2024-03-02", str(tmp_path / "again"))
+    assert again["ledger"].filter("tran_sub_type_id not in (113, 114)").count() == 0
