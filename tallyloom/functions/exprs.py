@@ -1,4 +1,4 @@
-"""Column expressions shared by the operators.  All are built-in functions, so they stay inside codegen."""
+"""Column expressions shared by the operators.  All are built-in functions; those with a lambda run interpreted inside the JVM."""
 
 from __future__ import annotations
 
