@@ -230,6 +230,21 @@ WORK_KEYS = {"gca": "message_uuid", "ocn": "order_id", "ma": "message_uuid", "gc
              "mc": "order_id", "oa": "order_id", "of": "message_uuid", "cm": "credit_id"}
 
 
+def message_keys(queue):
+    """id, s3_updated_at, message_type and key (text) of every message: what makes it a repeat of another of its type."""
+    def of_type(m, key):
+        if m == "gca":
+            rows = messages(queue, "gca", "cards.key").select(
+                "id", "s3_updated_at", typed("doc.cards.card_id", "i").alias("card"), typed("doc.cards.updated_at", "t").alias("moment"),
+                typed("doc.cards.card_delta", "f").alias("amount")).select("id", "s3_updated_at", *_card_key("card", "moment", "amount"))
+            text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("card_id", "updated_at", "delta")])
+        else:
+            rows = messages(queue, m, key)
+            text = F.coalesce(typed(f"doc.{key}", "s" if key == "message_uuid" else "i").cast("string"), F.lit(""))
+        return rows.select("id", "s3_updated_at", F.lit(m).alias("message_type"), text.alias("key"))
+    return R.union_all(*[of_type(m, key) for m, key in WORK_KEYS.items()])
+
+
 def new_message_worklist(queue, message_type, staged, processed):
     """Key and id of messages found neither in staging nor in the archive."""
     key = WORK_KEYS[message_type]

@@ -353,15 +353,15 @@ def _(t):
 
 @query("queue_commit", "id:n message_type:s fate:s")
 def _(t):
-    queue = t.queue("oc", "ma")
-    work = R.union_all(*[ingest.new_message_worklist(queue, m, *work_staged(t, m)).select("id") for m in ("oc", "ma")])
+    queue = t.queue()
+    work = R.union_all(*[ingest.new_message_worklist(queue, m, *work_staged(t, m)).select("id") for m in ingest.WORK_KEYS])
     return fates(*ingest.queue_commit(queue, work), ("processed", "queue"))
 
 
-@query("queue_stream", "id:n fate:s")
+@query("queue_stream", "id:n message_type:s fate:s")
 def _(t):
     from tallyloom.streaming.router import run_once
-    return run_once(t.queue("gca"), shared_dir(t.spark, "stream"))
+    return run_once(t.queue(), shared_dir(t.spark, "stream"), t("fc_xref"))
 
 
 # =========================================================================== P: order and membership postings

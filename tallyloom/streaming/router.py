@@ -1,65 +1,89 @@
-"""The gift-card router as an incremental job.
+"""The message router of all nine types as an incremental job.
 
-Messages arrive as files.  Each micro-batch splits into duplicates and new messages; a
-message is new if its key is in no earlier batch and it is the first of its key in this
-one.  Every batch writes its own folder, overwriting it on a retry, so a batch that runs
-twice leaves one copy.
+Messages arrive as files.  A micro-batch is written once with every message's fate, and all that follows reads that table:
+
+* ``error``: a gift-card adjustment or order cancel whose key came before, in an earlier batch or earlier in this one;
+* ``known``: a message of another type whose key an earlier batch took;
+* ``unprocessed``: a shipment that waits for its last part;
+* ``queue``: taken; it is parsed into its type's staging table and its key is kept.
+
+The first message of a key to arrive counts: inside a batch the earliest by time and id, across batches the one of the earlier batch even
+if its time is later.  Kept keys lie in hash buckets, so a batch joins its own buckets only.  Every batch has its own folders and
+overwrites them on a retry, so a batch that runs twice leaves one copy.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
+from tallyloom.functions import relational as R
 from tallyloom.operators import ingest
 
-KEYS = "card_id bigint, updated_at timestamp_ntz, card_delta double"
-
-
-def _keys(spark: SparkSession, out: str, batch: int) -> DataFrame:
-    """Keys of the batches before this one."""
-    known = spark.read.schema(f"{KEYS}, batch bigint").parquet(f"{out}/keys")
-    return known.filter(F.col("batch") < batch)
-
-
-def route_batch(out: str):
+KEYS = "message_type string, key string, batch bigint, bucket int"
+BUCKETS = 64
+DEDUPED = ("gca", "ocn")
+PARSERS = {
+    "gca": ingest.parse_gift_card_adjustment, "gcf": ingest.parse_gift_card_fulfillment, "ocn": ingest.parse_order_cancel,
+    "ma": ingest.parse_membership_adjustment, "oc": ingest.parse_order_capture, "mc": ingest.parse_membership_capture,
+    "cm": ingest.parse_credit_memo, "of": ingest.parse_fulfillment, "oa": ingest.explode_assignments,
+}
+
+
+def with_fate(batch: DataFrame, known: DataFrame, fc_xref: DataFrame) -> DataFrame:
+    """The batch with key, bucket and fate; ``known``: message_type, bucket, key."""
+    keyed = ingest.message_keys(batch).withColumn("bucket", F.pmod(F.xxhash64("message_type", "key"), F.lit(BUCKETS)).cast("int"))
+    first = R.first_ids(keyed.filter(F.col("message_type").isin(*DEDUPED)), ["message_type", "key"], "s3_updated_at", "id")
+    held, _ = ingest.hold_partial_shipments(batch, fc_xref)
+
+    def marked(ids, name):
+        return ids.select("id").withColumn(name, F.lit(True))
+    flags = (keyed.select("id", "message_type", "key", "bucket")
+             .join(marked(first, "_first"), "id", "left").join(marked(held, "_held"), "id", "left")
+             .join(marked(keyed.join(known, ["message_type", "bucket", "key"], "left_semi"), "_seen"), "id", "left"))
+    seen, deduped = F.coalesce("_seen", F.lit(False)), F.col("message_type").isin(*DEDUPED)
+    fate = (F.when(F.col("_held"), "unprocessed").when(deduped & (seen | F.col("_first").isNull()), "error")
+             .when(seen, "known").otherwise("queue"))
+    return batch.join(flags.select("id", "key", "bucket", fate.alias("fate")), "id")
+
+
+def route_batch(out: str, fc_xref: DataFrame):
     def run(batch_df: DataFrame, batch: int) -> None:
         spark = batch_df.sparkSession
-        known = _keys(spark, out, batch)
-        none = known.limit(0)
-        duplicates, fresh = ingest.dedupe_gift_card_adjustments(batch_df, known, none, none)
-        parsed = ingest.parse_gift_card_adjustment(fresh)
-        for fate, rows in (("error", duplicates.drop("error_message")), ("processed", fresh)):
-            rows.write.mode("overwrite").parquet(f"{out}/{fate}/batch={batch}")
-        parsed.write.mode("overwrite").parquet(f"{out}/staging/batch={batch}")
-        parsed.select("card_id", "updated_at", "card_delta").write.mode("overwrite").parquet(f"{out}/keys/batch={batch}")
+        known = spark.read.schema(KEYS).parquet(f"{out}/keys").filter(F.col("batch") < batch)
+        routed = with_fate(batch_df, known.select("message_type", "bucket", "key"), fc_xref)
+        path = f"{out}/routed/batch={batch}"
+        routed.write.mode("overwrite").partitionBy("message_type", "fate").parquet(path)
+        taken = spark.read.schema(routed.schema).parquet(path).filter("fate = 'queue'")
+        for message_type, parse in PARSERS.items():
+            parse(taken.filter(F.col("message_type") == message_type)).write.mode("overwrite").parquet(f"{out}/staging/{message_type}/batch={batch}")
+        (taken.select("message_type", "key", "bucket").distinct().repartition("bucket")
+              .write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/keys/batch={batch}"))
     return run
 
 
-def start_router(messages: DataFrame, out: str):
+def start_router(messages: DataFrame, out: str, fc_xref: DataFrame):
     """Start the job on a streaming DataFrame of queue rows; it stops once all waiting files are done."""
     spark = messages.sparkSession
-    # an empty first batch folder gives the key table its schema
-    spark.createDataFrame([], KEYS).write.mode("overwrite").parquet(f"{out}/keys/batch=-1")
-    return (messages.writeStream.foreachBatch(route_batch(out)).option("checkpointLocation", f"{out}/checkpoint")
+    # an empty first batch folder gives the key table its place
+    spark.createDataFrame([], "message_type string, key string").write.mode("overwrite").parquet(f"{out}/keys/batch=-1/bucket=0")
+    return (messages.writeStream.foreachBatch(route_batch(out, fc_xref)).option("checkpointLocation", f"{out}/checkpoint")
             .trigger(availableNow=True).start())
 
 
-def run_once(queue: DataFrame, folder: str, files_per_batch: int = 4) -> DataFrame:
-    """Write a queue as files, stream them through the router, and return ids with their fate."""
+def run_once(queue: DataFrame, folder: str, fc_xref: DataFrame, **limits) -> DataFrame:
+    """Write a queue as files, stream them through the router, and return ids with their fate.
+
+    ``limits``: options of the stream's reader, such as maxBytesPerTrigger.
+    """
     spark = queue.sparkSession
-    out = f"{folder}/{uuid.uuid4().hex}"
-    queue.write.parquet(f"{out}/incoming")
-    stream = (spark.readStream.schema(queue.schema).option("maxFilesPerTrigger", files_per_batch)
-              .parquet(f"{out}/incoming"))
-    start_router(stream, out).awaitTermination()
-    return fates(spark, out, queue.schema)
+    queue.write.parquet(f"{folder}/incoming")
+    stream = spark.readStream.schema(queue.schema).options(**limits).parquet(f"{folder}/incoming")
+    start_router(stream, folder, fc_xref).awaitTermination()
+    return fates(spark, folder, queue.schema)
 
 
 def fates(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
-    done = [spark.read.schema(schema).parquet(f"{out}/{fate}").select("id", F.lit(name).alias("fate"))
-            for fate, name in (("error", "error"), ("processed", "queue"))]
-    return done[0].unionByName(done[1])
+    routed = StructType(list(schema.fields)).add("fate", StringType()).add("batch", LongType())
+    return spark.read.schema(routed).parquet(f"{out}/routed").select("id", "message_type", "fate")

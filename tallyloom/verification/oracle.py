@@ -131,9 +131,10 @@ SQL["parse_membership_capture"] = "SELECT * FROM membership"
 SQL["explode_membership_payments"] = "SELECT * FROM membership_payments"
 SQL["explode_membership_gift_cards"] = "SELECT * FROM membership_gift_cards"
 SQL["explode_assignments"] = "SELECT * FROM assignments"
-SQL["hold_partial_shipments"] = """SELECT id, CASE WHEN (CASE WHEN k % 8 = 3 THEN NULL ELSE k % 3 <> 0 END) = false AND EXISTS
+LOCAL["held_parts"] = """SELECT id, CASE WHEN (CASE WHEN k % 8 = 3 THEN NULL ELSE k % 3 <> 0 END) = false AND EXISTS
  (SELECT 1 FROM capture_items c JOIN fc_xref f ON f.is_hj AND f.fc_id = (q.k + c.item_id - q.k * 8) % 6 + 1 WHERE c.order_id = q.k)
  THEN 'unprocessed' ELSE 'queue' END AS fate FROM q_of q"""
+SQL["hold_partial_shipments"] = "SELECT * FROM held_parts"
 SQL["parse_fulfillment"] = """SELECT uuid AS message_uuid, k AS order_id, 100000000 + k AS increment_id, custkey AS customer_id,
  CASE WHEN k % 4 = 1 THEN '[' || CAST(900000000 + k AS VARCHAR) || ']' END AS credit_memo_id, k % 4 <> 2 AS is_last_shipment,
  created_at + INTERVAL 72 HOUR AS updated_at FROM q_of"""
@@ -147,9 +148,14 @@ SQL["explode_credit_items"] = """SELECT i.* EXCLUDE (order_id), c.order_id FROM
 SQL["credit_refunds"] = "SELECT * FROM credit_refunds"
 SQL["credit_gift_cards"] = "SELECT * FROM credit_gift_cards"
 SQL["credit_cash"] = f"""SELECT credit_id, 1 AS tc_id, total_{CASH} AS tc_amt, message_uuid FROM credits WHERE total_{CASH} <> 0"""
-SQL["queue_commit"] = """SELECT (k * 4 + 1) * 16 + 1 AS id, 'oc' AS message_type, CASE WHEN k % 25 IN (1, 2) THEN 'queue' ELSE 'processed' END AS fate FROM orders_z
- UNION ALL SELECT (k * 4 + 1) * 16 + 7, 'ma', CASE WHEN k % 25 IN (1, 2) THEN 'queue' ELSE 'processed' END FROM orders_z WHERE k % 8 = 2"""
-SQL["queue_stream"] = """SELECT id, CASE WHEN row_number() OVER (PARTITION BY dup_key ORDER BY copy, id) > 1 THEN 'error' ELSE 'queue' END AS fate FROM q_gca"""
+_sent = {"ma": "WHERE k % 8 = 2"}
+SQL["queue_commit"] = " UNION ALL ".join(
+    f"SELECT {i} AS id, '{m}' AS message_type, CASE WHEN ({rest}) IN (1, 2) THEN 'queue' ELSE 'processed' END AS fate FROM {src} {_sent.get(m, '')}"
+    for m, (src, _, i, rest) in _work.items())
+SQL["queue_stream"] = """SELECT id, 'gca' AS message_type, CASE WHEN row_number() OVER (PARTITION BY dup_key ORDER BY copy, id) > 1 THEN 'error' ELSE 'queue' END AS fate FROM q_gca
+ UNION ALL SELECT id, 'ocn', CASE WHEN copy > 1 THEN 'error' ELSE 'queue' END FROM q_ocn
+ UNION ALL SELECT id, 'of', fate FROM held_parts""" + "".join(
+    f" UNION ALL SELECT {i}, '{m}', 'queue' FROM {src} {_sent.get(m, '')}" for m, (src, _, i, rest) in _work.items() if m not in ("gca", "ocn", "of"))
 
 # --------------------------------------------------------------------------- P
 LOCAL["free_orders"] = f"SELECT DISTINCT order_id FROM capture_payments WHERE payment_gateway = '{ZERO_CHARGE}'"

@@ -21,7 +21,7 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     queue = spark.read.parquet(str(tmp_path / "q"))
     none = table(spark, sf_dir, "card_moves").limit(0)
     doubled, fresh = ingest.dedupe_gift_card_adjustments(queue, none, none, none)
-    streamed = run_once(queue, str(tmp_path / "s"), files_per_batch=1)
+    streamed = run_once(queue, str(tmp_path / "s"), table(spark, sf_dir, "fc_xref"), maxFilesPerTrigger=1)
     assert {r.id for r in streamed.filter("fate = 'error'").collect()} == {r.id for r in doubled.collect()}
     assert {r.id for r in streamed.filter("fate = 'queue'").collect()} == {r.id for r in fresh.collect()}
 
