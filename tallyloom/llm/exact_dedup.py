@@ -19,7 +19,8 @@ from tallyloom.llm.storage import located, shared_folder, stored
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",  # all stores of an executor together
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else every store reserves megabytes of disk ahead
 }
 BATCH = 64 * 2**30  # bytes of arrivals per micro-batch

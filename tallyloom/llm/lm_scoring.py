@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import textnp
+from tallyloom.llm.storage import small_batches
 from tallyloom.llm.sums import SCHEMA, chunked, collected
 
 DIGIT, SIDE, WIDTH, HIDDEN = 64, 2, 16, 32
@@ -179,6 +180,7 @@ def lm_scores(docs: DataFrame, rounds: int = 1) -> DataFrame:
 
     Null and empty texts have no tokens and score 0.
     """
+    small_batches(docs.sparkSession)
     model = train(docs, rounds)
 
     def run(batches):

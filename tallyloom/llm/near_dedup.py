@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import textnp
 from tallyloom.llm.graph import components
-from tallyloom.llm.storage import located, shared_folder, stored
+from tallyloom.llm.storage import located, shared_folder, small_batches, stored
 
 BANDS, ROWS = 48, 6
 PER_BLOCK = 256
@@ -238,6 +238,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, ban
     take part; their component has the smallest doc_id there is, null if there is none.
     """
     spark, folder = docs.sparkSession, shared_folder(docs.sparkSession)
+    small_batches(spark)
     rows = located(docs, folder)
     t = bands * per_band
     base = stored(sketches(rows, words, bands, per_band).withColumn("node", F.monotonically_increasing_id()), f"{folder}/sketches")

@@ -30,6 +30,11 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{named.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows per Arrow batch for the operators whose tasks run Python: texts are long, and a batch is held whole in a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def stored(df: DataFrame, path: str, codec: str = "zstd") -> DataFrame:
     """Write a table and hand it back; a lost executor rereads it and the lineage ends there."""
     df.write.mode("overwrite").option("compression", codec).parquet(path)

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.storage import small_batches
+
 VOCABULARY = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
 WORD = re.compile(r"[^\s▁]+")
@@ -83,7 +85,7 @@ class PieceAutomaton:
             node = fail[node]
         out = total if node == 1 else 0
         if len(word) <= 32:
-            if len(self.known) > 400_000:
+            if len(self.known) > 100_000:
                 self.known.clear()
             self.known[word] = out
         return out
@@ -94,6 +96,7 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
     Words are runs without white space; one row per row of ``docs``.
     """
+    small_batches(docs.sparkSession)
     first, rest = pieces(vocabulary)
 
     def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -8,6 +8,9 @@ stems match any ending and allow none.
 Hits are weighed in their context window: inside quotation marks or after a word of saying they count apart from hits
 next to a second person or an intensifier.  A logistic model over these counts, fitted in numpy, gives the score.
 
+The model is fitted on cross-fitted counts: the terms that score a half of the sample are learned on the other half, so a term that
+is there by chance shows as such; the final lexicon is learned on both.
+
 Learning reads at most SAMPLE labelled rows (smallest hash of the id first) outside the held-out quarter; term counts over
 that sample are summed by Spark, and what reaches the driver is at most CANDIDATES terms and SAMPLE feature rows.  Scoring is one map
 over the documents.
@@ -22,14 +25,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.storage import small_batches
+
 SEED_TERMS = ("idiot moron stupid imbecile loser clown scum trash garbage worthless pathetic disgusting vermin filth "
               "dumb retard bastard jerk freak pig coward liar creep fool hate despise").split()
 SAYING = frozenset("said says wrote writes called quoted quote reported allegedly term word".split())
 AIMED = frozenset("you your youre u yourself such so total absolute complete utter".split())
 QUOTES = "\"'“”«»„‘’"
-SAMPLE, CANDIDATES, TERMS = 6000, 4000, 400
+SAMPLE, CANDIDATES, TERMS = 6000, 8000, 1000
 STEMS = range(4, 9)
-EVIDENCE = 36.0  # log-likelihood ratio that a term needs; chance alone gives this about once in 10^8 terms
+EVIDENCE = 20.0  # log-likelihood ratio that a term needs; chance alone gives this about once in 10^5 terms
 WINDOW = 5
 CUT = 0.3
 FEATURES = 8
@@ -113,7 +118,7 @@ class TermAutomaton:
                 break
             found = self.stems[state] or found
         hit = (self.accepts[state] if state >= 0 else None) or found
-        if len(self.words) > 400_000:
+        if len(self.words) > 100_000:
             self.words.clear()
         self.words[word] = hit
         return hit
@@ -161,41 +166,61 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
 
 
-def learned_terms(rows: DataFrame) -> tuple[list[tuple[str, bool, float]], int, int]:
-    """Whole words and stems that toxic rows of the sample have far more often, and the rows of both kinds."""
+def half(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit(1), doc_id), F.lit(2)).cast("int")
+
+
+def term_counts(rows: DataFrame) -> list[tuple[str, list[int]]]:
+    """Whole words ("w$") and stems of toxic rows with the rows that have them, [clean, toxic] of half 0 and of half 1; "" counts the rows."""
+    names = ["c0", "t0", "c1", "t1"]
+
     def count(frames):
         for frame in frames:
-            seen: dict[str, list[int]] = {"": [0, 0]}
-            for text, toxic in zip(frame["text"], frame["toxic"]):
-                seen[""][toxic] += 1
+            seen: dict[str, list[int]] = {"": [0, 0, 0, 0]}
+            for text, toxic, half in zip(frame["text"], frame["toxic"], frame["half"]):
+                at = 2 * half + toxic
+                seen[""][at] += 1
                 words = {w for w in WORD.findall((text or "").lower()) if len(w) >= 4}
                 for term in {w + "$" for w in words} | {w[:k] for w in words for k in STEMS if k <= len(w)}:
-                    seen.setdefault(term, [0, 0])[toxic] += 1
-            yield pd.DataFrame({"term": list(seen), "clean": [x[0] for x in seen.values()], "toxic": [x[1] for x in seen.values()]})
-    sums = rows.mapInPandas(count, "term string, clean bigint, toxic bigint").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    top = (sums.filter("term = '' or (toxic >= 5 and toxic >= 4 * clean)").orderBy((F.col("term") == "").desc(), F.col("toxic").desc(), "term")
-           .limit(CANDIDATES + 1).collect())
-    whole = {r.term: (r.clean, r.toxic) for r in top}
+                    seen.setdefault(term, [0, 0, 0, 0])[at] += 1
+            yield pd.DataFrame({"term": list(seen), **{n: [x[k] for x in seen.values()] for k, n in enumerate(names)}})
+    sums = rows.mapInPandas(count, "term string, " + ", ".join(f"{n} bigint" for n in names)).groupBy("term").agg(*[F.sum(n).alias(n) for n in names])
+    likely = "term = '' or (t0 + t1 >= 5 and t0 + t1 >= 4 * (c0 + c1)) or (t0 >= 5 and t0 >= 4 * c0) or (t1 >= 5 and t1 >= 4 * c1)"
+    top = sums.filter(likely).orderBy((F.col("term") == "").desc(), (F.col("t0") + F.col("t1")).desc(), "term").limit(CANDIDATES + 1).collect()
+    return [(r.term, [r[n] for n in names]) for r in top]
+
+
+def learned_terms(counts: list[tuple[str, list[int]]], halves=(0, 1)) -> tuple[list[tuple[str, bool, float]], int, int]:
+    """(terms, clean rows, toxic rows) of the halves: terms with enough evidence, most frequent first, none that a kept stem covers."""
+    whole = {term: (sum(c[2 * h] for h in halves), sum(c[2 * h + 1] for h in halves)) for term, c in counts}
     n0, n1 = whole.pop("", (0, 0))
     if not n0 or not n1:
         return [], n0, n1
     rate = n1 / (n0 + n1)
     kept: list[tuple[str, bool, float]] = []
+    stems: set[str] = set()
 
     def evidence(clean, toxic):
         p = toxic / (clean + toxic)
-        gain = toxic * math.log(p / rate) + (clean * math.log((1 - p) / (1 - rate)) if clean else 0.0)
-        return 2 * gain
+        return 2 * (toxic * math.log(p / rate) + (clean * math.log((1 - p) / (1 - rate)) if clean else 0.0))
     for term, (clean, toxic) in sorted(whole.items(), key=lambda x: (-x[1][1], len(x[0]), x[0])):
         stem, text = not term.endswith("$"), term.rstrip("$")
-        if evidence(clean, toxic) < EVIDENCE or any(text.startswith(t) and s for t, s, _ in kept):
+        if toxic < 5 or toxic < 4 * clean or evidence(clean, toxic) < EVIDENCE or any(text[:k] in stems for k in STEMS):
             continue
         kept.append((text, stem, math.log((toxic + 0.5) / (clean + 0.5) * n0 / n1)))
+        if stem:
+            stems.add(text)
         if len(kept) == TERMS:
             break
     return kept, n0, n1
 
 
+def lexicon(terms: list[tuple[str, bool, float]]) -> list[tuple[str, bool, float]]:
+    """Learned terms and the seed terms that they don't cover."""
+    known, stems = {t for t, _, _ in terms}, tuple(t for t, stem, _ in terms if stem)
+    return terms + [(t, False, 2.0) for t in SEED_TERMS if t not in known and not t.startswith(stems)]
+
+
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 30) -> np.ndarray:
     """Logistic regression by Newton steps; the last weight is the intercept."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -216,19 +241,19 @@ DEFAULT = np.array([2.0, 1.0, 0.2, 0.5, 0.5, 0.2, 0.1, 0.2, -3.0])
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, bool, float]], np.ndarray]:
-    rows = sample(docs, labels)
-    terms, n0, n1 = learned_terms(rows)
-    known = {t for t, _, _ in terms}
-    lexicon = terms + [(t, False, 2.0) for t in SEED_TERMS if not any(t == k or (s and t.startswith(k)) for k, s, _ in terms) and t not in known]
+    rows = sample(docs, labels).withColumn("half", half(F.col("doc_id"))).select("text", "toxic", "half")
+    counts = term_counts(rows)
+    terms, n0, n1 = learned_terms(counts)
     if not n0 or not n1:
-        return lexicon, DEFAULT
+        return lexicon(terms), DEFAULT
+    others = [lexicon(learned_terms(counts, (1 - h,))[0]) for h in (0, 1)]
 
     def run(frames):
-        automaton = TermAutomaton(lexicon)
+        automata = [TermAutomaton(terms) for terms in others]
         for frame in frames:
-            yield pd.DataFrame({"x": [features(t, automaton) for t in frame["text"]], "toxic": frame["toxic"]})
-    found = rows.select("text", "toxic").mapInPandas(run, "x array<double>, toxic int").collect()
-    return lexicon, fit(np.array([r.x for r in found]), np.array([r.toxic for r in found], float))
+            yield pd.DataFrame({"x": [features(t, automata[h]) for t, h in zip(frame["text"], frame["half"])], "toxic": frame["toxic"]})
+    found = rows.mapInPandas(run, "x array<double>, toxic int").collect()
+    return lexicon(terms), fit(np.array([r.x for r in found]), np.array([r.toxic for r in found], float))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -237,10 +262,11 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null or unknown labels are left out; an id with several labels counts as toxic if one of them says so.  With no labels of
     both kinds the seed terms and fixed weights apply.
     """
-    lexicon, weights = train(docs, labels)
+    small_batches(docs.sparkSession)
+    terms, weights = train(docs, labels)
 
     def score(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = TermAutomaton(lexicon)
+        automaton = TermAutomaton(terms)
         for texts in series:
             x = np.array([features(t, automaton) for t in texts]).reshape(-1, FEATURES)
             yield pd.Series(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))
