@@ -338,6 +338,13 @@ def test_recall_of_verbatim_items(spark, sf_dir):
     assert wanted and wanted <= found and len(found) <= len(wanted) + 2
 
 
+def test_shouted_items_with_accents(spark, tmp_path):
+    item = "la forêt où l'été dernier élève et maître cherchaient des œufs près du château évoquait un rêve âgé de mille années"
+    docs = made(spark, tmp_path, [(1, "x y z " * 30 + item.upper().replace(" ", "!! ")), (2, "x y z " * 50)])
+    bench = spark.createDataFrame([(5, item)], "item_id bigint, text string")
+    assert {r.row.doc_id: len(r.hits) for r in decontaminate.contamination(docs, bench).collect()} == {1: 1, 2: 0}
+
+
 # ---------------------------------------------------------------- 9
 
 def test_url_rules(spark):
