@@ -9,13 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import decontaminate, exact_dedup, mixing, near_dedup, toxicity as toxic_terms
-from tallyloom.llm.storage import located, shared_folder, stored
+from tallyloom.llm.storage import dropped, located, shared_folder, stored
 
 
-def _staying(docs: DataFrame, verdicts: DataFrame, stays: str) -> DataFrame:
-    """Rows of ``docs`` whose locator ``verdicts`` marks; only the locators of rows that go are joined."""
-    rows = located(docs, shared_folder(docs.sparkSession))
-    gone = verdicts.filter(~F.col(stays)).select("file", "at")
+def _staying(docs: DataFrame, operator, stays: str) -> DataFrame:
+    """Rows of ``docs`` that the operator's column ``stays`` marks.
+
+    The locators of the rows that go are written, and the operator's working tables are deleted, before the join.
+    """
+    spark = docs.sparkSession
+    folder = shared_folder(spark)
+    verdicts = operator(docs, folder=f"{folder}/work")
+    gone = stored(verdicts.filter(~F.col(stays)).select("file", "at"), f"{folder}/gone")
+    rows = located(docs, folder)
+    dropped(spark, f"{folder}/work")
     return rows.join(gone, ["file", "at"], "left_anti").select("row.*")
 
 
@@ -27,12 +34,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, the one with the largest doc_id."""
-    return _staying(docs, exact_dedup.exact_duplicates(docs), "kept")
+    return _staying(docs, exact_dedup.exact_duplicates, "kept")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id; sets of five-word runs."""
-    return _staying(docs, near_dedup.near_duplicates(docs), "stays")
+    return _staying(docs, near_dedup.near_duplicates, "stays")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

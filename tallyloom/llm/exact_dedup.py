@@ -68,14 +68,14 @@ def collisions(texts: DataFrame, groups: DataFrame, folder: str) -> DataFrame:
     return hits.join(kept, ["digest", "block"]).filter("text <> kept").select("digest").distinct()
 
 
-def exact_duplicates(docs: DataFrame, digest=sha256) -> DataFrame:
+def exact_duplicates(docs: DataFrame, digest=sha256, folder: str | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, and the locator (file, at).
 
     Texts are equal when they are identical; null counts as empty.  Of equal texts the row with the largest doc_id stays; of rows
     that also repeat the doc_id the last by (file, at), so exactly one row of a group has ``kept``.  A null doc_id is smaller
-    than any other.  ``digest`` maps a text column to a string column.
+    than any other.  ``digest`` maps a text column to a string column.  The result reads tables under ``folder`` (default: a new one).
     """
-    spark, folder = docs.sparkSession, shared_folder(docs.sparkSession)
+    spark, folder = docs.sparkSession, folder or shared_folder(docs.sparkSession)
     rows = located(docs, folder).select(F.col("row.doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("row.text").cast("string"), F.lit("")).alias("text"), "file", "at")
     arrivals = stored(rows.select(digest(F.col("text")).alias("digest"), sha256(F.col("text")).alias("text_sha256"), "doc_id", "file", "at"), f"{folder}/arrivals")
     stream = spark.readStream.schema(arrivals.schema).option("maxBytesPerTrigger", BATCH).parquet(f"{folder}/arrivals")

@@ -230,14 +230,16 @@ def _rest(members: DataFrame, comps: DataFrame, reps: DataFrame, rows: DataFrame
     return stored(tiles.mapInArrow(run, "a bigint, b bigint"), f"{folder}/links")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, bands: int = BANDS, per_band: int = ROWS,
+                    folder: str | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id = component_id), and
     file, at, stays: of the rows of a component exactly one stays, also where rows repeat a doc_id.
 
     One row per input row.  Documents without words have an empty set and are linked with nothing.  Rows without a doc_id
-    take part; their component has the smallest doc_id there is, null if there is none.
+    take part; their component has the smallest doc_id there is, null if there is none.  The result reads tables under ``folder``
+    (default: a new one).
     """
-    spark, folder = docs.sparkSession, shared_folder(docs.sparkSession)
+    spark, folder = docs.sparkSession, folder or shared_folder(docs.sparkSession)
     small_batches(spark)
     rows = located(docs, folder)
     t = bands * per_band

@@ -41,6 +41,12 @@ def stored(df: DataFrame, path: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete a folder of tables that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def located(docs: DataFrame, folder: str) -> DataFrame:
     """``docs`` as one struct column ``row`` with its content locator (``file``, ``at``: row number in the file).
 
