@@ -2,8 +2,9 @@
 
 The lexicon (seed terms and terms learned from labelled rows) is a trie.  A word is read by the product of the trie with
 the Levenshtein automaton: a state is a set of (trie node, edits so far), built when first met and kept, so reading a character
-is one lookup and a word that no term is near leaves the automaton after a few characters.  Longer terms allow more edits; learned
-stems match any ending and allow none.
+is one lookup and a word that no term is near leaves the automaton after a few characters.  Longer terms allow more edits, at any
+letter.  Learned terms are whole words; a learned stem matches any ending, allows no edits, and stands beside the words only where
+other words than those bear it out.
 
 Hits are weighed in their context window: inside quotation marks or after a word of saying they count apart from hits
 next to a second person or an intensifier.  A logistic model over these counts, fitted in numpy, gives the score.
@@ -36,20 +37,21 @@ SAMPLE, CANDIDATES, TERMS = 6000, 8000, 1000
 STEMS = range(4, 9)
 EVIDENCE = 20.0  # log-likelihood ratio that a term needs; chance alone gives this about once in 10^5 terms
 WINDOW = 5
+STATES = 50_000  # states that an automaton keeps before it starts afresh
 CUT = 0.3
 FEATURES = 8
 WORD = re.compile(r"\w+")
 
 
 def edits_allowed(term: str) -> int:
-    return 0 if len(term) < 6 else 1 if len(term) < 10 else 2
+    return 0 if len(term) < 5 else 1 if len(term) < 8 else 2
 
 
 class TermAutomaton:
-    """``terms``: (text, is_stem, weight).  ``read`` gives (term number, edits) of a word or None."""
+    """``terms``: (text, is_stem, weight).  ``read`` gives (term number, edits) of a word or None; ``anywhere``: edits at the first letter too."""
 
-    def __init__(self, terms: list[tuple[str, bool, float]]):
-        self.terms = terms
+    def __init__(self, terms: list[tuple[str, bool, float]], anywhere: bool = False):
+        self.terms, self.anywhere = terms, anywhere
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[list[int]] = [[]]
         self.budget = [0]
@@ -64,19 +66,23 @@ class TermAutomaton:
                 node = self.children[node][c]
                 self.budget[node] = max(self.budget[node], most)
             self.ends[node].append(number)
+            self.budget[0] = max(self.budget[0], most if anywhere else 0)
+        self.words: dict[str, tuple[int, int] | None] = {}
+        self._afresh()
+
+    def _afresh(self) -> None:
         self.names: dict[frozenset, int] = {}
         self.states: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
         self.accepts: list[tuple[int, int] | None] = []
         self.stems: list[tuple[int, int] | None] = []
         self.start = self._state({0: 0})
-        self.words: dict[str, tuple[int, int] | None] = {}
 
     def _state(self, edits: dict[int, int]) -> int:
         todo = list(edits)
         while todo:  # skipping letters of a term
             node = todo.pop()
-            if node and edits[node] < self.budget[node]:
+            if (node or self.anywhere) and edits[node] < self.budget[node]:
                 for child in self.children[node].values():
                     e = edits[node] + 1
                     if e <= self.budget[child] and e < edits.get(child, 99):
@@ -99,9 +105,9 @@ class TermAutomaton:
         for node, e in self.states[state]:
             for letter, child in self.children[node].items():
                 cost = e + (letter != c)
-                if (node or letter == c) and cost <= self.budget[child] + (letter == c and e == 0) * 99 and cost < out.get(child, 99):
+                if (node or self.anywhere or letter == c) and cost <= self.budget[child] + (letter == c and e == 0) * 99 and cost < out.get(child, 99):
                     out[child] = cost
-            if node and e < self.budget[node] and e + 1 < out.get(node, 99):  # a letter too many
+            if (node or self.anywhere) and e < self.budget[node] and e + 1 < out.get(node, 99):  # a letter too many
                 out[node] = e + 1
         to = self._state(out) if out else -1
         self.moves[state][c] = to
@@ -110,6 +116,8 @@ class TermAutomaton:
     def read(self, word: str) -> tuple[int, int] | None:
         if word in self.words:
             return self.words[word]
+        if len(self.states) > STATES:
+            self._afresh()
         state, found = self.start, None
         for c in word:
             to = self.moves[state].get(c)
@@ -146,7 +154,7 @@ def features(text: str | None, automaton: TermAutomaton) -> list[float]:
             fuzzy += edits > 0 and not inside
             aimed += not inside and not AIMED.isdisjoint(around)
             strongest = max(strongest, weight if edits == 0 else weight / 2)
-            total += weight
+            total += weight if edits == 0 else weight / 2
     distinct = len({n for n, _ in hits.values()})
     return [math.log1p(exact), math.log1p(fuzzy), math.log1p(quoted), math.log1p(aimed), float(min(distinct, 10)),
             strongest, 100 * (exact + fuzzy) / (len(words) + 10), math.log1p(total)]
@@ -186,39 +194,49 @@ def term_counts(rows: DataFrame) -> list[tuple[str, list[int]]]:
             yield pd.DataFrame({"term": list(seen), **{n: [x[k] for x in seen.values()] for k, n in enumerate(names)}})
     sums = rows.mapInPandas(count, "term string, " + ", ".join(f"{n} bigint" for n in names)).groupBy("term").agg(*[F.sum(n).alias(n) for n in names])
     likely = "term = '' or (t0 + t1 >= 5 and t0 + t1 >= 4 * (c0 + c1)) or (t0 >= 5 and t0 >= 4 * c0) or (t1 >= 5 and t1 >= 4 * c1)"
-    top = sums.filter(likely).orderBy((F.col("term") == "").desc(), (F.col("t0") + F.col("t1")).desc(), "term").limit(CANDIDATES + 1).collect()
+    top = sums.filter(likely).orderBy((F.col("term") == "").desc(), F.endswith("term", F.lit("$")).desc(), (F.col("t0") + F.col("t1")).desc(), "term").limit(CANDIDATES + 1).collect()
     return [(r.term, [r[n] for n in names]) for r in top]
 
 
 def learned_terms(counts: list[tuple[str, list[int]]], halves=(0, 1)) -> tuple[list[tuple[str, bool, float]], int, int]:
-    """(terms, clean rows, toxic rows) of the halves: terms with enough evidence, most frequent first, none that a kept stem covers."""
+    """(terms, clean rows, toxic rows) of the halves: the whole words with enough evidence, most frequent first, then stems.
+
+    A stem needs evidence without its most frequent word (or longer stem): the toxic rows beyond that one's, against all its clean rows.
+    """
     whole = {term: (sum(c[2 * h] for h in halves), sum(c[2 * h + 1] for h in halves)) for term, c in counts}
     n0, n1 = whole.pop("", (0, 0))
     if not n0 or not n1:
         return [], n0, n1
     rate = n1 / (n0 + n1)
-    kept: list[tuple[str, bool, float]] = []
-    stems: set[str] = set()
 
-    def evidence(clean, toxic):
+    def enough(clean, toxic):
+        if toxic < 5 or toxic < 4 * clean:
+            return False
         p = toxic / (clean + toxic)
-        return 2 * (toxic * math.log(p / rate) + (clean * math.log((1 - p) / (1 - rate)) if clean else 0.0))
-    for term, (clean, toxic) in sorted(whole.items(), key=lambda x: (-x[1][1], len(x[0]), x[0])):
-        stem, text = not term.endswith("$"), term.rstrip("$")
-        if toxic < 5 or toxic < 4 * clean or evidence(clean, toxic) < EVIDENCE or any(text[:k] in stems for k in STEMS):
-            continue
-        kept.append((text, stem, math.log((toxic + 0.5) / (clean + 0.5) * n0 / n1)))
-        if stem:
-            stems.add(text)
-        if len(kept) == TERMS:
-            break
-    return kept, n0, n1
+        return 2 * (toxic * math.log(p / rate) + (clean * math.log((1 - p) / (1 - rate)) if clean else 0.0)) >= EVIDENCE
+
+    def weight(clean, toxic):
+        return math.log((toxic + 0.5) / (clean + 0.5) * n0 / n1)
+    good = [(term, *c) for term, c in sorted(whole.items(), key=lambda x: (-x[1][1], len(x[0]), x[0])) if enough(*c)]
+    words = [(term[:-1], clean, toxic) for term, clean, toxic in good if term.endswith("$")][:TERMS]
+    kept = [(text, False, weight(clean, toxic)) for text, clean, toxic in words]
+    parts = {text: toxic for text, _, toxic in words}
+    stems = []
+    for text, clean, toxic in sorted((x for x in good if not x[0].endswith("$")), key=lambda x: (-len(x[0]), -x[2], x[0])):
+        under = [p for p in parts if p.startswith(text)]
+        own = toxic - max((parts[p] for p in under), default=0)
+        if enough(clean, own):
+            stems.append((own, text, weight(clean, own)))
+            for p in under:
+                del parts[p]
+            parts[text] = toxic
+    return kept + [(text, True, w) for _, text, w in sorted(stems, key=lambda x: (-x[0], x[1]))[:TERMS]], n0, n1
 
 
 def lexicon(terms: list[tuple[str, bool, float]]) -> list[tuple[str, bool, float]]:
-    """Learned terms and the seed terms that they don't cover."""
-    known, stems = {t for t, _, _ in terms}, tuple(t for t, stem, _ in terms if stem)
-    return terms + [(t, False, 2.0) for t in SEED_TERMS if t not in known and not t.startswith(stems)]
+    """Learned terms and the seed terms that aren't among the learned words."""
+    known = {t for t, stem, _ in terms if not stem}
+    return terms + [(t, False, 2.0) for t in SEED_TERMS if t not in known]
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 30) -> np.ndarray:
@@ -249,7 +267,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, bool, flo
     others = [lexicon(learned_terms(counts, (1 - h,))[0]) for h in (0, 1)]
 
     def run(frames):
-        automata = [TermAutomaton(terms) for terms in others]
+        automata = [TermAutomaton(terms, anywhere=True) for terms in others]
         for frame in frames:
             yield pd.DataFrame({"x": [features(t, automata[h]) for t, h in zip(frame["text"], frame["half"])], "toxic": frame["toxic"]})
     found = rows.mapInPandas(run, "x array<double>, toxic int").collect()
@@ -266,7 +284,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     terms, weights = train(docs, labels)
 
     def score(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = TermAutomaton(terms)
+        automaton = TermAutomaton(terms, anywhere=True)
         for texts in series:
             x = np.array([features(t, automaton) for t in texts]).reshape(-1, FEATURES)
             yield pd.Series(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))

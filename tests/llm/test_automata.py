@@ -68,6 +68,36 @@ def test_quotation_counts_apart():
     assert toxicity.features(None, automaton) == [0.0] * toxicity.FEATURES
 
 
+def test_edits_at_any_letter():
+    rng = random.Random(5)
+    texts = ("abcabca", "bcabca", "cab", "abcabcabcab", "aaaaab", "ccbaa")
+    automaton = toxicity.TermAutomaton([(t, False, 1.0) for t in texts], anywhere=True)
+    for _ in range(5000):
+        w = "".join(rng.choices("abc", k=rng.randint(1, 12)))
+        near = [d for t in texts if (d := distance(w, t)) <= toxicity.edits_allowed(t)]
+        got = automaton.read(w)
+        assert (got and got[1]) == (min(near) if near else None)
+
+
+def test_learned_words_stand_beside_stems():
+    words = "disgusting idiot trash pathetic".split()
+    counts = [("", [1000, 100, 1000, 100])]
+    for w in words:
+        counts += [(w + "$", [0, 20, 0, 20])] + [(w[:k], [0, 20, 0, 20]) for k in toxicity.STEMS if k <= len(w)]
+    counts += [("grum$", [0, 4, 0, 4]), ("grum", [0, 30, 0, 30])]  # many rare words with one beginning
+    terms = toxicity.lexicon(toxicity.learned_terms(counts)[0])
+    assert set(words) | set(toxicity.SEED_TERMS) <= {t for t, stem, _ in terms if not stem}
+    assert [t for t, stem, _ in terms if stem] == ["grum"]
+    automaton = toxicity.TermAutomaton(terms, anywhere=True)
+    for typo, word in {"dsgusting": "disgusting", "patehtic": "pathetic", "idiots": "idiot", "xdiot": "idiot", "diot": "idiot",
+                       "trrash": "trash", "wortless": "worthless"}.items():
+        hit = automaton.read(typo)
+        assert (hit and automaton.terms[hit[0]][0]) == word, typo
+    for clean in "disguise path pathway ideology tradition worth worthy".split():
+        assert automaton.read(clean) is None, clean
+    assert automaton.read("grumble") is not None
+
+
 def test_bit_parallel_lcs():
     rng = random.Random(3)
     for _ in range(200):

@@ -290,6 +290,17 @@ def test_toxic_words_are_learned(spark, tmp_path):
     assert any(r.held_out for r in rows)
 
 
+def test_misspelled_and_prefix_words(spark, tmp_path):
+    neutral = "the day was long and the road was wide".split()
+    bad = {k for k in range(400) if k % 5 == 0}
+    texts = [(k, " ".join(neutral + (["gruzzleheit"] if k in bad else []) + [f"w{k}"])) for k in range(400)]
+    asked = {1000: "gruzzleheit", 1001: "gruzzlehiet", 1002: "ruzzleheit", 1003: "gruzleheit", 1004: "gruzzleborn", 1005: "gruzz", 1006: "day"}
+    labels = spark.createDataFrame([(k, 1, int(k in bad)) for k in range(400)], "doc_id bigint, quality int, toxic int")
+    docs = made(spark, tmp_path, texts + [(k, " ".join(neutral + [w])) for k, w in asked.items()])
+    score = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).filter("doc_id >= 1000").collect()}
+    assert min(score[k] for k in (1000, 1001, 1002, 1003)) > max(score[k] for k in (1004, 1005, 1006))
+
+
 # ---------------------------------------------------------------- 7
 
 def test_token_counts_against_greedy(spark, sf_dir):
