@@ -1,57 +1,131 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network trained in numpy.
 
-Tokens are the lower-cased words, hashed into V = DIGIT x DIGIT ids.  The network reads the SIDE tokens on each side of a position
-(embeddings, one hidden layer) and predicts the hidden token in two softmax steps, its high digit and then its low
-digit given the high one; both are exact probabilities, so an id's probability is their product.  A document's score is the sum over all its
+Tokens are the lower-cased words.  The vocabulary holds the most frequent words of all documents, GROWTH times the square root of the number of
+tokens (words that occur once are left out), so it grows with the corpus; id 0 stands for all other words.  The network reads the SIDE tokens on
+each side of a position (embeddings, one hidden layer) and predicts the hidden token in two softmax steps, its high digit and then its
+low digit given the high one, sized to the vocabulary; both are exact probabilities, so an id's probability is their product.  A word outside the
+vocabulary has the probability of id 0 times that of its bytes under a byte model with an end mark, fitted on all distinct words and
+normalised over the strings that aren't in the vocabulary.  No two words share a probability mass.  A document's score is the sum over all its
 positions of log p(token | both sides).
 
 * Corpus counts of all ids (every document) start the output biases, so the untrained network is the unigram model.
-* Training reads every document.  As usual for masked models a share MASKED of the positions, chosen by hash, is hidden per pass; each
+* Training reads every document, and every position is hidden and predicted from its sides once per round; each
   task starts from the common weights, runs Adagrad over its own rows and sends its weights times its tokens; the next
   round starts from the weighted mean.  Sums of weights are taken in two salted levels, streaming, so no task holds more than one model.
-* The driver holds one model (about 80,000 numbers).
+* The driver holds the vocabulary and one model (about 17 numbers a word).
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import textnp
-from tallyloom.llm.storage import small_batches
+from tallyloom.llm.storage import dropped, shared_folder, small_batches, stored
 from tallyloom.llm.sums import SCHEMA, chunked, collected
 
-DIGIT, SIDE, WIDTH, HIDDEN = 64, 2, 16, 32
-V = DIGIT * DIGIT
-MASKED, BATCH, RATE = 0.15, 2048, 0.05
-SHAPES = {"E": (V + 1, WIDTH), "W": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "U": (HIDDEN, DIGIT), "u": (DIGIT,),
-          "D": (DIGIT, HIDDEN), "L": (HIDDEN, DIGIT), "l": (DIGIT, DIGIT)}
+SIDE, WIDTH, HIDDEN = 2, 16, 32
+V = 4096  # ids of a model of 64 x 64 digits
+BATCH, RATE = 2048, 0.05
+GROWTH, HELD = 8, 500_000  # words a square root of tokens; distinct words that a counting task holds
+END = 256
+
+
+def shapes(high: int, low: int) -> dict[str, tuple[int, ...]]:
+    return {"E": (high * low + 1, WIDTH), "W": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "U": (HIDDEN, high), "u": (high,),
+            "D": (high, HIDDEN), "L": (HIDDEN, low), "l": (high, low)}
 
 
-def token_ids(text: bytes) -> np.ndarray:
-    return (textnp.word_hashes(text) % np.uint64(V)).astype(np.int64)
+def digits(size: int) -> tuple[int, int]:
+    low = math.isqrt(max(size, 1) - 1) + 1
+    return -(-max(size, 1) // low), low
 
 
-def id_counts(docs: DataFrame) -> np.ndarray:
+def word_counts(docs: DataFrame) -> DataFrame:
+    """hash, word (bytes), n of every distinct word of all documents."""
     def run(batches):
-        total = np.zeros(V)
+        held: Counter[bytes] = Counter()
+
+        def sent():
+            words = list(held)
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(held.values(), pa.int64())], names=["word", "n"])
         for batch in batches:
             for text in textnp.texts(batch, "text"):
-                total += np.bincount(token_ids(text), minlength=V)
+                held.update(text.lower().split())
+                if len(held) > HELD:
+                    yield sent()
+                    held.clear()
+        yield sent()
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def byte_counts(words: DataFrame) -> np.ndarray:
+    """How often every byte, and the end, occurs in the distinct words."""
+    def run(batches):
+        total = np.zeros(END + 1)
+        for batch in batches:
+            found = batch.column("word").to_pylist()
+            total[:END] += np.bincount(np.frombuffer(b"".join(found), np.uint8), minlength=END)
+            total[END] += len(found)
         yield chunked(total, 1.0)
-    counts, _ = collected(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA))
-    return counts if len(counts) else np.zeros(V)
+    counts, _ = collected(words.select("word").mapInArrow(run, SCHEMA))
+    return counts if len(counts) else np.zeros(END + 1)
+
+
+class Vocabulary:
+    """Ids of words, most frequent first from 1 on, 0 for the others; ``counts`` of the ids; log p of the bytes of the others."""
+
+    def __init__(self, words: list[bytes], counts: np.ndarray, byte_counts: np.ndarray):
+        self.counts = counts
+        hashes = np.array([textnp.word_hashes(w)[0] for w in words], np.uint64)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.numbers = hashes[order], order + 1
+        self.bytes = np.log((byte_counts + 0.5) / (byte_counts + 0.5).sum())
+        taken = sum(math.exp(self.bytes[np.frombuffer(w, np.uint8)].sum() + self.bytes[END]) for w in words)
+        self.rest = self.bytes[END] - math.log1p(-min(taken, 1 - 1e-9))
+
+    def __call__(self, text: bytes) -> tuple[np.ndarray, float]:
+        """Ids of the words of a text, and log p of the spelling of all words outside the vocabulary."""
+        data = np.frombuffer(text.lower(), np.uint8)
+        if not len(data):
+            return np.empty(0, np.int64), 0.0
+        starts, ends = textnp.word_bounds(data)
+        h = textnp.range_hashes(data, starts, ends)
+        ids = np.zeros(len(h), np.int64)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            ids = np.where(self.hashes[at] == h, self.numbers[at], 0)
+        others = np.flatnonzero(ids == 0)
+        if not len(others):
+            return ids, 0.0
+        sums = np.concatenate(([0.0], np.cumsum(self.bytes[data])))
+        return ids, float((sums[ends[others]] - sums[starts[others]]).sum() + len(others) * self.rest)
+
+
+def vocabulary(docs: DataFrame) -> Vocabulary:
+    folder = shared_folder(docs.sparkSession)
+    words = stored(word_counts(docs), folder)
+    tokens = words.agg(F.sum("n")).first()[0] or 0
+    top = words.filter("n > 1").orderBy(F.col("n").desc(), "word").limit(int(GROWTH * math.sqrt(tokens)) + 1).toArrow()
+    n = top.column("n").to_numpy().astype(float)
+    found = Vocabulary([bytes(w) for w in top.column("word").to_pylist()], np.concatenate(([tokens - n.sum()], n)), byte_counts(words))
+    dropped(docs.sparkSession, folder)
+    return found
 
 
 def flat(model: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([model[k].ravel() for k in SHAPES]).astype(np.float64)
+    return np.concatenate([model[k].ravel() for k in shapes(1, 1)]).astype(np.float64)
 
 
-def shaped(vector: np.ndarray) -> dict[str, np.ndarray]:
+def shaped(vector: np.ndarray, high: int, low: int) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for name, shape in SHAPES.items():
+    for name, shape in shapes(high, low).items():
         size = int(np.prod(shape))
         out[name] = vector[at:at + size].reshape(shape).astype(np.float32)
         at += size
@@ -60,8 +134,10 @@ def shaped(vector: np.ndarray) -> dict[str, np.ndarray]:
 
 def initial(counts: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    model = {k: rng.normal(0, 0.1, s).astype(np.float32) for k, s in SHAPES.items()}
-    grid = counts.reshape(DIGIT, DIGIT) + 0.5
+    rows, columns = digits(len(counts))
+    model = {k: rng.normal(0, 0.1, s).astype(np.float32) for k, s in shapes(rows, columns).items()}
+    # numbers after the last id are no words and get no probability
+    grid = np.concatenate((counts + 0.5, np.full(rows * columns - len(counts), 1e-20))).reshape(rows, columns)
     high = grid.sum(axis=1)
     model["u"] = np.log(high / high.sum()).astype(np.float32)
     model["l"] = np.log(grid / high[:, None]).astype(np.float32)
@@ -102,7 +178,7 @@ class Trainer:
 
     def step(self, context, target):
         m, n = self.model, len(target)
-        high, low = target // DIGIT, target % DIGIT
+        high, low = np.divmod(target, m["l"].shape[1])
         x, h, g, ph, pl = forward(m, context, high)
         dh, dl = np.exp(ph) / n, np.exp(pl) / n
         dh[np.arange(n), high] -= 1 / n
@@ -118,33 +194,33 @@ class Trainer:
             self._dense(name, grad)
 
 
-def windows(docs_ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of several documents with SIDE pads around each, and the positions of the real ones."""
-    pad = np.full(SIDE, V, np.int64)
+def windows(docs_ids: list[np.ndarray], none: int) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of several documents with SIDE pads (id ``none``) around each, and the positions of the real ones."""
+    pad = np.full(SIDE, none, np.int64)
     line = np.concatenate([pad, *[part for ids in docs_ids for part in (ids, pad)]])
-    return line, np.flatnonzero(line != V)
+    return line, np.flatnonzero(line != none)
 
 
 OFFSETS = np.array([k for k in range(-SIDE, SIDE + 1) if k])
 
 
-def train(docs: DataFrame, rounds: int = 1) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 1) -> dict[str, np.ndarray]:
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    vector = flat(initial(id_counts(docs)))
-    for number in range(rounds):
-        start = vector
-
-        def run(batches, number=number, start=start):
-            trainer, tokens, held = Trainer(shaped(start)), 0, [[], []]
+    size = digits(len(vocabulary.counts))
+    vector = flat(initial(vocabulary.counts))
+    for _ in range(rounds):
+        start = vector.astype(np.float32)
+
+        def run(batches, start=start):
+            trainer, tokens, held = Trainer(shaped(start, *size)), 0, [[], []]
+            none = size[0] * size[1]
             for batch in batches:
                 for text in textnp.texts(batch, "text"):
-                    ids = token_ids(text)
+                    ids, _ = vocabulary(text)
                     if not len(ids):
                         continue
                     tokens += len(ids)
-                    line, at = windows([ids])
-                    chance = textnp.mix(np.arange(len(at), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(number) + ids.astype(np.uint64))
-                    at = at[chance < np.uint64(int(MASKED * 2**64))]
+                    line, at = windows([ids], none)
                     held[0].append(line[at[:, None] + OFFSETS])
                     held[1].append(line[at])
                     if sum(map(len, held[1])) >= BATCH:
@@ -160,18 +236,20 @@ def train(docs: DataFrame, rounds: int = 1) -> dict[str, np.ndarray]:
         total, tokens = collected(texts.mapInArrow(run, SCHEMA))
         if tokens:
             vector = total / tokens
-    return shaped(vector)
+    return shaped(vector, *size)
 
 
 def log_probabilities(model, docs_ids: list[np.ndarray], step: int = 16384) -> list[np.ndarray]:
-    line, at = windows(docs_ids)
+    low = model["l"].shape[1]
+    line, at = windows(docs_ids, len(model["E"]) - 1)
+    step = min(step, max(256, (1 << 22) // low))
     out = np.empty(len(at))
     for k in range(0, len(at), step):
         here = at[k:k + step]
         target = line[here]
-        _, _, _, ph, pl = forward(model, line[here[:, None] + OFFSETS], target // DIGIT)
+        _, _, _, ph, pl = forward(model, line[here[:, None] + OFFSETS], target // low)
         n = np.arange(len(here))
-        out[k:k + step] = ph[n, target // DIGIT].astype(float) + pl[n, target % DIGIT]
+        out[k:k + step] = ph[n, target // low].astype(float) + pl[n, target % low]
     return np.split(out, np.cumsum([len(i) for i in docs_ids])[:-1])
 
 
@@ -181,11 +259,13 @@ def lm_scores(docs: DataFrame, rounds: int = 1) -> DataFrame:
     Null and empty texts have no tokens and score 0.
     """
     small_batches(docs.sparkSession)
-    model = train(docs, rounds)
+    known = vocabulary(docs)
+    model = train(docs, known, rounds)
 
     def run(batches):
         for batch in batches:
-            ids = [token_ids(t) for t in textnp.texts(batch, "text")]
+            read = [known(t) for t in textnp.texts(batch, "text")]
+            ids = [i for i, _ in read]
             sums, at = [], 0
             while at < len(ids):  # about 65,000 tokens at a time, or one long document
                 to, size = at, 0
@@ -194,6 +274,7 @@ def lm_scores(docs: DataFrame, rounds: int = 1) -> DataFrame:
                     to += 1
                 sums += [float(x.sum()) for x in log_probabilities(model, ids[at:to])]
                 at = to
+            sums = [s + spelled for s, (_, spelled) in zip(sums, read)]
             n = [len(x) for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sums, pa.float64()),

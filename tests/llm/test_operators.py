@@ -171,6 +171,54 @@ def test_scores_are_sums_over_positions():
             assert got[k] == pytest.approx(high[0, x // 64] + low[0, x % 64], abs=1e-4)
 
 
+def test_vocabulary_grows_and_covers_every_word(spark, tmp_path):
+    import numpy as np
+    texts = [(k, " ".join(f"w{(k * 37 + j) % 5000}" for j in range(400)) + " alpha beta") for k in range(400)] + [(900, "zq\u00e9x once")]
+    docs = made(spark, tmp_path, texts)
+    known = lm_scoring.vocabulary(docs)
+    small = lm_scoring.vocabulary(docs.filter("doc_id < 20"))
+    assert len(known.counts) > 3000 > len(small.counts) and known.counts.sum() == sum(len(t.split()) for _, t in texts)
+    ids, spelled = known(b"alpha beta ALPHA zqx neverseen")
+    assert ids[0] == ids[2] != ids[1] and ids[3] == ids[4] == 0 and ids[:3].min() > 0
+    # two unknown words have the probabilities of their spelling
+    assert spelled == pytest.approx(known(b"zqx")[1] + known(b"neverseen")[1]) and known(b"zqx")[1] > known(b"neverseen")[1]
+    model = lm_scoring.initial(known.counts)
+    *_, high, low = lm_scoring.forward(model, np.full((len(model["D"]), 4), len(model["E"]) - 1), np.arange(len(model["D"])))
+    p = np.exp(high[0][:, None].astype(float) + low).ravel()
+    assert p.sum() == pytest.approx(1, abs=1e-3) and p[:len(known.counts)].sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_a_rare_word_scores_below_a_common_one(spark, tmp_path):
+    texts = [(k, " ".join(["red blue green gold"] * 50)) for k in range(60)]
+    texts += [(1000, "red blue green gold " * 10), (1001, "red blue qxzzvwkj gold " * 10)]
+    score = {r.doc_id: r.mean_log_likelihood for r in lm_scoring.lm_scores(made(spark, tmp_path, texts)).collect()}
+    assert score[1000] > score[1001]
+
+
+def test_every_position_is_a_target(spark, tmp_path, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    step = lm_scoring.Trainer.step
+
+    def counted(self, context, target):
+        seen.add(len(target))
+        step(self, context, target)
+    texts = [(k, f"a b c d{k} e f g " * 9) for k in range(30)]
+    docs = made(spark, tmp_path, texts)
+    known = lm_scoring.vocabulary(docs)
+
+    class Counted(lm_scoring.Trainer):
+        pass
+    Counted.step = counted
+    monkeypatch.setattr(lm_scoring, "Trainer", Counted)
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(lm_scoring)
+    try:
+        lm_scoring.train(docs, known)
+    finally:
+        cloudpickle.unregister_pickle_by_value(lm_scoring)
+    assert seen.value == 30 * 63
+
+
 # ---------------------------------------------------------------- 4
 
 def test_budget_is_met_to_a_document(spark, tmp_path, monkeypatch):
