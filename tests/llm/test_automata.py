@@ -30,6 +30,41 @@ def test_longest_match_counts():
             assert automaton.count(word) == greedy(word, first, rest)
 
 
+def greedy_file(word, names, spelled):
+    """Longest match over the pieces of the file as they are, from the marked word on."""
+    line, n, at = "▁" + word, 0, 0
+    while at < len(line):
+        end = next((k for k in range(min(len(line), at + 40), at, -1) if line[at:k] in names), None)
+        if end is None and not spelled:
+            return 0
+        n, at = (n + 1, end) if end else (n + len(line[at].encode()), at + 1)
+    return n
+
+
+def test_counts_against_the_raw_file():
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=token_counts.VOCABULARY)
+    size = range(model.get_piece_size())
+    names = {model.id_to_piece(i) for i in size if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
+    spelled = token_counts.has_bytes()
+    assert spelled == all(f"<0x{b:02X}>" in {model.id_to_piece(i) for i in size} for b in range(256))
+    automaton = token_counts.PieceAutomaton(*token_counts.pieces(), spelled)
+    words = ["2024", "7" * 5000, "ñandú", "Ünder", "Ωmega", "the", "x😀y", "\U00012345", "a\U00012345b", "È", "9th", "-", "日本語", "don't", "_"]
+    for word in words:
+        assert automaton.count(word) == greedy_file(word, names, spelled) > 0, word[:20]
+
+
+def test_bare_mark_and_bytes_against_greedy():
+    rng = random.Random(8)
+    for spelled in (False, True):
+        for _ in range(100):
+            names = {"▁"} | {rng.choice(["▁", ""]) + "".join(rng.choices("abc", k=rng.randint(1, 4))) for _ in range(9)}
+            automaton = token_counts.PieceAutomaton(sorted(n[1:] for n in names if n[0] == "▁"), sorted(n for n in names if n[0] != "▁"), spelled)
+            for _ in range(40):
+                word = "".join(rng.choices("abcdé", k=rng.randint(1, 10)))
+                assert automaton.count(word) == greedy_file(word, names, spelled), (names, word)
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a):
