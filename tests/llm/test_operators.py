@@ -404,6 +404,15 @@ def test_shouted_items_with_accents(spark, tmp_path):
     assert {r.row.doc_id: len(r.hits) for r in decontaminate.contamination(docs, bench).collect()} == {1: 1, 2: 0}
 
 
+def test_items_beside_repeats(spark, tmp_path):
+    """A short item is found beside a run of one benchmark word."""
+    bench = {k: " ".join(f"{'abcdefgh'[k % 8]}{(k * 7 + j) % 90}t" for j in range(9)) for k in range(30)}
+    texts = [(k, f"{'x y z ' * 21} {t} {' '.join([bench[(k + 11) % 30].split()[0]] * 49)}") for k, t in bench.items()] + [(900, "x y z " * 60)]
+    items = spark.createDataFrame(list(bench.items()), "item_id bigint, text string")
+    found = {r.row.doc_id: [h.item_id for h in r.hits] for r in decontaminate.contamination(made(spark, tmp_path, texts), items).collect()}
+    assert all(k in found[k] for k in bench) and found[900] == []
+
+
 # ---------------------------------------------------------------- 9
 
 def test_url_rules(spark):
