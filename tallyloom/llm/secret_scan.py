@@ -3,8 +3,9 @@
 Certain: assignments of a value to a telling name, cloud access identifiers, long hexadecimal runs.  Weak parts are an identifier
 (``client_id=``, ``user: ``), a secret (a long token of mixed characters) and an endpoint (a URL or host with port).
 The interval join is an as-of lookup: ordered by position, every weak part sees the nearest part of each role before and after it; parts
-no farther than SCOPE code points away are in its scope.  A weak identifier is reported with a secret in scope, a weak
-secret with an identifier or an endpoint, an endpoint with both.  Weak parts that overlap a certain one are dropped.
+no farther than SCOPE code points away, and not overlapping it, are in its scope (an endpoint takes up its whole URL there).  A weak identifier is reported with a secret in scope, a weak
+secret with an identifier or an endpoint, an endpoint with both.  Weak parts that overlap a certain one
+are dropped, and so is a weak secret that is the value of a weak identifier.
 A window holds the matches of one document, so no key gathers more than that.
 """
 
@@ -23,6 +24,7 @@ KINDS = [
     Kind("weak_id", r"(?i:client_?id|username|login|account_?id)[\x22']?\x20*[:=]\x20*[\x22']?[A-Za-z0-9._@-]+"),
     Kind("weak_key", r"[A-Za-z0-9+/_=-]{20,}"),
     Kind("endpoint", r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?", "://"),
+    Kind("url", r"https?://[A-Za-z0-9.-]+[^\s\x22'<>]*", "://"),  # how far an endpoint goes on; no part itself
 ]
 BASE = ["assign", "access", "hex"]
 ROLE = {"assign": "secret", "hex": "secret", "weak_key": "secret", "access": "identifier", "weak_id": "identifier", "endpoint": "endpoint"}
@@ -43,12 +45,35 @@ def secret_spans(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     role = F.create_map(*[F.lit(x) for pair in ROLE.items() for x in pair])[F.col("kind")]
     spans = spans.withColumn("order", number).withColumn("base", F.coalesce(F.col("kind").isin(BASE), F.lit(False))).withColumn("role", role)
     line = Window.partitionBy("rid").orderBy(F.col("start"), F.col("order"), F.col("end"))
+    urls = Window.partitionBy("rid").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    on = F.when(F.col("kind") == "endpoint", F.max(F.when(F.col("kind") == "url", F.col("end"))).over(urls))
+    same = Window.partitionBy("rid", "kind").orderBy("start")
+    spans = spans.withColumn("reach", F.greatest(F.col("end"), on)).filter("kind is null or kind <> 'url'")
+    is_id = F.col("kind") == "weak_id"
+    value = (F.col("kind") == "weak_key") & (
+        (F.coalesce(F.max(F.when(is_id, F.col("end"))).over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1)) > F.col("start"))
+        | (F.coalesce(F.min(F.when(is_id, F.col("start"))).over(line.rowsBetween(1, Window.unboundedFollowing)), F.lit(10**15)) < F.col("end")))
+    spans = spans.withColumn("value", value).filter("value is null or not value").drop("value")
+    spans = spans.withColumn("earlier", F.struct(F.lag("end").over(same).alias("end"), F.lag("reach").over(same).alias("reach"))).withColumn(
+        "later", F.lead("start").over(same))
     past, next_ = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(1, Window.unboundedFollowing)
+    # Spans of one kind don't overlap.  So of those that start no later only the last can reach into a span, and of those that end no
+    # earlier only the first; where it does, the one of its kind beyond it is the nearest.
+    after = Window.partitionBy("rid").orderBy(F.col("end"), F.col("order"), F.col("start")).rowsBetween(1, Window.unboundedFollowing)
+
+    def beside(name):
+        is_k = F.col("kind") == name
+        last = F.max(F.when(is_k, F.struct("start", "end", "reach", "earlier"))).over(past)
+        first = F.min(F.when(is_k, F.struct("start", "later"))).over(after)
+        before = F.when(last["reach"] <= F.col("start"), last["end"]).when(last["earlier"]["reach"] <= F.col("start"), last["earlier"]["end"])
+        behind = F.when(first["start"] >= F.col("reach"), first["start"]).when(first["later"] >= F.col("reach"), first["later"])
+        return F.coalesce(F.col("start") - before <= scope, F.lit(False)) | F.coalesce(behind - F.col("end") <= scope, F.lit(False))
     near = {}
     for r in ("identifier", "secret", "endpoint"):
-        is_r = F.col("role") == r
-        near[r] = ((F.col("start") - F.coalesce(F.max(F.when(is_r, F.col("end"))).over(past), F.lit(-10**12)) <= scope)
-                   | (F.coalesce(F.min(F.when(is_r, F.col("start"))).over(next_), F.lit(10**15)) - F.col("end") <= scope))
+        kinds = [beside(k) for k, role_ in ROLE.items() if role_ == r]
+        near[r] = kinds[0]
+        for k in kinds[1:]:
+            near[r] = near[r] | k
     overlap = ((F.coalesce(F.max(F.when(F.col("base"), F.col("end"))).over(past), F.lit(-1)) > F.col("start"))
                | (F.coalesce(F.min(F.when(F.col("base"), F.col("start"))).over(next_), F.lit(10**15)) < F.col("end")))
     linked = F.when(F.col("role") == "identifier", near["secret"]).when(F.col("role") == "secret", near["identifier"] | near["endpoint"]).when(

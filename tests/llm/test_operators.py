@@ -314,6 +314,16 @@ def test_weak_parts_count_together_only(spark, tmp_path):
     assert kinds == {1: [], 2: ["weak_id", "weak_key"], 3: [], 4: ["endpoint", "weak_id", "weak_key"], 5: []}
 
 
+def test_a_span_is_no_part_beside_itself(spark, tmp_path):
+    key = "Zx8Qw1Er5Ty7Ui9Op3As2Df"
+    texts = [(1, "client_id=MyWebApp2024Production"), (2, "https://example.com/aB3dE6gH9jK2mN5pQ8rS"), (3, f"client_id=MyWebApp2024Production then {key}"),
+             (4, f"https://example.com/aB3dE6gH9jK2mN5pQ8rS and {key}"), (5, f"see https://example.com/a?x=https://b.example.com/{key} only"),
+             (6, f"login=me https://example.com/{key}")]
+    rows = {r.doc_id: r for r in secret_scan.secret_report(made(spark, tmp_path, texts)).collect()}
+    kinds = {i: sorted(s.split(":")[0] for s in rows[i].spans.split(",") if s) for i in rows}
+    assert kinds == {1: [], 2: [], 3: ["weak_id", "weak_key"], 4: ["weak_key"], 5: [], 6: ["weak_id", "weak_key"]}
+
+
 def test_checksums_and_context(spark, tmp_path):
     texts = [(1, "IBAN DE89 3704 0044 0532 0130 00 ok"), (2, "DE89 3704 0044 0532 0130 01"), (3, "ssn 123-45-6789"), (4, "part 123-45-6789"),
              (5, "amex card 378282246310005"), (6, "number 378282246310005"), (7, "call (555) 123-4567 now")]
