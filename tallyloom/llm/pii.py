@@ -2,8 +2,8 @@
 
 Base kinds are always reported: email, ip, card (16 to 19 digits passing Luhn), phone (8 to 15 digits after a plus).  Others need
 a score of THRESHOLD: iban (mod-97), short_card (13 to 15 digits passing Luhn), national_id (3-2-4 digits) and local_phone.  A pattern brings its
-prior, a passed checksum and a telling word within 40 code points before or 20 after (up to the next match of the same kind)
-add to it.
+prior, a passed checksum and a telling word within 40 code points before or 20 after, also beyond neighbouring matches,
+add to it.  An account number has the length of its country.
 
 The patterns in use match the same spans as the plain ones of the contract.  Possessive groups run as loops, so a digit
 run of any length needs no stack; a run of address characters is tried only at its start or where the last
@@ -17,14 +17,22 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.spans import Kind, digits, found, joined, placed
 
+#: length of an account number by country
+LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_KNOWN = "(?:" + "|".join(c for v in LENGTHS.values() for c in v.split()) + ")"
+IBAN = "|".join([f"(?:{v.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n, v in LENGTHS.items()]
+                + [f"(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:\\x20?(?!{_KNOWN}[0-9]{{2}})[A-Z0-9]){{11,30}}"])
 KINDS = [
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@"),
     Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"),
-    Kind("card", r"[0-9](?:[\x20-]?[0-9])++"),
+    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", wide=True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
-    Kind("iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}"),
-    Kind("national_id", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "-"),
-    Kind("local_phone", r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}"),
+    Kind("iban", IBAN, wide=True),
+    Kind("national_id", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "-", wide=True),
+    Kind("local_phone", r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}", wide=True),
 ]
 NAMES = ["email", "ip", "card", "phone", "iban", "short_card", "national_id", "local_phone"]
 BASE = ["email", "ip", "card", "phone"]

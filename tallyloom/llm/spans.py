@@ -17,10 +17,14 @@ BEFORE, AFTER = 40, 20
 
 @dataclass(frozen=True)
 class Kind:
-    """A pattern; ``needs``: a string that every match contains, tested before the pattern runs."""
+    """A pattern; ``needs``: a string that every match contains, tested before the pattern runs.
+
+    ``wide``: the context runs across neighbouring matches, each of at least two characters, instead of ending at them.
+    """
     name: str
     pattern: str
     needs: str = ""
+    wide: bool = False
 
 
 def found(docs: DataFrame, kinds: list[Kind]) -> DataFrame:
@@ -38,7 +42,13 @@ def found(docs: DataFrame, kinds: list[Kind]) -> DataFrame:
         gap = F.col(f"g_{k.name}")
 
         def one(hit, i):
-            near = F.concat(F.right(gap[i], F.lit(BEFORE)), F.lit(" "), F.left(gap[i + 1], F.lit(AFTER)))
+            left, right = gap[i], gap[i + 1]
+            if k.wide:
+                hits, first, last = F.col(f"h_{k.name}"), F.greatest(i - BEFORE // 2, F.lit(0)), F.least(i + 1 + AFTER // 2, F.size(gap) - 1)
+                end, start = (lambda x: F.right(x, F.lit(BEFORE))), (lambda x: F.left(x, F.lit(AFTER)))
+                left = F.array_join(F.transform(F.sequence(first, i), lambda j: F.concat(F.coalesce(F.when(j > first, end(F.get(hits, j - 1))), F.lit("")), end(F.get(gap, j)))), "")
+                right = F.array_join(F.transform(F.sequence(i + 1, last), lambda j: F.concat(start(F.get(gap, j)), F.coalesce(F.when(j < last, start(F.get(hits, j))), F.lit("")))), "")
+            near = F.concat(F.right(left, F.lit(BEFORE)), F.lit(" "), F.left(right, F.lit(AFTER)))
             return F.struct(F.lit(k.name).alias("kind"), i.alias("number"), F.length(gap[i]).cast("bigint").alias("gap"), hit.alias("hit"), F.lower(near).alias("context"))
         return F.transform(f"h_{k.name}", one)
     return gaps.select("rid", "doc_id", F.explode_outer(F.concat(*[matches(k) for k in kinds])).alias("m")).select("rid", "doc_id", "m.*")

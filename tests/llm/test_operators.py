@@ -331,6 +331,19 @@ def test_checksums_and_context(spark, tmp_path):
     assert rows == {1: "iban", 2: "", 3: "national_id", 4: "", 5: "short_card", 6: "short_card", 7: "local_phone"}
 
 
+def test_numbers_among_capitals_and_lists(spark, tmp_path):
+    iban = "DE89 3704 0044 0532 0130 00"
+    texts = [(1, f"IBAN {iban} BIC COBADEFF"), (2, f"{iban} EUR 50"), (3, f"{iban} GB82 WEST 1234 5698 7654 32 OK"), (4, f"REF AB12 {iban} X"),
+             (5, "phone: 555-123-4567, 555-987-6543"), (6, "123-45-6789,123-45-6780 are ssn"), (7, "555-123-4567, 555-987-6543"),
+             (8, "ssn 123-45-6789" + ", 123-45-6780" * 5)]
+    rows = {r.doc_id: [s.split(":") for s in r.spans.split(",") if s and s.split(":")[0] in ("iban", "local_phone", "national_id")]
+            for r in pii.pii_report(made(spark, tmp_path, texts)).collect()}
+    assert [(k, int(b) - int(a)) for k, a, b in rows[1]] == [("iban", len(iban))] == [(k, int(b) - int(a)) for k, a, b in rows[2]]
+    assert [len(rows[k]) for k in (3, 4, 5, 6, 7)] == [2, 1, 2, 2, 0]
+    # the word is within 40 characters of the first three, no further
+    assert len(rows[8]) == 3
+
+
 # ---------------------------------------------------------------- 6
 
 def test_held_out_rows(spark):
