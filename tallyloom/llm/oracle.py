@@ -124,3 +124,19 @@ tested AS (
 SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in ("email", "ip", "card", "phone"))}, sha256(coalesce(b, '')) AS base_sha256,
        coalesce(spans, '') AS spans, coalesce(n_scored, 0) AS n_scored FROM texts LEFT JOIN sums USING (r)
 """
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+SQL["op12_ranked_search"] = f"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS terms FROM documents),
+size AS (SELECT count(*) FILTER (len(terms) > 0) AS documents, CAST(sum(len(terms)) AS BIGINT) AS total FROM docs),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) GROUP BY r, term),
+asked AS (SELECT i, any_value(item_id) AS item_id, term, count(*) AS times
+          FROM (SELECT i, item_id, unnest(terms) AS term FROM (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS terms FROM benchmark)) GROUP BY i, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, size GROUP BY term),
+sizes AS (SELECT r, doc_id, 75 + (25 * len(terms) * documents) // total AS m FROM docs, size WHERE len(terms) > 0),
+scores AS (
+  SELECT i, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (r) GROUP BY i, r
+), places AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM places WHERE place <= 20
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import (decontaminate, exact_dedup, lm_scoring, mixing, near_dedup, pii, secret_scan, token_counts,
-                           toxicity, url_filter)
+from tallyloom.llm import (alignment, decontaminate, exact_dedup, lm_scoring, mixing, near_dedup, pii, ranked_search, secret_scan,
+                           sentence_pieces, token_counts, toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -78,5 +78,20 @@ def op10_pii(spark, sf_dir):
     return pii.pii_report(documents(spark, sf_dir))
 
 
+@query
+def op11_tokenizer_alignment(spark, sf_dir):
+    return alignment.alignments(documents(spark, sf_dir))
+
+
+@query
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.ranked(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_sentence_pieces(spark, sf_dir):
+    return sentence_pieces.digests(sentence_pieces.pieces_and_back(documents(spark, sf_dir)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
