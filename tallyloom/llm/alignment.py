@@ -1,15 +1,16 @@
 """Alignment of two tokenizers: corpus counts of id pairs by minimal perfect hashing.
 
-Byte offsets where tokens of both end cut a text (a space in front) into groups; all A-B pairs of one group are linked.  Groups and
-links of many documents are worked out at once as arrays; a long group's pairs are taken as distinct pairs with their number of links.
+Byte offsets where tokens of both end cut a text (a space in front) into groups; all A-B pairs of one group are linked.  Both always end at a
+space that follows another character and precedes one that isn't white space, so texts are cut there into chunks, and a task encodes and aligns
+each chunk that it meets once.  Pairs are taken as distinct pairs with their number of links, so a long group needs no more room than these.
 
 1. First pass: documents are dealt into blocks (of BLOCK characters, in reading order).  A block's distinct pairs, each with the number of its documents
-   that hold it, are written next to its documents, which are kept as A's ids (these give the text back).
+   that hold it, are written next to its documents, which are kept as the ids of both tokenizers.
 2. The distinct pairs of the corpus fall by hash into buckets of about BUCKET keys, and each bucket gets a minimal perfect hash with its keys
    in hash order.
 3. Counts are dense vectors indexed by the hash: a task adds up a share of the blocks for a bucket, the vectors of a bucket are summed in
    a second level.  Every looked-up key is verified against the key in its place.
-4. Blocks ask the buckets for the counts of their pairs; second pass: documents meet the answers of their block, are aligned again and
+4. Blocks ask the buckets for the counts of their pairs; second pass: documents meet the answers of their block, are aligned again from their ids and
    look their links up.
 
 Nothing grows on the driver but the highest count per A id, bounded by A's vocabulary, which travels with the tasks.  All shuffles are by hashed
@@ -19,6 +20,7 @@ buckets, salted, or by blocks of bounded size, so no frequent pair or long group
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -36,77 +38,100 @@ from tallyloom.llm.textnp import mix
 BYTE_LEVEL = os.environ.get("BYTE_TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
 BLOCK = 8_000_000  # characters of a block at most (or one longer document)
 SLICE, BUNDLE = 500_000, 512  # characters and documents that are aligned together at most (or one longer document)
-BUCKET, SALTS = 16_384, 8
+BUCKET, SALTS = 4096, 16
 LINKS, WIDE = 1 << 20, 4096  # links spread at a time; links of a group from which its distinct pairs are taken
-KEPT = 200_000  # parts of texts whose ids under A a task keeps
-# a space before a word, or a mark after a plain letter or digit: A's words begin or end there whatever stands around
-CUT = re.compile(r"(?<=[^ ])(?= \S)|(?<=[A-Za-z0-9])(?=[.,;:!?\n])")
+KEPT = 500_000  # chunks that a task keeps aligned
+# A's words begin with the space before them, and no piece of B has the mark after another character
+CUT = re.compile(rf"(?<=[^ {MARK}])(?= \S)")
+LINE = re.compile(rf" [^\s{MARK}](?:[^{MARK}]*[^ {MARK}])?", re.S).fullmatch  # chunks that can stand in one line
+PACKED = "u4"  # ids as they are stored, before compression
 LOW = 1 << 20  # a pair's key is A's id times this plus B's id
 
 
+def byte_tokens(byte_level: str) -> tuple[dict[bytes, int], str | None]:
+    """Bytes of the tokens of a byte-level file with their ids, and None, or why ids can't serve as merge ranks.
+
+    If ids rise with the merges, and every token comes out whole when its bytes are merged by the listed pairs, then merging by rank of the
+    joined bytes gives the same ids as merging by listed pairs: up to the first merge of another pair both go alike, and inside
+    the bytes of that pair alone as well, so the pair would be the listed one.
+    """
+    model = json.loads(byte_level)["model"]
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letter = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(printable)))}
+    tokens = {bytes(letter[c] for c in name): i for name, i in model["vocab"].items()}
+    said = {i: t for t, i in tokens.items()}
+    rank: dict[tuple[int, int], int] = {}
+    for pair in model["merges"]:
+        left, right = (model["vocab"][x] for x in (pair.split(" ") if isinstance(pair, str) else pair))
+        rank[left, right] = tokens[said[left] + said[right]]
+    if list(rank.values()) != sorted(rank.values()):
+        return tokens, "ids don't rise with the merges"
+    for token, i in tokens.items():
+        ids = [tokens[bytes([b])] for b in token]
+        while len(ids) > 1:
+            best, k = min((rank.get(pair, len(tokens)), k) for k, pair in enumerate(zip(ids, ids[1:])))
+            if best == len(tokens):
+                return tokens, f"token {i} isn't merged from its bytes"
+            ids[k:k + 2] = [best]
+    return tokens, None
+
+
 class Tokenizers:
-    """Both tokenizers with the bytes of their tokens; made inside a task."""
+    """Both tokenizers with the bytes of their tokens; made inside a task.  ``tokens``: of ``byte_tokens``."""
+    # words of a byte-level file: fixed by its kind
+    WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    def __init__(self, byte_level: str, pieces: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.a = Tokenizer.from_str(byte_level)
-        self.a.encode_special_tokens = True  # their strings in a text are ordinary text
+    def __init__(self, tokens: dict[bytes, int], pieces: bytes):
+        import tiktoken
+        self.a = tiktoken.Encoding("a", pat_str=self.WORDS, mergeable_ranks=tokens, special_tokens={})
         self.b = Segmenter(pieces).library
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        letter = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(printable)))}
-        names = self.a.get_vocab(with_added_tokens=False)
-        self.bytes_a = [b""] * (max(names.values()) + 1)
-        for name, i in names.items():
-            self.bytes_a[i] = bytes(letter[c] for c in name)
+        self.bytes_a = [b""] * (max(tokens.values()) + 1)
+        for token, i in tokens.items():
+            self.bytes_a[i] = token
         self.bytes_b = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace(MARK, " ").encode()
                         for i in range(self.b.get_piece_size())]
-        self.known: dict[str, bytes | None] = {}
         self.length_a, self.length_b = (np.array(list(map(len, x))) for x in (self.bytes_a, self.bytes_b))
 
-    def text(self, a: np.ndarray) -> bytes:
-        return b"".join([self.bytes_a[i] for i in a.tolist()])
+    def encode(self, text: str) -> tuple[list[int], list[int]] | None:
+        """Ids under A and B of a text that begins with its space; None if a tokenizer doesn't give the bytes back."""
+        a, b = self.a.encode_ordinary(text), self.b.encode(text[1:])
+        data = text.encode()
+        return (a, b) if b"".join([self.bytes_a[i] for i in a]) == data == b"".join([self.bytes_b[i] for i in b]) else None
 
-    def ids_a(self, texts: list[str]) -> list[np.ndarray | None]:
-        """A's ids of each text; None if A doesn't give its bytes back.
+    def encode_all(self, chunks: list[str]) -> tuple[list[str], np.ndarray, tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """The chunks in a new order, whether each is given back, and for A and B the ids of all and how many each has.
 
-        A's words never cross a CUT, so a text's ids are those of its parts; parts met before are taken from memory.
+        Chunks that can stand in one line are encoded as one text, whose ids then fall to them by their ends; the others alone.
         """
-        parts = [CUT.split(" " + t) for t in texts]
-        known = self.known
-        new = [p for p in dict.fromkeys(p for found in parts for p in found) if p not in known]
-        if len(known) + len(new) > KEPT:
-            known = self.known = {}
-            new = list(dict.fromkeys(p for found in parts for p in found))
-        for k in range(0, len(new), KEPT):
-            some = new[k:k + KEPT]
-            for part, found in zip(some, self.a.encode_batch_fast(some, add_special_tokens=False)):
-                ids = found.ids
-                known[part] = np.array(ids, np.uint32).tobytes() if b"".join([self.bytes_a[i] for i in ids]) == part.encode() else None
-        held = [[known[p] for p in found] for found in parts]
-        if len(known) > KEPT:
-            self.known = {}
-        return [None if None in found else np.frombuffer(b"".join(found), np.uint32).astype(np.int64) for found in held]
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of each text (with its space) under A and B; none if a tokenizer doesn't give the bytes back."""
-        none = np.zeros(0, np.int64)
-        out = []
-        for text, a, b in zip(texts, self.ids_a(texts), self.b.encode(texts, num_threads=1)):
-            whole = text and a is not None and b"".join([self.bytes_b[i] for i in b]) == (" " + text).encode()
-            out.append((a, np.array(b, np.int64)) if whole else (none, none))
-        return out
+        line, others = [c for c in chunks if LINE(c)], [c for c in chunks if not LINE(c)]
+        whole = self.encode("".join(line)) if line else ([], [])
+        if whole is None:
+            line, others, whole = [], chunks, ([], [])
+        ends = np.cumsum([len(c.encode()) for c in line])
+        ids, counts = [], []
+        for found, length in zip(whole, (self.length_a, self.length_b)):
+            found = np.array(found, np.int64)
+            ids.append([found])
+            counts.append(np.diff(np.searchsorted(np.cumsum(length[found]), ends, side="right"), prepend=0).tolist())
+        given = [True] * len(line)
+        for c in others:
+            found = self.encode(c)
+            given.append(found is not None)
+            for side, x in enumerate(found or ([], [])):
+                ids[side].append(np.array(x, np.int64))
+                counts[side].append(len(x))
+        a, b = ((np.concatenate(i), np.array(n, np.int64)) for i, n in zip(ids, counts))
+        return line + others, np.array(given, bool), a, b
 
 
 class Aligned:
-    """The groups of several documents; ``many``: their ids under A and B, one after another.
+    """The groups of several texts; ``a`` and ``b``: all their ids one after another, and how many each text has.
 
-    All documents lie in one line of bytes: as both tokenizers end where a document ends, groups never cross documents.
+    All texts lie in one line of bytes: as both tokenizers end where a text ends, groups never cross texts.
     """
 
-    def __init__(self, many: list[tuple[np.ndarray, np.ndarray]], tokenizers: Tokenizers):
-        self.n_a, self.n_b = (np.array([len(x[side]) for x in many], np.int64) for side in (0, 1))
-        self.a, self.b = (np.concatenate([x[side] for x in many]) if many else np.zeros(0, np.int64) for side in (0, 1))
+    def __init__(self, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], tokenizers: Tokenizers):
+        (self.a, self.n_a), (self.b, self.n_b) = a, b
         ends_a, ends_b = np.cumsum(tokenizers.length_a[self.a]), np.cumsum(tokenizers.length_b[self.b])
         same = np.searchsorted(ends_b, ends_a)
         self.last_a = ends_b[same] == ends_a  # tokens that close a group
@@ -117,7 +142,7 @@ class Aligned:
         self.size_a, self.size_b = np.bincount(self.group_a, minlength=groups), np.bincount(self.group_b, minlength=groups)
         self.start_a, self.start_b = np.cumsum(self.size_a) - self.size_a, np.cumsum(self.size_b) - self.size_b
         self.links = self.size_a * self.size_b
-        self.document = np.repeat(np.arange(len(many)), self.n_a)[self.last_a]
+        self.document = np.repeat(np.arange(len(self.n_a)), self.n_a)[self.last_a]
 
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """document, key, times of all links, about LINKS at a time; a long group's pairs are distinct, with their number of links."""
@@ -167,6 +192,67 @@ def summed(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray,
     return keys[first], np.add.reduceat(times[order], first)
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of every range, one after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+class Chunks:
+    """Distinct chunks that a task has met: their ids and distinct pairs.
+
+    Both tokenizers end a token at every CUT, so a chunk is encoded and aligned alone, once while it is kept, and a text's ids are those of its
+    chunks.
+    """
+    NAMES = ("n_a", "start_a", "n_b", "start_b", "size", "start")
+
+    def __init__(self, tokenizers: Tokenizers):
+        self.tokenizers = tokenizers
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.given = np.zeros(0, bool)
+        self.columns = {name: np.zeros(0, np.int64) for name in self.NAMES}
+        self.a, self.b, self.keys = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _learn(self, new: list[str]) -> None:
+        new, given, a, b = self.tokenizers.encode_all(new)
+        keys = [np.unique(of * (1 << 40) + key) for of, key, _ in Aligned(a, b, self.tokenizers).pairs()]
+        keys = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+        size = np.bincount(keys >> 40, minlength=len(new))
+        columns = []
+        for n, before in ((a[1], self.a), (b[1], self.b), (size, self.keys)):
+            columns += [n, len(before) + np.cumsum(n) - n]
+        self.columns = {name: np.concatenate((self.columns[name], x)) for name, x in zip(self.NAMES, columns)}
+        self.given = np.concatenate((self.given, given))
+        self.a, self.b = np.concatenate((self.a, a[0])), np.concatenate((self.b, b[0]))
+        self.keys = np.concatenate((self.keys, keys & ((1 << 40) - 1)))
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of the chunks of each text; none for a text without tokens.  They hold until the next call."""
+        parts = [CUT.split(" " + t) if t else [] for t in texts]
+        if len(self.number) > KEPT:
+            self.clear()
+        known = self.number
+        new = set().union(*parts) - known.keys()
+        if new:
+            self._learn(list(new))
+        out = [np.array([known[p] for p in found], np.int64) for found in parts]
+        return [x if self.given[x].all() else x[:0] for x in out]
+
+    def ids(self, many: list[np.ndarray]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """For A and B, the ids of texts given as chunk numbers, and how many each has."""
+        number, out = np.concatenate(many), []
+        ends = np.cumsum(list(map(len, many)))
+        for side, ids in (("a", self.a), ("b", self.b)):
+            n = self.columns[f"n_{side}"][number]
+            so_far = np.concatenate(([0], np.cumsum(n)))[ends]
+            out.append((ids[spread(self.columns[f"start_{side}"][number], n)], np.diff(so_far, prepend=0)))
+        return tuple(out)
+
+
 def _hashed(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(keys) % np.uint64(buckets)).astype(np.int32)
 
@@ -175,8 +261,9 @@ def _binary(values: np.ndarray) -> bytes:
     return values.tobytes()
 
 
-FIRST = "block bigint, doc_ids array<bigint>, sizes array<int>, ids binary, keys binary, times binary"
-SCHEMA = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("ids", pa.binary()), ("keys", pa.binary()), ("times", pa.binary())])
+FIRST = "block bigint, doc_ids array<bigint>, sizes_a array<int>, sizes_b array<int>, ids binary, keys binary, times binary"
+SCHEMA = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes_a", pa.list_(pa.int32())), ("sizes_b", pa.list_(pa.int32())),
+                    ("ids", pa.binary()), ("keys", pa.binary()), ("times", pa.binary())])
 
 
 class _Block:
@@ -187,25 +274,28 @@ class _Block:
         self.keys: list[np.ndarray] = []
         self.times: list[np.ndarray] = []
 
-    def add(self, aligned: Aligned) -> None:
-        held = [np.unique(document * (1 << 40) + key) for document, key, _ in aligned.pairs()]
-        if held:
-            keys, times = np.unique(np.unique(np.concatenate(held)) & ((1 << 40) - 1), return_counts=True)
-            self.keys.append(keys)
-            self.times.append(times)
-            if sum(map(len, self.keys)) > 4 * LINKS:
-                self.keys, self.times = ([x] for x in summed(self.keys, self.times))
+    def add(self, chunks: Chunks, many: list[np.ndarray]) -> None:
+        once = [np.unique(x) for x in many]
+        number, document = np.concatenate(once), np.repeat(np.arange(len(once)), list(map(len, once)))
+        size = chunks.columns["size"][number]
+        keys = np.unique((np.repeat(document, size) << 40) + chunks.keys[spread(chunks.columns["start"][number], size)])
+        keys, times = np.unique(keys & ((1 << 40) - 1), return_counts=True)
+        self.keys.append(keys)
+        self.times.append(times)
+        if sum(map(len, self.keys)) > 4 * LINKS:
+            self.keys, self.times = ([x] for x in summed(self.keys, self.times))
 
     def row(self, number: int) -> pa.RecordBatch:
-        keys, times = summed(self.keys, self.times) if self.keys else (np.zeros(0, np.int64),) * 2
+        keys, times = summed(self.keys, self.times)
         return pa.RecordBatch.from_pylist([{"block": number, "keys": keys.tobytes(), "times": times.tobytes()}], schema=SCHEMA)
 
 
 def first_pass(docs: DataFrame, tokenizers: Callable[[], Tokenizers]) -> DataFrame:
-    """Rows of bundles of documents (block, doc_ids, sizes: tokens of A, ids of A packed and compressed), and rows of blocks (block, keys, times: documents of
-    the block that hold each).  The ids of A hold the text, as they give its bytes back."""
+    """Rows of bundles of documents (block, doc_ids, sizes_a, sizes_b, ids of both compressed), and rows of blocks (block, keys, times: documents of
+    the block that hold each)."""
     def run(batches):
-        both, block, number = tokenizers(), _Block(), None
+        chunks, block, number = Chunks(tokenizers()), _Block(), None
+        packing = pa.Codec("zstd", 3)
         for batch in batches:
             if number is None and batch.num_rows:
                 number = batch.column("rid")[0].as_py()  # the task's first row number; a task has no more blocks than rows
@@ -218,12 +308,13 @@ def first_pass(docs: DataFrame, tokenizers: Callable[[], Tokenizers]) -> DataFra
                 if block.rows and block.size + size > BLOCK:
                     yield block.row(number)
                     block, number = _Block(), number + 1
-                many = both.encode(texts[at:to])
                 block.size, block.rows = block.size + size, block.rows + to - at
-                block.add(Aligned(many, both))
-                packed = np.concatenate([a for a, _ in many]).astype(np.uint32).tobytes()
-                yield pa.RecordBatch.from_pylist([{"block": number, "doc_ids": ids[at:to], "sizes": [len(a) for a, _ in many],
-                                                   "ids": pa.compress(packed, "zstd", asbytes=True)}], schema=SCHEMA)
+                many = chunks(texts[at:to])
+                block.add(chunks, many)
+                (a, n_a), (b, n_b) = chunks.ids(many)
+                packed = np.concatenate((a, b)).astype(PACKED).tobytes()
+                yield pa.RecordBatch.from_pylist([{"block": number, "doc_ids": ids[at:to], "sizes_a": n_a.tolist(), "sizes_b": n_b.tolist(),
+                                                   "ids": packing.compress(packed, asbytes=True) if packed else b""}], schema=SCHEMA)
                 at = to
         if block.rows:
             yield block.row(number)
@@ -382,21 +473,23 @@ def second_pass(rows: DataFrame, replies: DataFrame, best: np.ndarray, tokenizer
         both, now, held, answer = tokenizers(), None, [], None
         said = names(both)
         for batch in batches:
-            for block, kind, ids, sizes, data, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "doc_ids", "sizes", "ids", "keys", "counts"))):
+            columns = ("block", "kind", "doc_ids", "sizes_a", "sizes_b", "ids", "keys", "counts")
+            for block, kind, ids, sizes_a, sizes_b, data, keys, counts in zip(*(batch.column(c).to_pylist() for c in columns)):
                 if block != now:
                     now, held, answer = block, [], None
                 if kind == 0:
                     held.append((np.frombuffer(keys, np.int64), np.frombuffer(counts, np.int64)))
                     continue
                 if answer is None:
-                    asked, counted_ = (np.concatenate([h[k] for h in held]) if held else np.zeros(0, np.int64) for k in (0, 1))
+                    asked, times = (np.concatenate([h[k] for h in held]) if held else np.zeros(0, np.int64) for k in (0, 1))
                     order = np.argsort(asked)
-                    answer, held = (asked[order], counted_[order]), []
-                a = np.split(np.frombuffer(pa.decompress(data, 4 * sum(sizes), "zstd", asbytes=True) if sum(sizes) else b"", np.uint32).astype(np.int64), np.cumsum(sizes)[:-1])
-                texts = [both.text(x)[1:].decode() for x in a]
-                aligned = Aligned([(x, np.array(y, np.int64)) for x, y in zip(a, both.b.encode(texts, num_threads=1))], both)
+                    answer, held = (asked[order], times[order]), []
+                total_a = sum(sizes_a)
+                room = (total_a + sum(sizes_b)) * np.dtype(PACKED).itemsize
+                found = np.frombuffer(pa.decompress(data, room, "zstd", asbytes=True) if room else b"", PACKED).astype(np.int64)
+                aligned = Aligned((found[:total_a], np.array(sizes_a, np.int64)), (found[total_a:], np.array(sizes_b, np.int64)), both)
                 n = len(ids)
-                n_best, total = np.zeros(n, np.int64), np.zeros(n, np.int64)
+                links, n_best, total = (np.zeros(n, np.int64) for _ in range(3))
                 for document, key, times in aligned.pairs():
                     at = np.searchsorted(answer[0], key)
                     if (answer[0][np.minimum(at, len(answer[0]) - 1)] != key).any():
@@ -404,16 +497,15 @@ def second_pass(rows: DataFrame, replies: DataFrame, best: np.ndarray, tokenizer
                     count = answer[1][at]
                     np.add.at(total, document, count * times)
                     np.add.at(n_best, document, np.where(count == best[key // LOW], times, 0))
-                links = np.zeros(n, np.int64)
                 np.add.at(links, aligned.document, aligned.links)
                 groups = np.bincount(aligned.document, minlength=n)
                 sums = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in aligned.said(*said)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), *(pa.array(x, pa.int64()) for x in (aligned.n_a, aligned.n_b, groups, links, n_best, total)), pa.array(sums, pa.string())],
                     names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
-    both = (rows.select("block", F.lit(1).alias("kind"), "doc_ids", "sizes", "ids")
-            .unionByName(replies.withColumn("kind", F.lit(0)), allowMissingColumns=True))
-    return both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(run, RESULT)
+    both_kinds = (rows.select("block", F.lit(1).alias("kind"), "doc_ids", "sizes_a", "sizes_b", "ids")
+                  .unionByName(replies.withColumn("kind", F.lit(0)), allowMissingColumns=True))
+    return both_kinds.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(run, RESULT)
 
 
 def alignments(docs: DataFrame, byte_level: str = BYTE_LEVEL, pieces: str = MODEL) -> DataFrame:
@@ -426,11 +518,13 @@ def alignments(docs: DataFrame, byte_level: str = BYTE_LEVEL, pieces: str = MODE
     small_batches(spark)
     folder = shared_folder(spark)
     with open(byte_level, encoding="utf-8") as f:
-        a = f.read()
-    b = model_bytes(pieces)
+        tokens, wrong = byte_tokens(f.read())
+    if wrong:
+        raise ValueError(f"{byte_level}: {wrong}")
+    model = model_bytes(pieces)
 
     def tokenizers():
-        return Tokenizers(a, b)
+        return Tokenizers(tokens, model)
     rows = stored(first_pass(docs, tokenizers), f"{folder}/rows")
     blocks = rows.filter("keys is not null").select("block", "keys", "times")
     tables, buckets = hashes(blocks, folder)

@@ -4,12 +4,11 @@ With the word mark put for spaces (and one in front), a text falls into chunks:
 No piece of the vocabulary has a mark after another character or a line break beside one (checked when the model is loaded), so no
 merge crosses a chunk's border and the pieces of a text are the pieces of its chunks one after another.
 
-1. Distinct chunks of all documents are counted, and each is segmented once; chunk, count and ids are written as a table.
-2. The most frequent chunks, at most HEAD of them and of MOST characters, travel with the tasks (a histogram of the counts gives the least
-   count, so the bound holds before anything is collected).  A document's ids are put together by position from these; a chunk outside
-   leaves a gap.
-3. Gaps are joined with the table on the chunk and come back to their document by position.  Only ids are shuffled, never texts; a chunk that is
-   in no head is rare by construction, so the join has no hot key.
+1. Documents fall into blocks of BLOCK_ROWS rows of a file.  A block sends its distinct chunks, sorted and compressed, to the buckets they belong to by hash.
+2. A bucket segments each distinct chunk once, however many blocks ask for it, and answers every block with the ids.
+3. Documents meet the answers of their block, and their ids are put together by position.
+
+So texts and answers are shuffled once, compressed, by blocks of even size, and chunks by hash; a frequent chunk is one entry of a block.
 
 Decoding is the library's own on the ids so put together.
 """
@@ -17,23 +16,23 @@ Decoding is the library's own on the ids so put together.
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 import re
-from collections import Counter
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.storage import shared_folder, small_batches, stored
+from tallyloom.llm.storage import located, shared_folder, small_batches
 
 MODEL = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
 CHUNK = re.compile(f"(?:{MARK}+|\n)[^{MARK}\n]*")
-HEAD, MOST = 150_000, 64
-HELD = 300_000  # distinct chunks that a counting task holds
-STEPS = 8  # classes of counts per doubling
+BLOCK_ROWS = 8192  # rows of a file that form a block
+BUNDLE, BUNDLE_SIZE = 256, 500_000  # documents and characters that travel as one row at most (or one longer document)
 
 
 def chunks(text: str) -> list[str]:
@@ -78,95 +77,117 @@ def strings(batch: pa.RecordBatch, column: str) -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
-def chunk_counts(docs: DataFrame) -> DataFrame:
-    """chunk, n: the distinct chunks of all documents and how often each occurs."""
+def _bucket(chunk: str, buckets: int) -> int:
+    return zlib.crc32(chunk.encode()) % buckets
+
+
+def _packed(parts: list[bytes]) -> dict:
+    """Byte strings as one compressed value with their sizes."""
+    data = b"".join(parts)
+    return {"sizes": list(map(len, parts)), "data": pa.compress(data, "zstd", asbytes=True) if data else b""}
+
+
+def _unpacked(sizes: list[int], data: bytes) -> list[bytes]:
+    size = sum(sizes)
+    whole, at, out = pa.decompress(data, size, "zstd", asbytes=True) if size else b"", 0, []
+    for n in sizes:
+        out.append(whole[at:at + n])
+        at += n
+    return out
+
+
+ASKED = pa.schema([("bucket", pa.int32()), ("file", pa.int64()), ("block", pa.int64()), ("sizes", pa.list_(pa.int32())), ("data", pa.binary())])
+
+
+def asked(rows: DataFrame, buckets: int) -> DataFrame:
+    """bucket, file, block, and the packed distinct chunks of the block in that bucket."""
     def run(batches):
-        held: Counter[str] = Counter()
+        now, held = None, set()
 
         def sent():
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(held.values(), pa.int64())], names=["chunk", "n"])
+            parts: dict[int, list[str]] = {}
+            for chunk in sorted(held):
+                parts.setdefault(_bucket(chunk, buckets), []).append(chunk)
+            return pa.RecordBatch.from_pylist([{"bucket": k, "file": now[0], "block": now[1], **_packed([c.encode() for c in part])} for k, part in parts.items()], schema=ASKED)
         for batch in batches:
-            for text in strings(batch, "text"):
+            for file, block, text in zip(batch.column("file").to_pylist(), batch.column("block").to_pylist(), strings(batch, "text")):
+                if (file, block) != now:
+                    if held:
+                        yield sent()
+                    now, held = (file, block), set()
                 held.update(chunks(text))
-                if len(held) > HELD:
-                    yield sent()
-                    held.clear()
-        yield sent()
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "chunk string, n bigint").groupBy("chunk").agg(F.sum("n").alias("n"))
+        if held:
+            yield sent()
+    return rows.select("file", "block", "text").mapInArrow(run, "bucket int, file bigint, block bigint, sizes array<int>, data binary")
+
+
+ANSWERED = "file bigint, block bigint, sizes array<int>, data binary, ids_sizes array<int>, ids_data binary"
 
 
-def chunk_table(docs: DataFrame, model: bytes, folder: str) -> DataFrame:
-    """chunk, n, ids (packed 16-bit numbers): every distinct chunk, segmented once."""
+def answered(asked_rows: DataFrame, model: bytes) -> DataFrame:
+    """The asked chunks with their ids; every distinct chunk is segmented once, in its bucket."""
+    schema = pa.schema([*list(ASKED)[1:], ("ids_sizes", pa.list_(pa.int32())), ("ids_data", pa.binary())])
+
     def run(batches):
-        segmenter = Segmenter(model)
+        segmenter, now, known = Segmenter(model), None, {}
         for batch in batches:
-            ids = segmenter.ids(batch.column("chunk").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("n"), pa.array([i.tobytes() for i in ids], pa.binary())], names=["chunk", "n", "ids"])
-    return stored(chunk_counts(docs).mapInArrow(run, "chunk string, n bigint, ids binary"), f"{folder}/chunks")
-
-
-def head_count(table: DataFrame, most: int) -> int:
-    """The least count at which no more than ``most`` chunks are as frequent or more so."""
-    step = F.floor(F.log2("n") * STEPS).cast("int")
-    classes = {r.step: r["count"] for r in table.filter(F.length("chunk") <= MOST).groupBy(step.alias("step")).count().collect()}
-    total, least = 0, max(classes, default=0) + 1
-    for k in sorted(classes, reverse=True):
-        total += classes[k]
-        if total > most:
-            break
-        least = k
-    return least
-
-
-def encoded(docs: DataFrame, model: bytes, folder: str, head: int = HEAD) -> DataFrame:
-    """doc_id, ids (packed 16-bit numbers of the whole text); one row per row of ``docs``."""
-    table = chunk_table(docs, model, folder)
-    frequent = (F.floor(F.log2("n") * STEPS) >= head_count(table, head)) & (F.length("chunk") <= MOST)
-    top = table.filter(frequent).select("chunk", "ids").toArrow()  # at most `head` rows
-    known = dict(zip(top.column("chunk").to_pylist(), top.column("ids").to_pylist()))
+            for bucket, file, block, sizes, data in zip(*(batch.column(c).to_pylist() for c in ASKED.names)):
+                if bucket != now:
+                    now, known = bucket, {}
+                found = _unpacked(sizes, data)
+                new = [c for c in found if c not in known]
+                known.update(zip(new, [i.tobytes() for i in segmenter.ids([c.decode() for c in new])]))
+                ids = _packed([known[c] for c in found])
+                yield pa.RecordBatch.from_pylist([{"file": file, "block": block, "sizes": sizes, "data": data, "ids_sizes": ids["sizes"], "ids_data": ids["data"]}], schema=schema)
+    return asked_rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, ANSWERED)
+
+
+def bundles(rows: DataFrame) -> DataFrame:
+    """file, block, doc_ids, and the packed texts of some neighbouring documents of a block."""
+    schema = pa.schema([*list(ASKED)[1:], ("doc_ids", pa.list_(pa.int64()))])
 
     def run(batches):
+        now, ids, texts, size = None, [], [], 0
+
+        def sent():
+            return pa.RecordBatch.from_pylist([{"file": now[0], "block": now[1], "doc_ids": ids, **_packed(texts)}], schema=schema)
         for batch in batches:
-            ids, places, gaps = [], [], []
-            for text in strings(batch, "text"):
-                found = chunks(text)
-                parts = [known.get(c) for c in found]
-                at, missing, done = [], [], 0
-                if None in parts:
-                    for k, part in enumerate(parts):
-                        if part is None:
-                            at.append(done)
-                            missing.append(found[k])
-                            parts[k] = b""
-                        else:
-                            done += len(part)
-                ids.append(b"".join(parts))
-                places.append(at)
-                gaps.append(missing)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(places, pa.list_(pa.int32())), pa.array(gaps, pa.list_(pa.string()))],
-                names=["rid", "doc_id", "ids", "places", "gaps"])
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # row numbers are fixed by writing them
-    rows = stored(rows.mapInArrow(run, "rid bigint, doc_id bigint, ids binary, places array<int>, gaps array<string>"), f"{folder}/gaps")
-    gaps = rows.filter(F.size("gaps") > 0).select("rid", F.posexplode(F.arrays_zip("places", "gaps")).alias("number", "gap"))
-    gaps = gaps.select("rid", "number", F.col("gap.places").alias("place"), F.col("gap.gaps").alias("chunk"))
-    filled = (gaps.join(table.filter(~frequent).select("chunk", F.col("ids").alias("part")), "chunk")
-              .groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("number", "place", "part"))).alias("parts")))
-
-    def fill(batches):
+            for file, block, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "doc_id")), strings(batch, "text")):
+                if ids and ((file, block) != now or len(ids) >= BUNDLE or size + len(text) > BUNDLE_SIZE):
+                    yield sent()
+                    ids, texts, size = [], [], 0
+                now, size = (file, block), size + len(text)
+                ids.append(doc_id)
+                texts.append(text.encode())
+        if ids:
+            yield sent()
+    return rows.mapInArrow(run, "file bigint, block bigint, sizes array<int>, data binary, doc_ids array<bigint>")
+
+
+def encoded(docs: DataFrame, model: bytes, folder: str, buckets: int | None = None) -> DataFrame:
+    """doc_id, ids (packed 16-bit numbers of the whole text); one row per row of ``docs``.
+
+    ``buckets`` grows with the root of the number of rows, as distinct words do.
+    """
+    located_rows = located(docs, folder)
+    # a file is known by the hash of its path; files that share it share blocks, which costs nothing but room
+    rows = located_rows.select(F.xxhash64("file").alias("file"), F.floor(F.col("at") / BLOCK_ROWS).cast("bigint").alias("block"),
+                               F.col("row.doc_id").cast("bigint").alias("doc_id"), F.col("row.text").cast("string").alias("text"))
+    answers = answered(asked(rows, buckets or 16 + math.isqrt(docs.count()) // 8), model)
+
+    def run(batches):
+        now, known = None, {}
         for batch in batches:
-            out = []
-            for ids, places, parts in zip(*(batch.column(c).to_pylist() for c in ("ids", "places", "parts"))):
-                pieces, at = [], 0
-                for place, part in zip(places or [], parts or []):
-                    pieces += (ids[at:place], part)
-                    at = place
-                out.append(b"".join((*pieces, ids[at:])))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "ids"])
-    whole = rows.select("rid", "doc_id", "ids").join(filled, "rid", "left")
-    return whole.select("doc_id", "ids", F.col("parts.place").alias("places"), F.col("parts.part").alias("parts")).mapInArrow(fill, "doc_id bigint, ids binary")
+            for file, block, sizes, data, ids_sizes, ids_data, doc_ids in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "sizes", "data", "ids_sizes", "ids_data", "doc_ids"))):
+                if (file, block) != now:
+                    now, known = (file, block), {}
+                if doc_ids is None:
+                    known.update(zip([c.decode() for c in _unpacked(sizes, data)], _unpacked(ids_sizes, ids_data)))
+                else:
+                    ids = [b"".join([known[c] for c in chunks(t.decode())]) for t in _unpacked(sizes, data)]
+                    yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+    both = answers.unionByName(bundles(rows), allowMissingColumns=True)
+    return both.repartition("file", "block").sortWithinPartitions("file", "block", F.size("doc_ids").asc_nulls_first()).mapInArrow(run, "doc_id bigint, ids binary")
 
 
 def decoded(ids: DataFrame, model: bytes) -> DataFrame:
@@ -180,7 +201,7 @@ def decoded(ids: DataFrame, model: bytes) -> DataFrame:
     return ids.mapInArrow(run, "doc_id bigint, ids binary, text string")
 
 
-def pieces_and_back(docs: DataFrame, path: str = MODEL, head: int = HEAD) -> DataFrame:
+def pieces_and_back(docs: DataFrame, path: str = MODEL, buckets: int | None = None) -> DataFrame:
     """doc_id, n_tokens, ids (packed 16-bit numbers), text (decoded from them); one row per row of ``docs``.
 
     Null and empty texts have no ids and decode to the empty text; repeated ids and rows stay as they are; an empty table gives an
@@ -188,7 +209,7 @@ def pieces_and_back(docs: DataFrame, path: str = MODEL, head: int = HEAD) -> Dat
     """
     small_batches(docs.sparkSession)
     model = model_bytes(path)
-    back = decoded(encoded(docs, model, shared_folder(docs.sparkSession), head), model)
+    back = decoded(encoded(docs, model, shared_folder(docs.sparkSession), buckets), model)
     return back.select("doc_id", (F.octet_length("ids") / 2).cast("bigint").alias("n_tokens"), "ids", "text")
 
 

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from tallyloom.llm import alignment, queries, ranked_search, sentence_pieces
 from tallyloom.llm.minimal_hash import MinimalHash
 
-SCHEMA = "doc_id bigint, text string, path string, block bigint, chunk string, m bigint, rid bigint"
+SCHEMA = "doc_id bigint, text string, file string, block bigint, chunk string, at bigint, rid bigint"
 LONG = " ".join(f"w{k % 977}x{k}" for k in range(40_000))
 ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (None, "no id here at all"), (5, "same"), (5, "same"), (6, LONG), (7, "ünïcode ☃ 😀 text"),
        (8, "a▁b  c"), (9, "<s>x</s><|endoftext|>\r\n  <0x0A>"), (10, "x" * 30_000), (11, "\n\nsame\n"), (None, None)]
@@ -40,9 +40,11 @@ def plain_pieces(text):
     return len(ids), sha(",".join(map(str, ids))), sha(PIECES.decode(ids))
 
 
-@pytest.mark.parametrize("head", [0, 3, 150_000])
-def test_pieces_of_odd_rows(spark, tmp_path, head):
-    rows = sentence_pieces.digests(sentence_pieces.pieces_and_back(made(spark, tmp_path, ODD), head=head)).collect()
+@pytest.mark.parametrize("rows, buckets", [(8192, None), (2, 1), (3, 5)])
+def test_pieces_of_odd_rows(spark, tmp_path, monkeypatch, rows, buckets):
+    monkeypatch.setattr(sentence_pieces, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(sentence_pieces, "BUNDLE", rows)
+    rows = sentence_pieces.digests(sentence_pieces.pieces_and_back(made(spark, tmp_path, ODD), buckets=buckets)).collect()
     assert Counter(map(tuple, rows)) == Counter((i, *plain_pieces(t)) for i, t in ODD)
 
 
@@ -63,9 +65,15 @@ def test_chunks_of_random_strings():
 
 # ---------------------------------------------------------------- 11
 
+def tokenizers():
+    tokens, wrong = alignment.byte_tokens(open(alignment.BYTE_LEVEL, encoding="utf-8").read())
+    assert wrong is None
+    return alignment.Tokenizers(tokens, sentence_pieces.model_bytes())
+
+
 def plain_alignment(texts):
     """(doc_id, columns of the contract) of each row, by loops over tokens."""
-    both = alignment.Tokenizers(open(alignment.BYTE_LEVEL, encoding="utf-8").read(), sentence_pieces.model_bytes())
+    both = tokenizers()
     found, documents = [], Counter()
     for i, text in texts:
         a, b = BYTES.encode(" " + (text or ""), add_special_tokens=False).ids, PIECES.encode(text or "")
@@ -113,13 +121,25 @@ def test_alignment_in_small_blocks_and_long_groups(spark, sf_dir, monkeypatch):
     assert sorted(map(tuple, rows)) == sorted(plain_alignment(texts))
 
 
-def test_words_of_a_never_cross_a_cut():
+def test_chunks_are_aligned_alone():
     rng = random.Random(3)
-    letters = [*" \n\ta b.é😀'\r中\x1c\x85 　́_-²½١Ǆ", "  ", "\n\n", "word", "the ", "'s", "'ll", "<|endoftext|>", "12", "!", "?", ";"]
-    both = alignment.Tokenizers(open(alignment.BYTE_LEVEL, encoding="utf-8").read(), sentence_pieces.model_bytes())
+    letters = [*" \n\ta b.é😀'\r中\x1c\x85 　́_-²½١Ǆ▁", "  ", "\n\n", "word", "the ", "'s", "'ll", "<|endoftext|>", "12", "!", "?", ";"]
+    both = tokenizers()
     texts = ["".join(rng.choices(letters, k=rng.randint(1, 25))) for _ in range(3000)]
-    for text, ids in zip(texts, both.ids_a(texts)):
-        assert ids.tolist() == BYTES.encode(" " + text, add_special_tokens=False).ids
+    for text in texts:
+        chunks = alignment.CUT.split(" " + text)
+        order, given, a, b = both.encode_all(chunks)
+        assert given.all() == ("▁" not in text)
+        if given.all():
+            ids = [dict(zip(order, np.split(i, np.cumsum(n)[:-1]))) for i, n in (a, b)]
+            assert [i for c in chunks for i in ids[0][c]] == BYTES.encode(" " + text, add_special_tokens=False).ids
+            assert [i for c in chunks for i in ids[1][c]] == PIECES.encode(text)
+
+
+def test_every_character_under_a():
+    both = tokenizers()
+    texts = [f" a{chr(k)}1{chr(k)} {chr(k)}" for k in range(0x11000) if not 0xD800 <= k < 0xE000]
+    assert [both.a.encode_ordinary(t) for t in texts] == [x.ids for x in BYTES.encode_batch(texts, add_special_tokens=False)]
 
 
 @pytest.mark.parametrize("size", [0, 1, 2, 1000, 20_000])
