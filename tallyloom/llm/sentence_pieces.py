@@ -33,6 +33,7 @@ MARK = "▁"
 CHUNK = re.compile(f"(?:{MARK}+|\n)[^{MARK}\n]*")
 BLOCK_ROWS = 8192  # rows of a file that form a block
 BUNDLE, BUNDLE_SIZE = 256, 500_000  # documents and characters that travel as one row at most (or one longer document)
+LEVEL = 6  # of compression
 
 
 def chunks(text: str) -> list[str]:
@@ -84,7 +85,7 @@ def _bucket(chunk: str, buckets: int) -> int:
 def _packed(parts: list[bytes]) -> dict:
     """Byte strings as one compressed value with their sizes."""
     data = b"".join(parts)
-    return {"sizes": list(map(len, parts)), "data": pa.compress(data, "zstd", asbytes=True) if data else b""}
+    return {"sizes": list(map(len, parts)), "data": pa.Codec("zstd", LEVEL).compress(data, asbytes=True) if data else b""}
 
 
 def _unpacked(sizes: list[int], data: bytes) -> list[bytes]:

@@ -31,8 +31,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Rows per Arrow batch for the operators whose tasks run Python: texts are long, and a batch is held whole in a worker."""
+    """Rows and bytes per Arrow batch for the operators whose tasks run Python: texts are long, and a batch is held whole in a worker.
+
+    The settings stay, as plans read them when the caller runs the result.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
 def stored(df: DataFrame, path: str, codec: str = "zstd") -> DataFrame:
