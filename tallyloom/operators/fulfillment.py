@@ -339,21 +339,30 @@ def post_cash_discount(stage, payments):
 
 # --------------------------------------------------------------------------- status updates, gift cards sold
 
-def update_detail_fulfillment(order_detail, stage):
+def stamped(rows, column):
+    """``rows`` with the time column that updates set; a table that lacks it gets it empty."""
+    return rows if column in rows.columns else rows.withColumn(column, F.lit(None).cast("timestamp_ntz"))
+
+
+def update_detail_fulfillment(order_detail, stage, as_of):
+    """Shipped and short units and the load time of the staged lines; other lines stay as they are."""
     news = stage.select("item_id", F.col("units_shipped").alias("fulfillment_qty"),
-                        F.col("units_shorted").alias("short_qty"), F.col("fulfilled_at").alias("fulfillment_date"))
-    return R.update_from(order_detail, news, ["item_id"], ["fulfillment_qty", "short_qty", "fulfillment_date"])
+                        F.col("units_shorted").alias("short_qty"), F.col("fulfilled_at").alias("fulfillment_date"),
+                        F.lit(as_of).cast("timestamp_ntz").alias("ods_updated_at"))
+    return R.update_from(stamped(order_detail, "ods_updated_at"), news, ["item_id"], ["fulfillment_qty", "short_qty", "fulfillment_date", "ods_updated_at"])
 
 
-def update_header_shipped(order_header, stage):
+def update_header_shipped(order_header, stage, as_of):
     """Status and revenue date from the latest fulfilment; headers that have a revenue date stay."""
     done = (stage.filter("is_last_shipment").groupBy("order_id").agg(F.max("fulfilled_at").alias("_at")))
+    order_header = stamped(order_header, "updated_at")
     rows = order_header.join(done, "order_id", "left")
     hit = F.col("_at").isNotNull() & F.col("gaap_sale_date").isNull()
     return rows.withColumns({
         "status": F.when(hit, F.lit("shipped")).otherwise(F.col("status")),
         "status_date": F.when(hit, F.col("_at")).otherwise(F.col("status_date")),
-        "gaap_sale_date": F.when(hit, local_date("_at")).otherwise(F.col("gaap_sale_date"))}).select(*order_header.columns)
+        "gaap_sale_date": F.when(hit, local_date("_at")).otherwise(F.col("gaap_sale_date")),
+        "updated_at": F.when(hit, F.lit(as_of).cast("timestamp_ntz")).otherwise(F.col("updated_at"))}).select(*order_header.columns)
 
 
 def _sold(sales, order_detail):
@@ -379,14 +388,16 @@ def post_gift_card_sale(sales, adjustments, order_detail, order_header):
 
 
 def gift_card_fulfillment_updates(sales, order_detail, order_header, as_of):
-    """(lines with quantity 1, headers touched, new gift cards)."""
+    """(lines with quantity 1, headers touched, new gift cards); other lines and headers keep their times."""
     now = F.lit(as_of).cast("timestamp_ntz")
     sold = _sold(sales, order_detail)
     items = sold.select("item_id").distinct().withColumn("_hit", F.lit(True))
     orders = sold.select("order_id").distinct().withColumn("_hit", F.lit(True))
-    detail = order_detail.join(items, "item_id", "left").withColumn(
-        "fulfillment_qty", F.when(F.col("_hit"), F.lit(1)).otherwise(F.col("fulfillment_qty"))).drop("_hit")
-    header = order_header.join(orders, "order_id", "left").withColumn("updated_at", F.when(F.col("_hit"), now)).drop("_hit")
+    detail = stamped(order_detail, "ods_updated_at").join(items, "item_id", "left").withColumns({
+        "fulfillment_qty": F.when(F.col("_hit"), F.lit(1)).otherwise(F.col("fulfillment_qty")),
+        "ods_updated_at": F.when(F.col("_hit"), now).otherwise(F.col("ods_updated_at"))}).drop("_hit")
+    header = stamped(order_header, "updated_at").join(orders, "order_id", "left").withColumn(
+        "updated_at", F.when(F.col("_hit"), now).otherwise(F.col("updated_at"))).drop("_hit")
     cards = sold.select("card_id", "card_type", F.col("card_amt").alias("initial_amount"),
                         F.col("card_amt").alias("current_balance"), F.lit("purchased").alias("issue_type"), "order_id",
                         F.col("increment_id").alias("order_increment_id"), "item_id", F.col("updated_at").alias("created_at"),

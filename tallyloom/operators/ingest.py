@@ -230,19 +230,33 @@ WORK_KEYS = {"gca": "message_uuid", "ocn": "order_id", "ma": "message_uuid", "gc
              "mc": "order_id", "oa": "order_id", "of": "message_uuid", "cm": "credit_id"}
 
 
+def _by_type(values: dict[str, Column]) -> Column:
+    """The value of the row's message type."""
+    chain = None
+    for message_type, value in values.items():
+        same = F.col("message_type") == message_type
+        chain = F.when(same, value) if chain is None else chain.when(same, value)
+    return chain
+
+
+def _work_key(message_type: str) -> Column:
+    key = WORK_KEYS[message_type]
+    return typed(f"doc.{key}", "s" if key == "message_uuid" else "i").cast("string")
+
+
 def message_keys(queue):
-    """id, s3_updated_at, message_type and key (text) of every message: what makes it a repeat of another of its type."""
-    def of_type(m, key):
-        if m == "gca":
-            rows = messages(queue, "gca", "cards.key").select(
-                "id", "s3_updated_at", typed("doc.cards.card_id", "i").alias("card"), typed("doc.cards.updated_at", "t").alias("moment"),
-                typed("doc.cards.card_delta", "f").alias("amount")).select("id", "s3_updated_at", *_card_key("card", "moment", "amount"))
-            text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("card_id", "updated_at", "delta")])
-        else:
-            rows = messages(queue, m, key)
-            text = F.coalesce(typed(f"doc.{key}", "s" if key == "message_uuid" else "i").cast("string"), F.lit(""))
-        return rows.select("id", "s3_updated_at", F.lit(m).alias("message_type"), text.alias("key"))
-    return R.union_all(*[of_type(m, key) for m, key in WORK_KEYS.items()])
+    """id, s3_updated_at, message_type and key (text) of every message: what makes it a repeat of another of its type.
+
+    One pass over the queue: a message is parsed once, for the few fields that any type's key needs.
+    """
+    schema = "STRUCT<message_uuid: STRING, order_id: STRING, credit_id: STRING, cards: " + NESTED["gca"]["cards.key"] + ">"
+    rows = queue.filter(F.col("message_type").isin(*WORK_KEYS)).select("id", "s3_updated_at", "message_type", F.from_json("json_data", schema).alias("doc"))
+    card = F.struct(typed("doc.cards.card_id", "i").alias("card"), typed("doc.cards.updated_at", "t").alias("moment"), typed("doc.cards.card_delta", "f").alias("amount"))
+    rows = rows.withColumn("_card", F.when(F.col("message_type") == "gca", card))
+    parts = _card_key("_card.card", "_card.moment", "_card.amount")
+    of_card = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in parts])
+    text = _by_type({m: of_card if m == "gca" else F.coalesce(_work_key(m), F.lit("")) for m in WORK_KEYS})
+    return rows.select("id", "s3_updated_at", "message_type", text.alias("key"))
 
 
 def new_message_worklist(queue, message_type, staged, processed):
@@ -254,6 +268,35 @@ def new_message_worklist(queue, message_type, staged, processed):
     return keyed.join(staged.select(key), key, "left_anti").join(processed.select(key), key, "left_anti")
 
 
+def known_keys(tables: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """message_type, work_key of what staging and archive hold; ``tables``: both by message type."""
+    return R.union_all(*[t.select(F.lit(m).alias("message_type"), F.col(WORK_KEYS[m]).cast("string").alias("work_key"))
+                         for m, pair in tables.items() for t in pair])
+
+
+def work_keys(queue) -> DataFrame:
+    """message_type, work_key (text), id of all types: one scan, one parse of the three fields that keys are made of."""
+    rows = queue.filter(F.col("message_type").isin(*WORK_KEYS)).select(
+        "id", "message_type", F.from_json("json_data", document("", "message_uuid", "order_id", "credit_id")).alias("doc"))
+    return rows.select("message_type", _by_type({m: _work_key(m) for m in WORK_KEYS}).alias("work_key"), "id")
+
+
+def work_lists(queue, known: DataFrame) -> DataFrame:
+    """message_type, work_key, id of the messages of all types found neither in staging nor in the archive: one anti join."""
+    return work_keys(queue).join(known, ["message_type", "work_key"], "left_anti")
+
+
+def commit_fates(queue, known: DataFrame) -> DataFrame:
+    """id, message_type, fate: 'processed' (taken now, so it moves to the archive) or 'queue' (it keeps waiting, as its key is known).
+
+    One join of the keys tells both; the queue isn't split by two more.  Messages without a key are new, and are dealt by their id.
+    """
+    keyed = work_keys(queue).withColumn("_key", F.coalesce("work_key", F.concat(F.lit("\0"), F.col("id").cast("string"))))
+    seen = known.filter(F.col("work_key").isNotNull()).select("message_type", F.col("work_key").alias("_key")).distinct().withColumn("_seen", F.lit(True))
+    return keyed.join(seen, ["message_type", "_key"], "left").select(
+        "id", "message_type", F.when(F.col("_seen"), "queue").otherwise("processed").alias("fate"))
+
+
 def queue_commit(queue, work):
     """(messages for the archive, messages that keep waiting)."""
     return R.split(queue, work, "id")
@@ -392,6 +435,16 @@ def hold_partial_shipments(queue, fc_xref):
     return R.split(waiting, partial, "id")
 
 
+def shipment_parts(fc_ids: list[str]) -> tuple[Column, Column]:
+    """(waits for its last part, is the last part) of a message, without a join; ``fc_ids``: the ``is_hj`` warehouses."""
+    doc = F.from_json("json_data", document("of", "is_last_hj_shipment", "items.fc_detail.fc"))
+    last = F.coalesce(typed(doc["is_last_hj_shipment"], "b"), F.lit(None).cast("boolean"))
+    fcs = F.flatten(F.transform(doc["items"], lambda i: F.from_json(i["fc_detail"]["fc"], "ARRAY<STRING>")))
+    hj = F.array(*[F.lit(x) for x in fc_ids]).cast("array<string>")
+    mine = F.col("message_type") == "of"
+    return F.coalesce(mine & ~last & F.arrays_overlap(fcs, hj), F.lit(False)), F.coalesce(mine & last, F.lit(False))
+
+
 def explode_fulfillment_items(queue, staged_detail):
     """First row of every item, unless the item is staged already."""
     rows = messages(queue, "of", *_ORDER, "increment_id", "customer_id", "items").select("id", "doc", F.posexplode("doc.items").alias("pos", "item"))

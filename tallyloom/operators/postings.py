@@ -255,8 +255,10 @@ def reverse_membership_postings(ledger, work, sub_types, refunds):
 
 
 def _set_status(headers, work, status: Column):
-    news = work.select("order_id", status.alias("status"), F.col("updated_at").alias("status_date"))
-    return R.update_from(headers, news, ["order_id"], ["status", "status_date"])
+    news = work.select("order_id", status.alias("status"), F.col("updated_at").alias("status_date"), "updated_at")
+    if "updated_at" not in headers.columns:
+        headers = headers.withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
+    return R.update_from(headers, news, ["order_id"], ["status", "status_date", "updated_at"])
 
 
 def cancel_order_status(headers, work):

@@ -90,7 +90,7 @@ def fulfillment_run(queue: DataFrame, store: dict[str, DataFrame], dims: dict[st
     archived, waiting = maintenance.archive_move(shipments, work, ["order_id"])
     return {
         "ledger": posted.unionByName(R.stored(funded, f"{staging}/funded")),
-        "order_detail": fulfillment.update_detail_fulfillment(detail, stage),
-        "order_header": fulfillment.update_header_shipped(header, stage),
+        "order_detail": fulfillment.update_detail_fulfillment(detail, stage, as_of),
+        "order_header": fulfillment.update_header_shipped(header, stage, as_of),
         "errors": errors, "archive": archived, "waiting": waiting, "held": held, "stage": stage,
     }

@@ -201,12 +201,13 @@ def work_staged(t, message_type):
     return staged(df, 1, number), staged(df, 2, number)
 
 
+def known_keys(t):
+    return ingest.known_keys({m: work_staged(t, m) for m in ingest.WORK_KEYS})
+
+
 @query("new_message_worklist", "message_type:s work_key:s id:n")
 def _(t):
-    lists = [ingest.new_message_worklist(t.queue(m), m, *work_staged(t, m)).select(
-        F.lit(m).alias("message_type"), F.col(key).cast("string").alias("work_key"), "id")
-        for m, key in ingest.WORK_KEYS.items()]
-    return R.union_all(*lists)
+    return ingest.work_lists(t.queue(), known_keys(t))
 
 
 @query("parse_gift_card_adjustment", "message_uuid:s customer_id:s card_id:n card_amt:m card_delta:m action:s action_label:s"
@@ -353,9 +354,7 @@ def _(t):
 
 @query("queue_commit", "id:n message_type:s fate:s")
 def _(t):
-    queue = t.queue()
-    work = R.union_all(*[ingest.new_message_worklist(queue, m, *work_staged(t, m)).select("id") for m in ingest.WORK_KEYS])
-    return fates(*ingest.queue_commit(queue, work), ("processed", "queue"))
+    return ingest.commit_fates(t.queue(), known_keys(t))
 
 
 @query("queue_stream", "id:n message_type:s fate:s")
@@ -485,12 +484,12 @@ def _(t):
     return postings.reverse_membership_postings(t("membership_ledger"), member_cancels(t), t("sub_types"), t("member_refunds"))
 
 
-@query("cancel_order_status", "order_id:n status:s status_date:t")
+@query("cancel_order_status", "order_id:n status:s status_date:t updated_at:t")
 def _(t):
     return postings.cancel_order_status(t("order_header"), order_cancels(t))
 
 
-@query("cancel_membership_status", "order_id:n status:s status_date:t")
+@query("cancel_membership_status", "order_id:n status:s status_date:t updated_at:t")
 def _(t):
     return postings.cancel_membership_status(stored_members(t), member_cancels(t))
 
@@ -610,14 +609,14 @@ def _(t):
     return fulfillment.post_cash_discount(t("stage"), t("order_payments"))
 
 
-@query("update_detail_fulfillment", "item_id:n fulfillment_qty:n short_qty:n fulfillment_date:t")
+@query("update_detail_fulfillment", "item_id:n fulfillment_qty:n short_qty:n fulfillment_date:t ods_updated_at:t")
 def _(t):
-    return fulfillment.update_detail_fulfillment(t("order_detail"), t("stage"))
+    return fulfillment.update_detail_fulfillment(t("order_detail"), t("stage"), AS_OF)
 
 
-@query("update_header_shipped", "order_id:n status:s status_date:t gaap_sale_date:d")
+@query("update_header_shipped", "order_id:n status:s status_date:t gaap_sale_date:d updated_at:t")
 def _(t):
-    return fulfillment.update_header_shipped(t("order_header"), t("stage"))
+    return fulfillment.update_header_shipped(t("order_header"), t("stage"), AS_OF)
 
 
 @query("post_gift_card_sale", "tran_type:n tran_sub_type_id:n tran_date:t tran_amt:m tran_full_price:m tran_discount_amt:m gift_card_id:n gc_type:n"
@@ -630,7 +629,7 @@ def _(t):
 def _(t):
     detail, header, cards = fulfillment.gift_card_fulfillment_updates(*t.many("gift_sales", "order_detail", "order_header"), AS_OF)
     return R.union_all(
-        detail.select(F.lit("detail").alias("kind"), F.col("item_id").alias("key"), F.col("fulfillment_qty").cast("string").alias("value")),
+        detail.select(F.lit("detail").alias("kind"), F.col("item_id").alias("key"), F.concat_ws("/", F.col("fulfillment_qty").cast("string"), F.col("ods_updated_at").cast("string")).alias("value")),
         header.select(F.lit("header").alias("kind"), F.col("order_id").alias("key"), F.col("updated_at").cast("string").alias("value")),
         cards.select(F.lit("card").alias("kind"), F.col("card_id").alias("key"), F.concat_ws("/", "order_increment_id", "card_type", "source_uuid").alias("value")))
 
@@ -752,7 +751,7 @@ def _(t):
 FUND = ("tran_sub_type_id:n tran_sub_type:s order_id:n order_line_id:n parent_item_id:n sku:s tran_qty:n tran_discount_amt:m rule_id:n item_id:n"
         " fulfillment_tran_id:n rebate_percentage:m rebate_billing_method:n rebate_total:m tran_amt:m tran_gl_date:d created_at:t magento_location_id:n group_name:s ship_date:d")
 for _name in ("post_tpr_funding", "post_tpr_funding_bundle", "post_as_funding", "post_as_funding_bundle"):
-    query(_name, FUND)(lambda t, _f=getattr(funding, _name): _f(*t.many("ledger", "detail_discounts", "fc_xref", "curr_items", "brand_records"), CUTOFF, AS_OF))
+    query(_name, FUND)(lambda t, _f=getattr(funding, _name): _f(*t.many("ledger", "detail_discounts", "fc_xref", "curr_items", "brand_records"), as_of=AS_OF))
 
 
 @query("post_brand_marketing_fee", "tran_type:n tran_sub_type_id:n tran_sub_type:s tran_date:t created_at:t tran_gl_date:d tran_amt:m brand_marketing_id:n")

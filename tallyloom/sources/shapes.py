@@ -278,6 +278,7 @@ shape("order_header", "orders_z", {
     "ppe_fee": cents("ppe_c", 10),
     "billing_state": "state",
     "ods_processed_at": hours("created_at", "9"),
+    "updated_at": "CASE WHEN k % 3 <> 0 THEN " + hours("created_at", "10") + " END",
 })
 shape("header_copies", "orders_z", {
     "message_uuid": "'oc-' || CAST(k AS STRING)",

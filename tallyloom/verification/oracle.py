@@ -238,9 +238,9 @@ SQL["reverse_order_postings"] = _reversal("order_ledger", "order_cancel_work", "
 SQL["reverse_membership_postings"] = _reversal("membership_ledger", "member_cancel_work", "150, 155", "coalesce(r.gateway_tran_id, l.cc_auth)",
                                                "LEFT JOIN member_refunds r ON r.order_id = l.order_id AND r.base_pay_amt = l.tran_amt")
 SQL["cancel_order_status"] = """SELECT h.order_id, CASE WHEN w.order_id IS NULL THEN h.status WHEN w.is_voided THEN 'void' ELSE 'cancel' END AS status,
- coalesce(w.updated_at, h.status_date) AS status_date
+ coalesce(w.updated_at, h.status_date) AS status_date, coalesce(w.updated_at, h.updated_at) AS updated_at
  FROM order_header h LEFT JOIN order_cancel_work w ON w.order_id = h.order_id"""
-SQL["cancel_membership_status"] = """SELECT m.order_id, CASE WHEN w.at IS NOT NULL THEN 'cancel' END AS status, w.at AS status_date FROM members m
+SQL["cancel_membership_status"] = """SELECT m.order_id, CASE WHEN w.at IS NOT NULL THEN 'cancel' END AS status, w.at AS status_date, coalesce(w.at, m.updated_at) AS updated_at FROM members m
  LEFT JOIN (SELECT order_id, min(updated_at) AS at FROM member_cancel_work WHERE is_voided GROUP BY 1) w ON w.order_id = m.order_id"""
 
 # --------------------------------------------------------------------------- F
@@ -364,22 +364,23 @@ LOCAL["ship_rows"] = " UNION ALL ".join(
 SQL["post_shipment_revenue"] = "SELECT * FROM ship_rows"
 SQL["post_cash_discount"] = f"""SELECT 300 AS tran_type, 62 AS tran_sub_type_id, '{CASH_DISCOUNT}' AS tran_sub_type, l.tran_date, l.order_id, l.increment_id, l.customer_id,
  p.pay_amt AS tran_amt, l.sale_date, {pac('l.tran_date')} AS tran_gl_date FROM last_out l JOIN order_payments p ON p.order_id = l.order_id AND p.payment_type = 'tc' AND p.pay_amt > 0"""
-SQL["update_detail_fulfillment"] = """SELECT i.item_id, CASE WHEN s.item_id IS NULL THEN i.fulfillment_qty ELSE s.units_shipped END AS fulfillment_qty,
+SQL["update_detail_fulfillment"] = f"""SELECT i.item_id, CASE WHEN s.item_id IS NOT NULL THEN {AS_OF} END AS ods_updated_at, CASE WHEN s.item_id IS NULL THEN i.fulfillment_qty ELSE s.units_shipped END AS fulfillment_qty,
  CASE WHEN s.item_id IS NULL THEN i.short_qty ELSE s.units_shorted END AS short_qty,
  CASE WHEN s.item_id IS NULL THEN i.fulfillment_date ELSE s.fulfilled_at END AS fulfillment_date FROM order_detail i
  LEFT JOIN (SELECT item_id, units_shipped, units_shorted, fulfilled_at FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY units_shipped, units_shorted, fulfilled_at) AS rn FROM stage)
   WHERE rn = 1) s ON s.item_id = i.item_id"""
 SQL["update_header_shipped"] = f"""SELECT o.order_id, CASE WHEN d.at IS NOT NULL AND o.gaap_sale_date IS NULL THEN 'shipped' ELSE o.status END AS status,
- CASE WHEN d.at IS NOT NULL AND o.gaap_sale_date IS NULL THEN d.at ELSE o.status_date END AS status_date, CASE WHEN o.gaap_sale_date IS NULL THEN {pac('d.at')} ELSE o.gaap_sale_date END AS gaap_sale_date
+ CASE WHEN d.at IS NOT NULL AND o.gaap_sale_date IS NULL THEN d.at ELSE o.status_date END AS status_date, CASE WHEN o.gaap_sale_date IS NULL THEN {pac('d.at')} ELSE o.gaap_sale_date END AS gaap_sale_date,
+ CASE WHEN d.at IS NOT NULL AND o.gaap_sale_date IS NULL THEN {AS_OF} ELSE o.updated_at END AS updated_at
  FROM order_header o LEFT JOIN (SELECT order_id, max(fulfilled_at) AS at FROM stage WHERE is_last_shipment GROUP BY 1) d ON d.order_id = o.order_id"""
 SQL["post_gift_card_sale"] = f"""SELECT CASE WHEN g.card_type = 1 THEN 310 ELSE 320 END AS tran_type, CASE WHEN g.card_type = 1 THEN 30 ELSE 32 END AS tran_sub_type_id,
  g.updated_at AS tran_date, i.base_price AS tran_amt, i.base_original_price AS tran_full_price, i.base_discount_amt AS tran_discount_amt, g.card_id AS gift_card_id,
  g.card_type AS gc_type, i.order_id, g.item_id AS order_line_id, o.increment_id, o.sale_date, {pac('g.updated_at')} AS tran_gl_date
  FROM gift_sales g JOIN created_cards c ON c.card_id = g.card_id AND c.action_label = 'Created' JOIN order_detail i ON i.item_id = g.item_id
  JOIN order_header o ON o.order_id = i.order_id"""
-SQL["gift_card_fulfillment_updates"] = f"""SELECT 'detail' AS kind, item_id AS key, CAST(CASE WHEN item_id IN (SELECT item_id FROM gift_sales) THEN 1 ELSE fulfillment_qty END AS VARCHAR) AS value
- FROM order_detail UNION ALL SELECT 'header', order_id, CASE WHEN order_id IN (SELECT g.order_id FROM gift_sales g JOIN order_detail i ON i.item_id = g.item_id)
- THEN CAST({AS_OF} AS VARCHAR) END FROM order_header
+SQL["gift_card_fulfillment_updates"] = f"""SELECT 'detail' AS kind, item_id AS key, CASE WHEN item_id IN (SELECT item_id FROM gift_sales) THEN '1/' || CAST({AS_OF} AS VARCHAR)
+ ELSE coalesce(CAST(fulfillment_qty AS VARCHAR), '') END AS value FROM order_detail UNION ALL SELECT 'header', order_id, CASE WHEN order_id IN (SELECT g.order_id FROM gift_sales g JOIN order_detail i ON i.item_id = g.item_id)
+ THEN CAST({AS_OF} AS VARCHAR) ELSE CAST(updated_at AS VARCHAR) END FROM order_header
  UNION ALL SELECT 'card', card_id, CAST(increment_id AS VARCHAR) || '/' || CAST(card_type AS VARCHAR) || '/' || message_uuid FROM gift_sales
  WHERE item_id IN (SELECT item_id FROM order_detail)"""
 
@@ -556,9 +557,8 @@ def _funding(code, name, like, key):
  l.tran_amt * CAST(CAST(d.sponsored_percentage AS DECIMAL(9,4)) * 0.01 AS DECIMAL(11,6)) AS tran_amt, l.tran_gl_date
  FROM ledger l JOIN detail_discounts d ON d.item_id = l.{key} AND d.rule_id = l.rule_id LEFT JOIN fc_xref f ON f.fc_id = l.magento_location_id
  LEFT JOIN curr_items i ON i.item_name = l.sku AND i.fc_id = coalesce(f.ods_fc_id, 2) LEFT JOIN brand_records b ON b.brand_records_id = i.brand_id
- WHERE l.tran_sub_type_id = 48 AND l.tran_gl_date >= DATE '1996-01-01' AND d.sponsored_by IN ('Brand', 'Both') AND d.discount_type = 'tpa' AND d.rule_name {like} 'A&S%' AND b.billing_method_id IN (1, 2, 3)
- AND i.vendor_type <> 'Private Label' AND NOT EXISTS (SELECT 1 FROM ledger x WHERE x.tran_sub_type_id = {code} AND x.order_id = l.order_id AND x.order_line_id = l.order_line_id
- AND x.tran_gl_date >= DATE '1996-01-01')"""
+ WHERE l.tran_sub_type_id = 48 AND d.sponsored_by IN ('Brand', 'Both') AND d.discount_type = 'tpa' AND d.rule_name {like} 'A&S%' AND b.billing_method_id IN (1, 2, 3)
+ AND i.vendor_type <> 'Private Label' AND NOT EXISTS (SELECT 1 FROM ledger x WHERE x.tran_sub_type_id = {code} AND x.order_id = l.order_id AND x.order_line_id = l.order_line_id)"""
 
 
 SQL["post_tpr_funding"] = _funding(113, "TPR Vendor Funding", "NOT LIKE", "order_line_id")

@@ -51,7 +51,7 @@ def test_not_in_with_null_in_list_and_null_value(spark):
 
 def test_first_ids_and_upsert(spark):
     rows = spark.createDataFrame([(1, "a", 5), (2, "a", 4), (3, None, 1), (4, None, 2)], "id int, k string, o int")
-    assert values(R.first_ids(rows, ["k"], ["o"], "id"), "id") == [(2,), (3,)]
+    assert values(R.first_ids(rows, ["k"], "o", "id"), "id") == [(2,), (3,)]
     old = spark.createDataFrame([(1, "x", "keep"), (2, "y", "keep")], "k int, a string, b string")
     new = spark.createDataFrame([(2, None, "no"), (3, "z", "new")], "k int, a string, b string")
     assert values(R.upsert(old, new, ["k"], ["a"]), "k", "a", "b") == [(1, "x", "keep"), (2, None, "keep"), (3, "z", "new")]

@@ -41,7 +41,7 @@ def test_journal_balances(spark, sf_dir):
 
 def test_messages_land_in_one_fate(spark, sf_dir):
     done = registry.queries()["queue_commit"](spark, sf_dir)
-    assert done.count() == done.select("id").distinct().count() == message_queue(spark, sf_dir, "oc", "ma").count()
+    assert done.count() == done.select("id").distinct().count() == message_queue(spark, sf_dir).count()
 
 
 def test_ledger_rows_are_complete(spark, sf_dir):
