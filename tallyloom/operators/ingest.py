@@ -202,8 +202,8 @@ def _split_duplicates(queue, message_type, keyed, keys, known):
 
 
 def _card_key(card, moment, delta) -> list[Column]:
-    return [F.col(card).cast("bigint").alias("card_id"), F.col(moment).alias("updated_at"),
-            F.round(F.col(delta).cast("decimal(38,6)"), 2).alias("delta")]
+    card, moment, delta = (F.col(c) if isinstance(c, str) else c for c in (card, moment, delta))
+    return [card.cast("bigint").alias("card_id"), moment.alias("updated_at"), F.round(delta.cast("decimal(38,6)"), 2).alias("delta")]
 
 
 def dedupe_gift_card_adjustments(queue, staged, processed, stored):
@@ -239,24 +239,21 @@ def _by_type(values: dict[str, Column]) -> Column:
     return chain
 
 
-def _work_key(message_type: str) -> Column:
+def _work_key(message_type: str, doc: Column) -> Column:
     key = WORK_KEYS[message_type]
-    return typed(f"doc.{key}", "s" if key == "message_uuid" else "i").cast("string")
+    return typed(doc[key], "s" if key == "message_uuid" else "i").cast("string")
 
 
-def message_keys(queue):
-    """id, s3_updated_at, message_type and key (text) of every message: what makes it a repeat of another of its type.
+def key_text() -> Column:
+    """What makes a message a repeat of another of its type, as text, from ``message_type`` and ``json_data``.
 
-    One pass over the queue: a message is parsed once, for the few fields that any type's key needs.
+    A message is parsed once, for the few fields that any type's key needs.
     """
     schema = "STRUCT<message_uuid: STRING, order_id: STRING, credit_id: STRING, cards: " + NESTED["gca"]["cards.key"] + ">"
-    rows = queue.filter(F.col("message_type").isin(*WORK_KEYS)).select("id", "s3_updated_at", "message_type", F.from_json("json_data", schema).alias("doc"))
-    card = F.struct(typed("doc.cards.card_id", "i").alias("card"), typed("doc.cards.updated_at", "t").alias("moment"), typed("doc.cards.card_delta", "f").alias("amount"))
-    rows = rows.withColumn("_card", F.when(F.col("message_type") == "gca", card))
-    parts = _card_key("_card.card", "_card.moment", "_card.amount")
-    of_card = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in parts])
-    text = _by_type({m: of_card if m == "gca" else F.coalesce(_work_key(m), F.lit("")) for m in WORK_KEYS})
-    return rows.select("id", "s3_updated_at", "message_type", text.alias("key"))
+    doc = F.from_json("json_data", schema)
+    card = _card_key(typed(doc["cards"]["card_id"], "i"), typed(doc["cards"]["updated_at"], "t"), typed(doc["cards"]["card_delta"], "f"))
+    of_card = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in card])
+    return _by_type({m: of_card if m == "gca" else F.coalesce(_work_key(m, doc), F.lit("")) for m in WORK_KEYS})
 
 
 def new_message_worklist(queue, message_type, staged, processed):
@@ -278,23 +275,28 @@ def work_keys(queue) -> DataFrame:
     """message_type, work_key (text), id of all types: one scan, one parse of the three fields that keys are made of."""
     rows = queue.filter(F.col("message_type").isin(*WORK_KEYS)).select(
         "id", "message_type", F.from_json("json_data", document("", "message_uuid", "order_id", "credit_id")).alias("doc"))
-    return rows.select("message_type", _by_type({m: _work_key(m) for m in WORK_KEYS}).alias("work_key"), "id")
+    return rows.select("message_type", _by_type({m: _work_key(m, F.col("doc")) for m in WORK_KEYS}).alias("work_key"), "id")
 
 
-def work_lists(queue, known: DataFrame) -> DataFrame:
-    """message_type, work_key, id of the messages of all types found neither in staging nor in the archive: one anti join."""
-    return work_keys(queue).join(known, ["message_type", "work_key"], "left_anti")
-
+def _with_seen(queue, known: DataFrame) -> DataFrame:
+    """Keys of the queue with ``_seen``, true where staging or archive hold the key: one join for all types.
 
-def commit_fates(queue, known: DataFrame) -> DataFrame:
-    """id, message_type, fate: 'processed' (taken now, so it moves to the archive) or 'queue' (it keeps waiting, as its key is known).
-
-    One join of the keys tells both; the queue isn't split by two more.  Messages without a key are new, and are dealt by their id.
+    Messages without a key are new, and are dealt by their id.  (An anti join would be pushed into every branch of a queue
+    that is a union.)
     """
     keyed = work_keys(queue).withColumn("_key", F.coalesce("work_key", F.concat(F.lit("\0"), F.col("id").cast("string"))))
     seen = known.filter(F.col("work_key").isNotNull()).select("message_type", F.col("work_key").alias("_key")).distinct().withColumn("_seen", F.lit(True))
-    return keyed.join(seen, ["message_type", "_key"], "left").select(
-        "id", "message_type", F.when(F.col("_seen"), "queue").otherwise("processed").alias("fate"))
+    return keyed.join(seen, ["message_type", "_key"], "left")
+
+
+def work_lists(queue, known: DataFrame) -> DataFrame:
+    """message_type, work_key, id of the messages of all types found neither in staging nor in the archive."""
+    return _with_seen(queue, known).filter(F.col("_seen").isNull()).select("message_type", "work_key", "id")
+
+
+def commit_fates(queue, known: DataFrame) -> DataFrame:
+    """id, message_type, fate: 'processed' (taken now, so it moves to the archive) or 'queue' (it keeps waiting, as its key is known)."""
+    return _with_seen(queue, known).select("id", "message_type", F.when(F.col("_seen"), "queue").otherwise("processed").alias("fate"))
 
 
 def queue_commit(queue, work):
@@ -439,7 +441,8 @@ def shipment_parts(fc_ids: list[str]) -> tuple[Column, Column]:
     """(waits for its last part, is the last part) of a message, without a join; ``fc_ids``: the ``is_hj`` warehouses."""
     doc = F.from_json("json_data", document("of", "is_last_hj_shipment", "items.fc_detail.fc"))
     last = F.coalesce(typed(doc["is_last_hj_shipment"], "b"), F.lit(None).cast("boolean"))
-    fcs = F.flatten(F.transform(doc["items"], lambda i: F.from_json(i["fc_detail"]["fc"], "ARRAY<STRING>")))
+    fcs = F.transform(doc["items"], lambda i: F.from_json(i["fc_detail"]["fc"], "ARRAY<STRING>"))
+    fcs = F.flatten(F.filter(fcs, lambda x: x.isNotNull()))
     hj = F.array(*[F.lit(x) for x in fc_ids]).cast("array<string>")
     mine = F.col("message_type") == "of"
     return F.coalesce(mine & ~last & F.arrays_overlap(fcs, hj), F.lit(False)), F.coalesce(mine & last, F.lit(False))

@@ -1,78 +1,166 @@
-"""The message router of all nine types as an incremental job.
+"""The message router of all nine types as an incremental job on keyed state.
 
-Messages arrive as files.  A micro-batch is written once with every message's fate, and all that follows reads that table:
+Messages arrive as files.  They are grouped by type and key (shipments by their order), and a stateful operator on RocksDB gives every message
+its fate; nothing of earlier batches is read again, so a batch costs what it holds.
 
 * ``error``: a gift-card adjustment or order cancel whose key came before, in an earlier batch or earlier in this one;
 * ``known``: a message of another type whose key an earlier batch took;
-* ``unprocessed``: a shipment that waits for its last part;
-* ``queue``: taken; it is parsed into its type's staging table and its key is kept.
+* ``unprocessed``: a shipment that waits for its last part.  The state keeps it until the order's last part comes or ``wait`` seconds are over;
+  then it comes out once more as ``released``, or as ``known`` if its key was taken meanwhile;
+* ``queue``: taken; its key stays in the state.
 
-The first message of a key to arrive counts: inside a batch the earliest by time and id, across batches the one of the earlier batch even
-if its time is later.  Kept keys lie in hash buckets, so a batch joins its own buckets only.  Every batch has its own folders and
-overwrites them on a retry, so a batch that runs twice leaves one copy.
+Taken and released messages are parsed into their type's staging table.  The first message of a key to arrive counts: inside a batch the
+earliest by time and id, across batches the one of the earlier batch even if its time is later.  Keys stay without expiry.  A batch
+has its own folders and overwrites them on a retry, and state and offsets are committed together, so a restart repeats nothing.
+
+One key is one group of the stateful operator.  Its rows pass in Arrow batches and only the best one is held, so a hot key costs
+time in one task but no memory.
 """
 
 from __future__ import annotations
 
+import json
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import LongType, StringType, StructType
 
-from tallyloom.functions import relational as R
 from tallyloom.operators import ingest
 
-KEYS = "message_type string, key string, batch bigint, bucket int"
-BUCKETS = 64
 DEDUPED = ("gca", "ocn")
+TAKEN = ("queue", "released")
+WAIT = 7 * 24 * 3600  # seconds that a shipment waits for its last part
+WAREHOUSES = 100_000  # rows of the warehouse table that travel with the plan at most
 PARSERS = {
     "gca": ingest.parse_gift_card_adjustment, "gcf": ingest.parse_gift_card_fulfillment, "ocn": ingest.parse_order_cancel,
     "ma": ingest.parse_membership_adjustment, "oc": ingest.parse_order_capture, "mc": ingest.parse_membership_capture,
     "cm": ingest.parse_credit_memo, "of": ingest.parse_fulfillment, "oa": ingest.explode_assignments,
 }
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # a run that ends with its files would otherwise go on for ever with empty batches, for the sake of waiting times
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+EVENT = "id bigint, message_type string, key string, fate string, payload string"
+# the operator travels with the query, so workers need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+MOMENTS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def key_fates(wait: float):
+    """The stateful operator: fates of the messages of one type and family.
+
+    State: keys taken, shipments held, whether the order's last part came.  It travels with the rows, so a group costs no call
+    of its own.
+    """
+    def run(key, frames, state) -> Iterator[pd.DataFrame]:
+        message_type = key[0]
+        taken, held, closed = json.loads(state.get[0]) if state.exists else ([], [], False)
+        before, out = set(taken), []  # keys that earlier batches took
+
+        def settled():
+            """What the group keeps; the held ones come out once the last part is there or the time is up."""
+            if held and (closed or state.hasTimedOut):
+                for id_, own, payload in held:
+                    out.append((id_, message_type, own, "known" if own in taken else "released", payload))
+                    if own not in taken:
+                        taken.append(own)
+                held.clear()
+            state.update((json.dumps([taken, held, closed]),))
+            if held:
+                state.setTimeoutDuration(max(1, int(wait * 1000)))
+        if state.hasTimedOut:
+            settled()
+            yield _events(out)
+            return
+        best = None
+        for frame in frames:
+            out.clear()
+            for row in frame.itertuples(index=False):
+                event = (row.id, message_type, row.key)
+                closed = closed or bool(row.last)
+                if row.held:
+                    held.append((row.id, row.key, row.payload))
+                    out.append((*event, "unprocessed", row.payload))
+                elif row.key in before:
+                    out.append((*event, "error" if message_type in DEDUPED else "known", row.payload))
+                elif message_type in DEDUPED:
+                    first, second = (row, best) if best is None or (row.at, row.id) < (best.at, best.id) else (best, row)
+                    if second is not None:
+                        out.append((second.id, message_type, second.key, "error", second.payload))
+                    best = first
+                else:
+                    if row.key not in taken:
+                        taken.append(row.key)
+                    out.append((*event, "queue", row.payload))
+            yield _events(out)
+        out.clear()
+        if best is not None:
+            taken.append(best.key)
+            out.append((best.id, message_type, best.key, "queue", best.payload))
+        settled()
+        yield _events(out)
+    return run
+
 
+def _events(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["id", "message_type", "key", "fate", "payload"]).astype({"id": "int64"})
 
-def with_fate(batch: DataFrame, known: DataFrame, fc_xref: DataFrame) -> DataFrame:
-    """The batch with key, bucket and fate; ``known``: message_type, bucket, key."""
-    keyed = ingest.message_keys(batch).withColumn("bucket", F.pmod(F.xxhash64("message_type", "key"), F.lit(BUCKETS)).cast("int"))
-    first = R.first_ids(keyed.filter(F.col("message_type").isin(*DEDUPED)), ["message_type", "key"], "s3_updated_at", "id")
-    held, _ = ingest.hold_partial_shipments(batch, fc_xref)
-
-    def marked(ids, name):
-        return ids.select("id").withColumn(name, F.lit(True))
-    flags = (keyed.select("id", "message_type", "key", "bucket")
-             .join(marked(first, "_first"), "id", "left").join(marked(held, "_held"), "id", "left")
-             .join(marked(keyed.join(known, ["message_type", "bucket", "key"], "left_semi"), "_seen"), "id", "left"))
-    seen, deduped = F.coalesce("_seen", F.lit(False)), F.col("message_type").isin(*DEDUPED)
-    fate = (F.when(F.col("_held"), "unprocessed").when(deduped & (seen | F.col("_first").isNull()), "error")
-             .when(seen, "known").otherwise("queue"))
-    return batch.join(flags.select("id", "key", "bucket", fate.alias("fate")), "id")
-
-
-def route_batch(out: str, fc_xref: DataFrame):
-    def run(batch_df: DataFrame, batch: int) -> None:
-        spark = batch_df.sparkSession
-        known = spark.read.schema(KEYS).parquet(f"{out}/keys").filter(F.col("batch") < batch)
-        routed = with_fate(batch_df, known.select("message_type", "bucket", "key"), fc_xref)
+
+def with_keys(messages: DataFrame, fc_xref: DataFrame) -> DataFrame:
+    """message_type, family (what the state is grouped by), id, key, at, held, last, and the message as JSON; one pass, no join."""
+    ids = [r.fc for r in fc_xref.filter("is_hj").select(F.col("fc_id").cast("string").alias("fc")).limit(WAREHOUSES + 1).collect()]
+    if len(ids) > WAREHOUSES:
+        raise ValueError(f"more than {WAREHOUSES} warehouses")
+    held, last = ingest.shipment_parts(ids)
+    order = F.coalesce(F.get_json_object("json_data", "$.order_id"), F.lit(""))
+    key = ingest.key_text()
+    family = F.when(F.col("message_type") == "of", order).otherwise(key)
+    at = F.coalesce(F.unix_micros(F.col("s3_updated_at").cast("timestamp")), F.lit(-(10**17)))
+    whole = F.to_json(F.struct(*[F.col(c) for c in messages.columns]), MOMENTS)
+    return messages.filter(F.col("message_type").isin(*PARSERS)).select(
+        "message_type", family.alias("family"), "id", key.alias("key"), at.alias("at"), held.alias("held"), last.alias("last"), whole.alias("payload"))
+
+
+def save_batch(out: str, schema: StructType):
+    """Writes a batch of events: all by type and fate, the taken ones parsed."""
+    def run(events: DataFrame, batch: int) -> None:
+        spark = events.sparkSession
         path = f"{out}/routed/batch={batch}"
-        routed.write.mode("overwrite").partitionBy("message_type", "fate").parquet(path)
-        taken = spark.read.schema(routed.schema).parquet(path).filter("fate = 'queue'")
+        rows = events.select("key", "fate", F.from_json("payload", schema, MOMENTS).alias("m")).select("m.*", "key", "fate")
+        rows.write.mode("overwrite").partitionBy("message_type", "fate").parquet(path)
+        taken = spark.read.schema(rows.schema).parquet(path).filter(F.col("fate").isin(*TAKEN))
         for message_type, parse in PARSERS.items():
             parse(taken.filter(F.col("message_type") == message_type)).write.mode("overwrite").parquet(f"{out}/staging/{message_type}/batch={batch}")
-        (taken.select("message_type", "key", "bucket").distinct().repartition("bucket")
-              .write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/keys/batch={batch}"))
     return run
 
 
-def start_router(messages: DataFrame, out: str, fc_xref: DataFrame):
-    """Start the job on a streaming DataFrame of queue rows; it stops once all waiting files are done."""
-    spark = messages.sparkSession
-    # an empty first batch folder gives the key table its place
-    spark.createDataFrame([], "message_type string, key string").write.mode("overwrite").parquet(f"{out}/keys/batch=-1/bucket=0")
-    return (messages.writeStream.foreachBatch(route_batch(out, fc_xref)).option("checkpointLocation", f"{out}/checkpoint")
-            .trigger(availableNow=True).start())
-
+def start_router(messages: DataFrame, out: str, fc_xref: DataFrame, wait: float = WAIT):
+    """Start the job on a streaming DataFrame of queue rows; it stops once all waiting files are done.
 
-def run_once(queue: DataFrame, folder: str, fc_xref: DataFrame, **limits) -> DataFrame:
+    Waiting times that are over are seen to by the next batch that has messages.
+    """
+    spark = messages.sparkSession
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
+    try:
+        events = with_keys(messages, fc_xref).groupBy("message_type", "family").applyInPandasWithState(
+            key_fates(wait), EVENT, "kept string", "update", GroupStateTimeout.ProcessingTimeTimeout)
+        return (events.writeStream.foreachBatch(save_batch(out, messages.schema)).outputMode("update")
+                .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
+    finally:  # a query keeps the settings it was started with
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def run_once(queue: DataFrame, folder: str, fc_xref: DataFrame, wait: float = WAIT, **limits) -> DataFrame:
     """Write a queue as files, stream them through the router, and return ids with their fate.
 
     ``limits``: options of the stream's reader, such as maxBytesPerTrigger.
@@ -80,10 +168,16 @@ def run_once(queue: DataFrame, folder: str, fc_xref: DataFrame, **limits) -> Dat
     spark = queue.sparkSession
     queue.write.parquet(f"{folder}/incoming")
     stream = spark.readStream.schema(queue.schema).options(**limits).parquet(f"{folder}/incoming")
-    start_router(stream, folder, fc_xref).awaitTermination()
+    start_router(stream, folder, fc_xref, wait).awaitTermination()
     return fates(spark, folder, queue.schema)
 
 
+def events(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
+    """All events so far: the messages with key, fate and batch; a held one has a second event once it is released."""
+    routed = StructType(list(schema.fields)).add("key", StringType()).add("fate", StringType()).add("batch", LongType())
+    return spark.read.schema(routed).parquet(f"{out}/routed")
+
+
 def fates(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
-    routed = StructType(list(schema.fields)).add("fate", StringType()).add("batch", LongType())
-    return spark.read.schema(routed).parquet(f"{out}/routed").select("id", "message_type", "fate")
+    """id, message_type and the fate that each message met when it arrived."""
+    return events(spark, out, schema).filter("fate <> 'released'").select("id", "message_type", "fate")
