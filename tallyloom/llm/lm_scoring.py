@@ -2,8 +2,8 @@
 
 Tokens are the lower-cased words.  The vocabulary holds the most frequent words of all documents, GROWTH times the square root of the number of
 tokens (words that occur once are left out), so it grows with the corpus; id 0 stands for all other words.  The network reads the SIDE tokens on
-each side of a position (embeddings, one hidden layer) and predicts the hidden token in two softmax steps, its high digit and then its
-low digit given the high one, sized to the vocabulary; both are exact probabilities, so an id's probability is their product.  A word outside the
+each side of a position (embeddings, one hidden layer) and predicts the hidden token in three softmax steps, one for each digit of its id given the
+digits before it, sized to the cube root of the vocabulary; all are exact probabilities, so an id's probability is their product.  A word outside the
 vocabulary has the probability of id 0 times that of its bytes under a byte model with an end mark, fitted on all distinct words and
 normalised over the strings that aren't in the vocabulary.  No two words share a probability mass.  A document's score is the sum over all its
 positions of log p(token | both sides).
@@ -12,7 +12,7 @@ positions of log p(token | both sides).
 * Training reads every document, and every position is hidden and predicted from its sides once per round; each
   task starts from the common weights, runs Adagrad over its own rows and sends its weights times its tokens; the next
   round starts from the weighted mean.  Sums of weights are taken in two salted levels, streaming, so no task holds more than one model.
-* The driver holds the vocabulary and one model (about 17 numbers a word).
+* The driver holds the vocabulary and one model (about 18 numbers a word).
 """
 
 from __future__ import annotations
@@ -30,20 +30,31 @@ from tallyloom.llm.storage import dropped, shared_folder, small_batches, stored
 from tallyloom.llm.sums import SCHEMA, chunked, collected
 
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-V = 4096  # ids of a model of 64 x 64 digits
+V = 4096  # ids of a model of three digits below 16
 BATCH, RATE = 2048, 0.05
 GROWTH, HELD = 8, 500_000  # words a square root of tokens; distinct words that a counting task holds
 END = 256
 
 
-def shapes(high: int, low: int) -> dict[str, tuple[int, ...]]:
-    return {"E": (high * low + 1, WIDTH), "W": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "U": (HIDDEN, high), "u": (high,),
-            "D": (high, HIDDEN), "L": (HIDDEN, low), "l": (high, low)}
+LEVELS = 3
 
 
-def digits(size: int) -> tuple[int, int]:
-    low = math.isqrt(max(size, 1) - 1) + 1
-    return -(-max(size, 1) // low), low
+def shapes(base: int) -> dict[str, tuple[int, ...]]:
+    out = {"E": (base**LEVELS + 1, WIDTH), "W": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,)}
+    for k in range(LEVELS):  # U, u: logits of a digit; D: what the digits before it add to the hidden layer
+        out |= {f"U{k}": (HIDDEN, base), f"u{k}": (base**k, base)} | ({f"D{k}": (base**k, HIDDEN)} if k else {})
+    return out
+
+
+def digits(size: int) -> int:
+    """The base whose three-digit numbers are enough for ``size`` ids."""
+    base = max(2, round(max(size, 1) ** (1 / LEVELS)))
+    return base if base**LEVELS >= size else base + 1
+
+
+def steps(target: np.ndarray, base: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(number of the digits before, digit) of every step."""
+    return [(target // base ** (LEVELS - k), target // base ** (LEVELS - 1 - k) % base) for k in range(LEVELS)]
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -120,12 +131,12 @@ def vocabulary(docs: DataFrame) -> Vocabulary:
 
 
 def flat(model: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([model[k].ravel() for k in shapes(1, 1)]).astype(np.float64)
+    return np.concatenate([model[k].ravel() for k in shapes(2)]).astype(np.float64)
 
 
-def shaped(vector: np.ndarray, high: int, low: int) -> dict[str, np.ndarray]:
+def shaped(vector: np.ndarray, base: int) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for name, shape in shapes(high, low).items():
+    for name, shape in shapes(base).items():
         size = int(np.prod(shape))
         out[name] = vector[at:at + size].reshape(shape).astype(np.float32)
         at += size
@@ -134,27 +145,53 @@ def shaped(vector: np.ndarray, high: int, low: int) -> dict[str, np.ndarray]:
 
 def initial(counts: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    rows, columns = digits(len(counts))
-    model = {k: rng.normal(0, 0.1, s).astype(np.float32) for k, s in shapes(rows, columns).items()}
+    base = digits(len(counts))
+    model = {k: rng.normal(0, 0.1, s).astype(np.float32) for k, s in shapes(base).items()}
     # numbers after the last id are no words and get no probability
-    grid = np.concatenate((counts + 0.5, np.full(rows * columns - len(counts), 1e-20))).reshape(rows, columns)
-    high = grid.sum(axis=1)
-    model["u"] = np.log(high / high.sum()).astype(np.float32)
-    model["l"] = np.log(grid / high[:, None]).astype(np.float32)
+    below = np.concatenate((counts + 0.5, np.full(base**LEVELS - len(counts), 1e-20)))
+    for k in reversed(range(LEVELS)):
+        grid = below.reshape(base**k, base)
+        below = grid.sum(axis=1)
+        model[f"u{k}"] = np.log(grid / below[:, None]).astype(np.float32)
     model["b"][:] = 0
     return model
 
 
-def _softmax_log(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _softmax(z: np.ndarray, digit: np.ndarray) -> np.ndarray:
+    """log p of each row's digit; ``z`` becomes the probabilities."""
+    z -= z.max(axis=1, keepdims=True)
+    chosen = z[np.arange(len(z)), digit]
+    np.exp(z, out=z)
+    total = z.sum(axis=1)
+    z /= total[:, None]
+    return chosen - np.log(total)
 
 
-def forward(model, context: np.ndarray, high: np.ndarray):
+def forward(model, context: np.ndarray, target: np.ndarray):
+    """Input and hidden layer, and of every step: digits before, digit, its hidden layer, probabilities, log p of the digit."""
     x = model["E"][context].reshape(len(context), -1)
-    h = np.maximum(x @ model["W"] + model["b"], 0)
-    g = np.maximum(h + model["D"][high], 0)
-    return x, h, g, _softmax_log(h @ model["U"] + model["u"]), _softmax_log(g @ model["L"] + model["l"][high])
+    h = x @ model["W"]
+    h += model["b"]
+    np.maximum(h, 0, out=h)
+    found = []
+    for k, (before, digit) in enumerate(steps(target, model["u0"].shape[1])):
+        g = h
+        if k:
+            g = model[f"D{k}"][before]
+            g += h
+            np.maximum(g, 0, out=g)
+        z = g @ model[f"U{k}"]
+        z += model[f"u{k}"][before]
+        found.append((before, digit, g, z, _softmax(z, digit)))
+    return x, h, found
+
+
+def log_p(model, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """log p of each target given its context."""
+    return sum(x.astype(float) for *_, x in forward(model, context, target)[2])
+
+
+BY_ROW = {"E"} | {f"{x}{k}" for x in "Du" for k in range(1, LEVELS)}
 
 
 class Trainer:
@@ -162,7 +199,7 @@ class Trainer:
 
     def __init__(self, model):
         self.model = {k: v.copy() for k, v in model.items()}
-        self.seen = {k: np.full(v.shape if k not in ("E", "D", "l") else (len(v), 1), 0.1, np.float32) for k, v in model.items()}
+        self.seen = {k: np.full((len(v), 1) if k in BY_ROW else v.shape, 0.1, np.float32) for k, v in model.items()}
 
     def _dense(self, name, grad):
         self.seen[name] += grad * grad
@@ -178,20 +215,25 @@ class Trainer:
 
     def step(self, context, target):
         m, n = self.model, len(target)
-        high, low = np.divmod(target, m["l"].shape[1])
-        x, h, g, ph, pl = forward(m, context, high)
-        dh, dl = np.exp(ph) / n, np.exp(pl) / n
-        dh[np.arange(n), high] -= 1 / n
-        dl[np.arange(n), low] -= 1 / n
-        back_g = (dl @ m["L"].T) * (g > 0)
-        back_h = (dh @ m["U"].T + back_g) * (h > 0)
+        x, h, found = forward(m, context, target)
+        back_h = np.zeros_like(h)
+        for k, (before, digit, g, p, _) in enumerate(found):
+            p[np.arange(n), digit] -= 1
+            p /= n
+            back = p @ m[f"U{k}"].T
+            back *= g > 0
+            back_h += back
+            self._dense(f"U{k}", g.T @ p)
+            if k:
+                self._by_row(f"D{k}", before, back)
+                self._by_row(f"u{k}", before, p)
+            else:
+                self._dense("u0", p.sum(axis=0, keepdims=True))
+        back_h *= h > 0
         back_x = (back_h @ m["W"].T).reshape(-1, WIDTH)
-        grads = {"U": h.T @ dh, "u": dh.sum(axis=0), "L": g.T @ dl, "W": x.T @ back_h, "b": back_h.sum(axis=0)}
+        self._dense("W", x.T @ back_h)
+        self._dense("b", back_h.sum(axis=0))
         self._by_row("E", context.ravel(), back_x)
-        self._by_row("D", high, back_g)
-        self._by_row("l", high, dl)
-        for name, grad in grads.items():
-            self._dense(name, grad)
 
 
 def windows(docs_ids: list[np.ndarray], none: int) -> tuple[np.ndarray, np.ndarray]:
@@ -212,8 +254,8 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 1) -> dict[str,
         start = vector.astype(np.float32)
 
         def run(batches, start=start):
-            trainer, tokens, held = Trainer(shaped(start, *size)), 0, [[], []]
-            none = size[0] * size[1]
+            trainer, tokens, held = Trainer(shaped(start, size)), 0, [[], []]
+            none = size**LEVELS
             for batch in batches:
                 for text in textnp.texts(batch, "text"):
                     ids, _ = vocabulary(text)
@@ -236,20 +278,15 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 1) -> dict[str,
         total, tokens = collected(texts.mapInArrow(run, SCHEMA))
         if tokens:
             vector = total / tokens
-    return shaped(vector, *size)
+    return shaped(vector, size)
 
 
 def log_probabilities(model, docs_ids: list[np.ndarray], step: int = 16384) -> list[np.ndarray]:
-    low = model["l"].shape[1]
     line, at = windows(docs_ids, len(model["E"]) - 1)
-    step = min(step, max(256, (1 << 22) // low))
     out = np.empty(len(at))
     for k in range(0, len(at), step):
         here = at[k:k + step]
-        target = line[here]
-        _, _, _, ph, pl = forward(model, line[here[:, None] + OFFSETS], target // low)
-        n = np.arange(len(here))
-        out[k:k + step] = ph[n, target // low].astype(float) + pl[n, target % low]
+        out[k:k + step] = log_p(model, line[here[:, None] + OFFSETS], line[here])
     return np.split(out, np.cumsum([len(i) for i in docs_ids])[:-1])
 
 

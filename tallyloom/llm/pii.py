@@ -23,8 +23,9 @@ LENGTHS = {
     23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
     28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
 _KNOWN = "(?:" + "|".join(c for v in LENGTHS.values() for c in v.split()) + ")"
-IBAN = "|".join([f"(?:{v.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n, v in LENGTHS.items()]
-                + [f"(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:\\x20?(?!{_KNOWN}[0-9]{{2}})[A-Z0-9]){{11,30}}"])
+# every alternative begins with two letters and two digits: the test in front saves trying them all at each character
+IBAN = "(?=[A-Z]{2}[0-9]{2})(?:" + "|".join([f"(?:{v.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n, v in LENGTHS.items()]
+                + [f"(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:\\x20?(?!{_KNOWN}[0-9]{{2}})[A-Z0-9]){{11,30}}"]) + ")"
 KINDS = [
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@"),
     Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"),

@@ -167,8 +167,14 @@ def test_scores_are_sums_over_positions():
     for ids, got in zip(docs, lm_scoring.log_probabilities(model, docs, step=16)):
         padded = [lm_scoring.V] * 2 + ids.tolist() + [lm_scoring.V] * 2
         for k, x in enumerate(ids):
-            *_, high, low = lm_scoring.forward(model, np.array([[padded[k], padded[k + 1], padded[k + 3], padded[k + 4]]]), np.array([x // 64]))
-            assert got[k] == pytest.approx(high[0, x // 64] + low[0, x % 64], abs=1e-4)
+            around = [padded[k], padded[k + 1], padded[k + 3], padded[k + 4]]
+            hidden = np.maximum(np.concatenate([model["E"][c] for c in around]) @ model["W"] + model["b"], 0)
+            want = 0.0
+            for level, (before, digit) in enumerate(((0, x // 256), (x // 256, x // 16 % 16), (x // 16, x % 16))):
+                gate = np.maximum(hidden + model[f"D{level}"][before], 0) if level else hidden
+                z = (gate @ model[f"U{level}"] + model[f"u{level}"][before]).astype(float)
+                want += z[digit] - np.log(np.exp(z).sum())
+            assert got[k] == pytest.approx(want, abs=1e-4)
 
 
 def test_vocabulary_grows_and_covers_every_word(spark, tmp_path):
@@ -183,8 +189,8 @@ def test_vocabulary_grows_and_covers_every_word(spark, tmp_path):
     # two unknown words have the probabilities of their spelling
     assert spelled == pytest.approx(known(b"zqx")[1] + known(b"neverseen")[1]) and known(b"zqx")[1] > known(b"neverseen")[1]
     model = lm_scoring.initial(known.counts)
-    *_, high, low = lm_scoring.forward(model, np.full((len(model["D"]), 4), len(model["E"]) - 1), np.arange(len(model["D"])))
-    p = np.exp(high[0][:, None].astype(float) + low).ravel()
+    places = len(model["E"]) - 1
+    p = np.exp(lm_scoring.log_p(model, np.full((places, 4), places), np.arange(places)))
     assert p.sum() == pytest.approx(1, abs=1e-3) and p[:len(known.counts)].sum() == pytest.approx(1, abs=1e-3)
 
 
@@ -375,22 +381,22 @@ def test_misspelled_and_prefix_words(spark, tmp_path):
 # ---------------------------------------------------------------- 7
 
 def test_token_counts_against_greedy(spark, sf_dir):
+    """Words against longest matches in the vocabulary file: marked pieces at the start (the mark alone among them), then plain ones, then bytes."""
     docs, texts = whole_table(spark, sf_dir)
     first, rest = map(set, token_counts.pieces())
     rows = {r.doc_id: r for r in token_counts.token_counts(docs).collect()}
     seen = {}
     for i, text in texts[:60]:
         counts = [seen.setdefault(w, greedy_pieces(w, first, rest)) for w in text.split()]
-        assert (rows[i].n_words, rows[i].n_tokens) == (len(counts), sum(c or 1 for c in counts))
+        assert (rows[i].n_words, rows[i].n_tokens, rows[i].n_unknown) == (len(counts), sum(counts), 0)
 
 
 def greedy_pieces(word, first, rest):
-    n, at, allowed = 0, 0, first
+    end = next(k for k in range(len(word), -1, -1) if word[:k] in first)
+    n, at = 1, end
     while at < len(word):
-        end = next((k for k in range(len(word), at, -1) if word[at:k] in allowed), None)
-        if end is None:
-            return 0
-        n, at, allowed = n + 1, end, rest
+        end = next((k for k in range(len(word), at, -1) if word[at:k] in rest), None)
+        n, at = (n + len(word[at].encode()), at + 1) if end is None else (n + 1, end)
     return n
 
 
