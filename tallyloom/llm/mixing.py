@@ -18,8 +18,10 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.llm.storage import shared_folder, stored
+
 BLOCK_DOCUMENTS = 2000
-BLOCK_GROUP = 1000
+SOURCES, SALTS = 100_000, 64  # rows of a table that is broadcast at most; keys over which a source is spread beyond
 MAX_REPEATS, TARGET_ENTROPY = 2.0, 0.98
 
 
@@ -55,44 +57,66 @@ def measured(docs: DataFrame, seed: int) -> DataFrame:
                     F.xxhash64(F.lit(seed), F.col("row.doc_id"), text).alias("key")))
 
 
+def beside(rows: DataFrame, table: DataFrame, sources: int) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row per source.
+
+    Up to SOURCES sources the table is broadcast; beyond, rows of a source are spread over SALTS keys, so neither way gathers a source.
+    """
+    if sources <= SOURCES:
+        return rows.join(F.broadcast(table), "source")
+    salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod("key", F.lit(SALTS)).cast("int")).join(salted, ["source", "salt"]).drop("salt")
+
+
 def mix(docs: DataFrame, budget: float | None = None, max_repeats: float = MAX_REPEATS, target_entropy: float = TARGET_ENTROPY, seed: int = 17) -> DataFrame:
     """row (the input row), source, n_tokens, weight (of its source), block and key (place in the permutation of its
     source: by block, then key), copies (times it is used); one row per row of ``docs``.
 
     A null source is the source "".  Null and empty texts have no tokens; they are used as often as the whole epochs of their source.  Without
-    any tokens every row is used once.  Rows that repeat id and text share a place.
+    any tokens every row is used once.  Rows that repeat id and text share a place.  An empty table gives an empty one.
+
+    The driver holds two rows per source: its sums, and where its partial epoch ends.  Tokens are counted once for these and once for the result.
     """
     rows = measured(docs, seed)
     spark = docs.sparkSession
-    # one row per source reaches the driver
-    sums = rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("documents")).collect()
+    narrow = stored(rows.select("source", "n_tokens", "key"), shared_folder(spark))
+    sums = narrow.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("documents")).collect()
     tokens = {r.source: r.tokens for r in sums}
     _, w = weights(tokens, max_repeats, target_entropy)
     total = budget if budget is not None else max([n / w[s] for s, n in tokens.items() if n], default=0)
     plan = [(r.source, w.get(r.source, 0.0), math.ceil(r.documents / BLOCK_DOCUMENTS), *(divmod(round(total * w[r.source]), r.tokens) if r.tokens else (1, 0))) for r in sums]
-    plan = spark.createDataFrame(plan, "source string, weight double, blocks bigint, epochs bigint, rest bigint")
+    schema = "source string, weight double, blocks bigint, epochs bigint, rest bigint"
     number = F.pmod(F.xxhash64(F.lit(seed + 1), "key"), "blocks")
-    dealt = rows.join(plan, "source").withColumn("block", F.xxhash64(F.lit(seed + 2), "source", number))
-    narrow = dealt.filter("rest > 0").select("source", "block", "key", "n_tokens", "rest")
-    totals = narrow.groupBy("source", "block", "rest").agg(F.sum("n_tokens").alias("tokens"))
+    block = F.xxhash64(F.lit(seed + 2), "source", number)
+    dealt = beside(narrow, spark.createDataFrame(plan, schema), len(plan)).filter("rest > 0").select("source", block.alias("block"), "key", "n_tokens", "rest")
+    totals = dealt.groupBy("source", "block", "rest").agg(F.sum("n_tokens").alias("tokens"))
     so_far = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)  # one row per block
     border = (totals.withColumn("end", F.sum("tokens").over(so_far)).filter("end > rest and end - tokens <= rest")
               .groupBy("source").agg(F.min(F.struct("block", (F.col("rest") - F.col("end") + F.col("tokens")).alias("left"))).alias("b"))
-              .select("source", F.col("b.block").alias("block"), F.col("b.left").alias("left")))
+              .select("source", F.col("b.block").alias("last"), F.col("b.left").alias("left")).collect())
     # documents of the one block where the partial epoch ends, about BLOCK_DOCUMENTS a source
-    edge = narrow.join(border, ["source", "block"]).select("source", F.col("block").alias("last"), "left", "key", "n_tokens")
+    ends = spark.createDataFrame([tuple(r) for r in border], "source string, last bigint, left bigint")
+    edge = beside(dealt, ends, len(border)).filter("block = last").select("source", "left", "key", "n_tokens")
     order = Window.partitionBy("source").orderBy("key").rangeBetween(Window.unboundedPreceding, 0)
-    cut = (edge.withColumn("end", F.sum("n_tokens").over(order)).groupBy("source", "last")
-           .agg(F.max(F.when(F.col("end") <= F.col("left"), F.col("key"))).alias("cut")))
+    cut = {r.source: r.cut for r in edge.withColumn("end", F.sum("n_tokens").over(order)).groupBy("source").agg(
+        F.max(F.when(F.col("end") <= F.col("left"), F.col("key"))).alias("cut")).collect()}
+    last = {r.source: r["last"] for r in border}
+    plan = spark.createDataFrame([(*p, last.get(p[0]), cut.get(p[0])) for p in plan], schema + ", last bigint, cut bigint")
     used = F.col("block") < F.col("last")
     used = F.coalesce(used | ((F.col("block") == F.col("last")) & (F.col("key") <= F.col("cut"))), F.lit(False))
-    return dealt.join(cut, "source", "left").select("row", "source", "n_tokens", "weight", "block", "key", (F.col("epochs") + used.cast("int")).alias("copies"))
+    return beside(rows, plan, len(sums)).withColumn("block", block).select(
+        "row", "source", "n_tokens", "weight", "block", "key", (F.col("epochs") + used.cast("int")).alias("copies"))
 
 
 def epochs(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The mixture itself: the ``columns`` of the input once per copy, with epoch, mix_block and mix_key; a reader that goes by these
-    three reads whole permutations of each source."""
-    names = [c for c in ("epoch", "mix_block", "mix_key")]
+    three reads whole permutations of each source.  Where the input has a column of such a name, the new one gets underscores behind it."""
+    taken = {c.lower() for c in columns}
+
+    def free(name):
+        while name in taken:
+            name += "_"
+        return name
     spread = mixed.filter("copies > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-    own = [F.col(f"row.`{c}`") for c in columns if c.lower() not in names]
-    return spread.select(*own, F.col("_epoch").alias("epoch"), F.col("block").alias("mix_block"), F.col("key").alias("mix_key"))
+    return spread.select(*[F.col(f"row.`{c}`") for c in columns], F.col("_epoch").alias(free("epoch")), F.col("block").alias(free("mix_block")),
+                         F.col("key").alias(free("mix_key")))
