@@ -206,7 +206,8 @@ class Trainer:
         self.model[name] -= RATE * grad / np.sqrt(self.seen[name])
 
     def _by_row(self, name, rows, grad):
-        order = np.argsort(rows, kind="stable")
+        # short keys are sorted by radix
+        order = np.argsort(rows.astype(np.uint16) if len(self.model[name]) <= 1 << 16 else rows, kind="stable")
         rows = rows[order]
         first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
         total, rows = np.add.reduceat(grad[order], first, axis=0), rows[first]
@@ -281,7 +282,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 1) -> dict[str,
     return shaped(vector, size)
 
 
-def log_probabilities(model, docs_ids: list[np.ndarray], step: int = 16384) -> list[np.ndarray]:
+def log_probabilities(model, docs_ids: list[np.ndarray], step: int = BATCH) -> list[np.ndarray]:
     line, at = windows(docs_ids, len(model["E"]) - 1)
     out = np.empty(len(at))
     for k in range(0, len(at), step):

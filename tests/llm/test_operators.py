@@ -249,6 +249,32 @@ def test_budget_is_met_to_a_document(spark, tmp_path, monkeypatch):
     assert whole.count() == sum(r.copies for r in mixing.mix(docs).collect())
 
 
+@pytest.mark.parametrize("sources", [100_000, 0])
+def test_copies_are_those_of_a_plain_permutation(spark, tmp_path, monkeypatch, sources):
+    monkeypatch.setattr(mixing, "BLOCK_DOCUMENTS", 7)
+    monkeypatch.setattr(mixing, "SOURCES", sources)
+    texts = [(k, "w " * (1 + k % 9)) for k in range(300)] + [(400, None), (401, "")]
+    docs = made(spark, tmp_path, texts, {k: "hot" if k % 3 else f"s{k % 4}" for k, _ in texts})
+    rows = mixing.mix(docs).collect()
+    tokens = Counter()
+    for r in rows:
+        tokens[r.source] += r.n_tokens
+    _, w = mixing.weights(dict(tokens))
+    total = max(n / w[s] for s, n in tokens.items() if n)
+    for s, n in tokens.items():
+        whole, rest = divmod(round(total * w[s]), n)
+        for r in sorted((r for r in rows if r.source == s), key=lambda r: (r.block, r.key)):
+            rest -= r.n_tokens
+            assert r.copies == whole + (rest >= 0), (s, r.key)
+
+
+def test_clashing_names_of_the_mixture(spark, tmp_path):
+    docs = made(spark, tmp_path, [(1, "a b"), (2, "c")]).withColumnsRenamed({"kind": "epoch", "digest": "mix_key"})
+    out = mixing.epochs(mixing.mix(docs), docs.columns)
+    assert out.columns == [*docs.columns, "epoch_", "mix_block", "mix_key_"]
+    assert {(r.doc_id, r.epoch, r.epoch_, r.mix_key) for r in out.collect()} == {(1, "k", 1, "d"), (2, "k", 1, "d")}
+
+
 # ---------------------------------------------------------------- 5 and 10
 
 def plain_spans(text, kinds):
