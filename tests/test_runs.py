@@ -98,6 +98,32 @@ def test_ledger_ids_and_repeats(spark, tmp_path):
     assert stored.count() == 500 and stored.filter("sku = 'new'").count() == n
 
 
+def test_append_reads_no_partition_that_cannot_hold_a_key(spark, tmp_path):
+    from tallyloom.operators import ledger
+    keys, path = ["tran_gl_date", "order_id", "message_uuid"], str(tmp_path / "ledger")
+
+    def rows(first, last, day):
+        return spark.range(first, last).select(F.lit(100).alias("tran_type"), F.lit(6).alias("tran_sub_type_id"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("order_id"),
+                                               F.col("id").cast("string").alias("message_uuid"), F.lit(day).cast("date").alias("tran_gl_date"))
+    for k, day in enumerate(("2024-01-01", "2024-01-02", None)):
+        assert ledger.append(rows(0, 200, day), path, "2024-02-01", keys, str(tmp_path / f"a{k}")).count() == 200
+    flags = {r._hit for r in ledger.may_hold(rows(0, 200, "2024-01-01"), path, keys).collect()}
+    assert flags == {True} and not any(r._hit for r in ledger.may_hold(rows(0, 200, "2024-01-03"), path, keys).collect())
+    assert sum(r._hit for r in ledger.may_hold(rows(1000, 3000, "2024-01-02"), path, keys).collect()) < 20
+    # a partition that can't be read stands in no one's way
+    with open(tmp_path / "ledger" / "tran_gl_date=2024-01-01" / "part-x.parquet", "wb") as f:
+        f.write(b"no parquet")
+    assert ledger.append(rows(100, 300, "2024-01-02"), path, "2024-02-02", keys, str(tmp_path / "b")).count() == 100
+    assert ledger.append(rows(0, 200, None).unionByName(rows(0, 5, "2024-01-05")), path, "2024-02-03", keys, str(tmp_path / "c")).count() == 5
+    stored = ledger.read(spark, path).filter("tran_gl_date <> '2024-01-01' or tran_gl_date is null")
+    assert stored.count() == 505 and {r[0] for r in stored.select("tran_id").collect()} == set(range(201, 706))
+    # a key that a rewrite brings in is known as well
+    changed = ledger.read(spark, path).filter("tran_gl_date = '2024-01-05'").withColumn("message_uuid", F.concat(F.lit("n"), "message_uuid"))
+    ledger.rewrite(changed, path, str(tmp_path / "d"))
+    again = rows(0, 5, "2024-01-05").withColumn("message_uuid", F.concat(F.lit("n"), "message_uuid"))
+    assert ledger.append(again, path, "2024-02-04", keys, str(tmp_path / "e")).count() == 0
+
+
 def test_cluster_needs_a_shared_folder():
     from tallyloom.session import shared_dir
 
