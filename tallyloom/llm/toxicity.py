@@ -230,7 +230,16 @@ def learned_terms(counts: list[tuple[str, list[int]]], halves=(0, 1)) -> tuple[l
             for p in under:
                 del parts[p]
             parts[text] = toxic
-    return kept + [(text, True, w) for _, text, w in sorted(stems, key=lambda x: (-x[0], x[1]))[:TERMS]], n0, n1
+    stems = sorted(stems, key=lambda x: (-x[0], x[1]))[:TERMS]
+    # a word of a learned stem is one of many with any ending; with edits, such words would meet clean words by chance, so they count as they are
+    begins = tuple(text for _, text, _ in stems)
+    kept = [(text, text.startswith(begins), w) for text, _, w in kept]
+    return kept + [(text, True, w) for _, text, w in stems if text not in parts_of(kept)], n0, n1
+
+
+def parts_of(terms: list[tuple[str, bool, float]]) -> set[str]:
+    """The terms that are matched as stems."""
+    return {text for text, stem, _ in terms if stem}
 
 
 def lexicon(terms: list[tuple[str, bool, float]]) -> list[tuple[str, bool, float]]:
