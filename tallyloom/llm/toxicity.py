@@ -12,28 +12,34 @@ next to a second person or an intensifier.  A logistic model over these counts,
 The model is fitted on cross-fitted counts: the terms that score a half of the sample are learned on the other half, so a term that
 is there by chance shows as such; the final lexicon is learned on both.
 
-Learning reads at most SAMPLE labelled rows (smallest hash of the id first) outside the held-out quarter; term counts over
-that sample are summed by Spark, and what reaches the driver is at most CANDIDATES terms and SAMPLE feature rows.  Scoring is one map
-over the documents.
+Learning reads at most SAMPLE labelled rows (smallest hash of the id first) outside the held-out quarter, written once to the shared
+folder.  Of near copies with the same label (five-word sets, similarity ALIKE by the agreement of their sketches) one row counts, and all
+rows of a family are in the same half, so that no word gets evidence from being copied.  Term counts over those rows are summed by
+Spark; what reaches the driver is the sketches and feature rows of the sample and the terms with enough evidence, which no rank cuts.
+Scoring is one map over the documents.
 """
 
 import math
 import re
-from collections.abc import Iterator
+import zlib
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.storage import small_batches
+from tallyloom.llm.near_dedup import BANDS, ROWS, sketches
+from tallyloom.llm.storage import shared_folder, small_batches, stored
 
 SEED_TERMS = ("idiot moron stupid imbecile loser clown scum trash garbage worthless pathetic disgusting vermin filth "
               "dumb retard bastard jerk freak pig coward liar creep fool hate despise").split()
 SAYING = frozenset("said says wrote writes called quoted quote reported allegedly term word".split())
 AIMED = frozenset("you your youre u yourself such so total absolute complete utter".split())
 QUOTES = "\"'“”«»„‘’"
-SAMPLE, CANDIDATES, TERMS = 6000, 8000, 1000
+SAMPLE = 6000
+ALIKE = 0.8
 STEMS = range(4, 9)
 EVIDENCE = 20.0  # log-likelihood ratio that a term needs; chance alone gives this about once in 10^5 terms
 WINDOW = 5
@@ -171,15 +177,50 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     chosen = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
 
 
-def half(doc_id: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(1), doc_id), F.lit(2)).cast("int")
+def families(rows: Iterable[tuple[int, list[int], bytes]]) -> dict[int, int]:
+    """First member of each row's family; ``rows``: id, band keys, sketch bytes, at most SAMPLE of them.
+
+    In order of id a row joins the first of the families that share a band with it and whose first member's sketch agrees in ALIKE
+    of the bytes; else it begins one.  A text without words is alone.
+    """
+    least = math.ceil(ALIKE * BANDS * ROWS)
+    buckets: dict[int, list[int]] = defaultdict(list)
+    firsts: dict[int, np.ndarray] = {}
+    family = {}
+    for doc_id, keys, coords in sorted(rows):
+        mine = np.frombuffer(coords, np.uint8)
+        near = sorted({i for k in keys for i in buckets.get(k, ())})
+        alike = np.flatnonzero((np.stack([firsts[i] for i in near]) == mine).sum(axis=1) >= least) if near else []
+        if len(alike):
+            family[doc_id] = near[alike[0]]
+            continue
+        family[doc_id] = doc_id
+        firsts[doc_id] = mine
+        for k in keys:
+            buckets[k].append(doc_id)
+    return family
+
+
+def independent(rows: DataFrame) -> DataFrame:
+    """text, toxic, half: one row of each family and label of the sample ``rows``; the ids kept (12 bytes each, at most SAMPLE) are broadcast."""
+    spark = rows.sparkSession
+    located = rows.select(F.struct("doc_id", "text").alias("row"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("at"))
+    family = families((r.doc_id, r["keys"], bytes(r.coords)) for r in sketches(located, 5, BANDS, ROWS).select("doc_id", "keys", "coords").collect())
+    first: dict[tuple[int, int], int] = {}
+    for r in sorted(rows.select("doc_id", "toxic").collect()):
+        first.setdefault((family[r.doc_id], r.toxic), r.doc_id)
+    kept = [(doc_id, zlib.crc32(str(f).encode()) >> 8 & 1) for (f, _), doc_id in first.items()]
+    return rows.join(F.broadcast(spark.createDataFrame(kept, "doc_id bigint, half int")), "doc_id").select("text", "toxic", "half")
 
 
 def term_counts(rows: DataFrame) -> list[tuple[str, list[int]]]:
-    """Whole words ("w$") and stems of toxic rows with the rows that have them, [clean, toxic] of half 0 and of half 1; "" counts the rows."""
+    """Whole words ("w$") and stems of toxic rows with the rows that have them, [clean, toxic] of half 0 and of half 1; "" counts the rows.
+
+    Terms come back if five toxic rows and four times as many toxic as clean ones have them, in one half or both.
+    """
     names = ["c0", "t0", "c1", "t1"]
 
     def count(frames):
@@ -194,8 +235,7 @@ def term_counts(rows: DataFrame) -> list[tuple[str, list[int]]]:
             yield pd.DataFrame({"term": list(seen), **{n: [x[k] for x in seen.values()] for k, n in enumerate(names)}})
     sums = rows.mapInPandas(count, "term string, " + ", ".join(f"{n} bigint" for n in names)).groupBy("term").agg(*[F.sum(n).alias(n) for n in names])
     likely = "term = '' or (t0 + t1 >= 5 and t0 + t1 >= 4 * (c0 + c1)) or (t0 >= 5 and t0 >= 4 * c0) or (t1 >= 5 and t1 >= 4 * c1)"
-    top = sums.filter(likely).orderBy((F.col("term") == "").desc(), F.endswith("term", F.lit("$")).desc(), (F.col("t0") + F.col("t1")).desc(), "term").limit(CANDIDATES + 1).collect()
-    return [(r.term, [r[n] for n in names]) for r in top]
+    return [(r.term, [r[n] for n in names]) for r in sums.filter(likely).collect()]
 
 
 def learned_terms(counts: list[tuple[str, list[int]]], halves=(0, 1)) -> tuple[list[tuple[str, bool, float]], int, int]:
@@ -218,7 +258,7 @@ def learned_terms(counts: list[tuple[str, list[int]]], halves=(0, 1)) -> tuple[l
     def weight(clean, toxic):
         return math.log((toxic + 0.5) / (clean + 0.5) * n0 / n1)
     good = [(term, *c) for term, c in sorted(whole.items(), key=lambda x: (-x[1][1], len(x[0]), x[0])) if enough(*c)]
-    words = [(term[:-1], clean, toxic) for term, clean, toxic in good if term.endswith("$")][:TERMS]
+    words = [(term[:-1], clean, toxic) for term, clean, toxic in good if term.endswith("$")]
     kept = [(text, False, weight(clean, toxic)) for text, clean, toxic in words]
     parts = {text: toxic for text, _, toxic in words}
     stems = []
@@ -230,16 +270,7 @@ def learned_terms(counts: list[tuple[str, list[int]]], halves=(0, 1)) -> tuple[l
             for p in under:
                 del parts[p]
             parts[text] = toxic
-    stems = sorted(stems, key=lambda x: (-x[0], x[1]))[:TERMS]
-    # a word of a learned stem is one of many with any ending; with edits, such words would meet clean words by chance, so they count as they are
-    begins = tuple(text for _, text, _ in stems)
-    kept = [(text, text.startswith(begins), w) for text, _, w in kept]
-    return kept + [(text, True, w) for _, text, w in stems if text not in parts_of(kept)], n0, n1
-
-
-def parts_of(terms: list[tuple[str, bool, float]]) -> set[str]:
-    """The terms that are matched as stems."""
-    return {text for text, stem, _ in terms if stem}
+    return kept + [(text, True, w) for _, text, w in sorted(stems, key=lambda x: (-x[0], x[1]))], n0, n1
 
 
 def lexicon(terms: list[tuple[str, bool, float]]) -> list[tuple[str, bool, float]]:
@@ -268,7 +299,7 @@ DEFAULT = np.array([2.0, 1.0, 0.2, 0.5, 0.5, 0.2, 0.1, 0.2, -3.0])
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, bool, float]], np.ndarray]:
-    rows = sample(docs, labels).withColumn("half", half(F.col("doc_id"))).select("text", "toxic", "half")
+    rows = independent(stored(sample(docs, labels), f"{shared_folder(docs.sparkSession)}/sample"))
     counts = term_counts(rows)
     terms, n0, n1 = learned_terms(counts)
     if not n0 or not n1:
@@ -286,7 +317,8 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, bool, flo
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """row (the input row), doc_id, held_out, score, predicted; one row per row of ``docs``, empty and null texts included.
 
-    Null or unknown labels are left out; an id with several labels counts as toxic if one of them says so.  With no labels of
+    Null or unknown labels are left out; an id with several labels counts as toxic if one of them says so, and of several labelled
+    rows with one id the smallest text is learned from.  With no labels of
     both kinds the seed terms and fixed weights apply.
     """
     small_batches(docs.sparkSession)

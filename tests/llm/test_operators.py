@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -404,6 +405,36 @@ def test_misspelled_and_prefix_words(spark, tmp_path):
     assert min(score[k] for k in (1000, 1001, 1002, 1003)) > max(score[k] for k in (1004, 1005, 1006))
 
 
+def test_copies_give_no_evidence(spark, tmp_path):
+    """Ninety near copies of one toxic text, all with the same odd words: a clean text with those words stays clean, one with the true word doesn't."""
+    rng = np.random.default_rng(5)
+    bad = {k for k in range(400) if k % 5 == 0}
+    word = np.array([f"{a}{b}{c}" for a in ("ba", "ke", "li", "mo") for b in ("tan", "ren", "sil", "dor", "vem") for c in ("a", "e", "os", "ik", "um")])
+    texts = [(k, " ".join([*rng.choice(word, 60), *(["gruzzleheit"] if k in bad else []), *rng.choice(word, 20)])) for k in range(400)]
+    base = [*rng.choice(word, 90), *[f"quorvex{c}" for c in "abcdefgh"], "gruzzleheit", *rng.choice(word, 90)]
+    for k in range(400, 490):
+        copy = list(base)
+        copy[int(rng.integers(0, 80))] = "changed"
+        texts.append((k, " ".join(copy)))
+    labels = spark.createDataFrame([(k, 1, int(k in bad or k >= 400)) for k in range(490)], "doc_id bigint, quality int, toxic int")
+    asked = [(1000, " ".join([*rng.choice(word, 60), "quorvexa", "quorvexb", "quorvexc", *rng.choice(word, 20)])),
+             (1001, " ".join([*rng.choice(word, 60), "gruzzleheit", *rng.choice(word, 20)]))]
+    docs = made(spark, tmp_path, texts + asked)
+    assert {r.doc_id: r.predicted for r in toxicity.toxicity(docs, labels).filter("doc_id >= 1000").collect()} == {1000: 0, 1001: 1}
+
+
+def test_families_of_the_sample(spark):
+    base = " ".join(f"w{k}" for k in range(400))
+    texts = [(1, base), (2, base.replace("w7 ", "x7 ")), (3, base.replace("w200 ", "")), (4, "other words here and there"), (5, ""), (6, None), (7, base)]
+    rows = spark.createDataFrame([(k, t, int(k == 7)) for k, t in texts], "doc_id bigint, text string, toxic int")
+    located = rows.select(F.struct("doc_id", "text").alias("row"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("at"))
+    found = near_dedup.sketches(located, 5, near_dedup.BANDS, near_dedup.ROWS).collect()
+    assert toxicity.families((r.doc_id, r["keys"], bytes(r.coords)) for r in found) == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6, 7: 1}
+    kept = toxicity.independent(rows).collect()
+    assert sorted((r.text or "", r.toxic) for r in kept) == sorted([(base, 0), (base, 1), ("other words here and there", 0), ("", 0), ("", 0)])
+    assert len({r.half for r in kept if r.text == base}) == 1
+
+
 # ---------------------------------------------------------------- 7
 
 def test_token_counts_against_greedy(spark, sf_dir):
