@@ -97,22 +97,36 @@ class Vocabulary:
         hashes = np.array([textnp.word_hashes(w)[0] for w in words], np.uint64)
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.numbers = hashes[order], order + 1
+        # the sorted hashes by their first bits, some four slots a word, so that most slots hold one word or none
+        self.shift = np.uint64(64 - max(8, len(words).bit_length() + 2))
+        slots = np.arange((1 << 64 - int(self.shift)) + 1, dtype=np.uint64)
+        self.slots = np.searchsorted(self.hashes >> self.shift, slots)
         self.bytes = np.log((byte_counts + 0.5) / (byte_counts + 0.5).sum())
         taken = sum(math.exp(self.bytes[np.frombuffer(w, np.uint8)].sum() + self.bytes[END]) for w in words)
         self.rest = self.bytes[END] - math.log1p(-min(taken, 1 - 1e-9))
 
-    def __call__(self, text: bytes) -> tuple[np.ndarray, float]:
-        """Ids of the words of a text, and log p of the spelling of all words outside the vocabulary."""
+    def _ids(self, h: np.ndarray) -> np.ndarray:
+        ids = np.zeros(len(h), np.int64)
+        slot = (h >> self.shift).astype(np.int64)
+        at, end = self.slots[slot], self.slots[slot + 1]
+        left = np.flatnonzero(at < end)
+        at, end, h = at[left], end[left], h[left]
+        while len(left):
+            hit = self.hashes[at] == h
+            ids[left[hit]] = self.numbers[at[hit]]
+            at += 1
+            more = ~hit & (at < end)
+            left, at, end, h = left[more], at[more], end[more], h[more]
+        return ids
+
+    def __call__(self, text: bytes, spelling: bool = True) -> tuple[np.ndarray, float]:
+        """Ids of the words of a text, and (if asked) log p of the spelling of all words outside the vocabulary."""
         data = np.frombuffer(text.lower(), np.uint8)
         if not len(data):
             return np.empty(0, np.int64), 0.0
         starts, ends = textnp.word_bounds(data)
-        h = textnp.range_hashes(data, starts, ends)
-        ids = np.zeros(len(h), np.int64)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            ids = np.where(self.hashes[at] == h, self.numbers[at], 0)
-        others = np.flatnonzero(ids == 0)
+        ids = self._ids(textnp.range_hashes(data, starts, ends))
+        others = np.flatnonzero(ids == 0) if spelling else ()
         if not len(others):
             return ids, 0.0
         sums = np.concatenate(([0.0], np.cumsum(self.bytes[data])))
@@ -157,18 +171,26 @@ def initial(counts: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
     return model
 
 
-def _softmax(z: np.ndarray, digit: np.ndarray) -> np.ndarray:
-    """log p of each row's digit; ``z`` becomes the probabilities."""
-    z -= z.max(axis=1, keepdims=True)
-    chosen = z[np.arange(len(z)), digit]
-    np.exp(z, out=z)
-    total = z.sum(axis=1)
-    z /= total[:, None]
-    return chosen - np.log(total)
+def _softmax(z: np.ndarray, digit: np.ndarray, scale: float) -> tuple[np.ndarray | None, np.ndarray]:
+    """Probabilities times ``scale`` (None if that is 0) and log p of each row's digit; ``z`` is overwritten.
 
-
-def forward(model, context: np.ndarray, target: np.ndarray):
-    """Input and hidden layer, and of every step: digits before, digit, its hidden layer, probabilities, log p of the digit."""
+    Rows are shifted by their own greatest logit only where a sum of exponentials could leave the range of the numbers.
+    """
+    p = np.exp(z) if len(z) and z.max() < 60 else None
+    total = None if p is None else p @ np.ones(z.shape[1], z.dtype)
+    if total is None or total.min() < 1e-25:
+        z -= z.max(axis=1, keepdims=True, initial=-np.inf)
+        p = np.exp(z)
+        total = p.sum(axis=1)
+    chosen = z[np.arange(len(z)), digit] - np.log(total)
+    if not scale:
+        return None, chosen
+    p *= (scale / total)[:, None]
+    return p, chosen
+
+
+def forward(model, context: np.ndarray, target: np.ndarray, scale: float = 1.0):
+    """Input and hidden layer, and of every step: digits before, digit, its hidden layer, probabilities times ``scale``, log p of the digit."""
     x = model["E"][context].reshape(len(context), -1)
     h = x @ model["W"]
     h += model["b"]
@@ -182,13 +204,13 @@ def forward(model, context: np.ndarray, target: np.ndarray):
             np.maximum(g, 0, out=g)
         z = g @ model[f"U{k}"]
         z += model[f"u{k}"][before]
-        found.append((before, digit, g, z, _softmax(z, digit)))
+        found.append((before, digit, g, *_softmax(z, digit, scale)))
     return x, h, found
 
 
 def log_p(model, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log p of each target given its context."""
-    return sum(x.astype(float) for *_, x in forward(model, context, target)[2])
+    return sum(x.astype(float) for *_, x in forward(model, context, target, scale=0.0)[2])
 
 
 BY_ROW = {"E"} | {f"{x}{k}" for x in "Du" for k in range(1, LEVELS)}
@@ -206,21 +228,25 @@ class Trainer:
         self.model[name] -= RATE * grad / np.sqrt(self.seen[name])
 
     def _by_row(self, name, rows, grad):
-        # short keys are sorted by radix
-        order = np.argsort(rows.astype(np.uint16) if len(self.model[name]) <= 1 << 16 else rows, kind="stable")
+        # 16 bits at a time are sorted by radix
+        order = np.argsort(rows.astype(np.uint16), kind="stable")
+        for shift in range(16, (len(self.model[name]) - 1).bit_length(), 16):
+            order = order[np.argsort((rows[order] >> shift).astype(np.uint16), kind="stable")]
         rows = rows[order]
         first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
         total, rows = np.add.reduceat(grad[order], first, axis=0), rows[first]
-        self.seen[name][rows] += (total * total).mean(axis=1, keepdims=True)
-        self.model[name][rows] -= RATE * total / np.sqrt(self.seen[name][rows])
+        seen = self.seen[name][rows]
+        seen += np.einsum("ij,ij->i", total, total)[:, None] / total.shape[1]
+        self.seen[name][rows] = seen
+        total *= RATE / np.sqrt(seen)
+        self.model[name][rows] -= total
 
     def step(self, context, target):
         m, n = self.model, len(target)
-        x, h, found = forward(m, context, target)
+        x, h, found = forward(m, context, target, 1 / n)
         back_h = np.zeros_like(h)
         for k, (before, digit, g, p, _) in enumerate(found):
-            p[np.arange(n), digit] -= 1
-            p /= n
+            p[np.arange(n), digit] -= np.float32(1 / n)
             back = p @ m[f"U{k}"].T
             back *= g > 0
             back_h += back
@@ -259,7 +285,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 1) -> dict[str,
             none = size**LEVELS
             for batch in batches:
                 for text in textnp.texts(batch, "text"):
-                    ids, _ = vocabulary(text)
+                    ids, _ = vocabulary(text, spelling=False)
                     if not len(ids):
                         continue
                     tokens += len(ids)
@@ -282,7 +308,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 1) -> dict[str,
     return shaped(vector, size)
 
 
-def log_probabilities(model, docs_ids: list[np.ndarray], step: int = BATCH) -> list[np.ndarray]:
+def log_probabilities(model, docs_ids: list[np.ndarray], step: int = 4096) -> list[np.ndarray]:
     line, at = windows(docs_ids, len(model["E"]) - 1)
     out = np.empty(len(at))
     for k in range(0, len(at), step):

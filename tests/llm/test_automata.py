@@ -208,3 +208,39 @@ def test_temperature():
     assert sum(w.values()) == pytest.approx(1) and max(ratio) / min(ratio) == pytest.approx(4, rel=1e-6) and 0 < t < 1
     assert mixing.weights({"a": 5, "b": 5}, 2.0, 1.0)[1] == {"a": 0.5, "b": 0.5}
     assert mixing.weights({}, 2.0)[1] == {}
+
+
+def test_softmax_far_from_zero():
+    """Logits beyond the range of the exponential give the same log p as in exact steps."""
+    rng = np.random.default_rng(3)
+    for shift in (0.0, 50.0, 500.0, -500.0):
+        z = rng.normal(0, 3, (40, 9)).astype(np.float32) + np.float32(shift)
+        digit = rng.integers(0, 9, 40)
+        wide = z.astype(float)
+        p = np.exp(wide - wide.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        got, log_p = lm_scoring._softmax(z.copy(), digit, 0.5)
+        assert np.allclose(got, p / 2, atol=1e-5) and np.allclose(log_p, np.log(p[np.arange(40), digit]), atol=1e-3)
+        assert lm_scoring._softmax(z.copy(), digit, 0.0)[0] is None
+
+
+def test_vocabulary_lookup():
+    words = [f"word{k}".encode() for k in range(3000)]
+    known = lm_scoring.Vocabulary(words, np.ones(3001), np.ones(257))
+    text = b" ".join([*words, b"unseen", b"word3000"])
+    assert known(text)[0].tolist() == [*range(1, 3001), 0, 0]
+    assert known(text, spelling=False)[1] == 0.0 > known(text)[1]
+    none = lm_scoring.Vocabulary([], np.ones(1), np.ones(257))
+    assert none(b"any words")[0].tolist() == [0, 0]
+
+
+def test_rows_beyond_sixteen_bits():
+    """Row updates of a table of more than 65,536 rows equal sums by row."""
+    trainer = lm_scoring.Trainer({"E": np.zeros((200_000, 2), np.float32)})
+    rows = np.array([5, 70_000, 5, 131_077, 65_541, 70_000, 199_999])
+    grad = np.arange(14, dtype=np.float32).reshape(7, 2)
+    trainer._by_row("E", rows, grad)
+    for row in set(rows.tolist()):
+        total = grad[rows == row].sum(axis=0)
+        assert np.allclose(trainer.model["E"][row], -lm_scoring.RATE * total / np.sqrt(0.1 + (total**2).mean()))
+    assert np.count_nonzero(trainer.model["E"].any(axis=1)) == 5
