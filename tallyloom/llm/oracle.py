@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallyloom.llm.pii import LENGTHS
+
 SQL: dict[str, str] = {}
 
 SQL["op1_exact_dedup"] = """
@@ -46,39 +48,61 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 """
 
 
+_COUNTRIES = "|".join(c for v in LENGTHS.values() for c in v.split())
+_KNOWN_START = f"({_COUNTRIES})([0-9]{{2}})"
+_IBAN = "|".join([f"\\x01(?:{v.replace(' ', '|')})\\x02[0-9]{{2}}(?:\\x20?\\x01?[A-Z0-9]\\x02?){{{n - 4}}}" for n, v in LENGTHS.items()]
+                 + ["[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]){11,30}"])
+
+
+def _either(words: str) -> str:
+    """``words`` with every ASCII letter in either case; (?i) would also take letters that fold to one beyond ASCII."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
 def _matches(kinds: dict[str, str]) -> str:
-    """CTEs: texts, and m (r, kind, start, fin, hit, context) of every leftmost match, positions from the gaps between matches."""
-    each = " UNION ALL ".join(f"SELECT r, '{kind}' AS kind, regexp_extract_all(text, '{p}') AS hits, regexp_split_to_array(text, '{p}') AS gaps FROM texts"
-                              for kind, p in ((k, p.replace("'", "''")) for k, p in kinds.items()))
-    return f"""texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    """CTEs: texts, and m (r, kind, start, fin, hit) of every leftmost match, positions from the gaps between matches.
+
+    Account numbers are matched in a text where chr(1) and chr(2) enclose each known country code that two digits follow:
+    DuckDB's patterns can't look ahead.
+    """
+    def one(kind, p):
+        source = "marked" if kind == "iban" else "text"
+        bare = "list_transform({}, lambda x: translate(x, chr(1) || chr(2), ''))" if kind == "iban" else "{}"
+        both = bare.format(f"regexp_extract_all({source}, '{p}')"), bare.format(f"regexp_split_to_array({source}, '{p}')")
+        return f"SELECT r, '{kind}' AS kind, {both[0]} AS hits, {both[1]} AS gaps FROM texts"
+    each = " UNION ALL ".join(one(k, p.replace("'", "''")) for k, p in kinds.items())
+    return f"""raw AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+texts AS (SELECT *, regexp_replace(translate(text, chr(1) || chr(2), chr(3) || chr(3)), '{_KNOWN_START}', chr(1) || '\\1' || chr(2) || '\\2', 'g') AS marked FROM raw),
 lists AS ({each}),
 numbered AS (SELECT r, kind, hits, gaps, unnest(range(1, len(hits) + 1)) AS i FROM lists WHERE len(hits) > 0),
 m AS (
   SELECT r, kind, hits[i] AS hit, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start,
-         start + length(hits[i]) AS fin, lower(right(gaps[i], 40) || ' ' || left(gaps[i + 1], 20)) AS context
+         start + length(hits[i]) AS fin
   FROM numbered
 )"""
 
 
-_ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_ASSIGN = "(?:" + "|".join(_either(w) for w in ("password", "passwd", "secret", "token", "api_?key")) + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_WEAK_ID = "(?:" + "|".join(_either(w) for w in ("client_?id", "username", "login", "account_?id")) + r""")[\x22']?\x20*[:=]\x20*[\x22']?[A-Za-z0-9._@-]+"""
 SQL["op5_secret_scan"] = f"""
-WITH {_matches({"assign": _ASSIGN, "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]{24,}",
-                "weak_id": "(?i:client_?id|username|login|account_?id)[\\x22']?\\x20*[:=]\\x20*[\\x22']?[A-Za-z0-9._@-]+",
-                "weak_key": "[A-Za-z0-9+/_=-]{20,}", "endpoint": "https?://[A-Za-z0-9.-]+(?::[0-9]+)?"})},
+WITH {_matches({"assign": _ASSIGN, "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]{24,}", "weak_id": _WEAK_ID, "weak_key": "[A-Za-z0-9+/_=-]{20,}",
+                "endpoint": "https?://[A-Za-z0-9.-]+(?::[0-9]+)?", "url": "https?://[A-Za-z0-9.-]+[^ \\t\\n\\v\\f\\r\\x22'<>]*"})},
 good AS (
-  SELECT r, kind, start, fin, kind IN ('assign', 'access', 'hex') AS base, list_position(['assign', 'access', 'hex', 'weak_id', 'weak_key', 'endpoint'], kind) AS o,
-         CASE WHEN kind IN ('assign', 'hex', 'weak_key') THEN 'secret' WHEN kind IN ('access', 'weak_id') THEN 'identifier' ELSE 'endpoint' END AS role
-  FROM m WHERE CASE kind WHEN 'assign' THEN length(regexp_extract(hit, '{_ASSIGN.replace("'", "''")}', 1)) >= 6 WHEN 'access' THEN length(hit) >= 20 WHEN 'hex' THEN length(hit) >= 24
+  SELECT r, kind, start, fin, kind IN ('assign', 'access', 'hex') AS base, list_position(['assign', 'access', 'hex', 'weak_id', 'weak_key', 'endpoint', 'url'], kind) AS o,
+         CASE WHEN kind IN ('assign', 'hex', 'weak_key') THEN 'secret' WHEN kind IN ('access', 'weak_id') THEN 'identifier' WHEN kind = 'endpoint' THEN 'endpoint' END AS role
+  FROM m WHERE CASE kind WHEN 'assign' THEN length(regexp_extract(hit, '{_ASSIGN.replace("'", "''")}', 1)) >= 6 WHEN 'access' THEN length(hit) >= 20
     WHEN 'weak_key' THEN regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]') ELSE true END
+), parts AS (
+  SELECT g.*, CASE WHEN kind = 'endpoint' THEN greatest(fin, (SELECT max(u.fin) FROM good u WHERE u.r = g.r AND u.kind = 'url' AND u.start <= g.start)) ELSE fin END AS reach
+  FROM good g WHERE kind <> 'url' AND NOT (kind = 'weak_key' AND EXISTS (
+    SELECT 1 FROM good i WHERE i.r = g.r AND i.kind = 'weak_id' AND i.start < g.fin AND i.fin > g.start))
 ), near AS (
-  SELECT *, {", ".join(f"coalesce(start - max(fin) FILTER (role = '{x}') OVER past <= 200, false) OR coalesce(min(start) FILTER (role = '{x}') OVER ahead - fin <= 200, false) AS {x}_near"
-                       for x in ("identifier", "secret", "endpoint"))},
-         coalesce(max(fin) FILTER (base) OVER past > start, false) OR coalesce(min(start) FILTER (base) OVER ahead < fin, false) AS covered
-  FROM good WINDOW past AS (PARTITION BY r ORDER BY start, o, fin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
-    ahead AS (PARTITION BY r ORDER BY start, o, fin ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+  SELECT p.r, p.kind, p.start, p.fin, {", ".join(f"bool_or(q.role = '{x}' AND ((q.reach <= p.start AND p.start - q.fin <= 200) OR (q.start >= p.reach AND q.start - p.fin <= 200))) AS {x}_near" for x in ("identifier", "secret", "endpoint"))},
+         bool_or(q.base AND q.start < p.fin AND q.fin > p.start) AS covered
+  FROM parts p JOIN parts q USING (r) GROUP BY ALL
 ), said AS (
   SELECT r, kind, start, o, fin, base, kind || ':' || start || ':' || fin AS s, base OR (NOT covered AND CASE role WHEN 'identifier' THEN secret_near
-    WHEN 'secret' THEN identifier_near OR endpoint_near ELSE identifier_near AND secret_near END) AS reported FROM near
+    WHEN 'secret' THEN identifier_near OR endpoint_near ELSE identifier_near AND secret_near END) AS reported FROM parts JOIN near USING (r, kind, start, fin)
 ), sums AS (
   SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
          string_agg(s, ',' ORDER BY start, o, fin) FILTER (base) AS b, string_agg(s, ',' ORDER BY start, o, fin) FILTER (reported) AS spans,
@@ -100,9 +124,10 @@ def _near(words: str) -> str:
 
 SQL["op10_pii"] = f"""
 WITH {_matches({"email": "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+", "ip": "[0-9]+(?:[.][0-9]+)(?:[.][0-9]+)(?:[.][0-9]+)", "card": "[0-9](?:[\\x20-]?[0-9])+",
-                "phone": "[+][0-9][\\x20().0-9-]+[0-9]", "iban": "[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]){11,30}", "national_id": "[0-9]{3}-[0-9]{2}-[0-9]{4}",
+                "phone": "[+][0-9][\\x20().0-9-]+[0-9]", "iban": _IBAN, "national_id": "[0-9]{3}-[0-9]{2}-[0-9]{4}",
                 "local_phone": "[(]?[0-9]{3}[)]?[\\x20.-][0-9]{3}[\\x20.-][0-9]{4}"})},
-d AS (SELECT *, regexp_replace(hit, '[^0-9]', '', 'g') AS d, regexp_replace(hit, '[^A-Z0-9]', '', 'g') AS plain, substr(plain, 5) || substr(plain, 1, 4) AS turned FROM m),
+d AS (SELECT *, regexp_replace(hit, '[^0-9]', '', 'g') AS d, regexp_replace(hit, '[^A-Z0-9]', '', 'g') AS plain, substr(plain, 5) || substr(plain, 1, 4) AS turned,
+  lower(right(left(text, start), 40) || ' ' || substr(text, fin + 1, 20)) AS context FROM m JOIN texts USING (r)),
 tested AS (
   SELECT r, start, fin, context, hit, length(d) AS n, CASE WHEN kind = 'card' AND length(d) BETWEEN 13 AND 15 THEN 'short_card' ELSE kind END AS kind,
          CASE WHEN kind = 'card' AND length(d) BETWEEN 13 AND 19 THEN {_LUHN} WHEN kind = 'iban' THEN {_MOD97} ELSE false END AS passes FROM d

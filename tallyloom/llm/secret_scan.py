@@ -2,8 +2,8 @@
 
 Certain: assignments of a value to a telling name, cloud access identifiers, long hexadecimal runs.  Weak parts are an identifier
 (``client_id=``, ``user: ``), a secret (a long token of mixed characters) and an endpoint (a URL or host with port).
-The interval join is an as-of lookup: ordered by position, every weak part sees the nearest part of each role before and after it; parts
-no farther than SCOPE code points away, and not overlapping it, are in its scope (an endpoint takes up its whole URL there).  A weak identifier is reported with a secret in scope, a weak
+The interval join is an as-of lookup over opening and closing positions: every weak part sees the nearest part of each role that closes before
+it and that opens after it; parts no farther than SCOPE code points away are in its scope (an endpoint takes up its whole URL there).  A weak identifier is reported with a secret in scope, a weak
 secret with an identifier or an endpoint, an endpoint with both.  Weak parts that overlap a certain one
 are dropped, and so is a weak secret that is the value of a weak identifier.
 A window holds the matches of one document, so no key gathers more than that.
@@ -44,46 +44,44 @@ def secret_spans(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     number = F.array_position(F.array(*[F.lit(k.name) for k in KINDS]), F.col("kind"))
     role = F.create_map(*[F.lit(x) for pair in ROLE.items() for x in pair])[F.col("kind")]
     spans = spans.withColumn("order", number).withColumn("base", F.coalesce(F.col("kind").isin(BASE), F.lit(False))).withColumn("role", role)
-    line = Window.partitionBy("rid").orderBy(F.col("start"), F.col("order"), F.col("end"))
+    # windows only look back: one that looks ahead is ordered from the end, as Spark sums a frame without an end anew for each row
     urls = Window.partitionBy("rid").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
     on = F.when(F.col("kind") == "endpoint", F.max(F.when(F.col("kind") == "url", F.col("end"))).over(urls))
-    same = Window.partitionBy("rid", "kind").orderBy("start")
     spans = spans.withColumn("reach", F.greatest(F.col("end"), on)).filter("kind is null or kind <> 'url'")
-    is_id = F.col("kind") == "weak_id"
-    value = (F.col("kind") == "weak_key") & (
-        (F.coalesce(F.max(F.when(is_id, F.col("end"))).over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1)) > F.col("start"))
-        | (F.coalesce(F.min(F.when(is_id, F.col("start"))).over(line.rowsBetween(1, Window.unboundedFollowing)), F.lit(10**15)) < F.col("end")))
-    spans = spans.withColumn("value", value).filter("value is null or not value").drop("value")
-    spans = spans.withColumn("earlier", F.struct(F.lag("end").over(same).alias("end"), F.lag("reach").over(same).alias("reach"))).withColumn(
-        "later", F.lead("start").over(same))
-    past, next_ = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(1, Window.unboundedFollowing)
-    # Spans of one kind don't overlap.  So of those that start no later only the last can reach into a span, and of those that end no
-    # earlier only the first; where it does, the one of its kind beyond it is the nearest.
-    after = Window.partitionBy("rid").orderBy(F.col("end"), F.col("order"), F.col("start")).rowsBetween(1, Window.unboundedFollowing)
+    past = Window.partitionBy("rid").orderBy("start", "order", "end").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy("rid").orderBy(F.desc("start"), F.desc("order"), F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
 
-    def beside(name):
-        is_k = F.col("kind") == name
-        last = F.max(F.when(is_k, F.struct("start", "end", "reach", "earlier"))).over(past)
-        first = F.min(F.when(is_k, F.struct("start", "later"))).over(after)
-        before = F.when(last["reach"] <= F.col("start"), last["end"]).when(last["earlier"]["reach"] <= F.col("start"), last["earlier"]["end"])
-        behind = F.when(first["start"] >= F.col("reach"), first["start"]).when(first["later"] >= F.col("reach"), first["later"])
-        return F.coalesce(F.col("start") - before <= scope, F.lit(False)) | F.coalesce(behind - F.col("end") <= scope, F.lit(False))
-    near = {}
-    for r in ("identifier", "secret", "endpoint"):
-        kinds = [beside(k) for k, role_ in ROLE.items() if role_ == r]
-        near[r] = kinds[0]
-        for k in kinds[1:]:
-            near[r] = near[r] | k
-    overlap = ((F.coalesce(F.max(F.when(F.col("base"), F.col("end"))).over(past), F.lit(-1)) > F.col("start"))
-               | (F.coalesce(F.min(F.when(F.col("base"), F.col("start"))).over(next_), F.lit(10**15)) < F.col("end")))
-    linked = F.when(F.col("role") == "identifier", near["secret"]).when(F.col("role") == "secret", near["identifier"] | near["endpoint"]).when(
-        F.col("role") == "endpoint", near["identifier"] & near["secret"])
-    return spans.withColumn("reported", F.coalesce(F.col("base") | (linked & ~overlap), F.lit(False))).select(
-        "rid", "doc_id", "kind", "order", "start", "end", "base", "reported")
+    def overlapped(by):
+        return (F.coalesce(F.max(F.when(by, F.col("end"))).over(past) > F.col("start"), F.lit(False))
+                | F.coalesce(F.min(F.when(by, F.col("start"))).over(ahead) < F.col("end"), F.lit(False)))
+    spans = spans.withColumn("value", F.coalesce(F.col("kind") == "weak_key", F.lit(False)) & overlapped(F.col("kind") == "weak_id")).filter(~F.col("value"))
+    spans = spans.withColumn("covered", overlapped(F.col("base")))
+    # a span opens at its start and closes where its reach ends: it looks back from its start at what has closed, ahead from its end at what opens
+    events = spans.select("rid", "doc_id", "kind", "order", "start", "end", "base", "role", "covered", F.explode_outer(
+        F.array(F.struct(F.col("start").alias("at"), F.lit(True).alias("opens")), F.struct(F.col("reach").alias("at"), F.lit(False).alias("opens")))).alias("e"))
+    events = events.select("*", "e.at", "e.opens").drop("e")
+    closed = Window.partitionBy("rid").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    coming = Window.partitionBy("rid").orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, 0)
+
+    def near(role):
+        behind = F.max(F.when(~F.col("opens") & (F.col("role") == role), F.col("end"))).over(closed)
+        before = F.min(F.when(F.col("opens") & (F.col("role") == role), F.col("start"))).over(coming)
+        return F.when(F.col("opens"), F.col("start") - behind).otherwise(before - F.col("end")) <= scope
+    roles = ["identifier", "secret", "endpoint"]
+    events = events.select("*", *[F.coalesce(near(r), F.lit(False)).alias(f"near_{r}") for r in roles])
+    key = ["rid", "doc_id", "kind", "order", "start", "end", "base", "role", "covered"]
+    seen = events.groupBy(*key).agg(*[F.max(f"near_{r}").alias(r) for r in roles])
+    linked = F.when(F.col("role") == "identifier", F.col("secret")).when(F.col("role") == "secret", F.col("identifier") | F.col("endpoint")).when(
+        F.col("role") == "endpoint", F.col("identifier") & F.col("secret"))
+    return seen.select("rid", "doc_id", "kind", "order", "start", "end", "base",
+                       F.coalesce(F.col("base") | (linked & ~F.col("covered")), F.lit(False)).alias("reported"))
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked (weak parts reported)."""
+    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked (weak parts reported).
+
+    An empty table gives no rows; a document without matches gives zeros and the digest of the empty string; repeated ids stay rows of their own.
+    """
     spans = secret_spans(docs)
     return spans.groupBy("rid", "doc_id").agg(
         *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in BASE],
