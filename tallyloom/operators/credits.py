@@ -199,6 +199,13 @@ def load_credit_memo_tables(routed, credits, items, refunds, gift_cards):
     return {name: rows.join(done, "credit_id", "left_semi") for name, rows in tables.items()}
 
 
+def archive_credit_memos(routed, credits, items, refunds, gift_cards):
+    """Per staging table: (rows of posted credits, which move to the archive; rows that stay for a later run)."""
+    done = routed.select("credit_id").distinct()
+    tables = {"credit_memo": credits, "credit_memo_items": items, "credit_memo_refunds": refunds, "credit_memo_gift_cards": gift_cards}
+    return {name: R.split(rows, done, "credit_id") for name, rows in tables.items()}
+
+
 # --------------------------------------------------------------------------- gift-card adjustments
 
 def post_membership_redemption(adjustments):

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyloom.functions import relational as R
-from tallyloom.operators import fulfillment, funding, ingest, ledger, maintenance, postings
+from tallyloom.operators import credits, fulfillment, funding, ingest, ledger, maintenance, postings
 from tallyloom.schema import to_ledger
 
 
@@ -94,3 +95,61 @@ def fulfillment_run(queue: DataFrame, store: dict[str, DataFrame], dims: dict[st
         "order_header": fulfillment.update_header_shipped(header, stage, as_of),
         "errors": errors, "archive": archived, "waiting": waiting, "held": held, "stage": stage,
     }
+
+
+def membership_run(queue: DataFrame, as_of: str, staging: str) -> dict[str, DataFrame]:
+    """Membership messages to ledger rows and store tables; the messages are parsed into ``staging`` once."""
+    queue = ingest.parse_once(queue, "mc", f"{staging}/membership")
+    members = ingest.parse_membership_capture(queue)
+    payments = ingest.explode_membership_payments(queue)
+    gifts = ingest.explode_membership_gift_cards(queue)
+    posted = R.union_all(*[to_ledger(rows) for rows in (
+        postings.post_membership_payment(members, payments),
+        postings.post_membership_gift_card(members, gifts),
+        postings.post_membership_tax(members))])
+    return {
+        "ledger": posted,
+        "membership_header": postings.load_membership_header(members, as_of),
+        "membership_payments": postings.load_membership_payments(members, payments, gifts),
+    }
+
+
+def cancel_run(cancels: DataFrame, store: dict[str, DataFrame], sub_types: DataFrame, refunds: DataFrame, staging: str) -> dict[str, DataFrame]:
+    """Cancel messages of known orders and memberships: reversals, statuses, and the messages that are done.
+
+    ``store``: ledger, order_header, membership_header.  Both work lists are written to ``staging``; a message that belongs to no known
+    order or membership waits.  Reversals read the ledger once per family, cut to its types.
+    """
+    orders = R.stored(postings.cancel_worklist(cancels, store["order_header"]), f"{staging}/orders")
+    members = R.stored(postings.cancel_worklist(cancels, store["membership_header"]), f"{staging}/members")
+    known = R.union_all(orders.select("order_id"), members.select("order_id")).distinct()
+    archived, waiting = maintenance.archive_move(cancels, known, ["order_id"])
+    return {
+        "ledger": R.union_all(to_ledger(postings.reverse_order_postings(store["ledger"], orders, sub_types)),
+                              to_ledger(postings.reverse_membership_postings(store["ledger"], members, sub_types, refunds))),
+        "order_header": postings.cancel_order_status(store["order_header"], orders),
+        "membership_header": postings.cancel_membership_status(store["membership_header"], members),
+        "archive": archived, "waiting": waiting,
+    }
+
+
+def credit_memo_run(staged: dict[str, DataFrame], store: dict[str, DataFrame], dims: dict[str, DataFrame], as_of: str,
+                    staging: str) -> dict[str, DataFrame]:
+    """Staged credit memos to ledger rows, new cards, store tables and the archive.
+
+    ``staged``: credit_memo, credit_memo_items, credit_memo_refunds, credit_memo_gift_cards.  ``store``: order_header, order_detail,
+    membership_header, cards, adjustments.  ``dims``: fc_xref, items, control.  Credits are routed once into ``staging``.  Per staging table the
+    result has the rows to add to the store (its own name), to its archive (``_processed``) and those that wait (``_staging``).
+    """
+    memos, lines, refunds, gifts = (staged[n] for n in ("credit_memo", "credit_memo_items", "credit_memo_refunds", "credit_memo_gift_cards"))
+    routed = credits.credit_worklists(memos, store["order_header"], store["membership_header"], dims["control"])
+    routed = R.stored(routed, f"{staging}/routed")
+    posted = R.union_all(*[to_ledger(rows) for rows in (
+        credits.post_preship_items(routed, lines, store["order_detail"], dims["fc_xref"], dims["items"]),
+        credits.post_refunds(routed, refunds),
+        credits.post_refund_gift_cards(routed, gifts, store["adjustments"]))])
+    out = {"ledger": posted, "gift_cards": credits.new_refund_gift_cards(routed, gifts, store["cards"])}
+    for name, (done, waiting) in credits.archive_credit_memos(routed, memos, lines, refunds, gifts).items():
+        loaded = done.withColumn("load_date", F.lit(as_of).cast("timestamp_ntz")) if name == "credit_memo" else done
+        out |= {name: loaded, f"{name}_processed": done, f"{name}_staging": waiting}
+    return out

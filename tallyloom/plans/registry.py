@@ -892,3 +892,51 @@ def _(t):
     for run in ("first", "again"):
         ledger.append(rows, f"{folder}/ledger", AS_OF, keys, f"{folder}/{run}")
     return ledger.read(t.spark, f"{folder}/ledger")
+
+
+RUN = "table_name:s key:n code:n amount:m detail:s"
+
+
+def tagged(name, df, key, detail, code=None, amount=None):
+    """Rows of one result table of a run, under its name."""
+    none = F.lit(None)
+    return df.select(F.lit(name).alias("table_name"), F.col(key).cast("bigint").alias("key"), (F.col(code) if code else none).cast("bigint").alias("code"),
+                     (F.col(amount) if amount else none).cast("decimal(12,2)").alias("amount"), F.col(detail).cast("string").alias("detail"))
+
+
+@query("membership_run", RUN)
+def _(t):
+    out = pipelines.membership_run(t.queue("mc"), AS_OF, shared_dir(t.spark, "membership_run"))
+    return R.union_all(
+        tagged("ledger", out["ledger"], "order_id", "tran_gl_date", "tran_sub_type_id", "tran_amt"),
+        tagged("membership_header", out["membership_header"], "order_id", "sale_date", amount="total_order"),
+        tagged("membership_payments", out["membership_payments"], "order_id", "payment_type", amount="pay_amt"))
+
+
+@query("cancel_run", RUN)
+def _(t):
+    store = {"ledger": R.union_all(t("order_ledger"), t("membership_ledger")), "order_header": t("order_header"), "membership_header": stored_members(t)}
+    out = pipelines.cancel_run(t("cancels"), store, t("sub_types"), t("member_refunds"), shared_dir(t.spark, "cancel_run"))
+    return R.union_all(
+        tagged("ledger", out["ledger"], "order_id", "tran_gl_date", "tran_sub_type_id", "tran_amt"),
+        tagged("order_header", out["order_header"], "order_id", "status"),
+        tagged("membership_header", out["membership_header"], "order_id", "status"),
+        tagged("archive", out["archive"], "order_id", "message_uuid"),
+        tagged("waiting", out["waiting"], "order_id", "message_uuid"))
+
+
+CREDIT_TABLES = {"credit_memo": ("credits", "increment_id"), "credit_memo_items": ("credit_items", "order_item_id"),
+                 "credit_memo_refunds": ("credit_refunds", "payment_id"), "credit_memo_gift_cards": ("credit_gift_cards", "gift_card_id")}
+
+
+@query("credit_memo_run", RUN)
+def _(t):
+    staged_rows = {name: t(source) for name, (source, _) in CREDIT_TABLES.items()}
+    store = {"order_header": t("order_header"), "order_detail": t("order_detail"), "membership_header": stored_members(t),
+             "cards": t("gift_cards"), "adjustments": t("created_cards")}
+    dims = {"fc_xref": t("fc_xref"), "items": t("curr_items"), "control": t("control")}
+    out = pipelines.credit_memo_run(staged_rows, store, dims, AS_OF, shared_dir(t.spark, "credit_memo_run"))
+    return R.union_all(
+        tagged("ledger", out["ledger"], "credit_memo_id", "tran_gl_date", "tran_sub_type_id", "tran_amt"),
+        tagged("gift_cards", out["gift_cards"], "card_id", "order_increment_id", "card_type", "initial_amount"),
+        *[tagged(name + part, out[name + part], "credit_id", detail) for name, (_, detail) in CREDIT_TABLES.items() for part in ("", "_processed", "_staging")])

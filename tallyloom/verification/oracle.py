@@ -709,6 +709,26 @@ SQL["fulfillment_pipeline"] = " UNION ALL ".join(
     for t, line in (("product_rows", "order_line_id"), ("coupon_rows", "order_line_id"), ("tpa_rows", "order_line_id"), ("tiered_rows", "order_line_id"),
                     ("coupon_bundle_rows", "order_line_id"), ("tpa_bundle_rows", "order_line_id"), ("ship_rows", "NULL")))
 
+
+def _posted(name, key="order_id"):
+    return f"""SELECT 'ledger' AS table_name, {key} AS key, tran_sub_type_id AS code, CAST(round(tran_amt, 2) AS DECIMAL(12,2)) AS amount, CAST(tran_gl_date AS VARCHAR) AS detail
+ FROM ({SQL[name]})"""
+
+
+SQL["membership_run"] = " UNION ALL ".join([_posted(f"post_membership_{n}") for n in ("payment", "gift_card", "tax")] + [
+    "SELECT 'membership_header', order_id, NULL, CAST(round(total_order, 2) AS DECIMAL(12,2)), CAST(sale_date AS VARCHAR) FROM members",
+    f"SELECT 'membership_payments', order_id, NULL, CAST(round(pay_amt, 2) AS DECIMAL(12,2)), payment_type FROM ({SQL['load_membership_payments']})"])
+SQL["cancel_run"] = " UNION ALL ".join([_posted("reverse_order_postings"), _posted("reverse_membership_postings")] + [
+    f"SELECT '{n}_header', order_id, NULL, NULL, status FROM ({SQL[q]})" for n, q in (("order", "cancel_order_status"), ("membership", "cancel_membership_status"))] + [
+    """SELECT CASE WHEN order_id IN (SELECT order_id FROM order_header) OR order_id IN (SELECT order_id FROM members) THEN 'archive' ELSE 'waiting' END, order_id, NULL, NULL,
+ message_uuid FROM cancels"""])
+_POSTED_CREDITS = ["post_preship_items"] + [f"post_{n}_refund" for n in ("preship", "postship", "membership")] + [
+    "post_preship_gift_card", "post_postship_gift_card", "post_membership_refund_gift_card"]
+SQL["credit_memo_run"] = " UNION ALL ".join([_posted(n, "credit_memo_id") for n in _POSTED_CREDITS] + [
+    f"SELECT 'gift_cards', card_id, card_type, CAST(round(initial_amount, 2) AS DECIMAL(12,2)), CAST(order_increment_id AS VARCHAR) FROM ({SQL['new_refund_gift_cards']})"] + [
+    f"SELECT '{n}{part}', credit_id, NULL, NULL, CAST({d} AS VARCHAR) FROM {t} WHERE (credit_id IN (SELECT credit_id FROM routed)) IS {test}"
+    for n, (t, d) in G.CREDIT_TABLES.items() for part, test in (("", "TRUE"), ("_processed", "TRUE"), ("_staging", "NOT TRUE"))])
+
 _WORD = re.compile(r"[a-z_][a-z_0-9]*")
 
 

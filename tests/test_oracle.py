@@ -13,7 +13,7 @@ CHOSEN = ["dedupe_gift_card_adjustments", "explode_item_discounts", "explode_ord
           "penny_fix_rule_discount", "post_tpa", "post_shipment_revenue", "credit_worklists", "post_preship_refund",
           "gift_card_adjustment_enrich", "post_vendor_rebate", "post_as_funding_bundle", "check_order_payment",
           "check_discount_item_over", "ledger_dedupe", "link_rebate_to_fulfillment", "upsert_dimension",
-          "vendor_funding_journal", "distributor_report", "queue_stream", "order_capture_pipeline"]
+          "vendor_funding_journal", "distributor_report", "queue_stream", "order_capture_pipeline", "membership_run", "cancel_run", "credit_memo_run"]
 NAMES = list(registry.SPECS) if os.environ.get("TALLYLOOM_ALL") else CHOSEN
 
 

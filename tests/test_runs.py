@@ -57,7 +57,7 @@ def plan(df):
 
 
 # these write tables while they are built
-EAGER = ("queue_stream", "erp_snapshot_load", "order_capture_pipeline", "fulfillment_pipeline")
+EAGER = ("queue_stream", "erp_snapshot_load", "order_capture_pipeline", "fulfillment_pipeline", "membership_run", "cancel_run", "credit_memo_run")
 PLANS = ["hold_partial_shipments", "new_refund_gift_cards", "credit_worklists", "gift_card_adjustment_enrich", "post_product_revenue",
          "post_vendor_rebate", "post_tpr_funding", "vendor_rebate_report", "crm_discounts", "post_cost_adjustment_rebate"]
 if os.environ.get("TALLYLOOM_ALL"):
