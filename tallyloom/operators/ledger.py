@@ -19,6 +19,7 @@ from tallyloom.schema import LEDGER, to_ledger
 
 PARTITION = "tran_gl_date"
 ID_BUCKETS = 1024
+FILE_ROWS = 1 << 18  # rows of one file of a partition, about
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -128,6 +129,13 @@ def last_id(spark: SparkSession, path: str) -> int | None:
     return spark.read.schema("last bigint").parquet(at).agg(F.max("last")).first()[0] if _exists(spark, at) else None
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` by GL date, a date's in as many parts as its number of rows asks for, so that a posting adds one file to most dates."""
+    parts = rows.groupBy(F.col(PARTITION).alias("_day")).agg(F.ceil(F.count(F.lit(1)) / FILE_ROWS).alias("_parts"))
+    dealt = rows.join(parts, F.col(PARTITION).eqNullSafe(F.col("_day")))
+    return dealt.repartition(PARTITION, F.pmod(F.col("tran_id"), F.col("_parts"))).drop("_day", "_parts")
+
+
 def append(rows: DataFrame, path: str, as_of, keys: list[str], staging: str) -> DataFrame:
     """Post ``rows`` (the columns of a posting) to the ledger under ``path`` unless their ``keys`` are there; the new rows.
 
@@ -149,7 +157,7 @@ def append(rows: DataFrame, path: str, as_of, keys: list[str], staging: str) ->
     top = fresh.agg(F.max("tran_id")).first()[0]
     if top is not None:
         spark.createDataFrame([(top,)], "last bigint").write.mode("append").parquet(f"{path.rstrip('/')}_last")
-    fresh.repartition(PARTITION, F.pmod(F.col("tran_id"), F.lit(64))).write.mode("append").partitionBy(PARTITION).parquet(path)
+    _dealt(fresh).write.mode("append").partitionBy(PARTITION).parquet(path)
     return fresh
 
 
@@ -165,4 +173,4 @@ def rewrite(changed: DataFrame, path: str, staging: str) -> None:
     old = in_dates_of(read(spark, path), changed)
     kept = old.join(changed.select("tran_id"), "tran_id", "left_anti")
     whole = R.stored(kept.select(*LEDGER).unionByName(changed), f"{staging}/partitions")
-    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path)
+    _dealt(whole).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path)
