@@ -4,8 +4,8 @@
    words of the benchmark; document frequencies over all documents give their IDF.  Terms of more than COMMON of the documents
    have no weight, unless an item would lose most of its own.
 2. A randomised SVD (range finder with one power step, then the small eigenproblem) of the TF-IDF matrix of passages gives RANK latent
-   directions.  It is fitted on the passages of the items, which count ITEM_WEIGHT times, and on those of SAMPLE documents (smallest hash
-   of the id first), by sums that Spark adds up over tasks; the driver only factors matrices of terms x (RANK + OVERSAMPLE).
+   directions.  It is fitted on the passages of the items, which count ITEM_WEIGHT times, and on those of all documents,
+   by sums that Spark adds up over tasks; the driver only factors matrices of terms x (RANK + OVERSAMPLE).
 3. Every passage of every document is projected and compared with every item: a candidate holds at least SHARE of the item's latent
    weight, whatever else is in the passage.  A block, and an item, counts each of its terms once, so repeats add nothing.
 4. A candidate is confirmed on words around the passage: the longest common subsequence with the item inside a window of 1.5 times the item
@@ -27,7 +27,7 @@ from tallyloom.llm import textnp
 from tallyloom.llm.storage import small_batches
 from tallyloom.llm.sums import SCHEMA, chunked, collected
 
-BLOCK, PIECE, RANK, OVERSAMPLE, SAMPLE = 32, 48, 256, 16, 4000
+BLOCK, PIECE, RANK, OVERSAMPLE = 32, 48, 256, 16
 COMMON, ITEM_WEIGHT = 0.13, 1e4
 SHARE, LCS, LCS_ANSWER, ANSWER = 0.35, 0.75, 0.6, 0.8
 TABLE = 1 << 20
@@ -181,12 +181,10 @@ def _fit(docs: DataFrame, items: Items) -> None:
     texts = docs.select(F.col("text").cast("string").alias("text"))
     counts, n = _document_frequencies(texts, items.terms)
     items.weigh(counts if len(counts) else np.zeros(len(items.terms.hashes)), n)
-    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    some = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").select("text")
     width = min(RANK + OVERSAMPLE, len(items.idf))
     start = np.random.default_rng(3).normal(size=(len(items.idf), width))
-    found, _ = np.linalg.qr(_gram_times(some, items, start))
-    small = found.T @ _gram_times(some, items, found)
+    found, _ = np.linalg.qr(_gram_times(texts, items, start))
+    small = found.T @ _gram_times(texts, items, found)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     basis = found @ vectors[:, np.argsort(values)[::-1][:RANK]]
     items.basis = (basis * items.idf[:, None]).astype(np.float32)

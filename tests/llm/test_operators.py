@@ -577,3 +577,12 @@ def test_toxicity_on_held_out_rows(spark, sf_dir):
     bad = [r.score for r in rows if r.toxic == 1]
     auc = sum((b > g) + 0.5 * (b == g) for b in bad for g in good) / (len(bad) * len(good))
     assert auc > 0.7, auc
+
+
+def test_latent_directions_come_from_all_documents(spark, tmp_path, monkeypatch):
+    docs = made(spark, tmp_path, [(k, f"alpha w{k % 7} beta") for k in range(4_100)])
+    bench = spark.createDataFrame([(1, "alpha beta gamma w1")], "item_id bigint, text string")
+    seen, whole = [], decontaminate._gram_times
+    monkeypatch.setattr(decontaminate, "_gram_times", lambda texts, *rest: seen.append(texts.count()) or whole(texts, *rest))
+    decontaminate.contamination(docs, bench)
+    assert seen == [4_100, 4_100]
