@@ -98,6 +98,16 @@ def test_ledger_ids_and_repeats(spark, tmp_path):
     assert stored.count() == 500 and stored.filter("sku = 'new'").count() == n
 
 
+def test_a_posting_adds_one_file_to_a_small_date(spark, tmp_path):
+    from tallyloom.operators import ledger
+    rows = spark.range(500).select(F.lit(100).alias("tran_type"), F.lit(6).alias("tran_sub_type_id"), F.col("id").alias("order_id"),
+                                   F.expr("IF(id < 100, NULL, DATE'2024-01-01')").alias("tran_gl_date"))
+    path = str(tmp_path / "ledger")
+    ledger.append(rows, path, "2024-02-01", ["tran_gl_date", "order_id"], str(tmp_path / "1"))
+    files = {str(f.parent.name): len([*f.parent.glob("*.parquet")]) for f in (tmp_path / "ledger").glob("*/*.parquet")}
+    assert sorted(files.values()) == [1, 1] and ledger.read(spark, path).count() == 500
+
+
 def test_append_reads_no_partition_that_cannot_hold_a_key(spark, tmp_path):
     from tallyloom.operators import ledger
     keys, path = ["tran_gl_date", "order_id", "message_uuid"], str(tmp_path / "ledger")
