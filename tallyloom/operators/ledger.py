@@ -25,7 +25,7 @@ FILE_ROWS = 1 << 18  # rows of one file of a partition, about
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The ledger under ``path``; an empty one before the first write."""
     schema = ", ".join(f"{c} {t}" for c, t in LEDGER.items())
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
@@ -71,7 +71,7 @@ def not_posted(rows: DataFrame, ledger: DataFrame, keys: list[str]) -> DataFrame
 BITS, BUCKETS = 1 << 15, 64  # bits of a vector (the size Spark's bitmap functions have), vectors per GL date
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
@@ -108,8 +108,8 @@ def may_hold(rows: DataFrame, path: str, keys: list[str]) -> DataFrame:
     """``rows`` with ``_hit``: false where the ledger surely hasn't the row's keys.  Reads the sketches of the rows' GL dates only."""
     spark = rows.sparkSession
     schema = f"{PARTITION} date, bucket int, bits binary, month string"
-    if not _exists(spark, _sketch_path(path, keys)):
-        if not _exists(spark, path):
+    if not exists(spark, _sketch_path(path, keys)):
+        if not exists(spark, path):
             return rows.withColumn("_hit", F.lit(False))
         _add_to_sketch(read(spark, path), path, keys)  # a ledger from before its first sketch by these keys
     months = [r[0] for r in rows.select(_month()).distinct().collect()]
@@ -126,7 +126,7 @@ def may_hold(rows: DataFrame, path: str, keys: list[str]) -> DataFrame:
 def last_id(spark: SparkSession, path: str) -> int | None:
     """The greatest id given so far, or None if only the ledger itself can tell."""
     at = f"{path.rstrip('/')}_last"
-    return spark.read.schema("last bigint").parquet(at).agg(F.max("last")).first()[0] if _exists(spark, at) else None
+    return spark.read.schema("last bigint").parquet(at).agg(F.max("last")).first()[0] if exists(spark, at) else None
 
 
 def _dealt(rows: DataFrame) -> DataFrame:

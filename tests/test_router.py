@@ -90,3 +90,22 @@ def test_held_test_agrees_with_the_batch_operator(spark):
     held, _ = ingest.hold_partial_shipments(queue, spark.createDataFrame([(1, False), (2, True)], "fc_id int, is_hj boolean"))
     waits, _ = ingest.shipment_parts(["2"])
     assert sorted(r.id for r in held.collect()) == sorted(r.id for r in queue.filter(waits).collect()) == [0, 4]
+
+
+def test_two_held_shipments_of_one_key_are_released_once(spark, tmp_path):
+    folder = str(tmp_path)
+    deliver(spark, folder, (1, "of", 0, part(5, "a", False)), (2, "of", 1, part(5, "a", False)), (3, "of", 0, part(6, "a", None)))
+    assert route(spark, folder)[1] == [(1, "unprocessed"), (2, "unprocessed"), (3, "queue")]
+    deliver(spark, folder, (4, "of", 2, part(5, "b", True)))
+    got = route(spark, folder)[1]
+    assert sorted(f for i, f in got if i in (1, 2)) == ["known", "released", "unprocessed", "unprocessed"] and (4, "queue") in got
+    deliver(spark, folder, (5, "of", 3, part(5, "a", None)))
+    assert (5, "known") in route(spark, folder)[1]
+
+
+def test_keys_are_a_built_in_aggregate(spark):
+    rows = spark.createDataFrame([("oc", "", "1", (1, 5, 2, 0)), ("oc", "", "1", (0, 9, 1, 3)), ("of", "7", "a", None)],
+                                 "kind string, family string, key string, first struct<batch: bigint, at: bigint, id: bigint, row: bigint>")
+    first = router.first_of_key(rows)
+    assert sorted((r.key, r.first and tuple(r.first)) for r in first.collect()) == [("1", (0, 9, 1, 3)), ("a", None)]
+    assert not any(n in first._jdf.queryExecution().toString() for n in ("Pandas", "Python", "Arrow"))
