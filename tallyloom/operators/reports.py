@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tallyloom.functions.exprs import nz
 from tallyloom.operators.checks import with_warehouse_item
@@ -151,24 +152,31 @@ def _rebate_rows(ledger, fc_xref, items, start, end):
     return with_warehouse_item(rows, fc_xref, items, "brand_name", "description")
 
 
-def _named_party(rows, agreements, methods):
+def _parties(agreements, methods):
+    """Billing parties of each brand and names of each method, with the number of rows that each stands for."""
     party = _payers(agreements, "brand_id", "billing_customer_id", "vendor_id") \
-        .select("brand_name", F.coalesce("billing_customer_id", "vendor_id").alias("cust_vend"))
-    method = methods.select(F.col("list_id").alias("rebate_billing_method"), "list_item_name")
-    return rows.join(party, "brand_name", "left").join(method, "rebate_billing_method", "left")
+        .groupBy("brand_name", F.coalesce("billing_customer_id", "vendor_id").alias("cust_vend")).agg(F.count(F.lit(1)).alias("_parties"))
+    method = methods.groupBy(F.col("list_id").alias("rebate_billing_method"), "list_item_name").agg(F.count(F.lit(1)).alias("_methods"))
+    return party, method
 
 
 _REPORT_KEYS = ["brand_name", "rebate_billing_method", "sku", "description", *TERMS]
+_REPORT_SUMS = ["tran_qty", "tran_cogs_amt", "rebate_to_bill"]
 
 
-def _sum_before_naming(rows, agreements, methods):
-    """Sums by ledger keys first; the party and method names join the sums and fan out like the rows would."""
+def _named_sums(rows, party, method):
+    """Sums by ledger keys, then the names: ``party`` and ``method`` join the sums, each times the rows it stands for."""
     sums = rows.groupBy(*_REPORT_KEYS).agg(
         F.sum("_qty").alias("tran_qty"), F.sum("_cogs").alias("tran_cogs_amt"), F.sum("_rebate").alias("rebate_to_bill"))
-    named = _named_party(sums, agreements, methods)
-    return named.groupBy(*_REPORT_KEYS, "list_item_name", "cust_vend").agg(
-        F.sum("tran_qty").alias("tran_qty"), F.sum("tran_cogs_amt").alias("tran_cogs_amt"),
-        F.sum("rebate_to_bill").alias("rebate_to_bill"))
+    times = (F.coalesce("_parties", F.lit(1)) * F.coalesce("_methods", F.lit(1))).cast("decimal(10,0)")
+
+    def value(c):
+        kind = sums.schema[c].dataType
+        wide = DecimalType(min(38, kind.precision + 10), kind.scale) if isinstance(kind, DecimalType) else kind
+        return (F.col(c) * times).cast(wide).alias(c)
+
+    named = sums.join(party, "brand_name", "left").join(method, "rebate_billing_method", "left")
+    return named.select(*_REPORT_KEYS, "list_item_name", "cust_vend", *[value(c) for c in _REPORT_SUMS])
 
 
 def vendor_rebate_report(ledger, fc_xref, items, agreements, methods, start, end, cost_switch=COST_SWITCH):
@@ -178,18 +186,24 @@ def vendor_rebate_report(ledger, fc_xref, items, agreements, methods, start, end
     rows = rows.filter(F.col("rebate_start_date").isNotNull()).withColumns({
         "_qty": F.col("tran_qty"), "_cogs": F.when(late, F.col("tran_cost_amt")).otherwise(F.col("tran_cogs_amt")).cast("decimal(14,4)"),
         "_rebate": F.coalesce("rebate_total", "tran_amt")})
-    return _sum_before_naming(rows, agreements, methods).withColumnRenamed("rebate_to_bill", "tran_amt")
+    # parties and methods are distinct, so the sums need no second grouping
+    return _named_sums(rows, *_parties(agreements, methods)).withColumnRenamed("rebate_to_bill", "tran_amt")
 
 
 def rebate_rollup(ledger, fc_xref, items, agreements, methods, start, end):
-    """Second level: per brand and sku the largest terms and the sums; quantity and cost from product rows."""
+    """Second level: per brand and sku the largest terms and the sums; quantity and cost from product rows.
+
+    A brand's parties fan out the sums, and only the greatest is shown, so they enter as one row per brand with their number.
+    """
     product = F.col("tran_sub_type_id") == 16
     rows = _rebate_rows(ledger, fc_xref, items, start, end).withColumns({
         "_qty": F.when(product, F.col("tran_qty")), "_cogs": F.when(product, F.col("tran_cogs_amt")), "_rebate": F.col("rebate_total")})
-    first = _sum_before_naming(rows, agreements, methods)
-    return first.groupBy("brand_name", "sku", "description").agg(
+    party, method = _parties(agreements, methods)
+    party = party.groupBy("brand_name").agg(F.max("cust_vend").alias("cust_vend"), F.sum("_parties").alias("_parties"))
+    method = method.groupBy("rebate_billing_method").agg(F.max("list_item_name").alias("list_item_name"), F.sum("_methods").alias("_methods"))
+    return _named_sums(rows, party, method).groupBy("brand_name", "sku", "description").agg(
         *[F.max(c).alias(c) for c in ("rebate_billing_method", *TERMS, "list_item_name", "cust_vend")],
-        *[F.sum(c).alias(c) for c in ("tran_qty", "tran_cogs_amt", "rebate_to_bill")])
+        *[F.sum(c).alias(c) for c in _REPORT_SUMS])
 
 
 # --------------------------------------------------------------------------- billing files
