@@ -67,9 +67,8 @@ def crm_discounts(ledger, journal, gl_map, manual_headers, manual_lines, account
     booked = journal.filter(F.col("acct_number") == COUPON_ACCOUNT).select("tran_id")
     coupons = (ledger.filter(between("tran_gl_date", start, end)).join(booked, "tran_id", "left_semi")
                      .groupBy(*COUPON_KEYS).agg((-F.sum("tran_amt")).alias("crm_discount")))
-    # only orders with coupons are reported, so only their rows enter the P&L
-    mapped = (ledger.join(coupons.select("order_id"), "order_id", "left_semi")
-                    .join(gl_map.withColumnRenamed("map_id", "je_map_id"), "je_map_id"))
+    # summed for all orders: cutting them to those with coupons first would take the ledger through the coupon joins twice
+    mapped = ledger.join(gl_map.withColumnRenamed("map_id", "je_map_id"), "je_map_id")
     # the debit side wins when both sides name the account
     amount = nz("tran_amt")
     pnl = mapped.groupBy("order_id").agg(*[
