@@ -122,7 +122,9 @@ def cancel_run(cancels: DataFrame, store: dict[str, DataFrame], sub_types: DataF
     """
     orders = R.stored(postings.cancel_worklist(cancels, store["order_header"]), f"{staging}/orders")
     members = R.stored(postings.cancel_worklist(cancels, store["membership_header"]), f"{staging}/members")
-    known = R.union_all(orders.select("order_id"), members.select("order_id")).distinct()
+    # a partition each per task: such ids compress to little, and small partitions put together would be many rows in one task
+    tasks = int(cancels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = R.union_all(orders.select("order_id"), members.select("order_id")).repartition(tasks, "order_id")
     archived, waiting = maintenance.archive_move(cancels, known, ["order_id"])
     return {
         "ledger": R.union_all(to_ledger(postings.reverse_order_postings(store["ledger"], orders, sub_types)),

@@ -177,3 +177,27 @@ def test_capture_feeds_fulfillment(spark, sf_dir, tmp_path):
     # the same messages again: every posting is known
     again = pipelines.fulfillment_run(shipped, store | {"ledger": out["ledger"]}, dims, "2024-03-02", str(tmp_path / "again"))
     assert again["ledger"].filter("tran_sub_type_id not in (113, 114)").count() == 0
+
+
+def test_cancel_run_deals_known_ids_over_all_partitions(spark, tmp_path):
+    """Ids compress to little, so partitions put together by their bytes would be many rows in one task."""
+    from tallyloom.plans import pipelines
+    changed = {"spark.sql.shuffle.partitions": "8", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        text = "cast(null as string)"
+        cancels = spark.range(4000).selectExpr("if(id = 5, null, id div 2) as order_id", "concat('u', id) as message_uuid", "timestamp_ntz'2024-01-01' as updated_at",
+                                               "false as ms_initiated", "false as is_fraud", f"{text} as refunds")
+        headers = spark.range(1500).selectExpr("id as order_id", "date'2024-01-01' as sale_date", "'open' as status", "cast(null as timestamp_ntz) as status_date")
+        store = {"ledger": to_ledger(spark.range(0)), "order_header": headers, "membership_header": headers.withColumn("order_id", F.col("order_id") + 10000)}
+        sub_types = spark.range(1).selectExpr("110L as tran_type", f"{text} as tran_sub_type", "40L as tran_sub_type_id")
+        refunds = spark.range(1).selectExpr("id as order_id", "cast(1 as decimal(10,2)) as base_pay_amt", f"{text} as gateway_tran_id")
+        out = pipelines.cancel_run(cancels, store, sub_types, refunds, str(tmp_path))
+        assert out["archive"].count() == 2999 and out["waiting"].count() == 1001
+        for name in ("archive", "waiting"):
+            assert out[name].rdd.getNumPartitions() == 8
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
