@@ -184,8 +184,10 @@ def _header(queue: DataFrame, message_type: str, *more: str) -> DataFrame:
 
 
 def _with_order(msgs: DataFrame, array, alias: str) -> DataFrame:
-    return msgs.select("id", typed("doc.order_id", "i").alias("order_id"),
-                       F.col("doc.message_uuid").alias("message_uuid"), F.posexplode(array).alias("pos", alias))
+    # the array is picked before it is spread: under a Generate the reader of a parsed table would take the whole document
+    array = F.col(array) if isinstance(array, str) else array
+    rows = msgs.select("id", typed("doc.order_id", "i").alias("order_id"), F.col("doc.message_uuid").alias("message_uuid"), array.alias("_array"))
+    return rows.select("id", "order_id", "message_uuid", F.posexplode("_array").alias("pos", alias))
 
 
 # --------------------------------------------------------------------------- duplicates and work lists

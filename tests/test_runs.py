@@ -179,6 +179,19 @@ def test_capture_feeds_fulfillment(spark, sf_dir, tmp_path):
     assert again["ledger"].filter("tran_sub_type_id not in (113, 114)").count() == 0
 
 
+def test_exploding_a_parsed_table_reads_its_array_only(spark, tmp_path):
+    message = ('{"order_id": 7, "message_uuid": "u", "items": [{"item_id": 1, "sku": "s"}, {"item_id": 2, "sku": null}],'
+               ' "payments": {"payment_detail": [{"id": "p", "base_pay_amt": 1.5}], "gift_card_details": []}}')
+    queue = spark.createDataFrame([(1, "oc", message), (2, "oc", '{"order_id": 8}'), (3, "oc", None)], "id bigint, message_type string, json_data string")
+    parsed = ingest.parse_once(queue.withColumn("s3_updated_at", F.lit("2024-01-01").cast("timestamp_ntz")), "oc", str(tmp_path / "oc"))
+    payments = ingest.explode_order_payments(parsed)
+    assert [(r.order_id, r.payment_id, str(r.base_pay_amt), r.message_uuid) for r in payments.collect()] == [(7, "p", "1.50", "u")]
+    assert sorted((r.order_id, r.item_id, r.sku) for r in ingest.explode_order_items(parsed).collect()) == [(7, 1, "s"), (7, 2, None)]
+    assert ingest.explode_order_gift_cards(parsed).count() == 0
+    text = plan(payments)
+    assert "payment_detail" in text.split("ReadSchema")[1] and "items" not in text.split("ReadSchema")[1].split("\n")[0]
+
+
 def test_cancel_run_deals_known_ids_over_all_partitions(spark, tmp_path):
     """Ids compress to little, so partitions put together by their bytes would be many rows in one task."""
     from tallyloom.plans import pipelines
