@@ -5,7 +5,8 @@
    have no weight, unless an item would lose most of its own.
 2. A randomised SVD (range finder with one power step, then the small eigenproblem) of the TF-IDF matrix of passages gives RANK latent
    directions.  It is fitted on the passages of the items, which count ITEM_WEIGHT times, and on those of all documents,
-   by sums that Spark adds up over tasks; the driver only factors matrices of terms x (RANK + OVERSAMPLE).
+   by sums that Spark adds up over tasks; the driver only factors matrices of terms x (RANK + OVERSAMPLE).  The texts are cut into words
+   once for it: a table of each document's benchmark words by block serves the document frequencies and both steps.
 3. Every passage of every document is projected and compared with every item: a candidate holds at least SHARE of the item's latent
    weight, whatever else is in the passage.  A block, and an item, counts each of its terms once, so repeats add nothing.
 4. A candidate is confirmed on words around the passage: the longest common subsequence with the item inside a window of 1.5 times the item
@@ -20,28 +21,74 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import textnp
-from tallyloom.llm.storage import small_batches
+from tallyloom.llm.storage import dropped, shared_folder, small_batches, stored
 from tallyloom.llm.sums import SCHEMA, chunked, collected
 
 BLOCK, PIECE, RANK, OVERSAMPLE = 32, 48, 256, 16
 COMMON, ITEM_WEIGHT = 0.13, 1e4
 SHARE, LCS, LCS_ANSWER, ANSWER = 0.35, 0.75, 0.6, 0.8
 TABLE = 1 << 20
+GROUP, SLICE, STEPS = 1 << 16, 512, 32  # bytes of text cut into words at once, blocks multiplied at once, longest run of one sum
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in a row, and where each text's begin (and the last one's end).
+
+    Words are lower-cased, ASCII punctuation is white space.
+    """
+    plain = [(t if t.isascii() else t.decode("utf-8", "replace").lower().encode()).translate(_PLAIN) for t in texts]
+    data = np.frombuffer(b" ".join([*plain, b""]), np.uint8)
+    inside = np.zeros(len(data) + 1, bool)
+    inside[1:] = data != 32
+    bounds = np.flatnonzero(inside[1:] != inside[:-1])
+    begins = np.cumsum([0] + [len(t) + 1 for t in plain])
+    return textnp.range_hashes(data, bounds[::2], bounds[1::2]), np.searchsorted(bounds[::2], begins)
+
+
 def words(text: bytes) -> np.ndarray:
-    """Hashes of the words: lower-cased, ASCII punctuation as white space."""
-    if not text.isascii():
-        text = text.decode("utf-8", "replace").lower().encode()
-    data = np.frombuffer(text.translate(_PLAIN), np.uint8)
-    if not len(data):
-        return np.empty(0, np.uint64)
-    return textnp.range_hashes(data, *textnp.word_bounds(data))
+    return words_of([text])[0]
+
+
+def grouped(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in order, about GROUP bytes at once."""
+    group, size = [], 0
+    for text in texts:
+        if group and size + len(text) > GROUP:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
+
+
+def sums(right: np.ndarray, index: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` groups the sum of its rows ``right[index]``; ``group`` ascends."""
+    out = np.zeros((n, right.shape[1]), right.dtype)
+    if not len(index):
+        return out
+    sizes = np.bincount(group, minlength=n)
+    starts = np.cumsum(sizes) - sizes  # of each group's rows
+    if sizes.max() > STEPS:  # parts of a long group first
+        place = np.arange(len(group)) - starts[group]
+        first = place % STEPS == 0
+        parts = sums(right, index, np.cumsum(first) - 1, int(first.sum()))
+        return sums(parts, np.arange(len(parts)), group[first], n)
+    order = np.argsort(-sizes, kind="stable")
+    longer = len(sizes) - np.cumsum(np.bincount(sizes))  # groups with more than k rows
+    starts, part = starts[order], np.zeros((longer[0], right.shape[1]), right.dtype)
+    row = np.empty_like(part)
+    for k, m in enumerate(longer[:-1]):
+        np.take(right, index[starts[:m] + k], axis=0, out=row[:m], mode="clip")
+        part[:m] += row[:m]
+    out[order[:longer[0]]] = part
+    return out
 
 
 class Terms:
@@ -57,9 +104,10 @@ class Terms:
     def __call__(self, h: np.ndarray) -> np.ndarray:
         out = self.slot[(h & np.uint64(TABLE - 1)).astype(np.int64)]
         if len(out):
-            out = np.where((out >= 0) & (self.hashes[out] == h), out, -1)
+            wrong = np.flatnonzero((out >= 0) & (self.hashes[out] != h))
+            out[wrong] = -1
             for k in self.late:
-                out[h == self.hashes[k]] = k
+                out[wrong[h[wrong] == self.hashes[k]]] = k
         return out
 
 
@@ -83,23 +131,17 @@ class Items:
         self.idf = np.zeros(len(self.terms.hashes))
         self.basis = self.latent = None
 
-    def rows(self, h: np.ndarray):
-        """(term numbers, their blocks, number of blocks) of a text's words, a term once a block."""
+    def rows(self, h: np.ndarray, first: np.ndarray, weighed: bool = True):
+        """(term numbers, their blocks, number of blocks of each text) of the words of texts, a term once a block."""
         t = self.terms(h)
-        at = np.flatnonzero(t >= 0)
-        t = t[at]
-        keep = self.idf[t] > 0
-        pairs = np.unique(at[keep] // BLOCK * len(self.idf) + t[keep])
-        return pairs % len(self.idf), pairs // len(self.idf), -(-len(h) // BLOCK)
-
-    def passages(self, h: np.ndarray, projection: np.ndarray) -> np.ndarray:
-        """TF-IDF of each pair of neighbouring blocks, times ``projection`` (already scaled by IDF)."""
-        t, block, n = self.rows(h)
-        out = np.zeros((max(n, 1), projection.shape[1]), np.float32)
-        if len(t):
-            first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
-            out[block[first]] = np.add.reduceat(projection[t], first, axis=0)
-        return out[:-1] + out[1:] if len(out) > 1 else out
+        at = np.flatnonzero((t >= 0) & (self.idf[t] > 0) if weighed else t >= 0)
+        lengths = np.diff(first)
+        blocks = -(-lengths // BLOCK)
+        text = np.repeat(np.arange(len(lengths)), lengths)[at]
+        block = (np.cumsum(blocks) - blocks)[text] + (at - first[text]) // BLOCK
+        pairs = np.sort(block * len(self.idf) + t[at])
+        pairs = pairs[np.concatenate(([True], pairs[1:] != pairs[:-1]))] if len(pairs) else pairs
+        return pairs % len(self.idf), pairs // len(self.idf), blocks
 
     def weigh(self, counts: np.ndarray, n: float) -> None:
         """IDF of the terms from the documents that hold them."""
@@ -133,41 +175,80 @@ def _blocks(benchmark: DataFrame) -> Iterator[Items]:
         yield Items(ids, lines)
 
 
-def _document_frequencies(texts: DataFrame, terms: Terms) -> tuple[np.ndarray, float]:
+def _term_blocks(texts: DataFrame, items: Items) -> DataFrame:
+    """``terms`` of every text: the term numbers of each block in turn, a term once a block; -1 ends a block."""
     def run(batches):
-        counts, n = np.zeros(len(terms.hashes)), 0
         for batch in batches:
-            for text in textnp.texts(batch, "text"):
-                t = terms(words(text))
-                seen = np.zeros(len(counts), bool)
-                seen[t[t >= 0]] = True
-                counts += seen
-                n += 1
+            values, lengths = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+            for group in grouped(textnp.texts(batch, "text")):
+                t, block, blocks = items.rows(*words_of(group), weighed=False)
+                found = np.full(len(t) + blocks.sum(), -1, np.int32)
+                found[np.arange(len(t)) + block] = t
+                ends = np.cumsum(blocks)
+                lengths.append(np.diff(np.searchsorted(block, ends) + ends, prepend=0))
+                values.append(found)
+            offsets = np.cumsum(np.concatenate(lengths)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, np.concatenate(values))], names=["terms"])
+    return texts.mapInArrow(run, "terms array<int>")
+
+
+def _numbers(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The values of ``terms`` of all rows, and the number of values of each row."""
+    column = batch.column("terms")
+    offsets = column.offsets.to_numpy()
+    return column.values.to_numpy()[offsets[0]:offsets[-1]].astype(np.int64), np.diff(offsets)
+
+
+def _document_frequencies(found: DataFrame, terms: int) -> tuple[np.ndarray, float]:
+    def run(batches):
+        counts, n = np.zeros(terms), 0
+        for batch in batches:
+            t, lengths = _numbers(batch)
+            pairs = np.sort((np.repeat(np.arange(len(lengths)), lengths) * terms + t)[t >= 0])
+            counts += np.bincount(pairs[np.diff(pairs, prepend=-1) > 0] % terms, minlength=terms)
+            n += len(lengths)
         yield chunked(counts, float(n))
-    return collected(texts.mapInArrow(run, SCHEMA))
+    return collected(found.mapInArrow(run, SCHEMA))
+
+
+def _fewer_tasks(df: DataFrame) -> DataFrame:
+    """For steps where every task hands on a whole matrix: no more tasks than cores, or an eighth of the partitions."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions() // 8))
 
 
-def _gram_times(texts: DataFrame, items: Items, right: np.ndarray) -> np.ndarray:
-    """A^T A right, with A the passages of ``texts`` and the pieces of the items."""
-    scaled = (right * items.idf[:, None]).astype(np.float32)
+def _gram_times(found: DataFrame, items: Items, right: np.ndarray) -> np.ndarray:
+    """A^T A right, with A the passages of the documents (``_term_blocks``) and the pieces of the items."""
+    idf = items.idf
+    scaled = (right * idf[:, None]).astype(np.float32)
 
     def run(batches):
         total = np.zeros(right.shape)
         for batch in batches:
-            for text in textnp.texts(batch, "text"):
-                h = words(text)
-                if not len(h):
-                    continue
-                y = items.passages(h, scaled)
-                t, block, n = items.rows(h)
-                # a block is in the passage it starts and in the one it ends
-                per_block = y if n <= 1 else np.vstack([y, np.zeros((1, y.shape[1]), y.dtype)]) + np.vstack([np.zeros((1, y.shape[1]), y.dtype), y])
-                if len(t):
-                    order = np.argsort(t, kind="stable")
-                    first = np.flatnonzero(np.concatenate(([True], np.diff(t[order]) != 0)))
-                    total[t[order][first]] += np.add.reduceat((per_block[block] * items.idf[t][:, None])[order], first, axis=0)
-        yield chunked(total.ravel(), 1.0)
-    total, _ = collected(texts.mapInArrow(run, SCHEMA))
+            t, lengths = _numbers(batch)
+            end = t < 0
+            blocks = np.diff(np.append(0, np.cumsum(end))[np.append(0, np.cumsum(lengths))])
+            # an empty block behind every document, so that neighbours are of one document
+            block = np.cumsum(end) - end + np.repeat(np.arange(len(lengths)), lengths)
+            n = int(blocks.sum()) + len(lengths)
+            starts = (np.cumsum(blocks + 1) - blocks - 1)[blocks > 0]
+            held = np.full((n, 1), 2, np.float32)  # passages that hold a block: it starts one and ends one
+            held[starts] = held[starts + blocks[blocks > 0] - 1] = 1
+            keep = np.flatnonzero(~end & (idf[t] > 0))
+            t, block = t[keep], block[keep]
+            for a in range(0, n, SLICE):
+                b, low, high = min(a + SLICE, n), max(a - 1, 0), min(a + SLICE + 1, n)
+                i, j, k, m = np.searchsorted(block, [low, a, b, high])
+                z = sums(scaled, t[i:m], block[i:m] - low, high - low)
+                y = z * held[low:high]
+                y[1:] += z[:-1]
+                y[:-1] += z[1:]
+                order = np.argsort(t[j:k], kind="stable")
+                own = t[j:k][order]
+                if len(own):
+                    new = np.concatenate(([True], own[1:] != own[:-1]))
+                    total[own[new]] += sums(y, block[j:k][order] - low, np.cumsum(new) - 1, int(new.sum()))
+        yield chunked((total * idf[:, None]).ravel(), 1.0)
+    total, _ = collected(_fewer_tasks(found).mapInArrow(run, SCHEMA))
     total = total.reshape(right.shape) if len(total) else np.zeros(right.shape)
     y = items.own_rows(scaled)
     for (k, a, b), row in zip(items.pieces, y):
@@ -178,13 +259,15 @@ def _gram_times(texts: DataFrame, items: Items, right: np.ndarray) -> np.ndarray
 
 def _fit(docs: DataFrame, items: Items) -> None:
     """Sets idf, basis and latent of ``items``."""
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    counts, n = _document_frequencies(texts, items.terms)
-    items.weigh(counts if len(counts) else np.zeros(len(items.terms.hashes)), n)
+    folder = shared_folder(docs.sparkSession)
+    rows = stored(_term_blocks(docs.select(F.col("text").cast("string").alias("text")), items), folder)
+    counts, n = _document_frequencies(rows, len(items.idf))
+    items.weigh(counts if len(counts) else np.zeros(len(items.idf)), n)
     width = min(RANK + OVERSAMPLE, len(items.idf))
     start = np.random.default_rng(3).normal(size=(len(items.idf), width))
-    found, _ = np.linalg.qr(_gram_times(texts, items, start))
-    small = found.T @ _gram_times(texts, items, found)
+    found, _ = np.linalg.qr(_gram_times(rows, items, start))
+    small = found.T @ _gram_times(rows, items, found)
+    dropped(docs.sparkSession, folder)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     basis = found @ vectors[:, np.argsort(values)[::-1][:RANK]]
     items.basis = (basis * items.idf[:, None]).astype(np.float32)
@@ -195,8 +278,10 @@ class Searcher:
     def __init__(self, items: Items):
         self.items = items
         norm = np.linalg.norm(items.latent, axis=1)
-        self.target = items.latent.T.astype(np.float32)
-        self.norm, self.least = np.maximum(norm, 1e-9).astype(np.float32), (SHARE * norm**2).astype(np.float32)
+        target = items.latent.T.astype(np.float32)
+        # a term's weight in each piece by way of the latent directions, unless one long item has more pieces than there are
+        self.right, self.target = (items.basis @ target, None) if target.shape[1] <= RANK else (items.basis, target)
+        self.least = (SHARE * norm**2).astype(np.float32)
         self.owner = np.array([k for k, _, _ in items.pieces])
         self.masks, self.answers = [], []
         for w in items.words:
@@ -222,35 +307,49 @@ class Searcher:
             best = max(best, share)
         return best if best >= LCS or (best >= LCS_ANSWER and near) else 0.0
 
-    def candidates(self, h: np.ndarray) -> list[tuple[int, int]]:
-        """(item, passage) pairs worth confirming."""
-        y = self.items.passages(h, self.items.basis)
-        length = np.linalg.norm(y, axis=1)
-        live = np.flatnonzero(length >= SHARE * self.norm.min())
-        dots = y[live] @ self.target
-        row, piece = np.nonzero(dots >= self.least)
-        return sorted({(int(self.owner[p]), int(live[r])) for r, p in zip(row, piece)})
-
-    def search(self, text: bytes) -> list[tuple[int, float]]:
-        h = words(text)
-        if not len(h):
-            return []
-        found: dict[int, float] = {}
-        for k, passage in self.candidates(h):
-            n = len(self.items.words[k])
-            if found.get(k, 0.0) < 1.0:
+    def candidates(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int]]:
+        """(text, item, passage) worth confirming, of the words of several texts."""
+        t, block, blocks = self.items.rows(h, first)
+        ends, found = np.cumsum(blocks), set()
+        last = np.zeros(int(blocks.sum()), bool)  # no passage begins here, but that of a text of one block
+        last[ends[blocks > 1] - 1] = True
+        begins = np.zeros(len(last) + 1, bool)  # a text, so it is not in the passage of the block before
+        begins[ends] = True
+        for a in range(0, len(last), SLICE):
+            b = min(a + SLICE, len(last))
+            i, j = np.searchsorted(block, [a, b + 1])
+            z = sums(self.right, t[i:j], block[i:j] - a, b + 1 - a)
+            y = z[:-1] + z[1:]
+            single = np.flatnonzero(begins[a + 1:b + 1])
+            y[single] = z[single]
+            dots = y if self.target is None else y @ self.target
+            row, piece = np.nonzero(dots >= self.least)
+            live = ~last[a + row]
+            row, piece = row[live] + a, piece[live]
+            text = np.searchsorted(ends, row, side="right")
+            found.update(zip(text.tolist(), self.owner[piece].tolist(), (row - (ends - blocks)[text]).tolist()))
+        return sorted(found)
+
+    def search(self, texts: list[bytes]) -> list[list[tuple[int, float]]]:
+        h, first = words_of(texts)
+        found: list[dict[int, float]] = [{} for _ in texts]
+        for text, k, passage in self.candidates(h, first):
+            n, best = len(self.items.words[k]), found[text]
+            if best.get(k, 0.0) < 1.0:
+                line = h[first[text]:first[text + 1]]
                 a, b = max(0, passage * BLOCK - n), (passage + 2) * BLOCK + n
-                share = self.confirm(k, h[a:b].tolist())
-                if share > found.get(k, 0.0):
-                    found[k] = share
-        return [(self.items.ids[k], s) for k, s in sorted(found.items())]
+                share = self.confirm(k, line[a:b].tolist())
+                if share > best.get(k, 0.0):
+                    best[k] = share
+        return [[(self.items.ids[k], s) for k, s in sorted(best.items())] for best in found]
 
 
 def _search(items: Items):
     def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         searcher = Searcher(items)
         for texts in series:
-            yield pd.Series([[{"item_id": i, "share": s} for i, s in searcher.search((t or "").encode())] for t in texts])
+            yield pd.Series([[{"item_id": i, "share": s} for i, s in hits]
+                             for group in grouped([(t or "").encode() for t in texts]) for hits in searcher.search(group)])
     return F.pandas_udf(run, "array<struct<item_id: bigint, share: double>>")
 
 

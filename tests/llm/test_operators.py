@@ -586,3 +586,38 @@ def test_latent_directions_come_from_all_documents(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(decontaminate, "_gram_times", lambda texts, *rest: seen.append(texts.count()) or whole(texts, *rest))
     decontaminate.contamination(docs, bench)
     assert seen == [4_100, 4_100]
+
+
+def test_few_tasks_hand_on_a_whole_matrix(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(k, f"alpha w{k % 7} beta") for k in range(500)], "doc_id bigint, text string").repartition(48)
+    bench = spark.createDataFrame([(1, "alpha beta gamma w1")], "item_id bigint, text string")
+    seen, whole = [], decontaminate.collected
+    monkeypatch.setattr(decontaminate, "collected", lambda rows: seen.append(rows.rdd.getNumPartitions()) or whole(rows))
+    decontaminate.contamination(docs, bench)
+    assert len(seen) == 3 and max(seen[1:]) <= 6, seen
+
+
+def test_products_with_passages(spark, tmp_path, monkeypatch):
+    """Passages, document frequencies and A^T A times a matrix against dense ones, over slice, group and document borders."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"t{k}" for k in rng.integers(0, 60, n)) for n in (1, 32, 33, 64, 65, 700, 5, 3000, 40)]
+    texts[3:3] = ["", None, "unknown words only", " "]
+    items = decontaminate.Items([1, 2], [decontaminate.words((f"t{a} " + " ".join(f"t{k}" for k in range(a, a + 20)) + " never").encode()) for a in (0, 20)])
+    for name, value in {"SLICE": 3, "GROUP": 500, "STEPS": 2}.items():
+        monkeypatch.setattr(decontaminate, name, value)
+    found = decontaminate._term_blocks(made(spark, tmp_path, list(enumerate(texts))), items)
+    size = len(items.idf)
+    sets = [[set(t for t in items.terms(h[k:k + decontaminate.BLOCK]).tolist() if t >= 0) for k in range(0, len(h), decontaminate.BLOCK)]
+            for h in (decontaminate.words((x or "").encode()) for x in texts)]
+    counts, n = decontaminate._document_frequencies(found, size)
+    assert n == len(texts) and counts.tolist() == [sum(any(t in b for b in doc) for doc in sets) for t in range(size)]
+    items.idf = rng.random(size) * (rng.random(size) < 0.8)
+    dense = []
+    for doc in sets:
+        blocks = [np.array([items.idf[t] * (t in b) for t in range(size)]) for b in doc]
+        dense += [a + b for a, b in zip(blocks, blocks[1:])] if len(blocks) > 1 else blocks
+    dense = np.array(dense)
+    own = np.array([[items.idf[t] * (t in items.terms(items.words[k][a:b])) for t in range(size)] for k, a, b in items.pieces])
+    right = rng.normal(size=(size, 7))
+    want = dense.T @ dense @ right + decontaminate.ITEM_WEIGHT * own.T @ own @ right
+    assert np.allclose(decontaminate._gram_times(found, items, right), want, rtol=1e-4, atol=1e-2)
