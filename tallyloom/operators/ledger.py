@@ -76,6 +76,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def _spot(keys: list[str]):
     """(vector, bit) of a row's keys."""
     hashed = F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in sorted(keys)])

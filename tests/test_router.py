@@ -5,7 +5,9 @@ import json
 import os
 import time
 
-from tallyloom.operators import ingest
+import pytest
+
+from tallyloom.operators import ingest, ledger
 from tallyloom.streaming import router
 
 QUEUE = ("id bigint, created_at timestamp_ntz, s3_updated_at timestamp_ntz, s3_filename string, s3_line_num int, message_type string, json_data string,"
@@ -109,3 +111,45 @@ def test_keys_are_a_built_in_aggregate(spark):
     first = router.first_of_key(rows)
     assert sorted((r.key, r.first and tuple(r.first)) for r in first.collect()) == [("1", (0, 9, 1, 3)), ("a", None)]
     assert not any(n in first._jdf.queryExecution().toString() for n in ("Pandas", "Python", "Arrow"))
+
+
+def files(folder, name):
+    return [f for _, _, names in os.walk(f"{folder}/{name}") for f in names if f.endswith(".parquet")]
+
+
+def test_a_retry_goes_on_with_the_pieces_that_are_left(spark, tmp_path, monkeypatch):
+    """Four parts in two pieces; the first run dies when a part of the second goes.  In the end no working copy is left."""
+    folder = str(tmp_path)
+    monkeypatch.setattr(router, "PIECE", 8)  # a task reads two files with two messages each
+    for k in range(8):
+        deliver(spark, folder, (10 * k + 1, "ocn", k, {"order_id": k % 4}), (10 * k + 2, "of", k, part(k % 3, str(k), k == 7)))
+    gone, remove = [], ledger.remove
+
+    def dies(session, path):
+        gone.append(path)
+        remove(session, path)
+        if len(gone) == 3:
+            raise OSError("the first run ends here")
+
+    with monkeypatch.context() as first:
+        first.setattr(ledger, "remove", dies)
+        with pytest.raises(Exception, match="the first run ends here"):
+            route(spark, folder)
+    assert len(files(folder, "keyed")) == 2  # a part and the one of released shipments
+    _, got = route(spark, folder)
+    assert got == sorted([(10 * k + 1, "queue" if k < 4 else "error") for k in range(8)] + [(10 * k + 2, "unprocessed") for k in range(7)]
+                         + [(12, "released"), (42, "released"), (72, "queue")])
+    assert not any(files(folder, name) for name in ("keyed", "first", "fates"))
+    taken = spark.read.schema("message_uuid string, updated_at timestamp_ntz").parquet(f"{folder}/staging/of")
+    assert sorted(r.message_uuid for r in taken.collect()) == ["1", "4", "7"]
+
+
+def test_tables_are_packed_and_messages_are_kept_once(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    rows = [(i, T0, T0, "f", 1, "oc", json.dumps({"order_id": i}), None, None, None, None, None) for i in range(20)]
+    xref = spark.createDataFrame([(2, True)], "fc_id int, is_hj boolean")
+    got = router.run_once(spark.createDataFrame(rows, QUEUE), folder, xref)
+    assert sorted((r.id, r.fate) for r in got.collect()) == [(i, "queue") for i in range(20)]
+    kept = [f for name in ("incoming", "routed", "staging") for f in files(folder, name)]
+    assert kept and all(f.endswith(".zstd.parquet") for f in kept)
+    assert not any(files(folder, name) for name in ("keyed", "marks", "first", "fates"))
